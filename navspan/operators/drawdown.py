@@ -7,7 +7,6 @@ from navspan.functions.keys import is_window
 from navspan.functions.numeric import pct_change, round_even
 from navspan.operators import prepare as p
 from navspan.operators.returns import annualized_return, frame_parts
-from navspan.operators.sliding import decline, peak_of
 
 
 def drawdown_parts(key):
@@ -26,7 +25,7 @@ def drawdown(key):
     """Current value against the highest earlier value of the frame; positive at a new high."""
     high = F.col(f"_high_{key}")
     if key in PERIODS:
-        high = F.greatest(high, F.col(f"_base_{key}")["prev"][VALUE])
+        high = F.greatest(high, F.col(f"_base_prev_val_{key}"))
     days = p.days_since_inception()
     least = max(key, 1) if is_window(key) else 1
     return F.when(days >= least, round_even(pct_change(F.col(VALUE), high)))
@@ -37,14 +36,16 @@ def _old_enough(key):
     return p.days_since_inception() >= least
 
 
-def _found(kind, key):
-    found = F.col(f"_{kind}_{key}")
-    return found["dd"] if is_window(key) and key > 0 else found
-
-
 def _last_step():
-    prev = F.col("_prev")
-    return decline(F.col(VALUE), F.col(DATE), peak_of(prev[VALUE], prev[DATE]))
+    """Drop of the current row below the row before, as a decline of its own."""
+    prev = F.col("_prev_val")
+    drop = (F.col(VALUE) - prev) / prev
+    return F.when(
+        (F.col(VALUE) < prev) & (prev > 0),
+        F.struct(
+            drop.alias("m"), F.unix_date(DATE).alias("t"), F.unix_date("_prev_date").alias("s")
+        ),
+    )
 
 
 def max_drawdown(key):
@@ -53,10 +54,10 @@ def max_drawdown(key):
     Without a decline: 0.0, first date of the frame, current date. Null before the product is as old
     as the key asks for, in calendar days.
     """
-    found = _last_step() if key == CURRENT else _found("decline", key)
+    found = _last_step() if key == CURRENT else F.col(f"_dd_{key}")
     value = F.coalesce(round_even(found["m"]), F.lit(0.0))
-    start = F.coalesce(found["s"], p.start_row(key)[DATE])
-    trough = F.coalesce(found["t"], F.col(DATE))
+    start = F.coalesce(F.date_from_unix_date(found["s"]), p.start_row(key)[0])
+    trough = F.coalesce(F.date_from_unix_date(found["t"]), F.col(DATE))
     result = F.struct(
         value.alias("value"), start.alias("s"), trough.alias("t"),
         F.datediff(trough, start).alias("drd"),
@@ -65,12 +66,10 @@ def max_drawdown(key):
 
 
 def max_drawdown_value(key, detail):
-    if key == CURRENT:
-        depth = _last_step()["m"]
-    elif detail:
-        depth = _found("decline", key)["m"]
-    else:
-        depth = _found("depth", key)
+    """The value alone; ``detail`` tells whether the declines were computed with their days."""
+    depth = _last_step()["m"] if key == CURRENT else F.col(f"_dd_{key}")
+    if detail and key != CURRENT:
+        depth = depth["m"]
     return F.when(_old_enough(key), F.coalesce(round_even(depth), F.lit(0.0)))
 
 

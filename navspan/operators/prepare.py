@@ -3,35 +3,45 @@
 A metric asks for parts by name:
 
 ``("start", N)``      first row of the look-back of N rows (0 = inception)
-``("base", P)``       ``_base_P``: first row of the period so far and the row before it, ``_rows_P``
+``("base", P)``       row before the period so far, its first row, and its number of rows
 ``("moments", K)``    mean and deviation of the step returns of the frame
 ``("inner", P)``      the same, of the steps that lie inside [period anchor, date]
 ``("high", K)``       highest value of the frame without the current row
-``("decline", K)``    deepest decline with dates
+``("decline", K)``    deepest decline with days
 ``("depth", K)``      deepest decline, value only
+
+Order matters for width: sliding frames come first, on rows that carry little else.
 """
 
 from pyspark.sql import functions as F
 
 from navspan.functions.dates import period_anchor
-from navspan.functions.fixed import CURRENT, DATE, PERIODS, VALUE
+from navspan.functions.fixed import CURRENT, DATE, PERIODS, PRODUCT, VALUE
 from navspan.functions.keys import is_window
-from navspan.operators import series, sliding
+from navspan.operators import declines, series, sliding
+from navspan.operators.series import BEFORE, SO_FAR, add, over
 
 
 def prepare(nav, parts):
     """NAV rows plus the helper columns for ``parts``."""
     parts = _expand(parts)
-    df = series.calendar_columns(nav)
-    df = df.select("*", *_product_columns(parts))
-    df = df.select("*", *_step_columns(parts))
-    df = df.select("*", *_running_product_columns(parts))
+    look_back = {kind: [k for k in _keys(parts, kind) if is_window(k) and k > 0] for kind in
+                 ("start", "moments", "high", "decline", "depth")}
+    style = declines.Style(detail=bool(_keys(parts, "decline")))
+    fall_keys = sorted({*_keys(parts, "decline"), *_keys(parts, "depth")}, key=str)
+    fall_windows = sorted({*look_back["decline"], *look_back["depth"]})
+
+    df = series.by_product(nav.select(PRODUCT, DATE, VALUE))
+    df = declines.add_tails(df, fall_windows, style)
+    df = series.calendar_columns(df)
+    df = add(df, series.neighbours())
+    if look_back["moments"] or _keys(parts, "moments") or _keys(parts, "inner"):
+        df = add(df, series.step_return())
+    df = sliding.add_sliding(df, look_back["moments"], look_back["high"])
+    df = add(df, _product_columns(parts, look_back["start"], fall_windows, fall_keys, style))
     for period in reversed(PERIODS):
-        columns = _period_columns(parts, period)
-        if columns:
-            df = df.select("*", *columns)
-    df = _add_expanding_declines(df, parts)
-    return sliding.add_frames(df, _sliding_frames(parts))
+        df = add(df, _period_columns(parts, period, fall_keys, style))
+    return declines.add_deepest(df, fall_keys, style)
 
 
 def _keys(parts, kind):
@@ -41,156 +51,98 @@ def _keys(parts, kind):
 def _expand(parts):
     parts = set(parts)
     for kind, key in list(parts):
-        if kind in ("high", "decline", "depth"):
-            if is_window(key):
-                if kind != "high":
-                    parts.add(("start", key))
-            elif key in PERIODS:
-                parts.add(("base", key))
-    parts -= {("depth", k) for k in _keys(parts, "decline")}
-    return sorted(parts, key=lambda p: (p[0], not is_window(p[1]), str(p[1]).zfill(9)))
-
-
-def _product_columns(parts):
-    columns = [
-        series.position().alias("_i"),
-        series.previous_row().alias("_prev"),
-        series.first_row().alias("_origin"),
-    ]
-    columns += [series.row_offset_start(n).alias(f"_start_{n}") for n in _keys(parts, "start") if n > 0]
-    if ("high", 0) in parts:
-        columns.append(F.max(VALUE).over(series.before("product")).alias("_high_0"))
-    columns += _peak_columns(parts, 0, "product")
-    return columns
-
-
-def _peak_columns(parts, key, part):
-    """Running peak of the frame that starts with the partition."""
-    frame = series.so_far(part)
-    if ("decline", key) in parts:
-        return [F.max(sliding.peak_of(F.col(VALUE), F.col(DATE))).over(frame).alias(f"_peak_{key}")]
-    if ("depth", key) in parts:
-        return [F.max(VALUE).over(frame).alias(f"_peak_{key}")]
-    return []
+        if kind in ("high", "decline", "depth", "moments", "inner") and key in PERIODS:
+            parts.add(("base", key))
+        if kind == "decline" and is_window(key):
+            parts.add(("start", key))
+    return sorted(parts, key=str)
 
 
-def _step_columns(parts):
-    if _keys(parts, "moments") or _keys(parts, "inner"):
-        return [series.step_return().alias("_x")]
-    return []
+def _moments(name, x, part):
+    window = over(part, SO_FAR)
+    return {f"_mean{name}": f"avg({x}) {window}", f"_std{name}": f"stddev_samp({x}) {window}"}
 
 
-def _moment_columns(name, x, frame):
-    return [
-        F.struct(
-            F.avg(x).over(frame).alias("mean"),
-            F.stddev_samp(x).over(frame).alias("std"),
-        ).alias(name)
-    ]
-
-
-def _running_product_columns(parts):
+def _product_columns(parts, starts, fall_windows, fall_keys, style):
+    columns = {}
+    for n in starts:
+        columns.update(series.row_offset_start(n))
+    if ("high", 0) in parts:
+        columns["_high_0"] = f"max({VALUE}) {over(frame=BEFORE)}"
     if ("moments", 0) in parts:
-        return _moment_columns("_moments_0", F.col("_x"), series.so_far("product"))
-    return []
+        columns.update(_moments("_0", "_x", "product"))
+    columns.update(declines.head_columns(fall_windows, style))
+    if 0 in fall_keys:
+        columns.update(declines.peak_column(0, "product", style))
+    return columns
 
 
-def _period_columns(parts, period):
-    frame = series.so_far(period)
-    columns = []
+def _period_columns(parts, period, fall_keys, style):
+    columns = {}
     if ("base", period) in parts:
-        pair = F.struct(F.col("_prev").alias("prev"), series.row().alias("own"))
-        columns += [
-            F.first(pair).over(frame).alias(f"_base_{period}"),
-            F.count(F.lit(1)).over(frame).alias(f"_rows_{period}"),
-        ]
+        first = over(period, SO_FAR)
+        columns = {
+            f"_base_prev_date_{period}": f"first(_prev_date) {first}",
+            f"_base_prev_val_{period}": f"first(_prev_val) {first}",
+            f"_base_own_date_{period}": f"first({DATE}) {first}",
+            f"_base_own_val_{period}": f"first({VALUE}) {first}",
+            f"_rows_{period}": f"count(1) {first}",
+        }
     if ("moments", period) in parts:
-        columns += _moment_columns(f"_moments_{period}", F.col("_x"), frame)
+        columns.update(_moments(f"_{period}", "_x", period))
     if ("inner", period) in parts:
-        inside = F.col("_prev")[DATE] >= period_anchor(F.col(DATE), period)
-        columns += _moment_columns(f"_inner_{period}", F.when(inside, F.col("_x")), frame)
+        inside = f"if(_prev_date >= date_sub(trunc({DATE}, '{period}'), 1), _x, NULL)"
+        columns.update(_moments(f"_inner_{period}", inside, period))
     if ("high", period) in parts:
-        columns.append(F.max(VALUE).over(series.before(period)).alias(f"_high_{period}"))
-    return columns + _peak_columns(parts, period, period)
-
-
-def base_row(period):
-    """As-of start of a period: the last row before it, else the period's first row."""
-    base = F.col(f"_base_{period}")
-    return F.coalesce(base["prev"], base["own"])
+        columns[f"_high_{period}"] = f"max({VALUE}) {over(period, BEFORE)}"
+    if period in fall_keys:
+        columns.update(declines.peak_column(period, period, style))
+    return columns
 
 
 def has_row_on_anchor(period):
     """Whether a row lies exactly on the day before the period."""
-    on_anchor = F.col(f"_base_{period}")["prev"][DATE] == period_anchor(F.col(DATE), period)
+    on_anchor = F.col(f"_base_prev_date_{period}") == period_anchor(F.col(DATE), period)
     return F.coalesce(on_anchor, F.lit(False))
 
 
-def forward_row(period):
-    """Forward start of a period: the first row on or after its anchor."""
-    base = F.col(f"_base_{period}")
-    return F.when(has_row_on_anchor(period), base["prev"]).otherwise(base["own"])
-
-
-def _add_expanding_declines(df, parts):
-    """Declines since inception and in the periods: fall below the running peak, then its minimum."""
-    wanted = [
-        (kind, key) for kind, key in parts
-        if kind in ("decline", "depth") and (key == 0 or key in PERIODS)
-    ]
-    if not wanted:
-        return df
-    falls = []
-    for kind, key in wanted:
-        peak = F.col(f"_peak_{key}")
-        detail = kind == "decline"
-        if key != 0:
-            base = F.col(f"_base_{key}")["prev"]
-            before = F.when(base.isNotNull(), sliding.peak_of(base[VALUE], base[DATE])) if detail else base[VALUE]
-            peak = F.greatest(peak, before)
-        value = F.col(VALUE)
-        if detail:
-            fall = sliding.decline(value, F.col(DATE), peak)
-        else:
-            fall = F.when((value < peak) & (peak > 0), (value - peak) / peak)
-        falls.append(fall.alias(f"_fall_{key}"))
-    df = df.select("*", *falls)
-    for part in ("product",) + tuple(reversed(PERIODS)):
-        for kind, key in wanted:
-            if part == (key or "product"):
-                lowest = F.min(f"_fall_{key}").over(series.so_far(part))
-                df = df.select("*", lowest.alias(f"_{kind}_{key}"))
-    return df
-
-
-def _sliding_frames(parts):
-    summaries = {
-        "moments": sliding.Moments(), "high": sliding.Highest(),
-        "decline": sliding.Declines(), "depth": sliding.Depths(),
-    }
-    frames = []
-    for kind, key in parts:
-        if kind in summaries and is_window(key) and key > 0:
-            rows = key + 1 if kind in ("decline", "depth") else key
-            frames.append(
-                sliding.Frame(f"_{kind}_{key}", summaries[kind], rows, skip=1 if kind == "high" else 0)
-            )
-    return frames
+def _yesterday():
+    return F.coalesce(F.col("_prev_date") == F.date_sub(DATE, 1), F.lit(False))
 
 
 def start_row(key):
-    """First row of the frame of a key, as a (date, value) struct."""
+    """(date, value) of the frame's first row. Periods: the last row before, else their first row."""
     if key == 0:
-        return F.col("_origin")
+        return F.col("_first_date"), F.col("_first_val")
     if is_window(key):
-        return F.col(f"_start_{key}")
+        return F.col(f"_start_date_{key}"), F.col(f"_start_val_{key}")
     if key == CURRENT:
-        return F.coalesce(F.col("_prev"), series.row())
-    return base_row(key)
+        return F.coalesce("_prev_date", DATE), F.coalesce("_prev_val", VALUE)
+    return (
+        F.coalesce(f"_base_prev_date_{key}", f"_base_own_date_{key}"),
+        F.coalesce(f"_base_prev_val_{key}", f"_base_own_val_{key}"),
+    )
+
+
+def forward_row(key):
+    """(date, value) of the first row on or after the anchor of the key."""
+    if is_window(key):
+        return start_row(key)
+    if key == CURRENT:
+        near = _yesterday()
+        return (
+            F.when(near, F.col("_prev_date")).otherwise(F.col(DATE)),
+            F.when(near, F.col("_prev_val")).otherwise(F.col(VALUE)),
+        )
+    near = has_row_on_anchor(key)
+    return tuple(
+        F.when(near, F.col(f"_base_prev_{f}_{key}")).otherwise(F.col(f"_base_own_{f}_{key}"))
+        for f in ("date", "val")
+    )
 
 
 def days_since_inception():
-    return F.datediff(DATE, F.col("_origin")[DATE])
+    return F.datediff(DATE, "_first_date")
 
 
 def frame_rows(key):
@@ -199,16 +151,15 @@ def frame_rows(key):
         return (F.col("_i") + 1).cast("bigint")
     if is_window(key):
         return (F.least(F.col("_i"), F.lit(key)) + 1).cast("bigint")
-    before = F.col("_prev") if key == CURRENT else F.col(f"_base_{key}")["prev"]
+    before = F.col("_prev_date" if key == CURRENT else f"_base_prev_date_{key}")
     rows = F.lit(1) if key == CURRENT else F.col(f"_rows_{key}")
     return (rows + before.isNotNull().cast("int")).cast("bigint")
 
 
 def rows_in_range(key):
-    """Rows dated from the period's anchor to the current date."""
+    """Rows dated from the key's anchor to the current date."""
     if is_window(key):
         return frame_rows(key)
-    if key == CURRENT:
-        yesterday = F.col("_prev")[DATE] == F.date_sub(DATE, 1)
-        return (F.lit(1) + F.coalesce(yesterday, F.lit(False)).cast("int")).cast("bigint")
-    return (F.col(f"_rows_{key}") + has_row_on_anchor(key).cast("int")).cast("bigint")
+    near = _yesterday() if key == CURRENT else has_row_on_anchor(key)
+    rows = F.lit(1) if key == CURRENT else F.col(f"_rows_{key}")
+    return (rows + near.cast("int")).cast("bigint")

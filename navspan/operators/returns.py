@@ -16,9 +16,8 @@ def frame_parts(key):
 
 
 def _annualized(start):
-    return annualize(
-        pct_change(F.col(VALUE), start[VALUE]), F.datediff(DATE, start[DATE])
-    )
+    date, value = start
+    return annualize(pct_change(F.col(VALUE), value), F.datediff(DATE, date))
 
 
 def annualized_return(key):
@@ -28,13 +27,7 @@ def annualized_return(key):
 
 def strict_return(key):
     """From the forward start row, unrounded; null with fewer rows or days than the key asks for."""
-    least = key if is_window(key) and key > 0 else 1
-    if is_window(key):
-        start = p.start_row(key)
-    elif key == CURRENT:
-        yesterday = F.col("_prev")[DATE] == F.date_sub(DATE, 1)
-        start = F.when(yesterday, F.col("_prev"))
-    else:
-        start = p.forward_row(key)
-    days = F.datediff(DATE, start[DATE])
+    least = max(key, 1) if is_window(key) else 1
+    start = p.forward_row(key)
+    days = F.datediff(DATE, start[0])
     return F.when((p.rows_in_range(key) >= least) & (days >= least), _annualized(start))

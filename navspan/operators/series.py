@@ -1,13 +1,12 @@
 """A product's series as window partitions.
 
-Every spec below orders by the same columns (product, year, quarter, month, date), which is date
-order within a product. So one hash exchange on the product and one sort serve the whole-product
-and all the calendar windows. (product, date) is unique and dates are whole days, so a product
-holds at most 366 rows a year however large the table is; raw tables with several rows per day are
-collapsed before (``sources.nav.one_row_per_day``), by an aggregation that combines map-side.
+Every ascending spec orders by the same columns (product, year, quarter, month, date), which is date
+order within a product. So one hash exchange on the product and one sort serve the whole-product and
+all the calendar windows. (product, date) is unique and dates are whole days, so a product holds at
+most 366 rows a year however large the table is; raw tables with several rows per day are collapsed
+before (``sources.nav.one_row_per_day``), by an aggregation that combines map-side.
 """
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from navspan.functions.fixed import DATE, PRODUCT, VALUE
@@ -15,61 +14,73 @@ from navspan.functions.fixed import DATE, PRODUCT, VALUE
 _PARTS = {"product": 0, "year": 1, "quarter": 2, "month": 3}
 _CALENDAR = ["_year", "_quarter", "_month"]
 
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+ALL = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
-def over(part):
+
+def over(part="product", frame=""):
     """Ordered window of one product, or of one calendar period of a product."""
     n = _PARTS[part]
-    return Window.partitionBy(PRODUCT, *_CALENDAR[:n]).orderBy(*_CALENDAR[n:], DATE)
+    partition = ", ".join([PRODUCT] + _CALENDAR[:n])
+    order = ", ".join(_CALENDAR[n:] + [DATE])
+    return f"OVER (PARTITION BY {partition} ORDER BY {order} {frame})"
 
 
-def so_far(part):
-    return over(part).rowsBetween(Window.unboundedPreceding, 0)
+def over_backwards(frame=""):
+    """Window of one product from its newest row to its oldest."""
+    return f"OVER (PARTITION BY {PRODUCT} ORDER BY {DATE} DESC {frame})"
 
 
-def before(part):
-    return over(part).rowsBetween(Window.unboundedPreceding, -1)
+def by_product(nav):
+    """Hash partitions by product. The number is given, as the windows cost far more than their input's
+    bytes suggest and merging small partitions would leave cores idle."""
+    partitions = int(nav.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return nav.repartition(partitions, PRODUCT)
 
 
-def row():
-    return F.struct(DATE, VALUE)
+def add(df, columns):
+    """Append ``{name: SQL expression}`` in one projection."""
+    if not columns:
+        return df
+    return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
-def calendar_columns(nav):
-    date = F.col(DATE)
-    return nav.select(
-        PRODUCT, DATE, VALUE,
-        F.year(date).alias("_year"), F.quarter(date).alias("_quarter"), F.month(date).alias("_month"),
+def calendar_columns(df):
+    return add(
+        df,
+        {"_year": f"year({DATE})", "_quarter": f"quarter({DATE})", "_month": f"month({DATE})"},
     )
 
 
-def position():
-    return F.row_number().over(over("product")) - 1
-
-
-def previous_row():
-    return F.lag(row()).over(over("product"))
-
-
-def first_row():
-    return F.first(row()).over(so_far("product"))
+def neighbours():
+    """Position in the series, the row before and the first row."""
+    w, so_far = over(), over(frame=SO_FAR)
+    return {
+        "_i": f"row_number() {w} - 1",
+        "_prev_date": f"lag({DATE}) {w}",
+        "_prev_val": f"lag({VALUE}) {w}",
+        "_first_date": f"first({DATE}) {so_far}",
+        "_first_val": f"first({VALUE}) {so_far}",
+    }
 
 
 def row_offset_start(window):
     """The row ``window`` rows back, or the product's first row."""
-    if window == 0:
-        return first_row()
-    return F.coalesce(F.lag(row(), window).over(over("product")), first_row())
+    return {
+        f"_start_date_{window}": f"coalesce(lag({DATE}, {window}) {over()}, _first_date)",
+        f"_start_val_{window}": f"coalesce(lag({VALUE}, {window}) {over()}, _first_val)",
+    }
 
 
 def step_return():
     """Return per day since the previous row; null on the first row and on a zero base."""
-    prev = F.col("_prev")
-    gap = F.datediff(DATE, prev[DATE])
-    return F.try_divide(F.try_divide(F.col(VALUE) - prev[VALUE], prev[VALUE]), gap)
+    change = f"try_divide({VALUE} - _prev_val, _prev_val)"
+    return {"_x": f"try_divide({change}, datediff({DATE}, _prev_date))"}
 
 
 def checked_date():
     """The date, or an error if the product has two rows on it."""
-    twice = F.col("_prev")[DATE] == F.col(DATE)
     message = F.concat(F.lit("two rows on one date for product "), F.col(PRODUCT))
+    twice = F.col("_prev_date") == F.col(DATE)
     return F.when(twice, F.raise_error(message).cast("date")).otherwise(F.col(DATE)).alias(DATE)

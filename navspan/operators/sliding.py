@@ -1,197 +1,149 @@
-"""Sliding frames of any length in O(log length) per row.
+"""Mean, deviation and maximum of sliding frames in O(log length) per row.
 
 Spark's own sliding frame re-reads the whole frame for every row. Here a summary of ``RADIX**k`` rows
-is merged from ``RADIX`` summaries of the level below, taken by ``lag``; a frame of ``n`` rows is then
-merged from the digits of ``n`` in that radix. All levels are shared by all frame lengths, and every
-``lag`` runs on the product window, so nothing is shuffled or sorted again.
+is merged from ``RADIX`` summaries of the level below, taken by ``lag``. Frames grow along with the
+levels: at level ``k`` a frame takes as many summaries as its length has in that digit, so a row
+carries one level and one summary per frame at a time. Every ``lag`` runs on the product window:
+nothing is shuffled or sorted again.
 """
 
-from dataclasses import dataclass
-
-from pyspark.sql import functions as F
-
-from navspan.functions.fixed import DATE, VALUE
-from navspan.operators.series import over
+from navspan.functions.fixed import VALUE
+from navspan.operators.series import add, over
 
 RADIX = 4
 
 
-def _extreme(pick, columns):
-    return pick(*columns) if len(columns) > 1 else columns[0]
-
-
-class Highest:
-    """Largest value. Overlapping pieces are fine, so long frames need few of them."""
+def _digits(number):
+    digits = []
+    while number:
+        number, digit = divmod(number, RADIX)
+        digits.append(digit)
+    return digits
 
-    name = "hi"
-    overlaps = True
 
-    def leaf(self):
-        return F.col(VALUE)
-
-    def merge(self, out, pieces, leaves):
-        return [{out: _extreme(F.greatest, pieces)}]
+class _Moments:
+    """Count, mean and squared deviations of ``_x`` over the last N rows, merged without cancellation."""
 
+    fields = ("n", "mean", "m2")
+    missing = "0D"
 
-class Moments:
-    """Count, mean and sum of squared deviations of the step returns, merged without cancellation."""
-
-    name = "mo"
-    overlaps = False
+    def __init__(self, windows):
+        self.digits = {n: _digits(n) for n in windows}
+        self.levels = max((len(d) for d in self.digits.values()), default=0)
 
     def leaf(self):
-        x = F.col("_x")
-        return F.struct(
-            F.when(x.isNull(), 0.0).otherwise(1.0).alias("n"),
-            F.coalesce(x, F.lit(0.0)).alias("mean"),
-            F.lit(0.0).alias("m2"),
+        return {"_mo_n": "if(_x IS NULL, 0D, 1D)", "_mo_mean": "coalesce(_x, 0D)", "_mo_m2": "0D"}
+
+    def merges(self, k):
+        """{target column: [("column" or lag)]} at level k, newest piece first."""
+        size = RADIX ** k
+        found = {}
+        for n, digits in self.digits.items():
+            if k < len(digits) and digits[k]:
+                held = sum(d * RADIX ** j for j, d in enumerate(digits[:k]))
+                pieces = [f"_frame_{n}"] if held else []
+                found[f"_frame_{n}"] = pieces + [held + j * size for j in range(digits[k])]
+        if k + 1 < self.levels:
+            found["_mo"] = [j * size for j in range(RADIX)]
+        return found
+
+    def steps(self, target, pieces):
+        def total(template):
+            return " + ".join(template.format(p=p) for p in pieces)
+
+        counts = total("{p}_n")
+        mean = f"({total('{p}_n * {p}_mean')}) / greatest({counts}, 1D)"
+        spread = total("{p}_n * pow({p}_mean - " + f"{target}_new_mean, 2D)")
+        return (
+            {f"{target}_new_mean": mean},
+            {f"{target}_n": counts, f"{target}_mean": f"{target}_new_mean",
+             f"{target}_m2": f"{total('{p}_m2')} + {spread}"},
         )
 
-    def merge(self, out, pieces, leaves):
-        zero = F.lit(0.0)
-        counts = [F.coalesce(p["n"], zero) for p in pieces]
-        means = [F.coalesce(p["mean"], zero) for p in pieces]
-        squares = [F.coalesce(p["m2"], zero) for p in pieces]
-        n, mean = F.col(f"{out}_n"), F.col(f"{out}_mean")
-        total = sum((c * m for c, m in zip(counts, means)), zero)
-        spread = sum((c * (m - mean) * (m - mean) for c, m in zip(counts, means)), sum(squares, zero))
-        return [
-            {f"{out}_n": sum(counts, zero), f"{out}_total": total},
-            {f"{out}_mean": F.col(f"{out}_total") / F.greatest(n, F.lit(1.0))},
-            {out: F.struct(n.alias("n"), mean.alias("mean"), spread.alias("m2"))},
-        ]
-
-
-def decline(value, date, peak):
-    """Drop of a row below a peak (value, minus the peak's day), or null where it is not below."""
-    drop = (value - peak["v"]) / peak["v"]
-    return F.when(
-        (value < peak["v"]) & (peak["v"] > 0),
-        F.struct(drop.alias("m"), date.alias("t"), F.date_from_unix_date(-peak["day"]).alias("s")),
-    )
+    def results(self):
+        columns = {}
+        for n in self.digits:
+            rows = f"_frame_{n}_n"
+            columns[f"_mean_{n}"] = f"if({rows} > 0, _frame_{n}_mean, NULL)"
+            columns[f"_std_{n}"] = f"if({rows} > 1, sqrt(_frame_{n}_m2 / ({rows} - 1)), NULL)"
+        return columns
 
 
-def peak_of(value, date):
-    """Orders by value, then earliest date first, under ``max``."""
-    return F.struct(value.alias("v"), (-F.unix_date(date)).alias("day"))
+class _Highest:
+    """Highest value of the N rows before the current one. Pieces may overlap, so few are needed."""
 
+    fields = ("v",)
+    missing = "NULL"
 
-class Declines:
-    """Deepest peak-to-trough decline with its dates; ties go to the earliest trough and peak."""
-
-    name = "dd"
-    overlaps = False
+    def __init__(self, windows):
+        self.top = {n: len(_digits(n)) - 1 for n in windows}
+        self.levels = max((t + 1 for t in self.top.values()), default=0)
 
     def leaf(self):
-        value, date = F.col(VALUE), F.col(DATE)
-        return F.struct(
-            peak_of(value, date).alias("hi"),
-            F.struct(value.alias("v"), date.alias("d")).alias("lo"),
-        )
-
-    def _across(self, peak, piece):
-        return decline(piece["lo"]["v"], piece["lo"]["d"], peak)
-
-    def merge(self, out, pieces, leaves):
-        peaks = {f"{out}_p0": pieces[0]["hi"]}
-        for j in range(1, len(pieces)):
-            peaks[f"{out}_p{j}"] = F.greatest(*[p["hi"] for p in pieces[: j + 1]])
-        found = [self._across(F.col(f"{out}_p{j}"), p) for j, p in enumerate(pieces[1:])]
-        found += [p["dd"] for p, leaf in zip(pieces, leaves) if not leaf]
-        return [
-            peaks,
-            {
-                out: F.struct(
-                    F.col(f"{out}_p{len(pieces) - 1}").alias("hi"),
-                    _extreme(F.least, [p["lo"] for p in pieces]).alias("lo"),
-                    _extreme(F.least, found).alias("dd"),
-                )
-            },
-        ]
-
-
-class Depths(Declines):
-    """Deepest decline without dates: plain doubles throughout."""
-
-    name = "de"
-
-    def leaf(self):
-        return F.struct(F.col(VALUE).alias("hi"), F.col(VALUE).alias("lo"))
-
-    def _across(self, peak, piece):
-        lo = piece["lo"]
-        return F.when((lo < peak) & (peak > 0), (lo - peak) / peak)
-
-
-@dataclass(frozen=True)
-class Frame:
-    """``rows`` rows that end ``skip`` rows before the current one, summarised into column ``out``."""
-
-    out: str
-    summary: object
-    rows: int
-    skip: int = 0
-
-
-def _pieces(frame):
-    """(level, lag) of the summaries that make up a frame, oldest first."""
-    pieces, left, lag, level = [], frame.rows, frame.skip, 0
-    while RADIX ** (level + 1) <= left:
-        level += 1
-    while left:
-        size = RADIX ** level
-        if size > left:
-            if frame.summary.overlaps and pieces:
-                pieces.append((pieces[0][0], frame.skip + frame.rows - RADIX ** pieces[0][0]))
-                break
-            level -= 1
-            continue
-        pieces.append((level, lag))
-        left, lag = left - size, lag + size
-    return pieces[::-1]
-
-
-def _level(summary, k):
-    return f"_{summary.name}{k}"
-
-
-def _lagged(name, lag):
-    return F.col(name) if lag == 0 else F.lag(name, lag).over(over("product"))
+        return {"_hi_v": VALUE}
+
+    def merges(self, k):
+        size = RADIX ** k
+        found = {}
+        for n, top in self.top.items():
+            if top == k:
+                starts = list(range(0, n - size + 1, size))
+                if starts[-1] < n - size:
+                    starts.append(n - size)
+                found[f"_high_{n}"] = [1 + s for s in starts]
+        if k + 1 < self.levels:
+            found["_hi"] = [j * size for j in range(RADIX)]
+        return found
+
+    def steps(self, target, pieces):
+        values = [f"{p}_v" for p in pieces]
+        merged = f"greatest({', '.join(values)})" if len(values) > 1 else values[0]
+        return ({}, {f"{target}_v": merged})
+
+    def results(self):
+        return {f"_high_{n}": f"_high_{n}_v" for n in self.top}
+
+
+def _advance(df, kept, levels, k):
+    """One level of all summaries: one window of lags, then the merges."""
+    lags, first, second = {}, {}, {}
+    for name, summary in levels.items():
+        for target, pieces in summary.merges(k).items():
+            columns = []
+            for piece in pieces:
+                column = piece
+                if not isinstance(piece, str):
+                    column = name if piece == 0 else f"{name}_lag{piece}"
+                    if piece:
+                        for f in summary.fields:
+                            lags[f"{column}_{f}"] = f"lag({name}_{f}, {piece}, {summary.missing}) {over()}"
+                columns.append(column)
+            early, late = summary.steps(target, columns)
+            first.update(early)
+            second.update(late)
+    names = set(second)
+    carried = [c for c in df.columns if c in kept or c.startswith(("_frame_", "_high_"))]
+    df = add(add(df, lags), first)
+    return df.selectExpr(
+        *[c for c in carried if c not in names], *[f"{sql} AS {name}" for name, sql in second.items()]
+    )
 
 
-def _merge_all(df, jobs):
-    """Lag all pieces in one window, then merge them step by step. jobs: (out, summary, pieces)."""
-    lags = {}
-    for _, summary, pieces in jobs:
-        for k, lag in pieces:
-            lags[f"{_level(summary, k)}_{lag}"] = _lagged(_level(summary, k), lag)
-    kept = df.columns
-    df = df.select("*", *[c.alias(n) for n, c in lags.items()])
-    steps = []
-    for out, summary, pieces in jobs:
-        columns = [F.col(f"{_level(summary, k)}_{lag}") for k, lag in pieces]
-        steps.append(summary.merge(out, columns, [k == 0 for k, _ in pieces]))
-    for depth in range(max(len(s) for s in steps)):
-        df = df.select("*", *[c.alias(n) for s in steps if depth < len(s) for n, c in s[depth].items()])
-    return df.select(*kept, *[job[0] for job in jobs])
-
-
-def add_frames(df, frames):
-    """Append one summary column per frame."""
-    if not frames:
+def add_sliding(df, moment_windows, high_windows):
+    """Append ``_mean_N`` and ``_std_N`` of the last N step returns, ``_high_N`` of the N rows before."""
+    levels = {}
+    if moment_windows:
+        levels["_mo"] = _Moments(moment_windows)
+    if high_windows:
+        levels["_hi"] = _Highest(high_windows)
+    if not levels:
         return df
-    plans = [(f.out, f.summary, _pieces(f)) for f in frames]
-    top = {}
-    for _, summary, pieces in plans:
-        name = summary.name
-        top[name] = (summary, max(top.get(name, (summary, 0))[1], max(k for k, _ in pieces)))
     kept = df.columns
-    df = df.select("*", *[s.leaf().alias(_level(s, 0)) for s, _ in top.values()])
-    for k in range(1, max(t for _, t in top.values()) + 1):
-        step = RADIX ** (k - 1)
-        jobs = [
-            (_level(s, k), s, [(k - 1, j * step) for j in reversed(range(RADIX))])
-            for s, t in top.values() if k <= t
-        ]
-        df = _merge_all(df, jobs)
-    return _merge_all(df, plans).select(*kept, *[f.out for f in frames])
+    results, leaves = {}, {}
+    for summary in levels.values():
+        leaves.update(summary.leaf())
+        results.update(summary.results())
+    df = add(df, leaves)
+    for k in range(max(s.levels for s in levels.values())):
+        df = _advance(df, kept, {n: s for n, s in levels.items() if k < s.levels}, k)
+    return df.selectExpr(*kept, *[f"{sql} AS {name}" for name, sql in results.items()])

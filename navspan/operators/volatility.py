@@ -62,15 +62,6 @@ def scaling(key, rows, ladder="coded", chained=False, daily=DAYS_PER_YEAR):
     return scale, F.lit(float(coarsest))
 
 
-def _mean_and_std(key, inner=False):
-    moments = F.col(f"_{'inner' if inner and not is_window(key) else 'moments'}_{key}")
-    if is_window(key) and key > 0:
-        n = moments["n"]
-        mean = F.when(n > 0, moments["mean"])
-        return mean, F.when(n > 1, F.sqrt(F.try_divide(moments["m2"], n - 1)))
-    return moments["mean"], moments["std"]
-
-
 def _gate(key, rows, min_points):
     return rows >= VOLATILITY_MIN_ROWS.get(key, min_points)
 
@@ -78,16 +69,14 @@ def _gate(key, rows, min_points):
 def annualized_volatility(key, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
     rows = p.frame_rows(key)
     scale, freq = scaling(key, rows, ladder, daily=daily)
-    _, std = _mean_and_std(key)
-    return F.when(_gate(key, rows, min_points), round_even(std * scale * F.sqrt(freq)))
+    return F.when(_gate(key, rows, min_points), round_even(F.col(f"_std_{key}") * scale * F.sqrt(freq)))
 
 
 def mean_step_return(key, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
     """Mean of the scaled step returns behind the volatility of the same key."""
     rows = p.frame_rows(key)
     scale, _ = scaling(key, rows, ladder, daily=daily)
-    mean, _ = _mean_and_std(key)
-    return F.when(_gate(key, rows, min_points), mean * scale)
+    return F.when(_gate(key, rows, min_points), F.col(f"_mean_{key}") * scale)
 
 
 def sharpe_ratio(key, risk_free, ladder="coded", min_points=DEFAULT_MIN_POINTS):
@@ -102,5 +91,5 @@ def list_volatility(key, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DA
         return F.lit(None).cast("double")
     rows = p.rows_in_range(key)
     scale, freq = scaling(key, rows, ladder, chained=True, daily=daily)
-    _, std = _mean_and_std(key, inner=True)
+    std = F.col(f"_std_{key}" if is_window(key) else f"_std_inner_{key}")
     return F.when(_gate(key, rows, min_points), std * scale * F.sqrt(freq))

@@ -129,11 +129,11 @@ def metrics(nav, names, windows=None, periods=None, **options):
     if len({c[0] for c in columns}) < len(columns):
         raise ValueError(f"metrics {names} share column names; compute them apart")
     df = prepare(nav, parts)
-    detail = {key for kind, key in parts if kind == "decline"}
+    detail = any(kind == "decline" for kind, _ in parts)
     selected = []
     for column, name, key in columns:
         if name == "annualized_calmer_ratio":
-            value = drawdown.calmar_ratio(key, key in detail)
+            value = drawdown.calmar_ratio(key, detail)
         else:
             value = metric(name).column(key, options)
         selected.append(value.alias(column))
