@@ -3,159 +3,153 @@
 Frames that only grow (since inception, calendar periods) need a running peak and the running minimum
 of the falls below it. A sliding frame of N + 1 rows is cut in two at the border of fixed blocks of
 N + 1 rows: the tail of one block, summarised from the newest row backwards, and the head of the next,
-summarised forwards. The answer is the deepest of the tail's, the head's and the one across.
+summarised forwards. The answer is the deepest of the tail's, the one across, and the head's.
 
 A running aggregate restarts at a border without a partition of its own: it is the maximum of a struct
 whose first field is the border's number, which only grows. So all frames share the product window.
-Ties go to the earliest trough, then the earliest peak.
+Ties go to the earliest trough, then the earliest peak; a drop of 0 stands for none.
+
+Frames are worked off a few at a time, with a window between the groups, to keep each generated method
+small enough for the JVM to compile.
 """
 
 from dataclasses import dataclass
 
 from navspan.functions.fixed import DATE, VALUE
-from navspan.operators.series import ALL, SO_FAR, add, over, over_backwards
+from navspan.operators.series import ALL, SO_FAR, add, over, over_backwards, row_offset_start
 
+TAIL_GROUP = 4
+GROUP = 2
 _DAY = f"unix_date({DATE})"
-_LOWER = "if({lo} < {hi} AND {hi} > 0, ({lo} - {hi}) / {hi}, NULL)"
 
 
 @dataclass(frozen=True)
 class Style:
-    """Columns of a decline: the drop alone, or with the days of trough and peak."""
+    """Whether a decline carries the days of its trough and peak or the drop alone."""
 
     detail: bool
 
-    def running(self, column, border, *fields, window):
-        """Running maximum of the fields since the border, as a struct with the border in ``b``."""
-        names = ", ".join(f"'f{j}', {f}" for j, f in enumerate(fields))
-        return {column: f"max(named_struct('b', {border}, {names})) {window}"}
+    @property
+    def fields(self):
+        return ("m", "t", "s") if self.detail else ("m",)
 
-    def extreme(self, column, border, value, window):
-        fields = (value, f"-{_DAY}") if self.detail else (value,)
-        return self.running(column, border, *fields, window=window)
+    def highest(self, border, value, window):
+        """Running maximum since the border, of equal values the earliest, as struct (b, v, d)."""
+        day = f", 'd', -{_DAY}" if self.detail else ""
+        return f"max(named_struct('b', {border}, 'v', {value}{day})) {window}"
 
-    def fall(self, name, lo, hi, trough, peak):
-        columns = {f"{name}_m": _LOWER.format(lo=lo, hi=hi)}
+    def fall(self, name, low, high, trough, peak):
+        columns = {f"{name}_m": f"if({low} < {high} AND {high} > 0D, ({low} - {high}) / {high}, 0D)"}
         if self.detail:
             columns.update({f"{name}_t": trough, f"{name}_s": peak})
         return columns
 
-    def deepest(self, column, border, name, window):
-        """Running deepest fall since the border; null while the fall columns are."""
-        fields = [f"'f0', -{name}_m"]
-        if self.detail:
-            fields += [f"'f1', -{name}_t", f"'f2', -{name}_s"]
-        struct = f"named_struct('b', {border}, {', '.join(fields)})"
-        return {column: f"max(if({name}_m IS NULL, NULL, {struct})) {window}"}
-
-    def unpack(self, name, column, border):
-        """Fall columns of a running deepest fall, null if it is from before the border."""
-        names = ("m", "t", "s") if self.detail else ("m",)
-        return {
-            f"{name}_{f}": f"if({column}.b = {border}, -{column}.f{j}, NULL)" for j, f in enumerate(names)
-        }
-
-    def least(self, names):
-        def packed(n):
-            fields = f"'m', {n}_m"
-            if self.detail:
-                fields += f", 't', {n}_t, 's', {n}_s"
-            return f"if({n}_m IS NULL, NULL, named_struct({fields}))"
+    def deepest(self, border, name, window):
+        """Running deepest of the falls ``name_*`` since the border, its fields negated."""
+        fields = "".join(f", '{f}', -{name}_{f}" for f in self.fields)
+        return f"max(named_struct('b', {border}{fields})) {window}"
 
-        if not self.detail:
-            return f"least({', '.join(f'{n}_m' for n in names)})"
-        return f"least({', '.join(packed(n) for n in names)})"
 
-
-def _block(n):
-    return f"_at div {n + 1}"
+def groups(keys, size=GROUP):
+    return [keys[i:i + size] for i in range(0, len(keys), size)]
 
 
 def add_tails(df, windows, style):
-    """Summaries of each block's rows from a row to the block's end: ``_tail_N_*`` and ``_tail_hi_N_*``."""
+    """``_tail_N``: deepest decline (m, t, s) and highest value (v, day d) of the rows from the current
+    one to the end of its block; null for a whole block, which its head covers."""
     if not windows:
         return df
-    kept = df.columns
     w = over_backwards(SO_FAR)
     df = add(df, {"_at": f"count(1) {over_backwards(ALL)} - row_number() {over_backwards()}"})
-    extremes, falls, deepest, out = {}, {}, {}, {}
-    for n in windows:
-        border = f"-({_block(n)})"
-        extremes.update(style.extreme(f"_lo_{n}", border, f"-{VALUE}", w))
-        extremes.update(style.extreme(f"_tail_hi_{n}", border, VALUE, w))
-        lo = f"-_lo_{n}.f0"
-        falls.update(style.fall(f"_fall_{n}", lo, VALUE, f"-_lo_{n}.f1", _DAY))
-        deepest.update(style.deepest(f"_deep_{n}", border, f"_fall_{n}", w))
-        out.update(style.unpack(f"_tail_{n}", f"_deep_{n}", border))
-        out[f"_tail_{n}_v"] = f"_tail_hi_{n}.f0"
-        if style.detail:
-            out[f"_tail_{n}_d"] = f"-_tail_hi_{n}.f1"
-    df = add(add(add(df, extremes), falls), deepest)
-    return df.selectExpr(*kept, "_at", *[f"{sql} AS {name}" for name, sql in out.items()])
-
-
-def head_columns(windows, style):
-    """Window columns: running peak and low of each block, and the tail that starts a frame."""
-    columns = {}
-    w = over(frame=SO_FAR)
-    for n in windows:
-        columns.update(style.extreme(f"_peak_{n}", _block(n), VALUE, w))
-        columns.update(style.extreme(f"_low_{n}", _block(n), f"-{VALUE}", w))
-        for f in ("m", "t", "s", "v", "d") if style.detail else ("m", "v"):
-            columns[f"_old_{n}_{f}"] = f"lag(_tail_{n}_{f}, {n}) {over()}"
-    return columns
+    df = add(df, {f"_block_{n}": f"cast(_at div {n + 1} AS int)" for n in windows})
+    for group in groups(windows, TAIL_GROUP):
+        kept = df.columns
+        extremes, falls, deepest, out = {}, {}, {}, {}
+        for n in group:
+            border = f"-_block_{n}"
+            extremes[f"_low_{n}"] = style.highest(border, f"-{VALUE}", w)
+            extremes[f"_high_{n}"] = style.highest(border, VALUE, w)
+            falls.update(style.fall(f"_fall_{n}", f"-_low_{n}.v", VALUE, f"-_low_{n}.d", _DAY))
+            deepest[f"_deep_{n}"] = style.deepest(border, f"_fall_{n}", w)
+            whole = f"_at = _block_{n} * {n + 1}"
+            fields = {"m": f"-_deep_{n}.m", "v": f"_high_{n}.v"}
+            if style.detail:
+                fields.update({"t": f"-_deep_{n}.t", "s": f"-_deep_{n}.s", "d": f"-_high_{n}.d"})
+            packed = ", ".join(f"'{f}', {sql}" for f, sql in fields.items())
+            out[f"_tail_{n}"] = f"if({whole}, NULL, named_struct({packed}))"
+        df = add(add(add(df, extremes), falls), deepest)
+        df = df.selectExpr(*kept, *[f"{sql} AS {name}" for name, sql in out.items()])
+    return df
 
 
 def peak_column(key, part, style):
     """Window column: running peak of a frame that starts with the partition."""
-    return style.extreme(f"_peak_{key}", "0", VALUE, over(part, SO_FAR))
+    return {f"_peak_{key}": style.highest("0", VALUE, over(part, SO_FAR))}
+
+
+def _heads(n, style):
+    """Window columns: running peak and low of each block, and the tail that starts the frame."""
+    w = over(frame=SO_FAR)
+    return {
+        **row_offset_start(n),
+        f"_peak_{n}": style.highest(f"_block_{n}", VALUE, w),
+        f"_low_{n}": style.highest(f"_block_{n}", f"-{VALUE}", w),
+        f"_old_{n}": f"lag(_tail_{n}, {n}) {over()}",
+    }
+
+
+def _top(key, style):
+    """(columns, peak, peak's day) of the current row; a period's peak may be the row before it."""
+    high, day = f"_peak_{key}.v", f"-_peak_{key}.d" if style.detail else "0"
+    if not isinstance(key, str):
+        return {}, high, day
+    before = f"_base_prev_val_{key}"
+    columns = {
+        f"_top_{key}": f"greatest({high}, {before})",
+        f"_border_{key}": f"unix_date(trunc({DATE}, '{key}'))",
+    }
+    if style.detail:
+        columns[f"_top_day_{key}"] = f"if({before} >= {high}, unix_date(_base_prev_date_{key}), {day})"
+    return columns, f"_top_{key}", f"_top_day_{key}"
+
+
+def _pick(names, style):
+    """Deepest of the falls, the first of equals."""
+    least = f"least({', '.join(f'{n}_m' for n in names)})"
+    columns = {"m": least}
+    for f in style.fields[1:]:
+        cases = " ".join(f"WHEN {n}_m = {least} THEN {n}_{f}" for n in names[:-1])
+        columns[f] = f"CASE {cases} ELSE {names[-1]}_{f} END"
+    return columns
 
 
 def add_deepest(df, keys, style):
-    """Append ``_dd_K``: the decline of every key, a struct (m, t, s) or the drop alone."""
-    if not keys:
-        return df
-    kept = df.columns
-    falls, deepest, across, out = {}, {}, {}, {}
+    """Append ``_dd_K_m``, and days ``_dd_K_t`` and ``_dd_K_s``: the deepest decline of a group of keys,
+    and the start rows of its look-backs."""
     w = over(frame=SO_FAR)
+    kept = df.columns
+    heads, tops, falls, deepest, parts, out = {}, {}, {}, {}, {}, {}
     for key in keys:
-        hi, peak_day = f"_peak_{key}.f0", f"-_peak_{key}.f1"
-        if isinstance(key, str):
-            border = f"_border_{key}"
-            falls[border] = f"unix_date(trunc({DATE}, '{key}'))"
-            before = f"_base_prev_val_{key}"
-            falls[f"_top_{key}"] = f"greatest({hi}, {before})"
-            falls[f"_top_day_{key}"] = (
-                f"if({before} >= {hi}, unix_date(_base_prev_date_{key}), {peak_day})" if style.detail else "0"
-            )
-        else:
-            border = "0" if key == 0 else _block(key)
-            falls[f"_top_{key}"] = hi
-            falls[f"_top_day_{key}"] = peak_day if style.detail else "0"
-        name = f"_fall_{key}"
-        across.update(style.fall(name, VALUE, f"_top_{key}", _DAY, f"_top_day_{key}"))
-        deepest.update(style.deepest(f"_deep_{key}", border, name, w))
-        head = style.unpack(f"_head_{key}", f"_deep_{key}", border)
-        out[key] = (head, [f"_head_{key}"])
-        if key != 0 and not isinstance(key, str):
-            split = f"_at % {key + 1} <> {key}"
-            fall = style.fall(
-                f"_cross_{key}", f"-_low_{key}.f0", f"_old_{key}_v", f"-_low_{key}.f1", f"_old_{key}_d"
-            )
-            old = style.fall(f"_tail_old_{key}", "0", "0", f"_old_{key}_t", f"_old_{key}_s")
-            fall[f"_cross_{key}_m"] = f"if({split}, {fall[f'_cross_{key}_m']}, NULL)"
-            old[f"_tail_old_{key}_m"] = f"if({split}, _old_{key}_m, NULL)"
-            out[key] = ({**head, **fall, **old}, [f"_head_{key}", f"_cross_{key}", f"_tail_old_{key}"])
-    df = add(add(add(df, falls), across), deepest)
-    df = add(df, {name: sql for columns, _ in out.values() for name, sql in columns.items()})
-    results = []
-    for key, (_, names) in out.items():
-        if len(names) > 1:
-            sql = style.least(names)
-        elif style.detail:
-            n = names[0]
-            sql = f"if({n}_m IS NULL, NULL, named_struct('m', {n}_m, 't', {n}_t, 's', {n}_s))"
-        else:
-            sql = f"{names[0]}_m"
-        results.append(f"{sql} AS _dd_{key}")
-    return df.selectExpr(*kept, *results)
+        sliding = not isinstance(key, str) and key > 0
+        if sliding:
+            heads.update(_heads(key, style))
+        columns, peak, peak_day = _top(key, style)
+        tops.update(columns)
+        border = f"_block_{key}" if sliding else "0" if key == 0 else f"_border_{key}"
+        falls.update(style.fall(f"_fall_{key}", VALUE, peak, _DAY, peak_day))
+        deepest[f"_deep_{key}"] = style.deepest(border, f"_fall_{key}", w)
+        parts.update({f"_head_{key}_{f}": f"-_deep_{key}.{f}" for f in style.fields})
+        names = [f"_head_{key}"]
+        if sliding:
+            parts.update(style.fall(
+                f"_cross_{key}", f"-_low_{key}.v", f"_old_{key}.v", f"-_low_{key}.d", f"_old_{key}.d"
+            ))
+            parts[f"_old_{key}_m"] = f"coalesce(_old_{key}.m, 0D)"
+            parts.update({f"_old_{key}_{f}": f"_old_{key}.{f}" for f in style.fields[1:]})
+            names = [f"_old_{key}", f"_cross_{key}"] + names
+        out.update({f"_dd_{key}_{f}": sql for f, sql in _pick(names, style).items()}
+                   if sliding else {f"_dd_{key}_{f}": f"_head_{key}_{f}" for f in style.fields})
+    df = add(add(add(add(add(df, heads), tops), falls), deepest), parts)
+    kept += [c for c in heads if c.startswith("_start_")]
+    df = df.selectExpr(*kept, *[f"{sql} AS {name}" for name, sql in out.items()])
+    return df

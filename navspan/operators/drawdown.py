@@ -36,16 +36,14 @@ def _old_enough(key):
     return p.days_since_inception() >= least
 
 
-def _last_step():
-    """Drop of the current row below the row before, as a decline of its own."""
-    prev = F.col("_prev_val")
-    drop = (F.col(VALUE) - prev) / prev
-    return F.when(
-        (F.col(VALUE) < prev) & (prev > 0),
-        F.struct(
-            drop.alias("m"), F.unix_date(DATE).alias("t"), F.unix_date("_prev_date").alias("s")
-        ),
-    )
+def _deepest(key, field="m"):
+    """A field of the deepest decline: drop (0 = none), trough day or peak day."""
+    if key != CURRENT:
+        return F.col(f"_dd_{key}_{field}")
+    if field != "m":
+        return F.unix_date(DATE if field == "t" else "_prev_date")
+    prev, value = F.col("_prev_val"), F.col(VALUE)
+    return F.when((value < prev) & (prev > 0), (value - prev) / prev).otherwise(0.0)
 
 
 def max_drawdown(key):
@@ -54,25 +52,20 @@ def max_drawdown(key):
     Without a decline: 0.0, first date of the frame, current date. Null before the product is as old
     as the key asks for, in calendar days.
     """
-    found = _last_step() if key == CURRENT else F.col(f"_dd_{key}")
-    value = F.coalesce(round_even(found["m"]), F.lit(0.0))
-    start = F.coalesce(F.date_from_unix_date(found["s"]), p.start_row(key)[0])
-    trough = F.coalesce(F.date_from_unix_date(found["t"]), F.col(DATE))
+    found = _deepest(key) < 0
+    start = F.when(found, F.date_from_unix_date(_deepest(key, "s"))).otherwise(p.start_row(key)[0])
+    trough = F.when(found, F.date_from_unix_date(_deepest(key, "t"))).otherwise(F.col(DATE))
     result = F.struct(
-        value.alias("value"), start.alias("s"), trough.alias("t"),
+        max_drawdown_value(key).alias("value"), start.alias("s"), trough.alias("t"),
         F.datediff(trough, start).alias("drd"),
     )
     return F.when(_old_enough(key), result)
 
 
-def max_drawdown_value(key, detail):
-    """The value alone; ``detail`` tells whether the declines were computed with their days."""
-    depth = _last_step()["m"] if key == CURRENT else F.col(f"_dd_{key}")
-    if detail and key != CURRENT:
-        depth = depth["m"]
-    return F.when(_old_enough(key), F.coalesce(round_even(depth), F.lit(0.0)))
+def max_drawdown_value(key):
+    return F.when(_old_enough(key), round_even(_deepest(key)))
 
 
-def calmar_ratio(key, detail=False):
+def calmar_ratio(key):
     """Rounded annualised return over the size of the rounded maximum drawdown, itself unrounded."""
-    return F.try_divide(annualized_return(key), F.abs(max_drawdown_value(key, detail)))
+    return F.try_divide(annualized_return(key), F.abs(max_drawdown_value(key)))

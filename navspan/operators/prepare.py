@@ -22,26 +22,59 @@ from navspan.operators import declines, series, sliding
 from navspan.operators.series import BEFORE, SO_FAR, add, over
 
 
-def prepare(nav, parts):
-    """NAV rows plus the helper columns for ``parts``."""
+def prepare(nav, parts, outputs):
+    """NAV rows with the output columns, a list of (name, key, parts, Column).
+
+    An output is computed as soon as its parts are there, so that rows stay narrow and the generated
+    code of one step stays small.
+    """
     parts = _expand(parts)
-    look_back = {kind: [k for k in _keys(parts, kind) if is_window(k) and k > 0] for kind in
-                 ("start", "moments", "high", "decline", "depth")}
+    fall_keys = sorted({*_keys(parts, "decline"), *_keys(parts, "depth")}, key=_order)
+    fall_windows = [k for k in fall_keys if is_window(k) and k > 0]
     style = declines.Style(detail=bool(_keys(parts, "decline")))
-    fall_keys = sorted({*_keys(parts, "decline"), *_keys(parts, "depth")}, key=str)
-    fall_windows = sorted({*look_back["decline"], *look_back["depth"]})
 
     df = series.by_product(nav.select(PRODUCT, DATE, VALUE))
     df = declines.add_tails(df, fall_windows, style)
     df = series.calendar_columns(df)
     df = add(df, series.neighbours())
-    if look_back["moments"] or _keys(parts, "moments") or _keys(parts, "inner"):
+    if _keys(parts, "moments") or _keys(parts, "inner"):
         df = add(df, series.step_return())
-    df = sliding.add_sliding(df, look_back["moments"], look_back["high"])
-    df = add(df, _product_columns(parts, look_back["start"], fall_windows, fall_keys, style))
+    df = sliding.add_sliding(df, _windows(parts, "moments"), _windows(parts, "high"))
+    df = _emit(df, outputs, lambda key, kinds: _slides(key) and kinds <= {"moments", "high"})
+    for group in declines.groups(fall_windows):
+        df = declines.add_deepest(df, group, style)
+        df = _emit(df, outputs, lambda key, kinds: key in group)
+    df = add(df, _product_columns(parts, fall_keys, style))
+    df = _emit(df, outputs, lambda key, kinds: is_window(key) and not kinds & {"decline", "depth"})
     for period in reversed(PERIODS):
         df = add(df, _period_columns(parts, period, fall_keys, style))
-    return declines.add_deepest(df, fall_keys, style)
+        df = _emit(df, outputs, lambda key, kinds: key == period and not kinds & {"decline", "depth"})
+    for group in declines.groups([k for k in fall_keys if not _slides(k)]):
+        df = declines.add_deepest(df, group, style)
+        df = _emit(df, outputs, lambda key, kinds: key in group)
+    return _emit(df, outputs, lambda key, kinds: True)
+
+
+def _slides(key):
+    return is_window(key) and key > 0
+
+
+def _emit(df, outputs, ready):
+    done = set(df.columns)
+    columns = [
+        column.alias(name) for name, key, parts, column in outputs
+        if name not in done and ready(key, {kind for kind, _ in parts})
+    ]
+    return df.select("*", *columns) if columns else df
+
+
+def _order(key):
+    """Look-backs by length, then inception, then periods."""
+    return (not is_window(key), key == 0, key if is_window(key) else PERIODS.index(key))
+
+
+def _windows(parts, kind):
+    return [k for k in _keys(parts, kind) if _slides(k)]
 
 
 def _keys(parts, kind):
@@ -53,9 +86,7 @@ def _expand(parts):
     for kind, key in list(parts):
         if kind in ("high", "decline", "depth", "moments", "inner") and key in PERIODS:
             parts.add(("base", key))
-        if kind == "decline" and is_window(key):
-            parts.add(("start", key))
-    return sorted(parts, key=str)
+    return sorted(parts, key=lambda p: (p[0], _order(p[1])))
 
 
 def _moments(name, x, part):
@@ -63,15 +94,15 @@ def _moments(name, x, part):
     return {f"_mean{name}": f"avg({x}) {window}", f"_std{name}": f"stddev_samp({x}) {window}"}
 
 
-def _product_columns(parts, starts, fall_windows, fall_keys, style):
+def _product_columns(parts, fall_keys, style):
     columns = {}
-    for n in starts:
-        columns.update(series.row_offset_start(n))
+    for n in _windows(parts, "start"):
+        if n not in fall_keys:
+            columns.update(series.row_offset_start(n))
     if ("high", 0) in parts:
         columns["_high_0"] = f"max({VALUE}) {over(frame=BEFORE)}"
     if ("moments", 0) in parts:
         columns.update(_moments("_0", "_x", "product"))
-    columns.update(declines.head_columns(fall_windows, style))
     if 0 in fall_keys:
         columns.update(declines.peak_column(0, "product", style))
     return columns

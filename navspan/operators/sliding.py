@@ -10,7 +10,7 @@ nothing is shuffled or sorted again.
 from navspan.functions.fixed import VALUE
 from navspan.operators.series import add, over
 
-RADIX = 4
+RADIX = 2
 
 
 def _digits(number):

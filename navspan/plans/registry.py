@@ -120,24 +120,17 @@ def metrics(nav, names, windows=None, periods=None, **options):
     options = Options(**options)
     volatility.check_ladder(options.ladder)
     names = [names] if isinstance(names, str) else list(names)
-    parts, columns = [], []
+    outputs = []
     for name in names:
         found = metric(name)
         for key in metric_keys(name, windows, periods):
-            parts += found.parts(key)
-            columns.append((column_name(found.prefix, key), name, key))
-    if len({c[0] for c in columns}) < len(columns):
+            column = column_name(found.prefix, key)
+            outputs.append((column, key, found.parts(key), found.column(key, options)))
+    columns = [output[0] for output in outputs]
+    if len(set(columns)) < len(columns):
         raise ValueError(f"metrics {names} share column names; compute them apart")
-    df = prepare(nav, parts)
-    detail = any(kind == "decline" for kind, _ in parts)
-    selected = []
-    for column, name, key in columns:
-        if name == "annualized_calmer_ratio":
-            value = drawdown.calmar_ratio(key, detail)
-        else:
-            value = metric(name).column(key, options)
-        selected.append(value.alias(column))
-    return df.select(F.col(PRODUCT), series.checked_date(), *selected)
+    df = prepare(nav, [part for output in outputs for part in output[2]], outputs)
+    return df.select(PRODUCT, series.checked_date(), *columns)
 
 
 def all_metrics(nav, **options):
