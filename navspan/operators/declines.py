@@ -44,9 +44,12 @@ class Style:
             columns.update({f"{name}_t": trough, f"{name}_s": peak})
         return columns
 
-    def deepest(self, border, name, window):
-        """Running deepest of the falls ``name_*`` since the border, its fields negated."""
-        fields = "".join(f", '{f}', -{name}_{f}" for f in self.fields)
+    def deepest(self, border, name, high, window):
+        """Running deepest of the falls ``name_*`` since the border, drop and days negated. Drops to zero
+        are equal from any peak, so of one trough's the highest peak ``p`` comes first."""
+        fields = f", 'm', -{name}_m"
+        if self.detail:
+            fields += f", 't', -{name}_t, 'p', {high}, 's', -{name}_s"
         return f"max(named_struct('b', {border}{fields})) {window}"
 
 
@@ -70,7 +73,7 @@ def add_tails(df, windows, style):
             extremes[f"_low_{n}"] = style.highest(border, f"-{VALUE}", w)
             extremes[f"_high_{n}"] = style.highest(border, VALUE, w)
             falls.update(style.fall(f"_fall_{n}", f"-_low_{n}.v", VALUE, f"-_low_{n}.d", _DAY))
-            deepest[f"_deep_{n}"] = style.deepest(border, f"_fall_{n}", w)
+            deepest[f"_deep_{n}"] = style.deepest(border, f"_fall_{n}", VALUE, w)
             whole = f"_at = _block_{n} * {n + 1}"
             fields = {"m": f"-_deep_{n}.m", "v": f"_high_{n}.v"}
             if style.detail:
@@ -113,13 +116,18 @@ def _top(key, style):
     return columns, f"_top_{key}", f"_top_day_{key}"
 
 
-def _pick(names, style):
-    """Deepest of the falls, the first of equals."""
-    least = f"least({', '.join(f'{n}_m' for n in names)})"
-    columns = {"m": least}
+def _pick(key, style):
+    """The deepest of a look-back's three falls; of equals the tail's, else the one across unless the
+    head has a higher peak for the same trough."""
+    old, cross, head = (f"_{part}_{key}" for part in ("old", "cross", "head"))
+    least = f"least({old}_m, {cross}_m, {head}_m)"
+    first = f"({cross}_m < {head}_m OR {cross}_t < {head}_t OR {old}.v >= _deep_{key}.p)"
+    columns = {f"_dd_{key}_m": least}
     for f in style.fields[1:]:
-        cases = " ".join(f"WHEN {n}_m = {least} THEN {n}_{f}" for n in names[:-1])
-        columns[f] = f"CASE {cases} ELSE {names[-1]}_{f} END"
+        columns[f"_dd_{key}_{f}"] = (
+            f"CASE WHEN {old}_m = {least} THEN {old}_{f} "
+            f"WHEN {cross}_m = {least} AND {first} THEN {cross}_{f} ELSE {head}_{f} END"
+        )
     return columns
 
 
@@ -137,18 +145,16 @@ def add_deepest(df, keys, style):
         tops.update(columns)
         border = f"_block_{key}" if sliding else "0" if key == 0 else f"_border_{key}"
         falls.update(style.fall(f"_fall_{key}", VALUE, peak, _DAY, peak_day))
-        deepest[f"_deep_{key}"] = style.deepest(border, f"_fall_{key}", w)
+        deepest[f"_deep_{key}"] = style.deepest(border, f"_fall_{key}", peak, w)
         parts.update({f"_head_{key}_{f}": f"-_deep_{key}.{f}" for f in style.fields})
-        names = [f"_head_{key}"]
         if sliding:
             parts.update(style.fall(
                 f"_cross_{key}", f"-_low_{key}.v", f"_old_{key}.v", f"-_low_{key}.d", f"_old_{key}.d"
             ))
             parts[f"_old_{key}_m"] = f"coalesce(_old_{key}.m, 0D)"
             parts.update({f"_old_{key}_{f}": f"_old_{key}.{f}" for f in style.fields[1:]})
-            names = [f"_old_{key}", f"_cross_{key}"] + names
-        out.update({f"_dd_{key}_{f}": sql for f, sql in _pick(names, style).items()}
-                   if sliding else {f"_dd_{key}_{f}": f"_head_{key}_{f}" for f in style.fields})
+        direct = {f"_dd_{key}_{f}": f"_head_{key}_{f}" for f in style.fields}
+        out.update(_pick(key, style) if sliding else direct)
     df = add(add(add(add(add(df, heads), tops), falls), deepest), parts)
     kept += [c for c in heads if c.startswith("_start_")]
     df = df.selectExpr(*kept, *[f"{sql} AS {name}" for name, sql in out.items()])
