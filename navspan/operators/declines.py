@@ -5,12 +5,13 @@ of the falls below it. A sliding frame of N + 1 rows is cut in two at the border
 N + 1 rows: the tail of one block, summarised from the newest row backwards, and the head of the next,
 summarised forwards. The answer is the deepest of the tail's, the one across, and the head's.
 
-A running aggregate restarts at a border without a partition of its own: it is the maximum of a struct
-whose first field is the border's number, which only grows. So all frames share the product window.
+A running aggregate restarts at a border without a partition of its own: it is the maximum of an array
+whose first element is the border's number, which only grows. So all frames share the product window.
 Ties go to the earliest trough, then the earliest peak; a drop of 0 stands for none.
 
-Frames are worked off a few at a time, with a window between the groups, to keep each generated method
-small enough for the JVM to compile.
+Summaries are arrays of doubles (days as numbers) and frames are worked off a few at a time, as a method
+that Spark generates for a step should stay near the 8000 bytecodes that the JVM is willing to compile
+(``session.DEFAULTS`` has Spark split it beyond that).
 """
 
 from dataclasses import dataclass
@@ -18,9 +19,12 @@ from dataclasses import dataclass
 from navspan.functions.fixed import DATE, VALUE
 from navspan.operators.series import ALL, SO_FAR, add, over, over_backwards, row_offset_start
 
-TAIL_GROUP = 4
-GROUP = 2
-_DAY = f"unix_date({DATE})"
+GROUP = 4
+_DAY = "_day"
+
+
+def _item(array, position):
+    return f"get({array}, {position})"
 
 
 @dataclass(frozen=True)
@@ -34,9 +38,9 @@ class Style:
         return ("m", "t", "s") if self.detail else ("m",)
 
     def highest(self, border, value, window):
-        """Running maximum since the border, of equal values the earliest, as struct (b, v, d)."""
-        day = f", 'd', -{_DAY}" if self.detail else ""
-        return f"max(named_struct('b', {border}, 'v', {value}{day})) {window}"
+        """Running maximum since the border, of equal values the earliest: (border, value, -day)."""
+        day = f", -{_DAY}" if self.detail else ""
+        return f"max(array({border}, {value}{day})) {window}"
 
     def fall(self, name, low, high, trough, peak):
         columns = {f"{name}_m": f"if({low} < {high} AND {high} > 0D, ({low} - {high}) / {high}, 0D)"}
@@ -45,49 +49,56 @@ class Style:
         return columns
 
     def deepest(self, border, name, high, window):
-        """Running deepest of the falls ``name_*`` since the border, drop and days negated. Drops to zero
-        are equal from any peak, so of one trough's the highest peak ``p`` comes first."""
-        fields = f", 'm', -{name}_m"
-        if self.detail:
-            fields += f", 't', -{name}_t, 'p', {high}, 's', -{name}_s"
-        return f"max(named_struct('b', {border}{fields})) {window}"
+        """Running deepest of the falls ``name_*`` since the border: (border, -m, -t, high, -s). Drops to
+        zero are equal from any peak, so of one trough's the highest peak comes first."""
+        rest = f", -{name}_t, {high}, -{name}_s" if self.detail else ""
+        return f"max(array({border}, -{name}_m{rest})) {window}"
+
+    def unpack(self, name, deepest):
+        positions = {"m": 1, "t": 2, "s": 4}
+        return {f"{name}_{f}": f"-{_item(deepest, positions[f])}" for f in self.fields}
 
 
-def groups(keys, size=GROUP):
-    return [keys[i:i + size] for i in range(0, len(keys), size)]
+def groups(keys):
+    return [keys[i:i + GROUP] for i in range(0, len(keys), GROUP)]
 
 
 def add_tails(df, windows, style):
-    """``_tail_N``: deepest decline (m, t, s) and highest value (v, day d) of the rows from the current
-    one to the end of its block; null for a whole block, which its head covers."""
+    """``_tail_N``: (m, v, t, s, day of v), the deepest decline and the highest value of the rows from the
+    current one to the end of its block; null for a whole block, which its head covers."""
     if not windows:
         return df
     w = over_backwards(SO_FAR)
     df = add(df, {"_at": f"count(1) {over_backwards(ALL)} - row_number() {over_backwards()}"})
-    df = add(df, {f"_block_{n}": f"cast(_at div {n + 1} AS int)" for n in windows})
-    for group in groups(windows, TAIL_GROUP):
+    df = add(df, {f"_block_{n}": f"floor(double(_at) / {n + 1}D) * 1D" for n in windows})
+    for group in groups(windows):
         kept = df.columns
         extremes, falls, deepest, out = {}, {}, {}, {}
         for n in group:
             border = f"-_block_{n}"
             extremes[f"_low_{n}"] = style.highest(border, f"-{VALUE}", w)
             extremes[f"_high_{n}"] = style.highest(border, VALUE, w)
-            falls.update(style.fall(f"_fall_{n}", f"-_low_{n}.v", VALUE, f"-_low_{n}.d", _DAY))
+            low = f"_low_{n}"
+            falls.update(style.fall(f"_fall_{n}", f"-{_item(low, 1)}", VALUE, f"-{_item(low, 2)}", _DAY))
             deepest[f"_deep_{n}"] = style.deepest(border, f"_fall_{n}", VALUE, w)
-            whole = f"_at = _block_{n} * {n + 1}"
-            fields = {"m": f"-_deep_{n}.m", "v": f"_high_{n}.v"}
+            found = style.unpack(n, f"_deep_{n}")
+            items = [found[f"{n}_m"], _item(f"_high_{n}", 1)]
             if style.detail:
-                fields.update({"t": f"-_deep_{n}.t", "s": f"-_deep_{n}.s", "d": f"-_high_{n}.d"})
-            packed = ", ".join(f"'{f}', {sql}" for f, sql in fields.items())
-            out[f"_tail_{n}"] = f"if({whole}, NULL, named_struct({packed}))"
+                items += [found[f"{n}_t"], found[f"{n}_s"], f"-{_item(f'_high_{n}', 2)}"]
+            whole = f"_at = _block_{n} * {n + 1}D"
+            out[f"_tail_{n}"] = f"if({whole}, NULL, array({', '.join(items)}))"
         df = add(add(add(df, extremes), falls), deepest)
         df = df.selectExpr(*kept, *[f"{sql} AS {name}" for name, sql in out.items()])
     return df
 
 
+def day_column():
+    return {_DAY: f"double(unix_date({DATE}))"}
+
+
 def peak_column(key, part, style):
     """Window column: running peak of a frame that starts with the partition."""
-    return {f"_peak_{key}": style.highest("0", VALUE, over(part, SO_FAR))}
+    return {f"_peak_{key}": style.highest("0D", VALUE, over(part, SO_FAR))}
 
 
 def _heads(n, style):
@@ -103,25 +114,39 @@ def _heads(n, style):
 
 def _top(key, style):
     """(columns, peak, peak's day) of the current row; a period's peak may be the row before it."""
-    high, day = f"_peak_{key}.v", f"-_peak_{key}.d" if style.detail else "0"
+    high, day = _item(f"_peak_{key}", 1), f"-{_item(f'_peak_{key}', 2)}" if style.detail else "0"
     if not isinstance(key, str):
-        return {}, high, day
+        return {f"_top_{key}": high}, f"_top_{key}", day
     before = f"_base_prev_val_{key}"
     columns = {
         f"_top_{key}": f"greatest({high}, {before})",
-        f"_border_{key}": f"unix_date(trunc({DATE}, '{key}'))",
+        f"_border_{key}": f"double(unix_date(trunc({DATE}, '{key}')))",
     }
     if style.detail:
-        columns[f"_top_day_{key}"] = f"if({before} >= {high}, unix_date(_base_prev_date_{key}), {day})"
+        base_day = f"double(unix_date(_base_prev_date_{key}))"
+        columns[f"_top_day_{key}"] = f"if({before} >= {high}, {base_day}, {day})"
     return columns, f"_top_{key}", f"_top_day_{key}"
 
 
+def _parts(key, style):
+    """Falls of a look-back: across the border of its blocks, and in the tail before it."""
+    low, old = f"_low_{key}", f"_old_{key}"
+    columns = style.fall(
+        f"_cross_{key}", f"-{_item(low, 1)}", _item(old, 1), f"-{_item(low, 2)}", _item(old, 4)
+    )
+    columns[f"_old_{key}_m"] = f"coalesce({_item(old, 0)}, 0D)"
+    if style.detail:
+        columns.update({f"_old_{key}_t": _item(old, 2), f"_old_{key}_s": _item(old, 3)})
+    return columns
+
+
 def _pick(key, style):
     """The deepest of a look-back's three falls; of equals the tail's, else the one across unless the
     head has a higher peak for the same trough."""
     old, cross, head = (f"_{part}_{key}" for part in ("old", "cross", "head"))
     least = f"least({old}_m, {cross}_m, {head}_m)"
-    first = f"({cross}_m < {head}_m OR {cross}_t < {head}_t OR {old}.v >= _deep_{key}.p)"
+    higher = f"{_item(f'_old_{key}', 1)} >= {_item(f'_deep_{key}', 3)}"
+    first = f"({cross}_m < {head}_m OR {cross}_t < {head}_t OR {higher})"
     columns = {f"_dd_{key}_m": least}
     for f in style.fields[1:]:
         columns[f"_dd_{key}_{f}"] = (
@@ -139,23 +164,18 @@ def add_deepest(df, keys, style):
     heads, tops, falls, deepest, parts, out = {}, {}, {}, {}, {}, {}
     for key in keys:
         sliding = not isinstance(key, str) and key > 0
-        if sliding:
-            heads.update(_heads(key, style))
         columns, peak, peak_day = _top(key, style)
         tops.update(columns)
-        border = f"_block_{key}" if sliding else "0" if key == 0 else f"_border_{key}"
+        border = f"_block_{key}" if sliding else "0D" if key == 0 else f"_border_{key}"
         falls.update(style.fall(f"_fall_{key}", VALUE, peak, _DAY, peak_day))
         deepest[f"_deep_{key}"] = style.deepest(border, f"_fall_{key}", peak, w)
-        parts.update({f"_head_{key}_{f}": f"-_deep_{key}.{f}" for f in style.fields})
+        parts.update(style.unpack(f"_head_{key}", f"_deep_{key}"))
         if sliding:
-            parts.update(style.fall(
-                f"_cross_{key}", f"-_low_{key}.v", f"_old_{key}.v", f"-_low_{key}.d", f"_old_{key}.d"
-            ))
-            parts[f"_old_{key}_m"] = f"coalesce(_old_{key}.m, 0D)"
-            parts.update({f"_old_{key}_{f}": f"_old_{key}.{f}" for f in style.fields[1:]})
-        direct = {f"_dd_{key}_{f}": f"_head_{key}_{f}" for f in style.fields}
-        out.update(_pick(key, style) if sliding else direct)
+            heads.update(_heads(key, style))
+            parts.update(_parts(key, style))
+            out.update(_pick(key, style))
+        else:
+            out.update({f"_dd_{key}_{f}": f"_head_{key}_{f}" for f in style.fields})
     df = add(add(add(add(add(df, heads), tops), falls), deepest), parts)
     kept += [c for c in heads if c.startswith("_start_")]
-    df = df.selectExpr(*kept, *[f"{sql} AS {name}" for name, sql in out.items()])
-    return df
+    return df.selectExpr(*kept, *[f"{sql} AS {name}" for name, sql in out.items()])

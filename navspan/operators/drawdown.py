@@ -39,7 +39,8 @@ def _old_enough(key):
 def _deepest(key, field="m"):
     """A field of the deepest decline: drop (0 = none), trough day or peak day."""
     if key != CURRENT:
-        return F.col(f"_dd_{key}_{field}")
+        found = F.col(f"_dd_{key}_{field}")
+        return found if field == "m" else found.cast("int")
     if field != "m":
         return F.unix_date(DATE if field == "t" else "_prev_date")
     prev, value = F.col("_prev_val"), F.col(VALUE)
@@ -53,11 +54,12 @@ def max_drawdown(key):
     as the key asks for, in calendar days.
     """
     found = _deepest(key) < 0
-    start = F.when(found, F.date_from_unix_date(_deepest(key, "s"))).otherwise(p.start_row(key)[0])
-    trough = F.when(found, F.date_from_unix_date(_deepest(key, "t"))).otherwise(F.col(DATE))
+    start, peak, trough = p.start_row(key)[0], _deepest(key, "s"), _deepest(key, "t")
     result = F.struct(
-        max_drawdown_value(key).alias("value"), start.alias("s"), trough.alias("t"),
-        F.datediff(trough, start).alias("drd"),
+        round_even(_deepest(key)).alias("value"),
+        F.when(found, F.date_from_unix_date(peak)).otherwise(start).alias("s"),
+        F.when(found, F.date_from_unix_date(trough)).otherwise(F.col(DATE)).alias("t"),
+        F.when(found, trough - peak).otherwise(F.datediff(DATE, start)).alias("drd"),
     )
     return F.when(_old_enough(key), result)
 

@@ -34,6 +34,8 @@ def prepare(nav, parts, outputs):
     style = declines.Style(detail=bool(_keys(parts, "decline")))
 
     df = series.by_product(nav.select(PRODUCT, DATE, VALUE))
+    if fall_keys:
+        df = add(df, declines.day_column())
     df = declines.add_tails(df, fall_windows, style)
     df = series.calendar_columns(df)
     df = add(df, series.neighbours())

@@ -9,6 +9,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.debug.maxToStringFields": "1000",
+    # The JVM leaves larger methods uncompiled; beyond it Spark splits wide projections into small ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Names used in deployment files -> Spark settings
