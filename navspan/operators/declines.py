@@ -9,9 +9,9 @@ A running aggregate restarts at a border without a partition of its own: it is t
 whose first element is the border's number, which only grows. So all frames share the product window.
 Ties go to the earliest trough, then the earliest peak; a drop of 0 stands for none.
 
-Summaries are arrays of doubles (days as numbers) and frames are worked off a few at a time, as a method
-that Spark generates for a step should stay near the 8000 bytecodes that the JVM is willing to compile
-(``session.DEFAULTS`` has Spark split it beyond that).
+Summaries are arrays of doubles (days as numbers): passing one on takes little generated code, and a
+method over 8000 bytecodes is not compiled by the JVM (``session.DEFAULTS`` has Spark split larger ones).
+Frames are worked off ``GROUP`` at a time, which bounds the width of a row for long lists of windows.
 """
 
 from dataclasses import dataclass
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from navspan.functions.fixed import DATE, VALUE
 from navspan.operators.series import ALL, SO_FAR, add, over, over_backwards, row_offset_start
 
-GROUP = 4
+GROUP = 8
 _DAY = "_day"
 
 

@@ -22,7 +22,7 @@ from navspan.operators import declines, series, sliding
 from navspan.operators.series import BEFORE, SO_FAR, add, over
 
 
-def prepare(nav, parts, outputs):
+def prepare(nav, parts, outputs, partitions="session"):
     """NAV rows with the output columns, a list of (name, key, parts, Column).
 
     An output is computed as soon as its parts are there, so that rows stay narrow and the generated
@@ -33,7 +33,7 @@ def prepare(nav, parts, outputs):
     fall_windows = [k for k in fall_keys if is_window(k) and k > 0]
     style = declines.Style(detail=bool(_keys(parts, "decline")))
 
-    df = series.by_product(nav.select(PRODUCT, DATE, VALUE))
+    df = series.by_product(nav.select(PRODUCT, DATE, VALUE), partitions)
     if fall_keys:
         df = add(df, declines.day_column())
     df = declines.add_tails(df, fall_windows, style)

@@ -32,10 +32,17 @@ def over_backwards(frame=""):
     return f"OVER (PARTITION BY {PRODUCT} ORDER BY {DATE} DESC {frame})"
 
 
-def by_product(nav):
-    """Hash partitions by product. The number is given, as the windows cost far more than their input's
-    bytes suggest and merging small partitions would leave cores idle."""
-    partitions = int(nav.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def by_product(nav, partitions="session"):
+    """Hash partitions by product.
+
+    The number is given, by default the session's, as the windows cost far more than their input's bytes
+    suggest and merging small partitions would leave cores idle. None takes the rows as they lie: a table
+    bucketed by product (``sources.files.write_bucketed``) then needs no exchange at all.
+    """
+    if partitions is None:
+        return nav
+    if partitions == "session":
+        partitions = int(nav.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return nav.repartition(partitions, PRODUCT)
 
 

@@ -109,13 +109,14 @@ def metric_columns(name, windows=None, periods=None):
     return [column_name(metric(name).prefix, k) for k in metric_keys(name, windows, periods)]
 
 
-def metrics(nav, names, windows=None, periods=None, **options):
+def metrics(nav, names, windows=None, periods=None, partitions="session", **options):
     """One row per product and date with the columns of all ``names``.
 
     ``nav`` has prod_reg_code, date and net_val, one row per product and date; two rows on one date
     raise. ``windows`` and ``periods`` replace each metric's own lists. Options: ``risk_free``,
     ``ladder`` (coded, documented), ``min_points`` for unlisted windows, ``daily`` periods a year,
-    ``as_text`` for maximum drawdowns as text. One exchange and one sort, whatever the number of columns.
+    ``as_text`` for maximum drawdowns as text. One exchange and one sort, whatever the number of columns;
+    with ``partitions=None`` and a table bucketed by product no exchange.
     """
     options = Options(**options)
     volatility.check_ladder(options.ladder)
@@ -129,7 +130,7 @@ def metrics(nav, names, windows=None, periods=None, **options):
     columns = [output[0] for output in outputs]
     if len(set(columns)) < len(columns):
         raise ValueError(f"metrics {names} share column names; compute them apart")
-    df = prepare(nav, [part for output in outputs for part in output[2]], outputs)
+    df = prepare(nav, [part for output in outputs for part in output[2]], outputs, partitions)
     return df.select(PRODUCT, series.checked_date(), *columns)
 
 

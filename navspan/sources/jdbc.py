@@ -1,4 +1,4 @@
-"""JDBC and file ends. Credentials and addresses come from the caller."""
+"""JDBC source and sink. Credentials and addresses come from the caller."""
 
 from navspan.functions.fixed import JDBC_WRITE_DEFAULTS
 from navspan.sources.nav import normalize
@@ -44,7 +44,3 @@ def read_nav(spark, config):
 def write_metrics(df, config):
     """Write to a database table; overwrites unless ``mode`` says otherwise."""
     df.write.format("jdbc").options(**write_options(config)).mode(config.get("mode", "overwrite")).save()
-
-
-def write_files(df, path, format="parquet", mode="overwrite"):
-    df.write.format(format).mode(mode).save(path)

@@ -10,8 +10,9 @@ from navspan.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session({
+        "warehouse_dir": str(tmp_path_factory.mktemp("warehouse")),
         "master": "local[8]", "shuffle_partitions": 8, "app_name": "tests",
         "spark.ui.enabled": "false", "spark.driver.memory": "8g",
     })

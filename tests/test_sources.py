@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from navspan.operators import asof, tables
 from navspan.plans.registry import metrics
-from navspan.sources import derived, jdbc, nav, packed
+from navspan.sources import derived, files, nav, packed
 
 NAV = "prod_reg_code string, date date, net_val double"
 
@@ -107,7 +107,7 @@ def test_tables(spark):
 
 def test_files(spark, tmp_path):
     table = spark.createDataFrame([("A", date(2024, 1, 5), 1.0)], NAV)
-    jdbc.write_files(table, str(tmp_path / "out"))
+    files.write_files(table, str(tmp_path / "out"))
     assert _rows(spark.read.parquet(str(tmp_path / "out"))) == _rows(table)
 
 
@@ -118,3 +118,13 @@ def test_daily_average_is_exact(spark):
     )
     assert _rows(derived.daily_average(raw, "k", "d", "v")) == [("A", date(2024, 1, 1), 0.02)]
     assert derived.daily_average(raw.filter(F.col("v").isNotNull()), "k", "d", "v").count() == 1
+
+
+def test_bucketed_table_needs_no_exchange(spark):
+    table = spark.createDataFrame([(p, date(2024, 1, d), float(d)) for p in "ABC" for d in (5, 10, 20)], NAV)
+    files.write_bucketed(table, "nav_bucketed", 4)
+    stored = spark.table("nav_bucketed")
+    found = metrics(stored, "valuation_count", partitions=None)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert _rows(found) == _rows(metrics(table, "valuation_count"))
+    spark.sql("DROP TABLE nav_bucketed")
