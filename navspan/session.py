@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.debug.maxToStringFields": "1000",
     # The JVM leaves larger methods uncompiled; beyond it Spark splits wide projections into small ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A wide run has a few hundred generated classes; with the stock 100, every task compiles them anew.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 # Names used in deployment files -> Spark settings
