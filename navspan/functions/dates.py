@@ -1,33 +1,29 @@
-"""Calendar helpers on DATE columns."""
-
-from pyspark.sql import functions as F
+"""Calendar helpers: SQL expressions of dates in, SQL expressions out."""
 
 from navspan.functions.fixed import CURRENT
 from navspan.functions.keys import check_period
 
 TEXT_FORMAT = "yyyyMMdd"
-_TRUNC = {"month": "MM", "quarter": "QUARTER", "year": "YEAR"}
 
 
 def period_start(date, period):
     """First day of the calendar period that holds ``date``."""
-    check_period(period, current=False)
-    return F.trunc(date, _TRUNC[period])
+    return f"trunc({date}, '{check_period(period, current=False)}')"
 
 
 def period_anchor(date, period):
     """The day a period is measured from: the day before it starts; the day before for current."""
     check_period(period)
-    return F.date_sub(date if period == CURRENT else period_start(date, period), 1)
+    return f"date_sub({date if period == CURRENT else period_start(date, period)}, 1)"
 
 
 def day_gap(end, start):
-    return F.datediff(end, start)
+    return f"datediff({end}, {start})"
 
 
 def parse_date(text):
-    return F.to_date(text, TEXT_FORMAT)
+    return f"to_date({text}, '{TEXT_FORMAT}')"
 
 
 def format_date(date):
-    return F.date_format(date, TEXT_FORMAT)
+    return f"date_format({date}, '{TEXT_FORMAT}')"

@@ -1,40 +1,36 @@
-"""Arithmetic shared by the metrics. A zero base gives null, never an error."""
-
-from pyspark.sql import functions as F
+"""Arithmetic shared by the metrics: SQL expressions in, SQL expressions out. A zero base gives null,
+never an error."""
 
+from navspan.functions.dates import format_date
 from navspan.functions.fixed import DAYS_PER_YEAR
 
 
 def round_even(x, digits=4):
     """Half-even on the scaled double; keeps the sign of a small negative as -0.0."""
-    scale = float(10 ** digits)
-    return F.rint(x * scale) / scale
+    scale = f"{10 ** digits}D"
+    return f"rint(({x}) * {scale}) / {scale}"
 
 
 def pct_change(value, base):
-    return F.try_divide(value - base, base)
+    return f"try_divide({value} - {base}, {base})"
 
 
 def annualize(change, days):
-    return change * F.try_divide(F.lit(float(DAYS_PER_YEAR)), days)
+    return f"{change} * try_divide({DAYS_PER_YEAR}D, {days})"
 
 
 def python_text(x, digits=4):
     """A double of at most ``digits`` decimals as Python prints it: 0.0, -0.5, -0.0001."""
-    text = F.regexp_replace(x.cast(f"decimal(38,{digits})").cast("string"), "0+$", "")
-    return (
-        F.when(x.cast("string") == "-0.0", F.lit("-0.0"))
-        .when(F.endswith(text, F.lit(".")), F.concat(text, F.lit("0")))
-        .otherwise(text)
-    )
+    text = f"regexp_replace(string(cast({x} AS decimal(38, {digits}))), '0+$', '')"
+    return f"CASE WHEN string({x}) = '-0.0' THEN '-0.0' ELSE regexp_replace({text}, '[.]$', '.0') END"
 
 
 def drawdown_text(drawdown):
     """Drawdown struct as ``value(S:start,T:trough,DRD:days)``, None for what is missing."""
-    none = F.lit("None")
-    return F.concat(
-        F.coalesce(python_text(drawdown["value"]), none),
-        F.lit("(S:"), F.coalesce(F.date_format(drawdown["s"], "yyyyMMdd"), none),
-        F.lit(",T:"), F.coalesce(F.date_format(drawdown["t"], "yyyyMMdd"), none),
-        F.lit(",DRD:"), F.coalesce(drawdown["drd"].cast("string"), none), F.lit(")"),
+    def part(sql):
+        return f"coalesce({sql}, 'None')"
+
+    return (
+        f"concat({part(python_text(f'{drawdown}.value'))}, '(S:', {part(format_date(f'{drawdown}.s'))}, "
+        f"',T:', {part(format_date(f'{drawdown}.t'))}, ',DRD:', {part(f'string({drawdown}.drd)')}, ')')"
     )

@@ -1,7 +1,6 @@
 """Drawdown, maximum drawdown and Calmar ratio."""
 
-from pyspark.sql import functions as F
-
+from navspan.functions.dates import day_gap
 from navspan.functions.fixed import CURRENT, DATE, PERIODS, VALUE
 from navspan.functions.keys import is_window
 from navspan.functions.numeric import pct_change, round_even
@@ -21,53 +20,45 @@ def calmar_parts(key):
     return ([] if key == CURRENT else [("depth", key)]) + frame_parts(key)
 
 
-def drawdown(key):
-    """Current value against the highest earlier value of the frame; positive at a new high."""
-    high = F.col(f"_high_{key}")
-    if key in PERIODS:
-        high = F.greatest(high, F.col(f"_base_prev_val_{key}"))
-    days = p.days_since_inception()
-    least = max(key, 1) if is_window(key) else 1
-    return F.when(days >= least, round_even(pct_change(F.col(VALUE), high)))
+def _old_enough(key):
+    """Whether the product is as old as the key asks for, in calendar days."""
+    return f"{day_gap(DATE, '_first_date')} >= {max(key, 1) if is_window(key) else 1}"
 
 
-def _old_enough(key):
-    least = max(key, 1) if is_window(key) else 1
-    return p.days_since_inception() >= least
+def drawdown(key):
+    """Current value against the highest earlier value of the frame; positive at a new high."""
+    high = f"greatest(_high_{key}, _base_prev_val_{key})" if key in PERIODS else f"_high_{key}"
+    return f"if({_old_enough(key)}, {round_even(pct_change(VALUE, high))}, NULL)"
 
 
 def _deepest(key, field="m"):
     """A field of the deepest decline: drop (0 = none), trough day or peak day."""
     if key != CURRENT:
-        found = F.col(f"_dd_{key}_{field}")
-        return found if field == "m" else found.cast("int")
+        return f"_dd_{key}_m" if field == "m" else f"int(_dd_{key}_{field})"
     if field != "m":
-        return F.unix_date(DATE if field == "t" else "_prev_date")
-    prev, value = F.col("_prev_val"), F.col(VALUE)
-    return F.when((value < prev) & (prev > 0), (value - prev) / prev).otherwise(0.0)
+        return f"unix_date({DATE if field == 't' else '_prev_date'})"
+    return f"if({VALUE} < _prev_val AND _prev_val > 0D, ({VALUE} - _prev_val) / _prev_val, 0D)"
 
 
 def max_drawdown(key):
     """Struct of value, peak date, trough date and days between.
 
-    Without a decline: 0.0, first date of the frame, current date. Null before the product is as old
-    as the key asks for, in calendar days.
+    Without a decline: 0.0, first date of the frame, current date. Null while the product is too young.
     """
-    found = _deepest(key) < 0
+    found = f"{_deepest(key)} < 0D"
     start, peak, trough = p.start_row(key)[0], _deepest(key, "s"), _deepest(key, "t")
-    result = F.struct(
-        round_even(_deepest(key)).alias("value"),
-        F.when(found, F.date_from_unix_date(peak)).otherwise(start).alias("s"),
-        F.when(found, F.date_from_unix_date(trough)).otherwise(F.col(DATE)).alias("t"),
-        F.when(found, trough - peak).otherwise(F.datediff(DATE, start)).alias("drd"),
+    return (
+        f"if({_old_enough(key)}, named_struct('value', {round_even(_deepest(key))}, "
+        f"'s', if({found}, date_from_unix_date({peak}), {start}), "
+        f"'t', if({found}, date_from_unix_date({trough}), {DATE}), "
+        f"'drd', if({found}, {trough} - {peak}, {day_gap(DATE, start)})), NULL)"
     )
-    return F.when(_old_enough(key), result)
 
 
 def max_drawdown_value(key):
-    return F.when(_old_enough(key), round_even(_deepest(key)))
+    return f"if({_old_enough(key)}, {round_even(_deepest(key))}, NULL)"
 
 
 def calmar_ratio(key):
     """Rounded annualised return over the size of the rounded maximum drawdown, itself unrounded."""
-    return F.try_divide(annualized_return(key), F.abs(max_drawdown_value(key)))
+    return f"try_divide({annualized_return(key)}, abs({max_drawdown_value(key)}))"

@@ -13,8 +13,6 @@ A metric asks for parts by name:
 Order matters for width: sliding frames come first, on rows that carry little else.
 """
 
-from pyspark.sql import functions as F
-
 from navspan.functions.dates import period_anchor
 from navspan.functions.fixed import CURRENT, DATE, PERIODS, PRODUCT, VALUE
 from navspan.functions.keys import is_window
@@ -23,7 +21,7 @@ from navspan.operators.series import BEFORE, SO_FAR, add, over
 
 
 def prepare(nav, parts, outputs, partitions="session"):
-    """NAV rows with the output columns, a list of (name, key, parts, Column).
+    """NAV rows with the output columns, a list of (name, key, parts, SQL expression).
 
     An output is computed as soon as its parts are there, so that rows stay narrow and the generated
     code of one step stays small.
@@ -63,11 +61,10 @@ def _slides(key):
 
 def _emit(df, outputs, ready):
     done = set(df.columns)
-    columns = [
-        column.alias(name) for name, key, parts, column in outputs
+    return add(df, {
+        name: sql for name, key, parts, sql in outputs
         if name not in done and ready(key, {kind for kind, _ in parts})
-    ]
-    return df.select("*", *columns) if columns else df
+    })
 
 
 def _order(key):
@@ -124,7 +121,7 @@ def _period_columns(parts, period, fall_keys, style):
     if ("moments", period) in parts:
         columns.update(_moments(f"_{period}", "_x", period))
     if ("inner", period) in parts:
-        inside = f"if(_prev_date >= date_sub(trunc({DATE}, '{period}'), 1), _x, NULL)"
+        inside = f"if(_prev_date >= {period_anchor(DATE, period)}, _x, NULL)"
         columns.update(_moments(f"_inner_{period}", inside, period))
     if ("high", period) in parts:
         columns[f"_high_{period}"] = f"max({VALUE}) {over(period, BEFORE)}"
@@ -135,26 +132,22 @@ def _period_columns(parts, period, fall_keys, style):
 
 def has_row_on_anchor(period):
     """Whether a row lies exactly on the day before the period."""
-    on_anchor = F.col(f"_base_prev_date_{period}") == period_anchor(F.col(DATE), period)
-    return F.coalesce(on_anchor, F.lit(False))
+    return f"coalesce(_base_prev_date_{period} = {period_anchor(DATE, period)}, false)"
 
 
 def _yesterday():
-    return F.coalesce(F.col("_prev_date") == F.date_sub(DATE, 1), F.lit(False))
+    return f"coalesce(_prev_date = {period_anchor(DATE, CURRENT)}, false)"
 
 
 def start_row(key):
     """(date, value) of the frame's first row. Periods: the last row before, else their first row."""
     if key == 0:
-        return F.col("_first_date"), F.col("_first_val")
+        return "_first_date", "_first_val"
     if is_window(key):
-        return F.col(f"_start_date_{key}"), F.col(f"_start_val_{key}")
+        return f"_start_date_{key}", f"_start_val_{key}"
     if key == CURRENT:
-        return F.coalesce("_prev_date", DATE), F.coalesce("_prev_val", VALUE)
-    return (
-        F.coalesce(f"_base_prev_date_{key}", f"_base_own_date_{key}"),
-        F.coalesce(f"_base_prev_val_{key}", f"_base_own_val_{key}"),
-    )
+        return f"coalesce(_prev_date, {DATE})", f"coalesce(_prev_val, {VALUE})"
+    return tuple(f"coalesce(_base_prev_{f}_{key}, _base_own_{f}_{key})" for f in ("date", "val"))
 
 
 def forward_row(key):
@@ -162,37 +155,26 @@ def forward_row(key):
     if is_window(key):
         return start_row(key)
     if key == CURRENT:
-        near = _yesterday()
-        return (
-            F.when(near, F.col("_prev_date")).otherwise(F.col(DATE)),
-            F.when(near, F.col("_prev_val")).otherwise(F.col(VALUE)),
-        )
-    near = has_row_on_anchor(key)
+        return tuple(f"if({_yesterday()}, {a}, {b})" for a, b in (("_prev_date", DATE), ("_prev_val", VALUE)))
     return tuple(
-        F.when(near, F.col(f"_base_prev_{f}_{key}")).otherwise(F.col(f"_base_own_{f}_{key}"))
-        for f in ("date", "val")
+        f"if({has_row_on_anchor(key)}, _base_prev_{f}_{key}, _base_own_{f}_{key})" for f in ("date", "val")
     )
 
 
-def days_since_inception():
-    return F.datediff(DATE, "_first_date")
-
-
 def frame_rows(key):
     """Rows of the frame, its start row included."""
     if key == 0:
-        return (F.col("_i") + 1).cast("bigint")
+        return "bigint(_i + 1)"
     if is_window(key):
-        return (F.least(F.col("_i"), F.lit(key)) + 1).cast("bigint")
-    before = F.col("_prev_date" if key == CURRENT else f"_base_prev_date_{key}")
-    rows = F.lit(1) if key == CURRENT else F.col(f"_rows_{key}")
-    return (rows + before.isNotNull().cast("int")).cast("bigint")
+        return f"bigint(least(_i, {key}) + 1)"
+    rows, before = ("1", "_prev_date") if key == CURRENT else (f"_rows_{key}", f"_base_prev_date_{key}")
+    return f"bigint({rows} + int({before} IS NOT NULL))"
 
 
 def rows_in_range(key):
     """Rows dated from the key's anchor to the current date."""
     if is_window(key):
         return frame_rows(key)
-    near = _yesterday() if key == CURRENT else has_row_on_anchor(key)
-    rows = F.lit(1) if key == CURRENT else F.col(f"_rows_{key}")
-    return (rows + near.cast("int")).cast("bigint")
+    if key == CURRENT:
+        return f"bigint(1 + int({_yesterday()}))"
+    return f"bigint(_rows_{key} + int({has_row_on_anchor(key)}))"

@@ -1,7 +1,6 @@
 """Annualised returns."""
 
-from pyspark.sql import functions as F
-
+from navspan.functions.dates import day_gap
 from navspan.functions.fixed import CURRENT, DATE, VALUE
 from navspan.functions.keys import is_window
 from navspan.functions.numeric import annualize, pct_change, round_even
@@ -17,7 +16,7 @@ def frame_parts(key):
 
 def _annualized(start):
     date, value = start
-    return annualize(pct_change(F.col(VALUE), value), F.datediff(DATE, date))
+    return annualize(pct_change(VALUE, value), day_gap(DATE, date))
 
 
 def annualized_return(key):
@@ -29,5 +28,5 @@ def strict_return(key):
     """From the forward start row, unrounded; null with fewer rows or days than the key asks for."""
     least = max(key, 1) if is_window(key) else 1
     start = p.forward_row(key)
-    days = F.datediff(DATE, start[0])
-    return F.when((p.rows_in_range(key) >= least) & (days >= least), _annualized(start))
+    enough = f"{p.rows_in_range(key)} >= {least} AND {day_gap(DATE, start[0])} >= {least}"
+    return f"if({enough}, {_annualized(start)}, NULL)"

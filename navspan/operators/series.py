@@ -7,9 +7,9 @@ most 366 rows a year however large the table is; raw tables with several rows pe
 before (``sources.nav.one_row_per_day``), by an aggregation that combines map-side.
 """
 
-from pyspark.sql import functions as F
-
+from navspan.functions.dates import day_gap
 from navspan.functions.fixed import DATE, PRODUCT, VALUE
+from navspan.functions.numeric import pct_change
 
 _PARTS = {"product": 0, "year": 1, "quarter": 2, "month": 3}
 _CALENDAR = ["_year", "_quarter", "_month"]
@@ -82,12 +82,10 @@ def row_offset_start(window):
 
 def step_return():
     """Return per day since the previous row; null on the first row and on a zero base."""
-    change = f"try_divide({VALUE} - _prev_val, _prev_val)"
-    return {"_x": f"try_divide({change}, datediff({DATE}, _prev_date))"}
+    return {"_x": f"try_divide({pct_change(VALUE, '_prev_val')}, {day_gap(DATE, '_prev_date')})"}
 
 
 def checked_date():
     """The date, or an error if the product has two rows on it."""
-    message = F.concat(F.lit("two rows on one date for product "), F.col(PRODUCT))
-    twice = F.col("_prev_date") == F.col(DATE)
-    return F.when(twice, F.raise_error(message).cast("date")).otherwise(F.col(DATE)).alias(DATE)
+    message = f"concat('two rows on one date for product ', {PRODUCT})"
+    return f"if(_prev_date = {DATE}, date(raise_error({message})), {DATE}) AS {DATE}"

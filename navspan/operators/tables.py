@@ -27,7 +27,7 @@ def long_table(wide, names):
 def nested(wide, names):
     """One row per product and date with an array of (name, value)."""
     pairs = [F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names]
-    return wide.select(PRODUCT, format_date(F.col(DATE)).alias(DATE), F.array(*pairs).alias("values"))
+    return wide.select(PRODUCT, F.expr(format_date(DATE)).alias(DATE), F.array(*pairs).alias("values"))
 
 
 def first_columns(df, *names):
@@ -44,10 +44,9 @@ def with_constant(df, name, value, dtype=None):
 def report(returns):
     """The fixed eight-column output: text date and 32-bit returns."""
     columns = [
-        F.col(column_name("Returns", window)).cast("float").alias(name)
-        for name, window in REPORT_RETURNS.items()
+        f"float({column_name('Returns', window)}) AS {name}" for name, window in REPORT_RETURNS.items()
     ]
-    return returns.select(PRODUCT, format_date(F.col(DATE)).alias("net_val_date"), *columns)
+    return returns.selectExpr(PRODUCT, f"{format_date(DATE)} AS net_val_date", *columns)
 
 
 def per_product(nav, compute, schema):

@@ -1,7 +1,5 @@
 """Annualised volatility and Sharpe ratio."""
 
-from pyspark.sql import functions as F
-
 from navspan.functions.fixed import (
     CURRENT, DAYS_PER_YEAR, DEFAULT_MIN_POINTS, INCEPTION_ROWS_PER_STEP, PERIOD_DAYS,
     SCALING_RUNGS, VOLATILITY_MIN_ROWS,
@@ -30,7 +28,7 @@ def list_volatility_parts(key):
 
 
 def scaling(key, rows, ladder="coded", chained=False, daily=DAYS_PER_YEAR):
-    """(days a step return is scaled to, periods a year) for a frame of ``rows`` rows.
+    """(days a step return is scaled to, periods a year) for a frame of ``rows`` rows, as SQL.
 
     ``coded``: the coarsest rung always holds, as the row gate is its threshold; ``chained`` takes the
     days of the rung reached before it. ``documented``: the finest rung that the frame reaches.
@@ -38,58 +36,56 @@ def scaling(key, rows, ladder="coded", chained=False, daily=DAYS_PER_YEAR):
     rungs = [(need, daily if freq == DAYS_PER_YEAR else freq) for need, freq in SCALING_RUNGS.get(key, ())]
     days = {**PERIOD_DAYS, daily: PERIOD_DAYS[DAYS_PER_YEAR]}
     if not rungs:
-        return F.lit(1.0), F.lit(float(daily))
+        return "1D", f"{daily}D"
 
     def reached(need):
-        if key == 0:
-            return rows >= need * F.floor(rows / F.lit(INCEPTION_ROWS_PER_STEP))
-        return rows >= need
+        times = f" * floor({rows} / {INCEPTION_ROWS_PER_STEP})" if key == 0 else ""
+        return f"{rows} >= {need}{times}"
 
     if ladder == "documented":
         finest = {**days, daily: 1}
-        scale, freq = F.lit(1.0), F.lit(float(daily))
+        scale, freq = "1D", f"{daily}D"
         for need, per_year in reversed(rungs):
-            scale = F.when(reached(need), float(finest[per_year])).otherwise(scale)
-            freq = F.when(reached(need), float(per_year)).otherwise(freq)
+            scale = f"if({reached(need)}, {finest[per_year]}D, {scale})"
+            freq = f"if({reached(need)}, {per_year}D, {freq})"
         return scale, freq
     coarsest = rungs[-1][1]
-    if not chained:
-        return F.lit(float(days[coarsest])), F.lit(float(coarsest))
-    scale = F.lit(float(days[daily]))
-    if len(rungs) > 1:
+    scale = f"{days[daily] if chained else days[coarsest]}D"
+    if chained and len(rungs) > 1:
         need, per_year = rungs[-2]
-        scale = F.when(reached(need), float(days[per_year])).otherwise(scale)
-    return scale, F.lit(float(coarsest))
+        scale = f"if({reached(need)}, {days[per_year]}D, {scale})"
+    return scale, f"{coarsest}D"
 
 
-def _gate(key, rows, min_points):
-    return rows >= VOLATILITY_MIN_ROWS.get(key, min_points)
+def _gated(key, rows, min_points, value):
+    return f"if({rows} >= {VOLATILITY_MIN_ROWS.get(key, min_points)}, {value}, NULL)"
 
 
 def annualized_volatility(key, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
     rows = p.frame_rows(key)
     scale, freq = scaling(key, rows, ladder, daily=daily)
-    return F.when(_gate(key, rows, min_points), round_even(F.col(f"_std_{key}") * scale * F.sqrt(freq)))
+    return _gated(key, rows, min_points, round_even(f"_std_{key} * {scale} * sqrt({freq})"))
 
 
 def mean_step_return(key, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
     """Mean of the scaled step returns behind the volatility of the same key."""
     rows = p.frame_rows(key)
     scale, _ = scaling(key, rows, ladder, daily=daily)
-    return F.when(_gate(key, rows, min_points), F.col(f"_mean_{key}") * scale)
+    return _gated(key, rows, min_points, f"_mean_{key} * {scale}")
 
 
-def sharpe_ratio(key, risk_free, ladder="coded", min_points=DEFAULT_MIN_POINTS):
+def sharpe_ratio(key, risk_free, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
     """Mean yearly step return over ``risk_free``, divided by the rounded volatility."""
-    excess = mean_step_return(key, ladder, min_points) * float(DAYS_PER_YEAR) - risk_free
-    return round_even(F.try_divide(excess, annualized_volatility(key, ladder, min_points)))
+    mean = mean_step_return(key, ladder, min_points, daily)
+    excess = f"{mean} * {DAYS_PER_YEAR}D - double('{risk_free}')"
+    return round_even(f"try_divide({excess}, {annualized_volatility(key, ladder, min_points, daily)})")
 
 
 def list_volatility(key, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
     """Volatility over the forward frame, unrounded; ``current`` holds one step at most, so null."""
     if key == CURRENT:
-        return F.lit(None).cast("double")
+        return "cast(NULL AS double)"
     rows = p.rows_in_range(key)
     scale, freq = scaling(key, rows, ladder, chained=True, daily=daily)
-    std = F.col(f"_std_{key}" if is_window(key) else f"_std_inner_{key}")
-    return F.when(_gate(key, rows, min_points), std * scale * F.sqrt(freq))
+    std = f"_std_{key}" if is_window(key) else f"_std_inner_{key}"
+    return _gated(key, rows, min_points, f"{std} * {scale} * sqrt({freq})")

@@ -1,7 +1,5 @@
 """Metrics at dates of the caller's choice."""
 
-from pyspark.sql import functions as F
-
 from navspan.functions.dates import period_start
 from navspan.functions.fixed import DATE, PERIODS, PRODUCT
 from navspan.functions.keys import column_name
@@ -20,9 +18,9 @@ def volatility_at(nav, anchors, name="list_volatility", windows=None, periods=No
     columns = []
     for key in keys:
         column = column_name(metric(name).prefix, key)
-        value = F.col("row")[column]
+        value = f"row.{column}"
         if key in PERIODS:
-            same = period_start(F.col("row")[DATE], key) == period_start(F.col(anchor), key)
-            value = F.when(same, value)
-        columns.append(value.alias(column))
-    return found.select(PRODUCT, anchor, F.col("row")[DATE].alias(DATE), *columns)
+            same = f"{period_start(f'row.{DATE}', key)} = {period_start(anchor, key)}"
+            value = f"if({same}, {value}, NULL)"
+        columns.append(f"{value} AS {column}")
+    return found.selectExpr(PRODUCT, anchor, f"row.{DATE} AS {DATE}", *columns)

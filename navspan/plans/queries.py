@@ -22,15 +22,14 @@ POINT_DATE = "1996-06-28"
 
 def _shown(df, rounded=False):
     columns = []
-    for field in df.schema.fields:
-        column = F.col(field.name)
-        kind = field.dataType.typeName()
+    for name, kind in df.dtypes:
+        sql = f"`{name}`"
         if kind == "date":
-            column = column.cast("string")
+            sql = f"string({sql})"
         elif kind == "double":
-            column = (round_even(column, 6) if rounded else column) + F.lit(0.0)
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            sql = f"{round_even(sql, 6) if rounded else sql} + 0D"
+        columns.append(f"{sql} AS `{name}`")
+    return df.selectExpr(*columns)
 
 
 def _metric(source, name, windows=None, periods=None, rounded=False, **options):
@@ -179,13 +178,11 @@ def _nav_products(spark, sf_dir):
 
 
 def _period_anchors(spark, sf_dir):
-    nav = nav_nation(spark, sf_dir)
-    date = F.col(DATE)
     columns = []
     for period in ("month", "quarter", "year", "current"):
-        anchor = period_anchor(date, period)
-        columns += [format_date(anchor).alias(f"{period}_anchor"), day_gap(date, anchor).alias(f"{period}_days")]
-    return _shown(nav.select(PRODUCT, DATE, *columns))
+        anchor = period_anchor(DATE, period)
+        columns += [f"{format_date(anchor)} AS {period}_anchor", f"{day_gap(DATE, anchor)} AS {period}_days"]
+    return _shown(nav_nation(spark, sf_dir).selectExpr(PRODUCT, DATE, *columns))
 
 
 def _point(spark, sf_dir):

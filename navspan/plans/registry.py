@@ -28,7 +28,7 @@ class Options:
 
 @dataclass(frozen=True)
 class Metric:
-    """``parts(key)`` names the frame columns needed, ``column(key, options)`` is the result."""
+    """``parts(key)`` names the frame columns needed, ``column(key, options)`` is the result as SQL."""
 
     prefix: str
     parts: Callable
@@ -38,11 +38,6 @@ class Metric:
     current: bool = True
 
 
-def _max_drawdown(key, options):
-    found = drawdown.max_drawdown(key)
-    return drawdown_text(found) if options.as_text else found
-
-
 METRICS = {
     "annualized_return": Metric(
         "Returns", returns.frame_parts, lambda k, o: returns.annualized_return(k),
@@ -61,10 +56,12 @@ METRICS = {
     ),
     "annualized_sharpe_ratio": Metric(
         "Sharpe", volatility.volatility_parts,
-        lambda k, o: volatility.sharpe_ratio(k, o.risk_free, o.ladder, o.min_points),
+        lambda k, o: volatility.sharpe_ratio(k, o.risk_free, o.ladder, o.min_points, o.daily),
         windows=_VOLATILITY_WINDOWS, current=False,
     ),
-    "max_drawdown": Metric("Max_drawdown", drawdown.max_drawdown_parts, _max_drawdown),
+    "max_drawdown": Metric(
+        "Max_drawdown", drawdown.max_drawdown_parts, lambda k, o: drawdown.max_drawdown(k),
+    ),
     "annualized_calmer_ratio": Metric(
         "Calmer", drawdown.calmar_parts, lambda k, o: drawdown.calmar_ratio(k),
     ),
@@ -131,7 +128,10 @@ def metrics(nav, names, windows=None, periods=None, partitions="session", **opti
     if len(set(columns)) < len(columns):
         raise ValueError(f"metrics {names} share column names; compute them apart")
     df = prepare(nav, [part for output in outputs for part in output[2]], outputs, partitions)
-    return df.select(PRODUCT, series.checked_date(), *columns)
+    if options.as_text:
+        prefix = METRICS["max_drawdown"].prefix
+        columns = [f"{drawdown_text(c)} AS {c}" if c.startswith(prefix) else c for c in columns]
+    return df.selectExpr(PRODUCT, series.checked_date(), *columns)
 
 
 def all_metrics(nav, **options):

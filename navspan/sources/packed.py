@@ -5,7 +5,7 @@ Parsing stays inside the row: no shuffle, whole texts.
 
 from pyspark.sql import functions as F
 
-from navspan.functions.dates import parse_date
+from navspan.functions.dates import format_date, parse_date
 from navspan.functions.fixed import DATE, FANOUT_PRODUCTS, PRODUCT, VALUE
 
 ENTRY_SEPARATOR = ","
@@ -38,11 +38,7 @@ def parse_packed(df, product=PRODUCT, text="packed"):
     """NAV rows of packed texts, one row per date."""
     parsed = _latest_entries(df.select(F.col(product).alias(PRODUCT), F.col(text).alias("_text")), F.col("_text"))
     entry = parsed.select(PRODUCT, F.explode("_entries").alias("e"))
-    return entry.select(
-        PRODUCT,
-        parse_date(F.col("e")["key"]).alias(DATE),
-        F.col("e")["text"].cast("double").alias(VALUE),
-    )
+    return entry.selectExpr(PRODUCT, f"{parse_date('e.key')} AS {DATE}", f"double(e.text) AS {VALUE}")
 
 
 def parse_packed_map(df, product=PRODUCT, text="packed"):
@@ -57,15 +53,12 @@ def fan_out(df, text="packed", products=FANOUT_PRODUCTS):
     codes = F.array(*[F.lit(p) for p in products])
     entries = df.select(F.posexplode(F.split(F.col(text), ENTRY_SEPARATOR)).alias("pos", "token"))
     entries = entries.select(_entry(F.col("token"), F.col("pos")).alias("e"))
-    return entries.select(
-        F.explode(codes).alias(PRODUCT),
-        parse_date(F.col("e")["key"]).alias(DATE),
-        F.col("e")["text"].cast("int").alias(VALUE),
-    )
+    entries = entries.select(F.explode(codes).alias(PRODUCT), "e")
+    return entries.selectExpr(PRODUCT, f"{parse_date('e.key')} AS {DATE}", f"int(e.text) AS {VALUE}")
 
 
 def pack(nav):
     """Packed text per product: the inverse of ``parse_packed``. A product has one row per day at most."""
-    entry = F.concat(F.date_format(DATE, "yyyyMMdd"), F.lit(VALUE_SEPARATOR), F.col(VALUE).cast("string"))
+    entry = F.concat(F.expr(format_date(DATE)), F.lit(VALUE_SEPARATOR), F.col(VALUE).cast("string"))
     texts = F.transform(F.array_sort(F.collect_list(F.struct(F.col(DATE), entry.alias("e")))), lambda s: s["e"])
     return nav.groupBy(PRODUCT).agg(F.array_join(texts, ENTRY_SEPARATOR).alias("packed"))
