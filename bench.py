@@ -1,4 +1,4 @@
-"""Seconds per headline query: median of several runs after a warm-up; one JSON line on stdout."""
+"""Seconds per headline query: median of several runs after a warm-up pass over all; one JSON line."""
 
 import json
 import os
@@ -29,14 +29,18 @@ def main():
         "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
+    names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
+
+    def run(name):
+        start = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    for name in names:
+        run(name)
     seconds = {}
-    for name in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(","):
-        times = []
-        for _ in range(runs + 1):
-            start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(times[1:]), 3)
+    for name in names:
+        seconds[name] = round(statistics.median(run(name) for _ in range(runs)), 3)
         print(f"{name} {seconds[name]}", file=sys.stderr)
     print(json.dumps({
         "metric": "total_query_time", "value": round(sum(seconds.values()), 3), "unit": "sec",

@@ -35,15 +35,16 @@ def over_backwards(frame=""):
 def by_product(nav, partitions="session"):
     """Hash partitions by product.
 
-    The number is given, by default the session's, as the windows cost far more than their input's bytes
-    suggest and merging small partitions would leave cores idle. None takes the rows as they lie: a table
-    bucketed by product (``sources.files.write_bucketed``) then needs no exchange at all.
+    Where the session sets a number of shuffle partitions, exactly that number: the windows cost far more
+    than their input's bytes suggest, and merging small partitions would leave cores idle. Otherwise, or
+    with None, the planner decides, and a table bucketed by product (``sources.files.write_bucketed``)
+    needs no exchange at all.
     """
-    if partitions is None:
-        return nav
     if partitions == "session":
-        partitions = int(nav.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return nav.repartition(partitions, PRODUCT)
+        unset = "1"
+        partitions = nav.sparkSession.conf.get("spark.sql.shuffle.partitions", unset)
+        partitions = None if partitions == unset else int(partitions)
+    return nav if partitions is None else nav.repartition(partitions, PRODUCT)
 
 
 def add(df, columns):

@@ -1,7 +1,7 @@
 """Mean, deviation and maximum of sliding frames in O(log length) per row.
 
-Spark's own sliding frame re-reads the whole frame for every row. Here a summary of ``RADIX**k`` rows
-is merged from ``RADIX`` summaries of the level below, taken by ``lag``. Frames grow along with the
+Spark's own sliding frame re-reads the whole frame for every row. Here a summary of ``radix**k`` rows
+is merged from ``radix`` summaries of the level below, taken by ``lag``. Frames grow along with the
 levels: at level ``k`` a frame takes as many summaries as its length has in that digit, so a row
 carries one level and one summary per frame at a time. Every ``lag`` runs on the product window:
 nothing is shuffled or sorted again.
@@ -10,13 +10,11 @@ nothing is shuffled or sorted again.
 from navspan.functions.fixed import VALUE
 from navspan.operators.series import add, over
 
-RADIX = 2
 
-
-def _digits(number):
+def _digits(number, radix):
     digits = []
     while number:
-        number, digit = divmod(number, RADIX)
+        number, digit = divmod(number, radix)
         digits.append(digit)
     return digits
 
@@ -24,11 +22,12 @@ def _digits(number):
 class _Moments:
     """Count, mean and squared deviations of ``_x`` over the last N rows, merged without cancellation."""
 
+    radix = 3
     fields = ("n", "mean", "m2")
     missing = "0D"
 
     def __init__(self, windows):
-        self.digits = {n: _digits(n) for n in windows}
+        self.digits = {n: _digits(n, self.radix) for n in windows}
         self.levels = max((len(d) for d in self.digits.values()), default=0)
 
     def leaf(self):
@@ -36,15 +35,15 @@ class _Moments:
 
     def merges(self, k):
         """{target column: [("column" or lag)]} at level k, newest piece first."""
-        size = RADIX ** k
+        size = self.radix ** k
         found = {}
         for n, digits in self.digits.items():
             if k < len(digits) and digits[k]:
-                held = sum(d * RADIX ** j for j, d in enumerate(digits[:k]))
+                held = sum(d * self.radix ** j for j, d in enumerate(digits[:k]))
                 pieces = [f"_frame_{n}"] if held else []
                 found[f"_frame_{n}"] = pieces + [held + j * size for j in range(digits[k])]
         if k + 1 < self.levels:
-            found["_mo"] = [j * size for j in range(RADIX)]
+            found["_mo"] = [j * size for j in range(self.radix)]
         return found
 
     def steps(self, target, pieces):
@@ -72,18 +71,19 @@ class _Moments:
 class _Highest:
     """Highest value of the N rows before the current one. Pieces may overlap, so few are needed."""
 
+    radix = 8
     fields = ("v",)
     missing = "NULL"
 
     def __init__(self, windows):
-        self.top = {n: len(_digits(n)) - 1 for n in windows}
+        self.top = {n: len(_digits(n, self.radix)) - 1 for n in windows}
         self.levels = max((t + 1 for t in self.top.values()), default=0)
 
     def leaf(self):
         return {"_hi_v": VALUE}
 
     def merges(self, k):
-        size = RADIX ** k
+        size = self.radix ** k
         found = {}
         for n, top in self.top.items():
             if top == k:
@@ -92,7 +92,7 @@ class _Highest:
                     starts.append(n - size)
                 found[f"_high_{n}"] = [1 + s for s in starts]
         if k + 1 < self.levels:
-            found["_hi"] = [j * size for j in range(RADIX)]
+            found["_hi"] = [j * size for j in range(self.radix)]
         return found
 
     def steps(self, target, pieces):
