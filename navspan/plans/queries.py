@@ -124,10 +124,9 @@ def _report(spark, sf_dir):
 
 def _packed(spark, sf_dir):
     """Texts that hold every date twice: first a wrong value, at the end the right one."""
-    nav = nav_nation(spark, sf_dir)
-    wrong = packed.pack(nav.withColumn(VALUE, F.col(VALUE) + 1.0)).withColumnRenamed("packed", "wrong")
-    both = wrong.join(packed.pack(nav), PRODUCT)
-    return both.select(PRODUCT, F.concat_ws(",", "wrong", "packed").alias("packed"))
+    texts = packed.pack(nav_nation(spark, sf_dir))
+    wrong = F.regexp_replace("packed", r"\^", "^1")
+    return texts.select(PRODUCT, F.concat_ws(",", wrong, "packed").alias("packed"))
 
 
 def _packed_parse(spark, sf_dir):

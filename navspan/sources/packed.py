@@ -22,7 +22,7 @@ def _entry(text, position):
 
 def _latest_entries(df, text):
     """Column ``_entries``: sorted by date, of several entries of a date the last one in the text."""
-    entries = F.array_sort(F.transform(F.split(text, ENTRY_SEPARATOR), _entry))
+    entries = F.sort_array(F.transform(F.split(text, ENTRY_SEPARATOR), _entry))
     df = df.select("*", entries.alias("_sorted"))
     following = F.slice(F.transform("_sorted", lambda e: e["key"]), 2, F.size("_sorted"))
     df = df.select("*", following.alias("_next"))
@@ -60,5 +60,5 @@ def fan_out(df, text="packed", products=FANOUT_PRODUCTS):
 def pack(nav):
     """Packed text per product: the inverse of ``parse_packed``. A product has one row per day at most."""
     entry = F.concat(F.expr(format_date(DATE)), F.lit(VALUE_SEPARATOR), F.col(VALUE).cast("string"))
-    texts = F.transform(F.array_sort(F.collect_list(F.struct(F.col(DATE), entry.alias("e")))), lambda s: s["e"])
+    texts = F.transform(F.sort_array(F.collect_list(F.struct(F.col(DATE), entry.alias("e")))), lambda s: s["e"])
     return nav.groupBy(PRODUCT).agg(F.array_join(texts, ENTRY_SEPARATOR).alias("packed"))

@@ -109,3 +109,44 @@ def test_documented_ladder(nav):
     keys = metric_keys("annualized_volatility")
     result = metrics(nav, "annualized_volatility", ladder="documented")
     _check(result, "v", keys, "Volatility", lambda n, r, i, k: brute.volatility(r, i, k, "documented")[0])
+
+
+@pytest.mark.parametrize("name", ["max_drawdown", "drawdown", "annualized_calmer_ratio", "annualized_volatility"])
+def test_many_small_series(spark, name):
+    """Block borders, ties and zeros at every offset: 60 series of few distinct values."""
+    rng = random.Random(7)
+    many = {
+        f"S{k}": _series(100 + k, rng.randint(1, 70), [1, 1, 2, 11], lambda r, top=rng.randint(1, 4): r.randint(0, top))
+        for k in range(60)
+    }
+    rows = [(p, d, v) for p, series in many.items() for d, v in series]
+    nav = spark.createDataFrame(rows, "prod_reg_code string, date date, net_val double")
+    keys = metric_keys(name, [1, 2, 3, 4, 5, 6, 8, 9, 16, 26, 27, 40, 64, 0])
+    result = metrics(nav, name, [k for k in keys if isinstance(k, int)], min_points=2)
+    wrong = []
+    for row in result.collect():
+        series = many[row["prod_reg_code"]]
+        i = [d for d, _ in series].index(row["date"])
+        for key in keys:
+            if name == "annualized_volatility":
+                want = brute.volatility(series, i, key, min_points=2)[0]
+            else:
+                want = _expected(name, series, i, key)
+            got = row[f"{METRICS[name].prefix}_{key}D"]
+            if not _same(got, want):
+                wrong.append((row["prod_reg_code"], row["date"], key, got, want))
+    assert not wrong, f"{len(wrong)} wrong, first {wrong[:5]}"
+
+
+def test_invariants(nav):
+    """A longer look-back never shows a smaller decline, and counts follow the position."""
+    windows = [7, 14, 30, 91]
+    table = metrics(nav, ["max_drawdown", "valuation_count"], windows, ["month"])
+    rows = sorted(table.collect(), key=lambda r: (r["prod_reg_code"], r["date"]))
+    position = {}
+    for row in rows:
+        i = position[row["prod_reg_code"]] = position.get(row["prod_reg_code"], -1) + 1
+        assert [row[f"Count_{n}D"] for n in windows] == [min(i, n) + 1 for n in windows]
+        found = [row[f"Max_drawdown_{n}D"] for n in windows]
+        values = [f["value"] for f in found if f is not None]
+        assert values == sorted(values, reverse=True) and all(v <= 0 for v in values)
