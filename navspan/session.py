@@ -13,6 +13,9 @@ DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # A wide run has a few hundred generated classes; with the stock 100, every task compiles them anew.
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # Rows of a product that a window keeps as objects before it turns to spillable pages: 65 years of
+    # working days. A longer series still runs, only slower.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "16384",
 }
 
 # Names used in deployment files -> Spark settings
