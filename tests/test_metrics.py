@@ -7,6 +7,7 @@ import pytest
 
 import brute
 from navspan.functions.fixed import WINDOWS
+from navspan.plans.lookups import volatility_at
 from navspan.plans.registry import METRICS, metric_keys, metrics
 
 SMALL = [1, 2, 3, 5, 7, 14, 30, 91]
@@ -150,3 +151,26 @@ def test_invariants(nav):
         found = [row[f"Max_drawdown_{n}D"] for n in windows]
         values = [f["value"] for f in found if f is not None]
         assert values == sorted(values, reverse=True) and all(v <= 0 for v in values)
+
+
+@pytest.mark.parametrize("name", ["annualized_volatility", "list_volatility"])
+def test_volatility_at_any_date(spark, nav, name):
+    """Requested days before, between and after the rows, some of them asked for twice."""
+    asked = [
+        (p, rows[0][0] + timedelta(days=k)) for p, rows in SERIES.items() for k in (-3, 0, 17, 45, 45, 200, 431, 900)
+    ]
+    wanted = spark.createDataFrame(asked, "prod_reg_code string, end_date date")
+    keys = metric_keys(name)
+    found = volatility_at(nav, wanted, name).collect()
+    assert len(found) == len(set(asked))
+    for row in found:
+        rows = [r for r in SERIES[row["prod_reg_code"]] if r[0] <= row["end_date"]]
+        assert row["date"] == (rows[-1][0] if rows else None)
+        for key in keys:
+            got, want = row[f"Volatility_{key}D"], None
+            same = isinstance(key, int) or (
+                rows and brute.anchor(rows[-1][0], key) == brute.anchor(row["end_date"], key))
+            if rows and same:
+                i = len(rows) - 1
+                want = brute.volatility(rows, i, key)[0] if name.startswith("a") else brute.list_volatility(rows, i, key)
+            assert _same(got, want), (row["prod_reg_code"], row["end_date"], key, got, want)
