@@ -128,3 +128,29 @@ def test_bucketed_table_needs_no_exchange(spark):
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     assert _rows(found) == _rows(metrics(table, "valuation_count"))
     spark.sql("DROP TABLE nav_bucketed")
+
+
+def test_hot_product_combines_before_the_exchange(spark):
+    """A product with a third of all rows, thousands a day: one row per day and task is shuffled."""
+    raw = spark.range(90000, numPartitions=6).selectExpr(
+        "if(id % 3 = 0, 'HOT', concat('P', id % 997)) AS prod_reg_code",
+        "date_add(date'2024-01-01', int(id % 7)) AS date", "double(id) AS net_val", "id AS n",
+    )
+    kept = nav.one_row_per_day(raw, "last", "n")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2 and plan.count("Exchange hashpartitioning") == 1
+    hot = {r["date"].day: r["net_val"] for r in kept.filter("prod_reg_code = 'HOT'").collect()}
+    assert hot == {k % 7 + 1: float(max(i for i in range(89900, 90000) if i % 3 == 0 and i % 7 == k % 7)) for k in range(7)}
+
+
+def test_large_joins_shuffle_and_agree(spark, sf_dir):
+    """Above the broadcast limit the joins sort-merge, with the same series."""
+    want = _rows(derived.nav_nation(spark, sf_dir))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = derived.nav_nation(spark, sf_dir)
+        assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+        assert _rows(found) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
