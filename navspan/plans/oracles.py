@@ -366,6 +366,9 @@ ORACLES = {
     "volatility_documented": volatility(SEGMENT, _VOLATILITY + _PERIODS, "documented"),
     "volatility_list": list_volatility(NATION, _VOLATILITY + _PERIODS),
     "volatility_steps": steps(NATION, _VOLATILITY + _PERIODS),
+    "step_returns": f"""WITH {_rows(NATION)} SELECT prod_reg_code, {_text('date')} AS date,
+cast(date - pd AS INTEGER) AS days, {_round('(net_val - pv) / nullif(pv, 0)', 6)} AS change, {_round('x', 6)} AS step
+FROM r""",
     "volatility_asof": volatility_asof(NATION),
     "sharpe": sharpe(SEGMENT, _VOLATILITY + _PERIODS),
     "max_drawdown_windows": max_drawdown(SEGMENT, WINDOWS),

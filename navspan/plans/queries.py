@@ -11,7 +11,7 @@ from navspan.functions.fixed import DATE, PRODUCT, VALUE
 from navspan.functions.numeric import round_even
 from navspan.operators import asof, tables
 from navspan.plans.lookups import volatility_at
-from navspan.plans.registry import BUNDLE, METRICS, all_metrics, metric_at, metric_columns, metrics
+from navspan.plans.registry import BUNDLE, METRICS, all_metrics, metric_at, metric_columns, metrics, step_returns
 from navspan.sources import nav as navs
 from navspan.sources import packed
 from navspan.sources.derived import nav_events, nav_nation, nav_segment
@@ -79,6 +79,10 @@ def _monthly_anchors(nav, name):
     return nav.select(PRODUCT, F.date_add(F.trunc(DATE, "MM"), 16).alias(name)).distinct()
 
 
+def _step_returns(spark, sf_dir):
+    return _shown(step_returns(nav_nation(spark, sf_dir)), rounded=True)
+
+
 def _volatility_asof(spark, sf_dir):
     nav = nav_nation(spark, sf_dir)
     return _shown(volatility_at(nav, _monthly_anchors(nav, "end_date")), rounded=True)
@@ -215,6 +219,7 @@ QUERIES = {
     "volatility_documented": _metric(nav_segment, "annualized_volatility", ladder="documented"),
     "volatility_list": _metric(nav_nation, "list_volatility", rounded=True),
     "volatility_steps": _metric(nav_nation, "mean_step_return", rounded=True),
+    "step_returns": _step_returns,
     "volatility_asof": _volatility_asof,
     "sharpe": _metric(nav_segment, "annualized_sharpe_ratio"),
     "max_drawdown_windows": _max_drawdown_values(nav_segment, METRICS["max_drawdown"].windows, ()),

@@ -5,12 +5,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
+from navspan.functions.dates import day_gap
 from navspan.functions.fixed import (
-    CURRENT, DATE, DAYS_PER_YEAR, DEFAULT_MIN_POINTS, PERIODS, PRODUCT, RISK_FREE, WINDOWS,
+    CURRENT, DATE, DAYS_PER_YEAR, DEFAULT_MIN_POINTS, PERIODS, PRODUCT, RISK_FREE, VALUE, WINDOWS,
     WINDOWS_WITHOUT_VOLATILITY,
 )
 from navspan.functions.keys import check_keys, column_name
-from navspan.functions.numeric import drawdown_text
+from navspan.functions.numeric import drawdown_text, pct_change
 from navspan.operators import counts, drawdown, returns, series, volatility
 from navspan.operators.prepare import prepare
 
@@ -139,6 +140,18 @@ def all_metrics(nav, **options):
     return metrics(nav, BUNDLE, **options)
 
 
+def step_returns(nav, partitions="session"):
+    """Every row's step since the row before: days, relative change and change per day.
+
+    The step series of a frame are these rows, scaled by the days that ``volatility.scaling`` gives.
+    """
+    df = series.add(series.calendar_columns(series.by_product(nav, partitions)), series.neighbours())
+    return df.selectExpr(
+        PRODUCT, series.checked_date(), f"{day_gap(DATE, '_prev_date')} AS days",
+        f"{pct_change(VALUE, '_prev_val')} AS change", f"{series.step_return()['_x']} AS step",
+    )
+
+
 def metric_at(nav, end_date, name, key, products=None, **options):
     """One metric of one key on one valuation date.
 
