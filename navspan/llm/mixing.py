@@ -90,7 +90,8 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
     depth = items.agg(F.max("bucket")).first()[0] or 0
 
     def level(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("text_key", "ascending")])
+        # The longest first: what stays open at the end is then a short one.
+        table = table.sort_by([("size", "descending"), ("doc_id", "ascending"), ("text_key", "ascending")])
         ids = table["doc_id"].fill_null(0).to_numpy().astype(np.int64).view(np.uint64)
         keys = mixed(ids) ^ table["text_key"].to_numpy().astype(np.int64).view(np.uint64)
         chosen, rest = settle(keys, table["size"].to_numpy() * table["rows"].to_numpy(), table["part"].to_numpy(), seed)
