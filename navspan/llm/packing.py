@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import heapq
 import os
-import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,19 +20,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from navspan.llm.shared import slices, text_bytes
-from navspan.llm.words import word_runs
+from navspan.llm.words import FOLDED, IS_WORD, SPACES, bounds_in, hashes_between, mixed, sorted_distinct, steps, word_bounds
 
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 16 * 2048
 BUFFER_TOKENS = 1 << 20
-#: Words whose ids a Python worker remembers; beyond that it starts anew.
-MEMORY = 500_000
-#: Letters whose lower case and composition depend on nothing around them, then points and commas.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]*)")
+#: Pieces of text whose ids a Python worker remembers (some 30 bytes each); beyond that it starts anew.
+MEMORY = 2_000_000
+#: Kinds of bytes: white space, Latin letters, points and commas, others. Letters with accents are two bytes, the
+#: first one 0xC3; of these, 0x97 and 0xB7 are signs.
+SPACE, LETTER, POINT, OTHER = range(4)
+KIND = np.full(256, OTHER, np.int8)
+KIND[SPACES] = SPACE
+KIND[[*range(65, 91), *range(97, 123), 0xC3]] = LETTER
+KIND[[0x2C, 0x2E]] = POINT
+ACCENT = np.zeros(256, bool)
+ACCENT[0x80:0xC0] = True
+ACCENT[[0x97, 0xB7]] = False
 
 
 class WordIds:
-    """Token ids of whole texts from the ids of their words, as the tokenizer never joins across white space."""
+    """Token ids of whole texts from the ids of their pieces, each piece tokenized once.
+
+    The tokenizer never joins across white space, nor a run of letters with one of points and commas. Chunks between
+    white space that hold nothing else are cut into such runs, whose case does not matter; others stay whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,57 +57,70 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.stems: dict[str, np.ndarray] = {}
-        self.first, self.count, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0
-
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-
-    def learn_stems(self, stems: list[str]) -> None:
-        for i in range(0, len(stems), 500):
-            part = stems[i : i + 500]
-            ids = self.encode(" ".join(part))
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            found = np.split(ids, ends[:-1]) if len(ends) == len(part) else map(self.encode, part)
-            self.stems.update(zip(part, found, strict=True))
-
-    def learn(self, hashes: list[int], texts: list[str]) -> None:
-        split = [PLAIN.fullmatch(t) for t in texts]
-        split = [(m[1].lower(), m[2]) if m else None for m in split]
-        wanted = {x for pair in split if pair for x in pair if x and x not in self.stems}
-        for mark in [x for x in wanted if not x[0].isalpha()]:
-            self.stems[mark] = self.encode(mark)
-            wanted.discard(mark)
-        self.learn_stems(sorted(wanted))
-        for h, text, pair in zip(hashes, texts, split, strict=True):
-            ids = self.encode(text) if pair is None else self.stems[pair[0]] if not pair[1] else np.concatenate([self.stems[pair[0]], self.stems[pair[1]]])
-            at = len(self.slot)
-            if at == len(self.first):
-                self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.slot[h], self.first[at], self.count[at] = at, self.used, len(ids)
-            self.used += len(ids)
+        """Two tables, sorted by hash, of where a piece's ids stand in `flat`: one large, one with the latest."""
+        self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of the ids of each piece; number -1: unknown."""
+        first, count = np.zeros(len(hashes), np.int64), np.full(len(hashes), -1, np.int64)
+        for known, places, counts in self.tables:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                first[hit], count[hit] = places[at[hit]], counts[at[hit]]
+        return first, count
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.int32), np.array([len(x) for x in found], np.int64)
+
+    def encode_stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for runs of letters, many at once: the last id of each ends a word."""
+        ids, _ = self.encode([" ".join(stems[i : i + 500]) for i in range(0, len(stems), 500)])
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(stems) else self.encode(stems)
+
+    def learn(self, hashes: np.ndarray, texts: list[str], stems: np.ndarray) -> None:
+        order = np.concatenate([np.flatnonzero(stems), np.flatnonzero(~stems)])
+        texts = [texts[i] for i in order.tolist()]
+        n = int(stems.sum())
+        found = self.encode_stems(texts[:n]), self.encode(texts[n:])
+        ids, counts = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        new = hashes[order], self.used + np.cumsum(counts) - counts, counts
+        self.used += len(ids)
+        which = 0 if len(self.tables[1][0]) > 1 << 16 else 1
+        merged = [np.concatenate(x) for x in (zip(*self.tables, new, strict=True) if which == 0 else zip(self.tables[1], new, strict=True))]
+        order = np.argsort(merged[0], kind="stable")
+        self.tables[which] = tuple(x[order] for x in merged)
+        if which == 0:
+            self.tables[1] = tuple(x[:0] for x in merged)
 
     def texts(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the n + 1 bounds of the texts in them."""
         out, firsts, counts = [], [], []
-        for starts, ends, hashes in word_runs(data, bounds):
-            if len(self.slot) + len(self.stems) > MEMORY:
+        for at, end in steps(data, IS_WORD):
+            starts, ends, hashes, stems = pieces(data[at:end], bounds_in(bounds, at, end))
+            if not len(starts):
+                continue
+            if sum(len(t[0]) for t in self.tables) > MEMORY:
                 self.forget()
             distinct, where, which = np.unique(hashes, return_index=True, return_inverse=True)
-            known = distinct.tolist()
-            new = [i for i, h in enumerate(known) if h not in self.slot]
-            if new:
-                at = where[new]
-                self.learn([known[i] for i in new], [data[s:e].tobytes().decode() for s, e in zip(starts[at], ends[at], strict=True)])
-            slots = np.fromiter((self.slot[h] for h in known), np.int64, len(known))[which]
-            n = self.count[slots]
+            first, count = self.places(distinct)
+            new = np.flatnonzero(count < 0)
+            if len(new):
+                raw = data[at:end].tobytes()
+                texts = [raw[s:e].decode() for s, e in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)]
+                self.learn(distinct[new], texts, stems[where[new]])
+                first[new], count[new] = self.places(distinct[new])
+            n = count[which]
             skipped = np.cumsum(n) - n
-            out.append(self.flat[np.repeat(self.first[slots] - skipped, n) + np.arange(int(n.sum()))])
-            firsts.append(starts)
+            out.append(self.flat[np.repeat(first[which] - skipped, n) + np.arange(int(n.sum()))])
+            firsts.append(starts + at)
             counts.append(n)
         if not out:
             return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
@@ -103,6 +128,32 @@ class WordIds:
         return np.concatenate(out), before[np.searchsorted(np.concatenate(firsts), bounds)]
 
 
+def pieces(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First byte, end and hash of each piece, and whether it is a run of plain letters."""
+    starts, ends = word_bounds(data, bounds)
+    if not len(starts):
+        return starts, ends, np.zeros(0, np.uint64), np.zeros(0, bool)
+    kind = KIND[data]
+    accents = np.flatnonzero(ACCENT[data[1:]] & (data[:-1] == 0xC3)) + 1
+    kind[accents] = LETTER
+    # 0xC3 not followed by a letter's second byte is none.
+    lead = np.flatnonzero(data == 0xC3)
+    kind[lead[~np.isin(lead + 1, accents, assume_unique=True)]] = OTHER
+    others = np.concatenate([[0], np.cumsum(kind == OTHER)])
+    plain = others[starts] == others[ends]
+    turns = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] != SPACE) & (kind[:-1] != SPACE)) + 1
+    turns = turns[plain[np.searchsorted(starts, turns, "right") - 1]]
+    cut = sorted_distinct(np.concatenate([starts, turns]))
+    chunk = np.searchsorted(starts, cut, "right") - 1
+    end = np.minimum(ends[chunk], np.append(cut[1:], len(data)))
+    hashes = hashes_between(data, cut, end, FOLDED)
+    upper = np.flatnonzero((data >= 65) & (data <= 90))
+    piece = np.searchsorted(cut, upper, "right") - 1
+    upper, piece = upper[~plain[chunk[piece]]], piece[~plain[chunk[piece]]]
+    np.add.at(hashes, piece, mixed(((upper - cut[piece]) * 256 + data[upper]).astype(np.uint64)))
+    return cut, end, hashes, plain[chunk] & (kind[cut] == LETTER)
+
+
 def tier_of(n: int, tiers: tuple[int, ...]) -> int:
     return next(t for t in tiers if n <= t)
 

@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspan.llm import mixing, naming, packing
+from navspan.llm import licenses, lines, mixing, naming, packing, pages, personal, setjoin, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -33,8 +37,47 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", (F.col("kept") & (F.col("row") == 1)).alias("kept"), "text_sha256")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.jaccard_join(spark, table(spark, sf_dir, "documents"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.deduplicated(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), F.array_join(F.transform("dropped", lambda i: i.cast("string")), ",").alias("dropped"), "text")
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(spark, table(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "sentences")
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.personal_data(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(p.kind) for p in personal.BASE]
+    return found.select("doc_id", *counts, F.sha2(personal.joined(F.col("base")), 256).alias("base_sha256"), personal.joined(F.col("found")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_html_extraction": op8_html_extraction,
+    "op9_toxicity": op9_toxicity,
+    "op10_personal_data": op10_personal_data,
 }

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-STEP = 4 << 20
+STEP = 1 << 20
 SPACES = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]
 IS_WORD = np.ones(256, bool)
 IS_WORD[SPACES] = False
@@ -29,6 +29,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
+def sorted_distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     if n:
@@ -36,9 +41,9 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray]:
     """First byte of each word and the byte after its last. bounds: those of the texts; no word crosses one."""
-    inside = IS_WORD[data]
+    inside = is_word[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True
     before = np.empty(len(data), bool)
@@ -51,32 +56,44 @@ def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(inside & (~after | edge[1:])) + 1
 
 
-def hashes_between(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool) -> np.ndarray:
-    """Hash of each word. fold: A-Z count as a-z."""
+def hashes_between(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Hash of each word. values: a number for each byte, 0 for those that part words."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     first, last = starts[0], ends[-1]
-    value = (FOLDED if fold else EXACT)[data[first:last]]
+    value = values[data[first:last]]
     runs = np.diff(starts, append=last)
-    place = np.arange(last - first) - np.repeat(starts - first, runs)
-    value *= powers(BASE, int(runs.max()))[place]
+    place = np.ones(last - first, np.int32)  # counts up from 0 in each word
+    place[0] = 0
+    place[starts[1:] - first] = 1 - runs[:-1]
+    value *= powers(BASE, int(runs.max()))[np.cumsum(place, dtype=np.int32)]
     return mixed(np.add.reduceat(value, starts - first) + (ends - starts).astype(np.uint64) * ROLL)
 
 
-def word_runs(data: np.ndarray, bounds: np.ndarray, fold: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
-    """First bytes, ends and hashes of all words in order, about STEP bytes at a time."""
+def steps(data: np.ndarray, is_inner: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Parts of about STEP bytes that end after a byte that is not an inner one."""
     at = 0
     while at < len(data):
         end = min(len(data), at + STEP)
-        while end < len(data) and IS_WORD[data[end - 1]]:
-            gap = np.flatnonzero(~IS_WORD[data[end : end + STEP]])
+        while end < len(data) and is_inner[data[end - 1]]:
+            gap = np.flatnonzero(~is_inner[data[end : end + STEP]])
             end = min(len(data), end + (int(gap[0]) + 1 if len(gap) else STEP))
-        inner = bounds[np.searchsorted(bounds, at) : np.searchsorted(bounds, end, "right")] - at
-        starts, ends = word_bounds(data[at:end], inner)
-        yield starts + at, ends + at, hashes_between(data[at:end], starts, ends, fold)
+        yield at, end
         at = end
 
 
+def bounds_in(bounds: np.ndarray, at: int, end: int) -> np.ndarray:
+    """Those bounds that lie in a part, counted from its start."""
+    return bounds[np.searchsorted(bounds, at) : np.searchsorted(bounds, end, "right")] - at
+
+
+def word_runs(data: np.ndarray, bounds: np.ndarray, fold: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
+    """First bytes, ends and hashes of all words in order, a part at a time. fold: A-Z count as a-z."""
+    for at, end in steps(data, IS_WORD):
+        starts, ends = word_bounds(data[at:end], bounds_in(bounds, at, end))
+        yield starts + at, ends + at, hashes_between(data[at:end], starts, ends, FOLDED if fold else EXACT)
+
+
 def words(data: np.ndarray, bounds: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the n + 1 bounds of the texts in them."""
     runs = list(word_runs(data, bounds, fold))
