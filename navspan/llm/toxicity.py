@@ -1,8 +1,9 @@
 """Toxicity by multiple-instance learning: sentences have scores, a text's score is their noisy-or, and labels of
 texts alone train the sentence scores, which then point at the offending sentences.
 
-A sentence's score is the logistic function of a bias and the weights of its distinct words and word pairs, hashed to
-a fixed number of slots. The text's score is 1 - prod(1 - score of a sentence).
+A sentence's score is the logistic function of a bias and the weights of its distinct words, word stems and word pairs,
+hashed to a fixed number of slots; only those count whose share of toxic texts stands out from chance. The text's score
+is 1 - prod(1 - score of a sentence).
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navspan.llm.shared import slices, text_bytes
-from navspan.llm.words import FOLDED, ROLL, U, bounds_in, hashes_between, mixed, sorted_distinct, steps, word_bounds
+from navspan.llm.words import BASE, FOLDED, ROLL, U, bounds_in, hashes_between, mixed, powers, sorted_distinct, steps, word_bounds
 
 SLOTS = 1 << 18
+#: Words count as wholes and by their first so many bytes, where they are longer.
+STEMS = (4, 5)
 #: Labelled texts to learn from, at most: toxic ones and others. The sample is the first by a hash of the text.
 SAMPLE = (3000, 6000)
-ROUNDS, RATE, DECAY = 120, 0.15, 0.002
+ROUNDS, RATE, DECAY, LEAST = 120, 0.15, 0.002, 5.0
 THRESHOLD = 0.3
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), 39, *range(128, 256)]] = True
@@ -49,8 +52,12 @@ def sentences(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray
         last = ends[np.append(np.flatnonzero(new)[1:], len(starts)) - 1] + at
         word = hashes_between(own, starts, ends, VALUES)
         pair = mixed(word[:-1] * ROLL + word[1:])
-        both = np.concatenate([(which.astype(np.int64) << 18) | (word & U(SLOTS - 1)).astype(np.int64),
-                               ((which[:-1].astype(np.int64) << 18) | (pair & U(SLOTS - 1)).astype(np.int64))[~new[1:]]])
+        found = [(which, word), (which[:-1][~new[1:]], pair[~new[1:]])]
+        for n in STEMS:
+            longer = ends - starts > n
+            stem = VALUES[own[starts[longer][:, None] + np.arange(n)]] * powers(BASE, n)
+            found.append((which[longer], mixed(stem.sum(axis=1, dtype=np.uint64) + U(n))))
+        both = np.concatenate([(s.astype(np.int64) << 18) | (x & U(SLOTS - 1)).astype(np.int64) for s, x in found])
         both = sorted_distinct(both)
         yield first, last, np.searchsorted(bounds, first, "right") - 1, (both >> 18).astype(np.int32), (both & (SLOTS - 1)).astype(np.int32)
 
@@ -59,7 +66,17 @@ def softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def learned(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS, rate: float = RATE, decay: float = DECAY) -> np.ndarray:
+def telling(of_text: np.ndarray, slots: np.ndarray, toxic: np.ndarray, least: float) -> np.ndarray:
+    """Which slots are in so many more toxic texts, or fewer, than chance has it: by `least` standard deviations."""
+    once = sorted_distinct((of_text.astype(np.int64) << 18) | slots)
+    slot = once & (SLOTS - 1)
+    seen = np.bincount(slot, minlength=SLOTS)
+    bad = np.bincount(slot, toxic[once >> 18].astype(np.float64), SLOTS)
+    share = toxic.mean()
+    return np.abs(bad - share * seen) > least * np.sqrt(np.maximum(share * (1 - share) * seen, 1e-9))
+
+
+def learned(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS, rate: float = RATE, decay: float = DECAY, least: float = LEAST) -> np.ndarray:
     """The slots' weights, then the bias. weight: how many texts of the corpus each one stands for."""
     of_text, of_sentence, slots, n = [], [], [], 0
     data, bounds = text_bytes(texts)
@@ -71,8 +88,8 @@ def learned(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, rounds: int
     if not n or not toxic.any():
         return np.append(np.zeros(SLOTS), -12.0)
     of_text, of_sentence, slots = (np.concatenate(x) for x in (of_text, of_sentence, slots))
-    seen = np.bincount(slots, minlength=SLOTS)
-    of_sentence, slots = of_sentence[seen[slots] > 2], slots[seen[slots] > 2]
+    told = telling(of_text[of_sentence], slots, toxic, least)
+    of_sentence, slots = of_sentence[told[slots]], slots[told[slots]]
     weight = weight / weight.sum()
     share = float((weight * toxic).sum())
     w, bias = np.zeros(SLOTS), np.log(max(share, 1e-6) * len(toxic) / n)
