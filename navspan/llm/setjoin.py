@@ -5,10 +5,10 @@ few of either in any common order of numbers, so a tile holds the documents that
 are seen often come last in the order, which keeps tiles small; the order has no part in what is found. Within a
 tile, sizes and the bits in which two signatures differ bound the overlap from above; what passes is intersected.
 
-A tile's documents are first held against its smallest doc_id only. Documents that this has tied into one component
-need no comparison with each other, so the groups of copies, however large, cost as many comparisons as they have
-members. The rest of a tile is cut into blocks in order of size, and pairs of blocks within the size band are compared
-in separate tasks.
+Each document is first held against one other, of the smallest doc_ids of its tiles the one that it shares most tiles
+with. Documents that this has tied into one component need no comparison with each other, so the groups of copies,
+however large, cost as many comparisons as they have members. Tiles with the same documents are one from then on. They
+are cut into blocks in order of size, and pairs of blocks within the size band are compared in separate tasks.
 """
 
 from __future__ import annotations
@@ -17,19 +17,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from navspan.llm.components import components
-from navspan.llm.shared import slices, text_bytes, written
+from navspan.llm.shared import runs, slices, text_bytes, written
 from navspan.llm.words import U, mixed, shingles, sorted_distinct, words
 
 SHINGLE, PERCENT = 5, 75
-BITS = 512
+#: Bits of a signature: a power of two, at least twice the set's size, within these bounds.
+LEAST_BITS, MOST_BITS = 64, 1 << 16
 BLOCK = 256
 #: A number counts as frequent from so many documents on, when so many of one run of texts have it.
-FREQUENT, FREQUENT_HERE = 64, 3
+FREQUENT, FREQUENT_HERE = 16, 3
 #: Frequent numbers that tasks are told of: at most 2 MB. Of more, the most frequent.
 TOLD = 1 << 18
 #: Bits of the map of candidates, a bound of 512 KB; one that is full lets all documents pass, nothing else changes.
@@ -52,7 +53,24 @@ def identity(numbers: np.ndarray) -> tuple[int, int]:
 
 def signature(numbers: np.ndarray) -> bytes:
     """For each bit, whether an odd number of the set's numbers fall on it."""
-    return np.packbits(np.bincount((numbers & U(BITS - 1)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(numbers) - 1).bit_length()))
+    return np.packbits(np.bincount((numbers & U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def differing(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """In how many bits the signatures of each pair differ; the longer one is folded to the length of the other."""
+    sizes = np.array([[len(a), len(b)] for a, b in zip(x, y, strict=True)], np.int64).reshape(-1, 2)
+    out = np.zeros(len(x), np.int64)
+    for m, n in sorted(set(map(tuple, sizes.tolist()))):
+        at = np.flatnonzero((sizes == (m, n)).all(axis=1)).tolist()
+        step = max(1, (8 << 20) // (m + n))
+        for i in range(0, len(at), step):
+            part = at[i : i + step]
+            a, b = (np.frombuffer(b"".join(v[k] for k in part), np.uint64).reshape(len(part), -1) for v in (x, y))
+            while a.shape[1] != b.shape[1]:
+                a, b = (v if v.shape[1] == min(a.shape[1], b.shape[1]) else v[:, : v.shape[1] // 2] ^ v[:, v.shape[1] // 2 :] for v in (a, b))
+            out[part] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def head(numbers: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
@@ -139,31 +157,24 @@ def candidate_map(ids: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def bound(n: np.ndarray, m: np.ndarray, differing: np.ndarray) -> np.ndarray:
-    """An upper bound of the overlap of sets of n and m numbers whose signatures differ in so many bits."""
-    return np.minimum(np.minimum(n, m), (n + m - differing) // 2)
-
-
-def may_link(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, percent: int) -> np.ndarray:
+def may_link(n: np.ndarray, m: np.ndarray, differ: np.ndarray | int, percent: int) -> np.ndarray:
+    """Whether sets of n and m numbers, of which so many at least are in one only, can be linked."""
+    overlap = np.minimum(np.minimum(n, m), (n + m - differ) // 2)
     return 100 * overlap >= percent * (n + m - overlap)
 
 
-def unpacked(column: pa.Array) -> np.ndarray:
-    return np.array([np.frombuffer(x, np.uint64) for x in column.to_pylist()], np.uint64).reshape(len(column), BITS // 64)
-
-
 def bounded(pairs: DataFrame, profile: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) that their sizes and signatures do not rule out."""
     for side in "ab":
-        pairs = pairs.join(profile.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+        pairs = pairs.join(profile.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, m = batch["n_a"].to_numpy(), batch["n_b"].to_numpy()
-            differing = np.bitwise_count(unpacked(batch["bits_a"]) ^ unpacked(batch["bits_b"])).sum(axis=1, dtype=np.int64)
-            yield batch.filter(pa.array(may_link(n, m, bound(n, m, differing), percent))).select(["a", "b"])
+            differ = differing(batch["bits_a"].to_pylist(), batch["bits_b"].to_pylist())
+            yield batch.filter(pa.array(may_link(batch["n_a"].to_numpy(), batch["n_b"].to_numpy(), differ, percent))).select(["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    return pairs.where(near).mapInArrow(run, "a long, b long")
 
 
 def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -201,33 +212,36 @@ def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int,
 
 def tile_pairs(spark: SparkSession, shared: DataFrame, profile: DataFrame, root: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of tiles whose documents are not of one component yet, after sizes and signatures."""
-    members = shared.join(profile.select(F.col("doc_id").alias("id"), "n", "bits"), "id")
-    members = members.join(root.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    open_ = members.groupBy("number").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("number")
+    members = shared.join(root.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    # Of tiles with the same documents, one.
+    tiles = members.groupBy("number").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
+    tiles = tiles.where("low < high").groupBy("who", "size").agg(F.min("number").alias("number")).select("number")
+    members = members.join(tiles, "number").join(profile, "id")
     order = Window.partitionBy("number").orderBy("n", "id")
-    members = members.join(open_, "number").withColumn("block", ((F.row_number().over(order) - 1) / BLOCK).cast("int"))
+    members = members.withColumn("block", ((F.row_number().over(order) - 1) / BLOCK).cast("int"))
     members = written(spark, members, "members")
     blocks = members.groupBy("number", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     left, right = blocks.alias("l"), blocks.alias("r")
     near = (F.col("l.number") == F.col("r.number")) & (F.col("l.block") <= F.col("r.block")) & (F.col("l.high") * 100 >= F.col("r.low") * percent)
     tiles = left.join(right, near).select(F.col("l.number").alias("number"), F.col("l.block").alias("i"), F.col("r.block").alias("j"))
-    sides = [members.select("number", F.col("block").alias(c), "id", "n", "bits", "root").join(tiles, ["number", c]).withColumn("side", F.lit(c)).select("number", "i", "j", "side", "id", "n", "bits", "root") for c in "ij"]
-
-    def compare(tile: pa.Table) -> pa.Table:
-        def part(side: str) -> tuple:
-            own = tile.filter(pc.equal(tile["side"], side)).combine_chunks()
-            return own["id"].to_numpy(), own["n"].to_numpy(), own["root"].to_numpy(), unpacked(own["bits"].combine_chunks())
-
-        (a, n, r, x), (b, m, s, y) = part("i"), part("j")
-        rows = []
-        for k in range(len(a)):
-            differing = np.bitwise_count(y ^ x[k]).sum(axis=1, dtype=np.int64)
-            fit = may_link(n[k], m, bound(n[k], m, differing), percent) & (s != r[k])
-            rows += [(min(a[k], other), max(a[k], other)) for other in b[fit]]
-        rows = sorted(set(rows))
-        return pa.table({"a": pa.array([p for p, _ in rows], pa.int64()), "b": pa.array([q for _, q in rows], pa.int64())})
-
-    return sides[0].unionByName(sides[1]).groupBy("number", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    columns = ["number", "i", "j", "block", "id", "n", "bits", "root"]
+    first = members.join(tiles, (members["number"] == tiles["number"]) & (members["block"] == tiles["i"])).drop(tiles["number"])
+    second = members.join(tiles.where("i < j"), (members["number"] == tiles["number"]) & (members["block"] == tiles["j"])).drop(tiles["number"])
+    rows = first.select(*columns).unionByName(second.select(*columns))
+    rows = rows.repartition("number", "i", "j").sortWithinPartitions("number", "i", "j", "block")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in runs(batches, ["number", "i", "j"]):
+            block, ids, n, root = (tile[c].to_numpy() for c in ("block", "id", "n", "root"))
+            bits = tile["bits"].to_pylist()
+            x, y = np.flatnonzero(block == tile["i"][0].as_py()), np.flatnonzero(block == tile["j"][0].as_py())
+            p, q = np.nonzero((root[x][:, None] != root[y]) & may_link(n[x][:, None], n[y], 0, percent) & ((ids[x][:, None] < ids[y]) | (block[x][:, None] != block[y])))
+            p, q = x[p], y[q]
+            fit = may_link(n[p], n[q], differing([bits[k] for k in p], [bits[k] for k in q]), percent)
+            p, q = ids[p[fit]], ids[q[fit]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+
+    return rows.mapInArrow(compare, "a long, b long").distinct()
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -245,23 +259,24 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, perc
     usable = rows.where("n > 0 and doc_id is not null")
     classes = usable.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("class_id"))
     member = written(spark, usable.join(classes, ["h1", "h2", "n"]).select("doc_id", "class_id", "n").distinct(), "classes")
-    profile = usable.select("doc_id", "n", "bits").join(member.where("doc_id = class_id").select("doc_id", "n"), ["doc_id", "n"], "left_semi").dropDuplicates(["doc_id", "n"])
+    profile = usable.select("doc_id", "n", "bits").join(member.where("doc_id = class_id").select("doc_id", "n"), ["doc_id", "n"], "left_semi")
+    profile = profile.dropDuplicates(["doc_id", "n"]).withColumnRenamed("doc_id", "id")
 
     numbers = heads(docs, size, percent, frequent_numbers(found)).repartition("number")
     tile = Window.partitionBy("number")
     numbers = numbers.withColumn("low", F.min("doc_id").over(tile)).withColumn("high", F.max("doc_id").over(tile)).where("low < high")
     numbers = numbers.select("number", "doc_id").join(member.select("doc_id", "class_id"), "doc_id")
     shared = written(spark, numbers.select("number", F.col("class_id").alias("id")).distinct(), "shared")
-    leads = shared.groupBy("number").agg(F.min("id").alias("a"), F.count("*").alias("members")).where("members > 1")
-    shared = shared.join(leads.select("number", "members"), "number").drop("members")
-    pairs = leads.select("number", "a").join(shared.withColumnRenamed("id", "b"), "number").where("a < b").select("a", "b").distinct()
+    leads = shared.groupBy("number").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("number", "a")
+    pairs = leads.join(shared.withColumnRenamed("id", "b"), "number").where("a < b").groupBy("a", "b").agg(F.count("*").alias("tiles"))
+    pairs = pairs.groupBy("b").agg(F.max(F.struct("tiles", (-F.col("a")).alias("a"))).alias("best")).select((-F.col("best.a")).alias("a"), "b")
     pairs = written(spark, bounded(pairs, profile, percent), "pairs")
     # Several texts of one doc_id tie the classes that they are in.
     repeats = member.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("c")).where("a < c").select("doc_id", "a")
     links = verified(spark, docs, pairs, size, percent).union(repeats.join(member.select("doc_id", F.col("class_id").alias("b")), "doc_id").select("a", "b"))
     links = written(spark, links, "links")
     root = components(spark, links)
-    more = written(spark, tile_pairs(spark, shared, profile, root, percent).join(pairs, ["a", "b"], "left_anti"), "more")
+    more = written(spark, tile_pairs(spark, shared.join(leads.select("number"), "number"), profile, root, percent).join(pairs, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         root = components(spark, links.union(verified(spark, docs, more, size, percent)))
     tied = member.groupBy("doc_id").agg(F.min("class_id").alias("class_id")).join(root.withColumnRenamed("node", "class_id"), "class_id", "left")

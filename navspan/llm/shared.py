@@ -51,3 +51,23 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         total += n
     if first < len(sizes):
         yield batch.slice(first)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of consecutive rows with equal numbers in the key columns; one is held at a time."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        values = np.stack([batch[k].to_numpy() for k in keys])
+        cuts = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+            key = values[:, a].tolist()
+            if held and key != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
