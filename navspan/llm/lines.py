@@ -19,14 +19,25 @@ from navspan.llm.shared import written
 
 #: Lines shorter than this are compared as wholes only.
 LEAST = 20
-PARTS = (2, 8)
+#: Lines to look up whose places are sent to all tasks, at most (some 50 bytes each); beyond that, texts are shuffled.
+BROADCAST = 1_000_000
+SPACES = " \t\r\v\f"
+PARTS = 8
 AT = ["doc_id", "text_key", "line_no"]
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, and the lines of each text without the spaces around them."""
-    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x, F.lit(" \t\r\v\f")))
-    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), lines.alias("lines"))
+    """doc_id, text_key, line_no and line of each line that is not blank, without the spaces around it."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", F.lit("\n"))).alias("line_no", "line"))
+    return lines.withColumn("line", F.trim("line", F.lit(SPACES))).where("line <> ''")
+
+
+def half_keys(line: Column) -> Column:
+    """Keys of a line's first and last half. One edit leaves one of them as it is: that of half the longer line's
+    characters, rounded down, which the shorter one has as half of one character more."""
+    n = F.length(line)
+    keys = [F.xxhash64(half, F.lit(i)) for size in (F.shiftright(n, 1), F.shiftright(n + 1, 1)) for i, half in enumerate((F.substr(line, F.lit(1), size), F.substr(line, n - size + 1, size)))]
+    return F.when(n % 2 == 0, F.array(*keys[:2])).otherwise(F.array(*keys))
 
 
 def part_keys(line: Column, parts: int) -> Column:
@@ -72,24 +83,24 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, least: int = LEAST) -> D
     does not matter. Rows that repeat both doc_id and text are the same lines. Null counts as empty; an empty table
     gives no rows; other columns are ignored.
     """
-    texts = lines_of(docs)
-    lines = texts.select("doc_id", "text_key", F.posexplode("lines").alias("line_no", "line")).where("line <> ''")
-    long = F.length("line") >= least
-    halves = F.when(long, F.transform(part_keys(F.col("line"), PARTS[0]), lambda k: k["key"]))
+    lines = lines_of(docs)
+    halves = F.when(F.length("line") >= least, half_keys(F.col("line")))
     occurrences = lines.select(*AT, F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"), halves.alias("halves"))
     same = ["h1", "h2"]
     distinct = occurrences.groupBy(*same, "halves").agg(F.min(F.struct(*AT)).alias("first"), F.count("*").alias("n"))
     distinct = written(spark, distinct.select(F.monotonically_increasing_id().alias("id"), "*"), "lines")
 
     keys = distinct.where("halves is not null").select("id", F.explode("halves").alias("key"))
-    some = shared(keys).select("id").distinct().join(distinct.select("id", "first"), "id")
-    wanted = some.groupBy("first.doc_id", "first.text_key").agg(F.collect_list(F.struct("first.line_no", "id")).alias("wanted"))
-    wanted = wanted.withColumnsRenamed({"doc_id": "d", "text_key": "k"})
-    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-    found = found.select("doc_id", "text_key", "lines", F.explode("wanted").alias("w")).select(
-        F.struct("doc_id", "text_key", F.col("w.line_no").alias("line_no")).alias("first"), F.col("w.id").alias("id"), F.get("lines", F.col("w.line_no")).alias("line"))
+    some = written(spark, shared(keys).select("id").distinct().join(distinct.select("id", "first"), "id"), "some")
+    # Of the texts, only those with such a line leave the scan.
+    wanted = some.groupBy(F.col("first.doc_id").alias("d"), F.col("first.text_key").alias("k")).agg(F.collect_list(F.struct("first.line_no", "id")).alias("wanted"))
+    wanted = F.broadcast(wanted) if some.count() <= BROADCAST else wanted
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
+    texts = texts.select("doc_id", "text_key", F.split("text", F.lit("\n")).alias("lines"), "wanted")
+    found = texts.select("doc_id", "text_key", F.explode(F.transform("wanted", lambda w: F.struct(w["line_no"].alias("line_no"), w["id"].alias("id"), F.get("lines", w["line_no"]).alias("line")))).alias("w"))
+    found = found.select(F.struct("doc_id", "text_key", "w.line_no").alias("first"), "w.id", F.trim("w.line", F.lit(SPACES)).alias("line"))
     found = written(spark, found, "halves")
-    keys = found.select("id", "first", F.explode(part_keys(F.col("line"), PARTS[1])).alias("k")).select("id", "first", "k.key", "k.rest")
+    keys = found.select("id", "first", F.explode(part_keys(F.col("line"), PARTS)).alias("k")).select("id", "first", "k.key", "k.rest")
     variants = shared(keys).select("id", "first", "key", "rest", F.explode(neighbours(F.col("rest"))).alias("v")).select("id", "first", "key", "rest", "v.kind", "v.variant")
     variants = written(spark, variants, "variants")
     # A key's earliest line of each kind; w meets d, d meets w, s meets s.
