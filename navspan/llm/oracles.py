@@ -1,6 +1,28 @@
 """SQL twins, for DuckDB, of the queries that SQL can express."""
 
+from navspan.llm.licenses import NOTICES
+
+#: Templates as a table: license, place in its list, text.
+_TEMPLATES = ", ".join(f"('{name}', {i}, '{text}')" for name, notices in NOTICES.items() for i, text in enumerate(notices))
+
+
+def _shingles(key: str, source: str) -> str:
+    """Distinct runs of five words of ASCII letters and digits, or the whole of a shorter text."""
+    return f"""SELECT DISTINCT {key}, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i+4], ' ') END AS s
+        FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM (
+            SELECT *, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w
+            FROM ({source})) WHERE len(w) > 0)"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_license_scan": f"""
+        WITH t AS ({_shingles("license, template", f"SELECT * FROM (VALUES {_TEMPLATES}) AS v(license, template, text)")}),
+             d AS ({_shingles("doc_id", "SELECT doc_id, text FROM documents")}),
+             n AS (SELECT license, template, count(*) AS size FROM t GROUP BY ALL)
+        SELECT doc_id, license, cast(template AS INTEGER) AS template, cast(count(*) AS INTEGER) AS matched, cast(size AS INTEGER) AS size
+        FROM d JOIN t USING (s) JOIN n USING (license, template) GROUP BY doc_id, license, template, size
+        HAVING 100 * count(*) >= 75 * size
+    """,
     "op4_exact_dedup": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain FROM documents),
