@@ -1,17 +1,16 @@
 """License scans: MinHash bands over overlapping text windows retrieve templates, and exact shingle containment
 verifies them.
 
-A text's word pairs are cut into blocks of HALF, and two neighbouring blocks are a window. A window's MinHash under each
-of BANDS masks is the smaller of its blocks' ones. Templates are few and known beforehand, and their windows start at
-every pair, so a window of a copied passage agrees with one of the template's wholly or nearly: with similarity j, they
-collide in at least one band with chance 1 - (1 - j)^BANDS, 99.9 % at 0.57, where the shortest of templates stand. All
-of this happens within the row, and nothing is shuffled.
+A window is WINDOW neighbouring word pairs, and one starts at every STRIDE-th pair; its MinHash under each of BANDS masks
+is a band of one row. Templates are few and known beforehand, and their windows start at every pair, so of a copied
+passage's windows all inner ones agree wholly with one of the template's. Where a template is no longer than a window, the
+two windows that share three of its four pairs with it have similarity 0.6, and miss it in all bands with chance
+0.4^(2 * BANDS), 1 in 10,000. All of this happens within the row, and nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from navspan.llm.native import let
 
-HALF, BANDS, SHINGLE, PERCENT = 4, 8, 5, 75
+WINDOW, STRIDE, BANDS, SHINGLE, PERCENT = 4, 2, 5, 5, 75
 #: Windows of all templates, at most: they are constants of the plan.
 MOST_WINDOWS = 5_000
 MASKS = [random.Random(20240601 + i).getrandbits(64) - (1 << 63) for i in range(BANDS)]
@@ -63,32 +62,27 @@ def pairs_of(words: Column) -> Column:
     return let(hashed, words=words)
 
 
-def minimum(mask: int) -> Callable[[Column], Column]:
-    """The MinHash of an array of hashes under a mask."""
-    return lambda hashes: F.array_min(F.transform(hashes, lambda x: x.bitwiseXOR(F.lit(mask))))
-
-
-def block_minima(pairs: Column) -> Column:
-    """For each mask, the minima of the blocks of HALF pairs."""
+def window_minima(pairs: Column) -> Column:
+    """For each mask, the MinHash of every window of WINDOW pairs, one from each STRIDE-th pair on."""
     def of(v: Column) -> Column:
-        starts = F.when(F.size(v["pairs"]) > 0, F.sequence(F.lit(1), F.size(v["pairs"]), F.lit(HALF))).otherwise(F.array().cast("array<int>"))
-        blocks = F.transform(starts, lambda i: F.slice(v["pairs"], i, F.lit(HALF)))
-        return let(lambda w: F.array(*[F.transform(w["blocks"], minimum(m)) for m in MASKS]), blocks=blocks)
+        def band(mask: int) -> Column:
+            return F.transform(v["starts"], lambda i: F.least(*[F.get(v["pairs"], i + k).bitwiseXOR(F.lit(mask)) for k in range(WINDOW)]))
 
-    return let(of, pairs=pairs)
+        return F.array(*[band(m) for m in MASKS])
 
+    def starting(v: Column) -> Column:
+        starts = F.when(F.size(v["pairs"]) > 0, F.sequence(F.lit(0), F.size(v["pairs"]) - 1, F.lit(STRIDE))).otherwise(F.array().cast("array<int>"))
+        return let(of, pairs=v["pairs"], starts=starts)
 
-def window_minima(pairs: Column) -> Column:
-    """For each mask, the minima of all windows of two neighbouring blocks (the last block is one of its own)."""
-    return F.transform(block_minima(pairs), lambda band: let(lambda v: F.transform(v["band"], lambda x, i: F.least(x, F.get(v["band"], i + 1))), band=band))
+    return let(starting, pairs=pairs)
 
 
 def template_windows(templates: DataFrame) -> DataFrame:
-    """(number, minima by mask) of windows of each template, one from every pair on."""
+    """(number, MinHashes by mask) of the windows of each template, one from every pair on."""
     rows = templates.withColumn("pairs", pairs_of(F.col("words")))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("pairs") - 2 * HALF + 1))
-    windows = rows.select("number", "pairs", F.explode(starts).alias("start")).withColumn("window", F.slice("pairs", F.col("start"), F.lit(2 * HALF)))
-    return windows.select("number", F.array(*[minimum(m)(F.col("window")) for m in MASKS]).alias("minima"))
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("pairs") - WINDOW + 1))
+    windows = rows.select("number", F.explode(F.transform(starts, lambda i: F.slice("pairs", i, F.lit(WINDOW)))).alias("window"))
+    return windows.select("number", F.transform(window_minima(F.col("window")), lambda band: band[0]).alias("minima"))
 
 
 def scan(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, percent: int = PERCENT) -> DataFrame:
@@ -111,10 +105,13 @@ def scan(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, percent: int
         values = sorted({minima[j] for n, minima in windows if number in (None, n)})
         return F.array(*[F.lit(x) for x in values]).cast("array<bigint>")
 
-    rows = docs.select("doc_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
-    rows = rows.withColumn("minima", window_minima(pairs_of(F.col("words"))))
-    hits = [F.array_intersect(F.col("minima")[j], constants(j)) for j in range(BANDS)]
-    rows = rows.select("doc_id", "words", F.array(*hits).alias("hits")).where(F.exists("hits", lambda h: F.size(h) > 0))
+    def hits(v: Column) -> Column:
+        found = let(lambda w: F.array(*[F.array_intersect(w["minima"][j], constants(j)) for j in range(BANDS)]), minima=window_minima(pairs_of(v["words"])))
+        return F.struct(v["words"].alias("words"), found.alias("hits"))
+
+    # Rows without hits end here. An explode, as the planner would move a filter, and all of the work with it, down.
+    hit = F.filter(F.array(let(hits, words=words_of(F.col("text")))), lambda h: F.exists(h["hits"], lambda x: F.size(x) > 0))
+    rows = docs.select("doc_id", F.explode(hit).alias("hit")).select("doc_id", "hit.words", "hit.hits")
     numbers = sorted({n for n, _ in windows})
     retrieved = [F.when(reduce(Column.__or__, [F.arrays_overlap(F.col("hits")[j], constants(j, n)) for j in range(BANDS)]), F.lit(n)) for n in numbers]
     rows = rows.select("doc_id", shingles_of(F.col("words")).alias("own"), F.explode(F.array_compact(F.array(F.lit(None).cast("int"), *retrieved))).alias("number"))
