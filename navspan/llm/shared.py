@@ -23,9 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: computed once, and still there when an executor is lost."""
+    """df as a table in the shared folder: computed once, and still there when an executor is lost.
+
+    As zstd, which is small and works in the heap; other codecs hold on to direct memory for each column and file.
+    """
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
