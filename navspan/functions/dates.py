@@ -1,5 +1,7 @@
 """Calendar helpers: SQL expressions of dates in, SQL expressions out."""
 
+from pyspark.sql import functions as F
+
 from navspan.functions.fixed import CURRENT
 from navspan.functions.keys import check_period
 
@@ -27,3 +29,10 @@ def parse_date(text):
 
 def format_date(date):
     return f"date_format({date}, '{TEXT_FORMAT}')"
+
+
+def as_date(value):
+    """A date column from a date, or from yyyyMMdd or yyyy-MM-dd text."""
+    if isinstance(value, str):
+        return F.to_date(F.lit(value), TEXT_FORMAT if value.isdigit() else "yyyy-MM-dd")
+    return F.lit(value)

@@ -1,6 +1,6 @@
 """Frame keys: an int is a look-back in rows (0 = since inception), a str a calendar period."""
 
-from navspan.functions.fixed import CURRENT, PERIODS
+from navspan.functions.fixed import CURRENT, PERIODS, WINDOWS
 
 
 def check_window(window):
@@ -30,3 +30,11 @@ def is_window(key):
 
 def column_name(prefix, key):
     return f"{prefix}_{key}D"
+
+
+def needed(key, min_points=None):
+    """Rows or days that a frame asks for: the look-back itself, one for others; for a look-back that is not among
+    the usual ones, ``min_points`` where given."""
+    if not is_window(key):
+        return 1
+    return min_points if min_points is not None and key not in WINDOWS else max(key, 1)

@@ -8,10 +8,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from navspan.functions.fixed import DATE, PRODUCT
+from navspan.operators.series import unless
 
 
 def lookup(table, anchors, anchor, forward, fallback):
-    """Anchors with ``row``: the struct of the table's row found, null if there is none."""
+    """Anchors with ``row``: the struct of the table's row found, null if there is none.
+
+    Two rows of the table on one date are an error, as the one found would hang on their order.
+    """
     payload = F.struct(*[c for c in table.columns if c != PRODUCT])
     rows = table.select(PRODUCT, F.col(DATE).alias("_at"), F.lit(0).alias("_tag"), payload.alias("_row"))
     wanted = anchors.select(PRODUCT, F.col(anchor).cast("date").alias("_at")).distinct()
@@ -23,8 +27,11 @@ def lookup(table, anchors, anchor, forward, fallback):
     if fallback:
         whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         nearest = F.coalesce(nearest, F.first("_row", ignorenulls=True).over(whole))
-    both = rows.unionByName(wanted).select("*", nearest.alias("row"))
-    return both.filter(F.col("_tag") == 1).select(PRODUCT, F.col("_at").alias(anchor), "row")
+    place = [F.row_number().over(ordered).alias("_place"), F.rank().over(ordered).alias("_rank")]
+    both = rows.unionByName(wanted).select("*", nearest.alias("row"), *place)
+    # Rows of one date share a rank. One condition: the rows that are not asked for are checked too.
+    both = both.filter(unless("_place <> _rank", "_tag = 1"))
+    return both.select(PRODUCT, F.col("_at").alias(anchor), "row")
 
 
 def asof_rows(table, anchors, anchor="anchor"):

@@ -20,8 +20,8 @@ from navspan.operators import declines, series, sliding
 from navspan.operators.series import BEFORE, SO_FAR, add, over
 
 
-def prepare(nav, parts, outputs, partitions="session"):
-    """NAV rows with the output columns, a list of (name, key, parts, SQL expression).
+def prepare(nav, parts, outputs, partitions="session", kept=()):
+    """NAV rows with the output columns, a list of (name, key, parts, SQL expression), and those ``kept``.
 
     An output is computed as soon as its parts are there, so that rows stay narrow and the generated
     code of one step stays small.
@@ -31,12 +31,18 @@ def prepare(nav, parts, outputs, partitions="session"):
     fall_windows = [k for k in fall_keys if is_window(k) and k > 0]
     style = declines.Style(detail=bool(_keys(parts, "decline")))
 
-    df = series.by_product(nav.select(PRODUCT, DATE, VALUE), partitions)
+    df = series.by_product(nav.select(PRODUCT, DATE, VALUE, *kept), partitions)
     if fall_keys:
         df = add(df, declines.day_column())
+    if fall_windows:
+        # The look backwards comes first, so the check does too; its sort serves the tails.
+        df = series.unique_dates(add(df, series.place(series.over_backwards())))
     df = declines.add_tails(df, fall_windows, style)
     df = series.calendar_columns(df)
-    df = add(df, series.neighbours())
+    if fall_windows:
+        df = add(df, series.neighbours())
+    else:
+        df = series.unique_dates(add(df, {**series.neighbours(), **series.place(over())}))
     if _keys(parts, "moments") or _keys(parts, "inner"):
         df = add(df, series.step_return())
     df = sliding.add_sliding(df, _windows(parts, "moments"), _windows(parts, "high"))

@@ -2,7 +2,7 @@
 
 from navspan.functions.dates import day_gap
 from navspan.functions.fixed import CURRENT, DATE, VALUE
-from navspan.functions.keys import is_window
+from navspan.functions.keys import is_window, needed
 from navspan.functions.numeric import annualize, pct_change, round_even
 from navspan.operators import prepare as p
 
@@ -24,9 +24,9 @@ def annualized_return(key):
     return round_even(_annualized(p.start_row(key)))
 
 
-def strict_return(key):
+def strict_return(key, min_points=None):
     """From the forward start row, unrounded; null with fewer rows or days than the key asks for."""
-    least = max(key, 1) if is_window(key) else 1
+    least = needed(key, min_points)
     start = p.forward_row(key)
     enough = f"{p.rows_in_range(key)} >= {least} AND {day_gap(DATE, start[0])} >= {least}"
     return f"if({enough}, {_annualized(start)}, NULL)"

@@ -35,15 +35,13 @@ def over_backwards(frame=""):
 def by_product(nav, partitions="session"):
     """Hash partitions by product.
 
-    Where the session sets a number of shuffle partitions, exactly that number: the windows cost far more
-    than their input's bytes suggest, and merging small partitions would leave cores idle. Otherwise, or
-    with None, the planner decides, and a table bucketed by product (``sources.files.write_bucketed``)
+    The number given, or else the session's number of shuffle partitions, and then exactly that number: the
+    windows cost far more than their input's bytes suggest, and merging small partitions would leave cores
+    idle. With None the planner decides, and a table bucketed by product (``sources.files.write_bucketed``)
     needs no exchange at all.
     """
     if partitions == "session":
-        unset = "1"
-        partitions = nav.sparkSession.conf.get("spark.sql.shuffle.partitions", unset)
-        partitions = None if partitions == unset else int(partitions)
+        partitions = int(nav.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return nav if partitions is None else nav.repartition(partitions, PRODUCT)
 
 
@@ -62,7 +60,7 @@ def calendar_columns(df):
 
 
 def neighbours():
-    """Position in the series, the row before and the first row."""
+    """Position in the series, the row before, the first row and the lowest value so far."""
     w, so_far = over(), over(frame=SO_FAR)
     return {
         "_i": f"row_number() {w} - 1",
@@ -70,6 +68,7 @@ def neighbours():
         "_prev_val": f"lag({VALUE}) {w}",
         "_first_date": f"first({DATE}) {so_far}",
         "_first_val": f"first({VALUE}) {so_far}",
+        "_lowest": f"min({VALUE}) {so_far}",
     }
 
 
@@ -86,7 +85,18 @@ def step_return():
     return {"_x": f"try_divide({pct_change(VALUE, '_prev_val')}, {day_gap(DATE, '_prev_date')})"}
 
 
-def checked_date():
-    """The date, or an error if the product has two rows on it."""
+def unless(wrong, keep="true"):
+    """A filter condition that raises where ``wrong`` holds: no column that a query leaves out takes it away."""
     message = f"concat('two rows on one date for product ', {PRODUCT})"
-    return f"if(_prev_date = {DATE}, date(raise_error({message})), {DATE}) AS {DATE}"
+    return f"if({wrong}, boolean(raise_error({message})), {keep})"
+
+
+def place(window):
+    """Columns by which ``unique_dates`` tells rows on one date: they share a rank. Comparing the dates themselves would
+    not do, as a caller's filter on the date is put in their place."""
+    return {"_place": f"row_number() {window}", "_rank": f"rank() {window}"}
+
+
+def unique_dates(df):
+    """df, which has the columns of ``place``, or an error if a product has two rows on a date."""
+    return df.filter(unless("_place <> _rank")).drop("_place", "_rank")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from navspan.functions.dates import format_date
 from navspan.functions.fixed import DATE, PRODUCT, REPORT_RETURNS
 from navspan.functions.keys import column_name
+from navspan.sources.nav import one_row_per_day
 
 
 def join_metrics(*tables):
@@ -52,9 +53,10 @@ def report(returns):
 def per_product(nav, compute, schema):
     """A user's own metric: ``compute`` maps one product's pandas frame, sorted by date, to a frame.
 
-    The way out for what columns cannot say; a product holds one row per day at most.
+    The way out for what SQL over frames cannot say (``plans.registry.sql_metric``). A second row on a date
+    is an error, found before rows meet in Python, so a group holds one row per day at most.
     """
     def sorted_compute(pdf):
         return compute(pdf.sort_values(DATE, ignore_index=True))
 
-    return nav.groupBy(PRODUCT).applyInPandas(sorted_compute, schema)
+    return one_row_per_day(nav).groupBy(PRODUCT).applyInPandas(sorted_compute, schema)

@@ -58,30 +58,32 @@ def scaling(key, rows, ladder="coded", chained=False, daily=DAYS_PER_YEAR):
 
 
 def _gated(key, rows, min_points, value):
-    return f"if({rows} >= {VOLATILITY_MIN_ROWS.get(key, min_points)}, {value}, NULL)"
+    least = VOLATILITY_MIN_ROWS.get(key, DEFAULT_MIN_POINTS if min_points is None else min_points)
+    return f"if({rows} >= {least}, {value}, NULL)"
 
 
-def annualized_volatility(key, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
+def annualized_volatility(key, ladder="coded", min_points=None, daily=DAYS_PER_YEAR):
     rows = p.frame_rows(key)
     scale, freq = scaling(key, rows, ladder, daily=daily)
     return _gated(key, rows, min_points, round_even(f"_std_{key} * {scale} * sqrt({freq})"))
 
 
-def mean_step_return(key, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
+def mean_step_return(key, ladder="coded", min_points=None, daily=DAYS_PER_YEAR):
     """Mean of the scaled step returns behind the volatility of the same key."""
     rows = p.frame_rows(key)
     scale, _ = scaling(key, rows, ladder, daily=daily)
     return _gated(key, rows, min_points, f"_mean_{key} * {scale}")
 
 
-def sharpe_ratio(key, risk_free, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
-    """Mean yearly step return over ``risk_free``, divided by the rounded volatility."""
+def sharpe_ratio(key, risk_free, ladder="coded", min_points=None, daily=DAYS_PER_YEAR, rounded=None):
+    """Mean yearly step return over ``risk_free``, divided by the rounded volatility (``rounded`` where it is a
+    column already)."""
     mean = mean_step_return(key, ladder, min_points, daily)
     excess = f"{mean} * {DAYS_PER_YEAR}D - double('{risk_free}')"
-    return round_even(f"try_divide({excess}, {annualized_volatility(key, ladder, min_points, daily)})")
+    return round_even(f"try_divide({excess}, {rounded or annualized_volatility(key, ladder, min_points, daily)})")
 
 
-def list_volatility(key, ladder="coded", min_points=DEFAULT_MIN_POINTS, daily=DAYS_PER_YEAR):
+def list_volatility(key, ladder="coded", min_points=None, daily=DAYS_PER_YEAR):
     """Volatility over the forward frame, unrounded; ``current`` holds one step at most, so null."""
     if key == CURRENT:
         return "cast(NULL AS double)"

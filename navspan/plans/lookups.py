@@ -1,26 +1,83 @@
 """Metrics at dates of the caller's choice."""
 
-from navspan.functions.dates import period_start
-from navspan.functions.fixed import DATE, PERIODS, PRODUCT
-from navspan.functions.keys import column_name
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from navspan.functions.dates import as_date, period_start
+from navspan.functions.fixed import CURRENT, DATE, PERIODS, PRODUCT, VALUE
+from navspan.functions.keys import column_name, is_window
 from navspan.operators.asof import lookup
 from navspan.plans.registry import metric, metric_keys, metrics
 
 
+def _of_same_period(key, end, value):
+    """A period key means the period of the requested date: null when that period has no row yet."""
+    if key not in PERIODS:
+        return value
+    return f"if({period_start(DATE, key)} = {period_start(end, key)}, {value}, NULL)"
+
+
 def volatility_at(nav, anchors, name="list_volatility", windows=None, periods=None, anchor="end_date", **options):
     """Volatility at any date: frames end at the last row on or before it.
 
-    A period key means the period of the requested date, so it is null when that period has no row yet.
+    Anchors find their row on the narrow (product, date) first and travel with it as an array, so wide rows are
+    exchanged once, as in any run, and only rows that are asked for leave it.
     """
     keys = metric_keys(name, windows, periods)
+    found = lookup(nav.select(PRODUCT, DATE), anchors, anchor, forward=False, fallback=False)
+    found = found.select(PRODUCT, anchor, F.col("row")[DATE].alias(DATE))
+    asked = found.where(F.col(DATE).isNotNull()).groupBy(PRODUCT, DATE).agg(F.collect_list(anchor).alias("_ends"))
+    table = metrics(nav.join(asked, [PRODUCT, DATE], "left"), name, windows, periods, kept=("_ends",), **options)
+    rows = table.where("_ends IS NOT NULL").select("*", F.explode("_ends").alias(anchor))
+    columns = [column_name(metric(name).prefix, key) for key in keys]
+    shown = [f"{_of_same_period(key, anchor, column)} AS {column}" for key, column in zip(keys, columns)]
+    rows = rows.selectExpr(PRODUCT, anchor, DATE, *shown)
+    early = found.where(F.col(DATE).isNull()).select(PRODUCT, anchor, DATE, *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns])
+    return rows.unionByName(early)
+
+
+def latest_rows(nav, rows, with_first):
+    """The last ``rows`` rows of each product, and its first one if asked for.
+
+    The planner cuts the numbered rows to that many per product and task before it exchanges them.
+    """
+    order = Window.partitionBy(PRODUCT).orderBy(F.desc(DATE))
+    last = nav.select(PRODUCT, DATE, VALUE, F.row_number().over(order).alias("_n")).where(F.col("_n") <= rows)
+    if not with_first:
+        return last.drop("_n")
+    first = nav.groupBy(PRODUCT).agg(F.min(DATE).alias(DATE), F.min_by(VALUE, DATE).alias(VALUE), F.min(VALUE).alias("_least"), F.count("*").alias("_rows"))
+    # A value below zero anywhere in the past matters as much as the first date: the row left stands for both.
+    first = first.where(F.col("_rows") > rows).select(PRODUCT, DATE, F.when(F.col("_least") < 0, F.col("_least")).otherwise(F.col(VALUE)).alias(VALUE))
+    return last.drop("_n").unionByName(first)
+
+
+def rows_of_period(nav, end, period, with_first):
+    """The rows from the period's start on, the row before them, and the product's first one if asked for."""
+    start = F.expr(period_start("_end", period))
+    nav = nav.select(PRODUCT, DATE, VALUE, end.alias("_end")).select(PRODUCT, DATE, VALUE, (F.col(DATE) < start).alias("_early"))
+    inside = nav.where("NOT _early").drop("_early")
+    early = nav.where("_early").drop("_early")
+    return inside.unionByName(latest_rows(early, 1, with_first))
+
+
+def metric_at(nav, end_date, name, key, products=None, **options):
+    """One metric of one key at any date (a date, yyyyMMdd or yyyy-MM-dd): one row per product that has a row by
+    then, with the last row's own date.
+
+    Only the rows that the key's frame can hold are sorted: the last N + 1 of each product for a look-back of N,
+    those of the period and the one before for a period. Since inception takes all of them.
+    """
+    end = as_date(end_date).cast("date")
+    if products is not None:
+        nav = nav.filter(F.col(PRODUCT).isin([products] if isinstance(products, str) else list(products)))
+    nav = nav.filter(F.col(DATE) <= end).select(PRODUCT, DATE, VALUE)
+    aged = metric(name).aged
+    if key == CURRENT or is_window(key) and key > 0:
+        nav = latest_rows(nav, 2 if key == CURRENT else key + 1, aged)
+    elif key in PERIODS:
+        nav = rows_of_period(nav, end, key, aged)
+    windows, periods = ([key], []) if is_window(key) else ([], [key])
+    column = column_name(metric(name).prefix, key)
     table = metrics(nav, name, windows, periods, **options)
-    found = lookup(table, anchors, anchor, forward=False, fallback=False)
-    columns = []
-    for key in keys:
-        column = column_name(metric(name).prefix, key)
-        value = f"row.{column}"
-        if key in PERIODS:
-            same = f"{period_start(f'row.{DATE}', key)} = {period_start(anchor, key)}"
-            value = f"if({same}, {value}, NULL)"
-        columns.append(f"{value} AS {column}")
-    return found.selectExpr(PRODUCT, anchor, f"row.{DATE} AS {DATE}", *columns)
+    last = table.groupBy(PRODUCT).agg(F.max(F.struct(DATE, column)).alias("row")).select(PRODUCT, "row.*")
+    return last.select("*", end.alias("_end")).selectExpr(PRODUCT, DATE, f"{_of_same_period(key, '_end', column)} AS {column}")

@@ -2,9 +2,13 @@
 then read out row by row, where the library runs windows.
 """
 
-from navspan.functions.fixed import VOLATILITY_MIN_ROWS, WINDOWS
-from navspan.plans.queries import CUSTOM_WINDOWS, POINT_DATE
-
+# Fixed values, stated here again: look-backs, and the rows that a volatility asks for.
+WINDOWS = (7, 14, 30, 91, 182, 365, 730, 1095, 0)
+VOLATILITY_ROWS = {
+    "month": 12, "quarter": 12, "year": 12, 0: 182, 30: 12, 91: 12, 182: 6, 365: 12, 730: 24, 1095: 36,
+}
+CUSTOM_WINDOWS = (3, 21, 60)
+POINT_DATE = "1996-06-28"
 _CENTS = "cast(round({v} * 1e2) AS BIGINT)"
 _PERIODS = ("month", "quarter", "year")
 _VOLATILITY = tuple(w for w in WINDOWS if w not in (7, 14))
@@ -25,6 +29,8 @@ NATION = _nav(
     "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey",
 )
 EVENTS = _nav("event_type", "ts", "value", "events")
+SUPPLIERS = _nav("cast(l_suppkey AS VARCHAR)", "l_shipdate", "l_extendedprice", "lineitem")
+PARTS = _nav("cast(l_partkey AS VARCHAR)", "l_shipdate", "l_extendedprice", "lineitem")
 
 
 def _round(x, digits=4):
@@ -77,10 +83,14 @@ def _wide(prefix, keys, column="y", source="o", more=()):
     )
 
 
-def _least(keys, zero):
-    """Days or rows a key asks for."""
-    cases = " ".join(f"WHEN '{k}' THEN {k if isinstance(k, int) and k else zero}" for k in keys)
-    return f"(CASE k {cases} END)"
+def _least(keys, zero, min_points=None):
+    """Days or rows a key asks for; ``min_points`` for other look-backs than the usual ones."""
+    def least(k):
+        if isinstance(k, int) and k not in WINDOWS and min_points is not None:
+            return min_points
+        return k if isinstance(k, int) and k else zero
+
+    return "(CASE k " + " ".join(f"WHEN '{k}' THEN {least(k)}" for k in keys) + " END)"
 
 
 def _start(keys, forward=False):
@@ -98,15 +108,15 @@ def returns(nav, keys):
     )
 
 
-def _strict(nav, keys):
-    least = _least(keys, 1)
+def _strict(nav, keys, min_points=None):
+    least = _least(keys, 1, min_points)
     return f"""WITH {_rows(nav)}, {_start(keys, forward=True)},
 o AS (SELECT *, CASE WHEN i - lo + 1 >= {least} AND date - sd >= {least}
   THEN {_round(_YEARLY, 6)} END AS y FROM s) """
 
 
-def strict(nav, keys):
-    return _strict(nav, keys) + _wide("Returns", keys)
+def strict(nav, keys, min_points=None, prefix="Returns"):
+    return _strict(nav, keys, min_points) + _wide(prefix, keys)
 
 
 def strict_long(nav, keys):
@@ -144,10 +154,10 @@ _CHAINED = {
 }
 
 
-def _scaling(keys, mode):
+def _scaling(keys, mode, daily=365):
     days, freq = [], []
     for key in keys:
-        d, q = "1e0", "365e0"
+        d, q = "1e0", f"{daily}e0"
         if mode == "coded" and key in _CODED:
             d, q = (f"{v}e0" for v in _CODED[key])
         elif mode == "chained" and key in _CHAINED:
@@ -159,17 +169,19 @@ def _scaling(keys, mode):
             q = "(CASE " + " ".join(f"WHEN n >= {need} THEN {step[1]}" for need, step in rungs) + " END)"
         days.append(f"WHEN '{key}' THEN {d}")
         freq.append(f"WHEN '{key}' THEN {q}")
+    # Daily steps: so many a year.
+    freq = [q.replace("365e0", f"{daily}e0") for q in freq]
     return f"(CASE k {' '.join(days)} END)", f"(CASE k {' '.join(freq)} END)"
 
 
 def _gate(keys, min_points):
-    cases = " ".join(f"WHEN '{k}' THEN {VOLATILITY_MIN_ROWS.get(k, min_points)}" for k in keys)
+    cases = " ".join(f"WHEN '{k}' THEN {VOLATILITY_ROWS.get(k, min_points)}" for k in keys)
     return f"n >= (CASE k {cases} END)"
 
 
-def _volatility(nav, keys, mode="coded", min_points=12, forward=False):
+def _volatility(nav, keys, mode="coded", min_points=12, forward=False, daily=365):
     """``o``: volatility ``std`` and scaled mean step ``step`` per row and key, null before the gate."""
-    days, freq = _scaling(keys, mode)
+    days, freq = _scaling(keys, mode, daily)
     gate = _gate(keys, min_points)
     return f"""WITH {_rows(nav)}, {_frames(keys, forward)},
 m AS (SELECT f.prod_reg_code, f.date, f.k, any_value(f.i - f.lo + 1) AS n, stddev_samp(b.x) AS sd, avg(b.x) AS mean
@@ -178,21 +190,21 @@ o AS (SELECT *, CASE WHEN {gate} THEN sd * {days} * sqrt({freq}) END AS std,
   CASE WHEN {gate} THEN mean * {days} END AS step FROM m) """
 
 
-def volatility(nav, keys, mode="coded", min_points=12):
-    return _volatility(nav, keys, mode, min_points) + _wide("Volatility", keys, _round("std"))
+def volatility(nav, keys, mode="coded", min_points=12, daily=365):
+    return _volatility(nav, keys, mode, min_points, daily=daily) + _wide("Volatility", keys, _round("std"))
 
 
-def list_volatility(nav, keys):
-    return _volatility(nav, keys, "chained", forward=True) + _wide("Volatility", keys, _round("std", 6))
+def list_volatility(nav, keys, daily=365):
+    return _volatility(nav, keys, "chained", forward=True, daily=daily) + _wide("Volatility", keys, _round("std", 6))
 
 
 def steps(nav, keys):
     return _volatility(nav, keys) + _wide("Step", keys, _round("step", 6))
 
 
-def sharpe(nav, keys):
-    rounded = _round("std")
-    return _volatility(nav, keys) + _wide("Sharpe", keys, _round(f"(step * 365e0 - 15e-3) / nullif({rounded}, 0)"))
+def sharpe(nav, keys, min_points=12, risk_free="15e-3"):
+    ratio = _round(f"(step * 365e0 - {risk_free}) / nullif({_round('std')}, 0)")
+    return _volatility(nav, keys, min_points=min_points) + _wide("Sharpe", keys, ratio)
 
 
 def volatility_asof(nav):
@@ -220,19 +232,19 @@ SELECT prod_reg_code, {_text('end_date')} AS end_date, {_text('date')} AS date,
 FROM o GROUP BY prod_reg_code, end_date, date"""
 
 
-def _declines(nav, keys):
+def _declines(nav, keys, min_points=None):
     """``d``: per frame its deepest drop ``m`` (0 = none), gated by the product's age."""
     return f"""WITH {_rows(nav)}, {_frames(keys)},
 e AS (SELECT f.prod_reg_code, f.date, f.k, f.i, f.lo, b.i AS j, b.date AS bd, b.net_val AS v,
   max(b.net_val) OVER (PARTITION BY f.prod_reg_code, f.k, f.i ORDER BY b.i) AS peak
   FROM f JOIN r b ON f.prod_reg_code = b.prod_reg_code AND b.i BETWEEN f.lo AND f.i
-  WHERE f.age >= {_least(keys, 1)}),
+  WHERE f.age >= {_least(keys, 1, min_points)}),
 d AS (SELECT prod_reg_code, date, k, i, lo, min((v - peak) / peak) AS m, arg_min(j, ((v - peak) / peak, j)) AS tj,
   arg_min(peak, ((v - peak) / peak, j)) AS top FROM e GROUP BY ALL) """
 
 
-def max_drawdown(nav, keys):
-    return _declines(nav, keys) + f""", o AS (SELECT r.prod_reg_code, r.date, d.k, d.m FROM r LEFT JOIN d
+def max_drawdown(nav, keys, min_points=None):
+    return _declines(nav, keys, min_points) + f""", o AS (SELECT r.prod_reg_code, r.date, d.k, d.m FROM r LEFT JOIN d
   ON r.prod_reg_code = d.prod_reg_code AND r.i = d.i) """ + _wide("Max_drawdown", keys, _round("m"))
 
 
@@ -271,25 +283,25 @@ def max_drawdown_text(nav, keys):
     )
 
 
-def calmar(nav, keys):
+def calmar(nav, keys, min_points=None):
     ratio = f"{_round(_YEARLY)} / nullif(abs({_round('m')}), 0)"
-    return _declines(nav, keys) + f""", o AS (SELECT f.prod_reg_code, f.date, f.k, f.net_val, b.date AS sd,
+    return _declines(nav, keys, min_points) + f""", o AS (SELECT f.prod_reg_code, f.date, f.k, f.net_val, b.date AS sd,
   b.net_val AS sv, d.m FROM f JOIN r b ON f.prod_reg_code = b.prod_reg_code AND f.lo = b.i
   LEFT JOIN d ON f.prod_reg_code = d.prod_reg_code AND f.i = d.i AND f.k = d.k) """ + _wide(
         "Calmer", keys, _round(ratio, 6)
     )
 
 
-def _drawdown(nav, keys):
+def _drawdown(nav, keys, min_points=None):
     return f"""WITH {_rows(nav)}, {_frames(keys)},
-o AS (SELECT f.prod_reg_code, f.date, f.k, CASE WHEN any_value(f.age) >= any_value({_least(keys, 1)})
+o AS (SELECT f.prod_reg_code, f.date, f.k, CASE WHEN any_value(f.age) >= any_value({_least(keys, 1, min_points)})
   THEN {_round('min((f.net_val - b.net_val) / nullif(b.net_val, 0))')} END AS y
   FROM f LEFT JOIN r b ON f.prod_reg_code = b.prod_reg_code AND b.i >= f.lo AND b.i < f.i
   GROUP BY f.prod_reg_code, f.date, f.k) """
 
 
-def drawdown(nav, keys):
-    return _drawdown(nav, keys) + _wide("Drawdown", keys)
+def drawdown(nav, keys, min_points=None):
+    return _drawdown(nav, keys, min_points) + _wide("Drawdown", keys)
 
 
 def bundle(nav):
@@ -305,13 +317,47 @@ def product_metrics(nav):
 "Returns_currentD" AS annualized_return, "Drawdown_yearD" AS drawdown FROM ({bundle(nav)})"""
 
 
+def indicators(nav):
+    every = WINDOWS + _PERIODS
+    return f"""SELECT * FROM ({bundle(nav)}) JOIN ({sharpe(nav, _VOLATILITY + _PERIODS)}) USING (prod_reg_code, date)
+JOIN ({max_drawdown(nav, every)}) USING (prod_reg_code, date) JOIN ({calmar(nav, every)}) USING (prod_reg_code, date)"""
+
+
+def _point(table):
+    """Of each product the last row up to the date."""
+    return f"""SELECT * FROM ({table}) WHERE date <= '{POINT_DATE}'
+QUALIFY row_number() OVER (PARTITION BY prod_reg_code ORDER BY date DESC) = 1"""
+
+
 def _outer_join():
-    early = f"SELECT * FROM ({NATION}) WHERE date <= DATE '1997-12-31'"
-    late = f"SELECT * FROM ({NATION}) WHERE date >= DATE '1997-01-01'"
-    return f"""SELECT * FROM ({returns(early, (30,))}) FULL JOIN ({counts(late, (30,))})
+    some = f"SELECT * FROM ({SEGMENT}) WHERE prod_reg_code = 'BUILDING' UNION ALL {EVENTS}"
+    return f"""SELECT * FROM ({returns(SEGMENT, (30,))}) FULL JOIN ({counts(some, (30,))})
 USING (prod_reg_code, date)"""
 
 
+def _both():
+    keys = _EVERY + ("current",)
+    picks = _wide("Returns", keys, _round(_YEARLY), "s")
+    return f"SELECT * FROM (WITH {_rows(NATION)}, {_start(keys)} {picks}) JOIN ({strict(NATION, keys, prefix='Strict')}) USING (prod_reg_code, date)"
+
+
+def _ratio():
+    frames = {0: "ROWS UNBOUNDED PRECEDING", 30: "ROWS 30 PRECEDING"}
+    picks = [
+        _round(f"net_val / max(net_val) OVER (PARTITION BY prod_reg_code ORDER BY date {frame})", 6) + f' AS "Ratio_{k}D"'
+        for k, frame in frames.items()
+    ]
+    return f"WITH nav AS ({NATION}) SELECT prod_reg_code, {_text('date')} AS date, {', '.join(picks)} FROM nav"
+
+
+def _average():
+    """The weights of an exponential average: what is left out beyond 150 rows is below 1e-22 of it."""
+    weight = "power(7e-1, a.i - b.i) * (CASE WHEN b.i > 0 THEN 3e-1 ELSE 1e0 END)"
+    return f"""WITH {_rows(SEGMENT)} SELECT a.prod_reg_code, {_text('a.date')} AS date,
+{_round(f'sum(b.net_val * {weight})', 6)} AS average
+FROM r a JOIN r b ON a.prod_reg_code = b.prod_reg_code AND b.i BETWEEN a.i - 150 AND a.i GROUP BY a.prod_reg_code, a.date"""
+
+
 def _report():
     names = {7: "d7", 14: "d14", 30: "m1", 91: "m3", 182: "m6", 365: "y1"}
     picks = ", ".join(f'cast("Returns_{w}D" AS FLOAT) AS {n}_returns' for w, n in names.items())
@@ -382,9 +428,29 @@ FROM r""",
     "product_metrics": product_metrics(SEGMENT),
     "metrics_outer_join": _outer_join(),
     "union_products": counts(f"{SEGMENT} UNION ALL {NATION} UNION ALL {EVENTS}", _EVERY),
-    "point_metric": f"SELECT * FROM ({volatility(NATION, (30,))}) WHERE date = '{POINT_DATE}'",
-    "custom_metric": f"""WITH nav AS ({NATION}) SELECT prod_reg_code, {_text('date')} AS date,
-{_round('net_val / max(net_val) OVER (PARTITION BY prod_reg_code ORDER BY date)', 6)} AS ratio FROM nav""",
+    "point_metric": _point(volatility(NATION, (30,))),
+    "point_period": f"""SELECT prod_reg_code, date, CASE WHEN date >= '1996-04-01' THEN "Returns_quarterD" END AS "Returns_quarterD"
+FROM ({_point(strict(NATION, ("quarter",)))})""",
+    "point_drawdown": _point(drawdown(SEGMENT, (91,))),
+    "custom_metric": _ratio(),
+    "custom_group": _average(),
+    "constant_column": f"SELECT prod_reg_code, {_text('date')} AS date, net_val, 'CNY' AS currency, cast(NULL AS VARCHAR) AS note FROM ({SEGMENT})",
+    "returns_both": _both(),
+    "strict_return_custom": strict(NATION, CUSTOM_WINDOWS, min_points=2),
+    "count_custom": counts(NATION, CUSTOM_WINDOWS),
+    "sharpe_custom": sharpe(NATION, CUSTOM_WINDOWS, min_points=4),
+    "max_drawdown_custom": max_drawdown(NATION, CUSTOM_WINDOWS, min_points=40),
+    "calmar_custom": calmar(NATION, CUSTOM_WINDOWS, min_points=40),
+    "drawdown_custom": drawdown(NATION, CUSTOM_WINDOWS, min_points=40),
+    "volatility_daily_252": volatility(NATION, _VOLATILITY + _PERIODS, daily=252),
+    "volatility_list_daily_252": list_volatility(NATION, _VOLATILITY + _PERIODS, daily=252),
+    "sharpe_risk_free": sharpe(SEGMENT, (30, 365, "year"), risk_free="3e-2"),
+    "supplier_returns": returns(SUPPLIERS, (30, 91, 182, 365) + _PERIODS + ("current",)),
+    "supplier_volatility": volatility(SUPPLIERS, (30, 91, 182, 365) + _PERIODS),
+    "part_max_drawdown": max_drawdown(PARTS, (7, 14, 30, 0) + _PERIODS),
+    "part_calmar": calmar(PARTS, (7, 14, 30, 0) + _PERIODS),
+    "part_bundle": bundle(PARTS),
+    "all_indicators": indicators(PARTS),
     "asof_start": _lookup(">="),
     "forward_start": _lookup("<="),
     "period_anchors": _anchors(),

@@ -10,14 +10,19 @@ from navspan.functions.dates import day_gap, format_date, period_anchor
 from navspan.functions.fixed import DATE, PRODUCT, VALUE
 from navspan.functions.numeric import round_even
 from navspan.operators import asof, tables
-from navspan.plans.lookups import volatility_at
-from navspan.plans.registry import BUNDLE, METRICS, all_metrics, metric_at, metric_columns, metrics, step_returns
+from navspan.plans.lookups import metric_at, volatility_at
+from navspan.plans.registry import (
+    BUNDLE, METRICS, all_indicators, all_metrics, metric_columns, metrics, sql_metric, step_returns,
+)
 from navspan.sources import nav as navs
 from navspan.sources import packed
-from navspan.sources.derived import nav_events, nav_nation, nav_segment
+from navspan.sources.derived import nav_events, nav_nation, nav_parts, nav_segment, nav_suppliers
 
 CUSTOM_WINDOWS = (3, 21, 60)
-POINT_DATE = "1996-06-28"
+POINT_DATE = "19960628"
+SHORT_WINDOWS = (7, 14, 30, 0)
+SUPPLIER_WINDOWS = (30, 91, 182, 365)
+EVERY_PERIOD = ("month", "quarter", "year")
 
 
 def _shown(df, rounded=False):
@@ -39,9 +44,9 @@ def _metric(source, name, windows=None, periods=None, rounded=False, **options):
     return query
 
 
-def _max_drawdown_values(source, windows, periods):
+def _max_drawdown_values(source, windows, periods, **options):
     def query(spark, sf_dir):
-        found = metrics(source(spark, sf_dir), "max_drawdown", windows, periods)
+        found = metrics(source(spark, sf_dir), "max_drawdown", windows, periods, **options)
         names = metric_columns("max_drawdown", windows, periods)
         return _shown(found.select(PRODUCT, DATE, *[F.col(n)["value"].alias(n) for n in names]))
 
@@ -110,11 +115,11 @@ def _product_metrics(spark, sf_dir):
 
 
 def _metrics_outer_join(spark, sf_dir):
-    """Returns of the first years against counts of the later ones: rows of either side alone stay."""
-    nav = nav_nation(spark, sf_dir)
-    early = metrics(navs.filter_dates(nav, "19000101", "19971231"), "annualized_return", (30,), ())
-    late = metrics(navs.filter_dates(nav, "19970101", "99991231"), "valuation_count", (30,), ())
-    return _shown(tables.join_metrics(early, late))
+    """Returns of orders against counts of events and orders: rows of either side alone stay, both whole."""
+    orders, events = nav_segment(spark, sf_dir), nav_events(spark, sf_dir)
+    returns = metrics(orders, "annualized_return", (30,), ())
+    counts = metrics(tables.union_products([navs.filter_product(orders, "BUILDING"), events], None), "valuation_count", (30,), ())
+    return _shown(tables.join_metrics(returns, counts))
 
 
 def _union_products(spark, sf_dir):
@@ -188,18 +193,45 @@ def _period_anchors(spark, sf_dir):
     return _shown(nav_nation(spark, sf_dir).selectExpr(PRODUCT, DATE, *columns))
 
 
-def _point(spark, sf_dir):
-    nav = nav_nation(spark, sf_dir)
-    return _shown(metric_at(nav, POINT_DATE, "annualized_volatility", 30))
+def _point(source, name, key, rounded=False):
+    """The metric of each product at one date, on or off its calendar."""
+    def query(spark, sf_dir):
+        return _shown(metric_at(source(spark, sf_dir), POINT_DATE, name, key), rounded)
+
+    return query
 
 
 def _custom_metric(spark, sf_dir):
-    """A metric of the user's own, in pandas per product: value over the best value so far."""
+    """A metric of the user's own, as SQL over frame parts: value over the best value of the frame."""
+    ratio = sql_metric("Ratio", lambda key: f"{VALUE} / greatest({VALUE}, _high_{key})", lambda key: [("high", key)], (30, 0), ())
+    return _shown(metrics(nav_nation(spark, sf_dir), "ratio", own={"ratio": ratio}), rounded=True)
+
+
+def _custom_group(spark, sf_dir):
+    """What windows cannot say, as each value hangs on the one before: an exponential average, in pandas."""
     def compute(pdf):
-        return pdf.assign(ratio=pdf[VALUE] / pdf[VALUE].cummax())[[PRODUCT, DATE, "ratio"]]
+        return pdf.assign(average=pdf[VALUE].ewm(alpha=0.3, adjust=False).mean())[[PRODUCT, DATE, "average"]]
+
+    schema = f"{PRODUCT} string, {DATE} date, average double"
+    return _shown(tables.per_product(nav_segment(spark, sf_dir), compute, schema), rounded=True)
+
+
+def _all_indicators(spark, sf_dir):
+    """All seven families of every part in one run; of the maximum drawdowns the value."""
+    table = all_indicators(nav_parts(spark, sf_dir))
+    declines, ratios = set(metric_columns("max_drawdown")), set(metric_columns("annualized_calmer_ratio"))
+    shown = {c: f"{c}.value" if c in declines else round_even(c, 6) if c in ratios else c for c in table.columns}
+    return _shown(table.selectExpr(*[f"{sql} AS {c}" for c, sql in shown.items()]))
+
+
+def _returns_both(spark, sf_dir):
+    names = ["annualized_return", "strict_return"]
+    return _shown(metrics(nav_nation(spark, sf_dir), names, prefixes={"strict_return": "Strict"}), rounded=True)
+
 
-    schema = f"{PRODUCT} string, {DATE} date, ratio double"
-    return _shown(tables.per_product(nav_nation(spark, sf_dir), compute, schema), rounded=True)
+def _constant_column(spark, sf_dir):
+    table = tables.with_constant(nav_segment(spark, sf_dir), "currency", "CNY")
+    return _shown(tables.with_constant(table, "note", None, "string"))
 
 
 QUERIES = {
@@ -233,8 +265,28 @@ QUERIES = {
     "product_metrics": _product_metrics,
     "metrics_outer_join": _metrics_outer_join,
     "union_products": _union_products,
-    "point_metric": _point,
+    "point_metric": _point(nav_nation, "annualized_volatility", 30),
+    "point_period": _point(nav_nation, "strict_return", "quarter", rounded=True),
+    "point_drawdown": _point(nav_segment, "drawdown", 91),
     "custom_metric": _custom_metric,
+    "custom_group": _custom_group,
+    "constant_column": _constant_column,
+    "returns_both": _returns_both,
+    "strict_return_custom": _metric(nav_nation, "strict_return", CUSTOM_WINDOWS, (), rounded=True, min_points=2),
+    "count_custom": _metric(nav_nation, "valuation_count", CUSTOM_WINDOWS, ()),
+    "sharpe_custom": _metric(nav_nation, "annualized_sharpe_ratio", CUSTOM_WINDOWS, (), min_points=4),
+    "max_drawdown_custom": _max_drawdown_values(nav_nation, CUSTOM_WINDOWS, (), min_points=40),
+    "calmar_custom": _metric(nav_nation, "annualized_calmer_ratio", CUSTOM_WINDOWS, (), rounded=True, min_points=40),
+    "drawdown_custom": _metric(nav_nation, "drawdown", CUSTOM_WINDOWS, (), min_points=40),
+    "volatility_daily_252": _metric(nav_nation, "annualized_volatility", daily=252),
+    "volatility_list_daily_252": _metric(nav_nation, "list_volatility", rounded=True, daily=252),
+    "sharpe_risk_free": _metric(nav_segment, "annualized_sharpe_ratio", (30, 365), ("year",), risk_free=0.03),
+    "supplier_returns": _metric(nav_suppliers, "annualized_return", SUPPLIER_WINDOWS),
+    "supplier_volatility": _metric(nav_suppliers, "annualized_volatility", SUPPLIER_WINDOWS),
+    "part_max_drawdown": _max_drawdown_values(nav_parts, SHORT_WINDOWS, EVERY_PERIOD),
+    "part_calmar": _metric(nav_parts, "annualized_calmer_ratio", SHORT_WINDOWS, EVERY_PERIOD, rounded=True),
+    "part_bundle": _metric(nav_parts, BUNDLE),
+    "all_indicators": _all_indicators,
     "asof_start": _asof_start,
     "forward_start": _forward_start,
     "period_anchors": _period_anchors,

@@ -2,7 +2,7 @@
 
 from pyspark.sql import SparkSession
 
-# Settings a metric run relies on; the partition count is where adaptive execution starts to merge from.
+# Settings a metric run relies on.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,18 +18,10 @@ DEFAULTS = {
     "spark.sql.windowExec.buffer.in.memory.threshold": "16384",
 }
 
-# Names used in deployment files -> Spark settings
+# Short names of settings that a run is often given; all others go by Spark's own names.
 SETTINGS = {
-    "hive_metastore_uris": "spark.hadoop.hive.metastore.uris",
-    "extra_class_path": "spark.driver.extraClassPath",
     "warehouse_dir": "spark.sql.warehouse.dir",
-    "scratch_dir": "spark.hadoop.hive.exec.scratchdir",
-    "driver_java_options": "spark.driver.extraJavaOptions",
-    "executor_java_options": "spark.executor.extraJavaOptions",
     "shuffle_partitions": "spark.sql.shuffle.partitions",
-    "parallelism": "spark.default.parallelism",
-    "driver_max_result_size": "spark.driver.maxResultSize",
-    "debug_max_to_string_fields": "spark.sql.debug.maxToStringFields",
 }
 
 

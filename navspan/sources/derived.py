@@ -12,7 +12,7 @@ from navspan.functions.fixed import DATE, PRODUCT, VALUE
 def daily_average(rows, product, date, amount):
     """NAV rows: the average of ``amount`` per product and day, to whole cents, halves up."""
     cents = F.round(F.col(amount) * 100.0).cast("bigint")
-    sums = rows.groupBy(F.col(product).alias(PRODUCT), F.col(date).cast("date").alias(DATE)).agg(
+    sums = rows.groupBy(F.col(product).cast("string").alias(PRODUCT), F.col(date).cast("date").alias(DATE)).agg(
         F.sum(cents).alias("_cents"), F.count(amount).alias("_n")
     )
     return sums.filter("_n > 0").select(
@@ -44,6 +44,18 @@ def nav_nation(spark, sf_dir):
     return _orders_by(spark, sf_dir, named, "n_name")
 
 
+def nav_suppliers(spark, sf_dir):
+    """Thousands of products and more: each supplier's average price per shipping day."""
+    return daily_average(_read(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate", "l_extendedprice"),
+                         "l_suppkey", "l_shipdate", "l_extendedprice")
+
+
+def nav_parts(spark, sf_dir):
+    """Many products with short histories: each part's average price per shipping day."""
+    return daily_average(_read(spark, sf_dir, "lineitem", "l_partkey", "l_shipdate", "l_extendedprice"),
+                         "l_partkey", "l_shipdate", "l_extendedprice")
+
+
 def nav_events(spark, sf_dir):
     events = _read(spark, sf_dir, "events", "event_type", "ts", "value")
     return daily_average(events, "event_type", "ts", "value")

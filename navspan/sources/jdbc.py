@@ -16,11 +16,14 @@ def _connection(config):
 
 
 def read_options(config):
-    """Reader options; ``split`` = (column, lower, upper, partitions) reads in parallel ranges.
+    """Reader options. ``split`` = (column, lower, upper, partitions) reads in parallel ranges; one reader for the
+    whole table takes an explicit ``single_reader``.
 
     Splitting on the date keeps the ranges even when one product holds most rows.
     """
     options = _connection(config)
+    if bool(config.get("split")) == bool(config.get("single_reader")):
+        raise ValueError("JDBC settings need either split or single_reader")
     if config.get("split"):
         column, lower, upper, partitions = config["split"]
         options.update(
@@ -33,7 +36,7 @@ def read_options(config):
 
 def write_options(config):
     sizes = {k: str(config.get(k, default)) for k, default in JDBC_WRITE_DEFAULTS.items()}
-    return {**_connection(config), **sizes}
+    return {**_connection(config), **sizes, **({"truncate": "true"} if config.get("truncate") else {})}
 
 
 def read_nav(spark, config):
@@ -42,5 +45,5 @@ def read_nav(spark, config):
 
 
 def write_metrics(df, config):
-    """Write to a database table; overwrites unless ``mode`` says otherwise."""
+    """Write to a database table; overwrites unless ``mode`` says otherwise, with ``truncate`` without dropping it."""
     df.write.format("jdbc").options(**write_options(config)).mode(config.get("mode", "overwrite")).save()

@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from navspan.functions.dates import TEXT_FORMAT
+from navspan.functions.dates import as_date
 from navspan.functions.fixed import DATE, PRODUCT, VALUE
+from navspan.operators.series import unless
 
 DUPLICATES = ("error", "first", "last")
 
@@ -32,9 +33,7 @@ def one_row_per_day(nav, duplicates="error", order_by=None):
     grouped = nav.groupBy(PRODUCT, DATE)
     if duplicates == "error":
         rows = grouped.agg(F.min(VALUE).alias(VALUE), F.count(F.lit(1)).alias("_rows"))
-        message = F.concat(F.lit("two rows on one date for product "), F.col(PRODUCT))
-        value = F.when(F.col("_rows") > 1, F.raise_error(message).cast("double")).otherwise(F.col(VALUE))
-        return rows.select(PRODUCT, DATE, value.alias(VALUE))
+        return rows.filter(unless("_rows > 1")).select(PRODUCT, DATE, VALUE)
     pick = F.min_by if duplicates == "first" else F.max_by
     return grouped.agg(pick(VALUE, order_by).alias(VALUE))
 
@@ -45,13 +44,7 @@ def filter_product(nav, product):
 
 def filter_dates(nav, start, end):
     """Rows dated from start to end, both included; dates or yyyyMMdd text."""
-    return nav.filter(F.col(DATE).between(_date(start), _date(end)))
-
-
-def _date(value):
-    if isinstance(value, str):
-        return F.to_date(F.lit(value), TEXT_FORMAT)
-    return F.lit(value)
+    return nav.filter(F.col(DATE).between(as_date(start), as_date(end)))
 
 
 def products(nav):

@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 from navspan.functions.dates import format_date, parse_date
 from navspan.functions.fixed import DATE, FANOUT_PRODUCTS, PRODUCT, VALUE
+from navspan.sources.nav import one_row_per_day
 
 ENTRY_SEPARATOR = ","
 VALUE_SEPARATOR = "^"
 
 
 def _entry(text, position):
-    fields = F.split(text, r"\^")
-    good = F.size(fields) == 2
+    """An entry's date and value: the sign stands after the eight digits, and nowhere else."""
+    value = F.substring(text, 10, 1 << 20)
+    good = (F.substring(text, 9, 1) == VALUE_SEPARATOR) & (F.instr(value, VALUE_SEPARATOR) == 0)
     message = F.concat(F.lit("not a date^value entry: "), text)
-    key = F.when(good, fields[0]).otherwise(F.raise_error(message).cast("string"))
-    return F.struct(key.alias("key"), position.alias("pos"), fields[1].alias("text"))
+    key = F.when(good, F.substring(text, 1, 8)).otherwise(F.raise_error(message).cast("string"))
+    return F.struct(key.alias("key"), position.alias("pos"), value.alias("text"))
 
 
 def _latest_entries(df, text):
@@ -58,7 +60,9 @@ def fan_out(df, text="packed", products=FANOUT_PRODUCTS):
 
 
 def pack(nav):
-    """Packed text per product: the inverse of ``parse_packed``. A product has one row per day at most."""
+    """Packed text per product: the inverse of ``parse_packed``. A second row on a date is an error, found
+    before the rows of a product meet."""
+    nav = one_row_per_day(nav)
     entry = F.concat(F.expr(format_date(DATE)), F.lit(VALUE_SEPARATOR), F.col(VALUE).cast("string"))
     texts = F.transform(F.sort_array(F.collect_list(F.struct(F.col(DATE), entry.alias("e")))), lambda s: s["e"])
     return nav.groupBy(PRODUCT).agg(F.array_join(texts, ENTRY_SEPARATOR).alias("packed"))

@@ -41,9 +41,19 @@ def annualized_return(rows, i, key):
     return half_even(yearly(frame(rows, i, key)))
 
 
-def strict_return(rows, i, key):
+USUAL = (0, 7, 14, 30, 91, 182, 365, 730, 1095)
+
+
+def asked(key, min_points=None):
+    """Rows or days that a frame needs."""
+    if isinstance(key, int) and key not in USUAL and min_points is not None:
+        return min_points
+    return key if isinstance(key, int) and key else 1
+
+
+def strict_return(rows, i, key, min_points=None):
     found = frame(rows, i, key, forward=True)
-    least = key if isinstance(key, int) and key else 1
+    least = asked(key, min_points)
     if len(found) < least or (found[-1][0] - found[0][0]).days < least:
         return None
     return yearly(found)
@@ -127,9 +137,9 @@ def age(rows, i):
     return (rows[i][0] - rows[0][0]).days
 
 
-def max_drawdown(rows, i, key):
+def max_drawdown(rows, i, key, min_points=None):
     """(value, peak day, trough day, days), tried for every pair of rows."""
-    if age(rows, i) < (key if isinstance(key, int) and key else 1):
+    if age(rows, i) < asked(key, min_points):
         return None
     found = frame(rows, i, key)
     best = (0.0, None, None)
@@ -143,15 +153,15 @@ def max_drawdown(rows, i, key):
     return half_even(drop), s, t, (t - s).days
 
 
-def calmar(rows, i, key):
-    worst, gain = max_drawdown(rows, i, key), annualized_return(rows, i, key)
+def calmar(rows, i, key, min_points=None):
+    worst, gain = max_drawdown(rows, i, key, min_points), annualized_return(rows, i, key)
     if worst is None or gain is None or worst[0] == 0:
         return None
     return gain / abs(worst[0])
 
 
-def drawdown(rows, i, key):
-    if i == 0 or age(rows, i) < (key if isinstance(key, int) and key else 1):
+def drawdown(rows, i, key, min_points=None):
+    if i == 0 or age(rows, i) < asked(key, min_points):
         return None
     high = max(r[1] for r in frame(rows, i, key)[:-1])
     return half_even((rows[i][1] - high) / high) if high else None

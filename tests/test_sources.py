@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from navspan.operators import asof, tables
-from navspan.plans.registry import metrics
+from navspan.plans.registry import metrics, step_returns
 from navspan.sources import derived, files, nav, packed
 
 NAV = "prod_reg_code string, date date, net_val double"
@@ -32,11 +32,29 @@ def test_duplicates(spark):
     )
     assert _rows(nav.one_row_per_day(raw, "first", "n"))[0][2] == 1.0
     assert _rows(nav.one_row_per_day(raw, "last", "n"))[0][2] == 2.0
-    with pytest.raises(Exception, match="two rows on one date"):
-        nav.one_row_per_day(raw).collect()
-    with pytest.raises(Exception, match="two rows on one date"):
-        metrics(raw, "valuation_count").collect()
+    anchors = raw.select("prod_reg_code", F.col("date").alias("anchor"))
+    checked = nav.one_row_per_day(raw)
+    counted, returned = metrics(raw, "valuation_count", [7], []), metrics(raw, "annualized_return", [7], [])
+    declines = metrics(raw, ["max_drawdown", "valuation_count"], [7], [])
+    average = lambda pdf: pdf.head(1)[["prod_reg_code"]]
+    for wrong in (
+        checked, checked.select("date"), checked.groupBy().count(), metrics(checked, "valuation_count", [7], []),
+        counted, counted.select("Count_7D"), counted.groupBy().count(),
+        returned.groupBy("prod_reg_code").agg(F.max("Returns_7D")),
+        declines, declines.select("Count_7D"), declines.groupBy().count(),
+        step_returns(raw).select("step"), step_returns(raw).groupBy().count(),
+        asof.asof_rows(raw, anchors), asof.forward_rows(raw, anchors).groupBy().count(),
+        tables.per_product(raw, average, "prod_reg_code string"), packed.pack(raw),
+    ):
+        with pytest.raises(Exception, match="two rows on one date"):
+            wrong.collect()
     assert len(_rows(nav.one_row_per_day(raw.filter("n > 1")))) == 2
+    # A filter on the date takes no check away and raises none.
+    once, day = raw.filter("n > 1"), F.col("date") == F.lit("2024-01-02").cast("date")
+    assert metrics(once, "valuation_count", [7], []).filter(day).count() == 1
+    assert metrics(once, ["max_drawdown", "valuation_count"], [7], []).filter(day).count() == 1
+    assert step_returns(once).filter(day).count() == 1
+    assert asof.asof_rows(once, anchors).filter("anchor = date'2024-01-03'").count() == 1
     for wrong in (("last", None), ("error", "n"), ("any", None)):
         with pytest.raises(ValueError):
             nav.one_row_per_day(raw, *wrong)

@@ -1,6 +1,6 @@
-"""Hand-computed values on the 32-day example series, and the small helpers."""
+"""Hand-computed values on a short series with gaps, ties and month ends, and the small helpers."""
 
-from datetime import date, timedelta
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,20 +8,21 @@ from pyspark.sql import functions as F
 from navspan.functions import dates, keys
 from navspan.functions.numeric import drawdown_text, python_text, round_even
 from navspan.plans import registry
-from navspan.plans.registry import metric_at, metric_columns, metrics
+from navspan.plans.lookups import metric_at
+from navspan.plans.registry import all_indicators, metric_columns, metrics, sql_metric
 from navspan.session import DEFAULTS, session_settings
 from navspan.sources import jdbc, packed
 
-# One value a day from 2025-03-01 on
-VALUES = [6, 6, 2, 2, 8, 5, 8, 3, 1, 3, 3, 9, 7, 4, 1, 1, 7, 3, 7, 3, 8, 7, 1, 3, 2, 8, 9, 1, 1, 3, 7, 6]
-EXAMPLE = ",".join(
-    f"{(date(2025, 3, 1) + timedelta(days=k)).strftime('%Y%m%d')}^{v}" for k, v in enumerate(VALUES)
-)
+SERIES = {
+    "20240129": 100, "20240130": 102, "20240131": 102, "20240201": 99, "20240202": 101, "20240205": 101,
+    "20240206": 105, "20240209": 104, "20240229": 110, "20240301": 108, "20240304": 108, "20240305": 112,
+}
 
 
 @pytest.fixture(scope="module")
 def example(spark):
-    return packed.parse_packed(spark.createDataFrame([("P", EXAMPLE)], "prod_reg_code string, packed string"))
+    text = ",".join(f"{day}^{value}" for day, value in SERIES.items())
+    return packed.parse_packed(spark.createDataFrame([("P", text)], "prod_reg_code string, packed string"))
 
 
 def _at(df, day):
@@ -32,34 +33,76 @@ def test_returns(example):
     table = metrics(example, "annualized_return")
     assert table.columns[2:] == [f"Returns_{k}D" for k in (7, 14, 30, 91, 182, 365, 730, 1095, 0)] + [
         "Returns_monthD", "Returns_quarterD", "Returns_yearD", "Returns_currentD"]
-    assert _at(table, "2025-03-07")["Returns_7D"] == 20.2778
-    assert _at(table, "2025-04-01")["Returns_monthD"] == -52.1429
-    assert _at(table, "2025-03-01")["Returns_0D"] is None
+    assert _at(table, "2024-02-09")["Returns_7D"] == 1.3273  # 4 % in 11 days
+    assert _at(table, "2024-02-06")["Returns_monthD"] == 1.7892  # 3 / 102 in 6 days
+    assert _at(table, "2024-03-04")["Returns_currentD"] == 0.0
+    assert _at(table, "2024-01-29")["Returns_0D"] is None
 
 
 def test_counts(example):
     table = metrics(example, "valuation_count")
-    assert _at(table, "2025-03-08")["Count_7D"] == 8
-    assert _at(table, "2025-04-01")["Count_monthD"] == 2
-    assert _at(table, "2025-04-01")["Count_0D"] == 32
+    assert _at(table, "2024-02-09")["Count_7D"] == 8
+    assert _at(table, "2024-03-05")["Count_monthD"] == 4
+    assert _at(table, "2024-03-05")["Count_0D"] == 12
 
 
 def test_drawdowns(example):
-    found = _at(metrics(example, "max_drawdown", [0, 7], [], as_text=True), "2025-03-09")
-    assert found["Max_drawdown_0D"] == "-0.875(S:20250305,T:20250309,DRD:4)"
-    early = _at(metrics(example, "max_drawdown", [7], [], as_text=True), "2025-03-03")
+    found = _at(metrics(example, "max_drawdown", [0, 7], [], as_text=True), "2024-02-05")
+    assert found["Max_drawdown_0D"] == "-0.0294(S:20240130,T:20240201,DRD:2)"
+    early = _at(metrics(example, "max_drawdown", [7], [], as_text=True), "2024-01-31")
     assert early["Max_drawdown_7D"] == "None(S:None,T:None,DRD:None)"
-    assert _at(metrics(example, "drawdown", [0], []), "2025-03-12")["Drawdown_0D"] == 0.125
+    assert _at(metrics(example, "drawdown", [0], []), "2024-02-06")["Drawdown_0D"] == 0.0294
+
+
+def test_values_below_zero(spark):
+    rows = [("A", date(2024, 1, d), v) for d, v in ((1, 3.0), (2, -1.0), (3, -2.0), (4, 3.0))]
+    table = spark.createDataFrame(rows, "prod_reg_code string, date date, net_val double")
+    for name, column in (("max_drawdown", "Max_drawdown_0D"), ("drawdown", "Drawdown_0D"), ("annualized_calmer_ratio", "Calmer_0D")):
+        assert [r[column] for r in metrics(table, name, [0], []).orderBy("date").collect()][1:] == [None] * 3
 
 
 def test_calmar_is_null_without_decline(example):
-    assert _at(metrics(example, "annualized_calmer_ratio", [0], []), "2025-03-02")["Calmer_0D"] is None
+    assert _at(metrics(example, "annualized_calmer_ratio", [0], []), "2024-01-31")["Calmer_0D"] is None
 
 
 def test_metric_at(example):
-    row = metric_at(example, "2025-03-27", "list_volatility", 30, products="P").collect()
-    assert len(row) == 1 and row[0]["Volatility_30D"] > 0
-    assert metric_at(example, "2025-03-27", "valuation_count", "month", products=["Q"]).count() == 0
+    """At any date, as text or not: the numbers of the last row by then, from few rows."""
+    ends = {"20240206": "2024-02-06", "2024-02-20": "2024-02-09", date(2024, 3, 31): "2024-03-05"}
+    cases = [("annualized_volatility", 3), ("strict_return", "quarter"), ("max_drawdown", 3), ("drawdown", "month"),
+             ("annualized_calmer_ratio", "current"), ("range_count", 0)]
+    for k, (name, key) in enumerate(cases):
+        end, day = list(ends.items())[k % 3]
+        keys = ([key], []) if isinstance(key, int) else ([], [key])
+        row = metric_at(example, end, name, key, products="P", min_points=2).collect()
+        want = _at(metrics(example, name, *keys, min_points=2), day)
+        assert len(row) == 1 and row[0].asDict() == want.asDict(), (name, key, end)
+    assert metric_at(example, "2024-04-02", "valuation_count", "month").collect()[0]["Count_monthD"] is None
+    assert metric_at(example, "20240128", "valuation_count", 7).count() == 0
+    assert metric_at(example, "20240305", "valuation_count", "month", products=["Q"]).count() == 0
+
+
+def test_look_back_sorts_few_rows(example):
+    plan = metric_at(example, "20240305", "annualized_volatility", 30)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_variants_in_one_run(example):
+    table = metrics(example, ["annualized_return", "strict_return"], [7], ["month"], prefixes={"strict_return": "Strict"})
+    assert table.columns[2:] == ["Returns_7D", "Returns_monthD", "Strict_7D", "Strict_monthD"]
+    assert table._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(prod_reg_code") == 1
+
+
+def test_shared_columns_change_nothing(example):
+    wide = {r["date"]: r for r in all_indicators(example, [3, 0], ["month"], min_points=2).collect()}
+    for name in registry.INDICATORS:
+        for row in metrics(example, name, [3, 0], ["month"], min_points=2).collect():
+            assert all(wide[row["date"]][c] == v for c, v in row.asDict().items())
+
+
+def test_own_metric(example):
+    span = sql_metric("Span", lambda key: f"datediff(date, coalesce(_start_date_{key}, date))", lambda key: [("start", key)], (2,), ())
+    table = metrics(example, ["valuation_count", "span"], [2], [], own={"span": span})
+    assert _at(table, "2024-02-05")["Span_2D"] == 4 and _at(table, "2024-02-05")["Count_2D"] == 3
 
 
 def test_catalog():
@@ -123,10 +166,12 @@ def test_session_settings():
 
 def test_jdbc_options():
     config = {"url": "jdbc:x", "table": "t", "user": "u", "password": "p", "driver": "d"}
-    assert jdbc.read_options(config) == {"url": "jdbc:x", "dbtable": "t", "user": "u", "password": "p", "driver": "d"}
+    assert jdbc.read_options({**config, "single_reader": True}) == {"url": "jdbc:x", "dbtable": "t", "user": "u", "password": "p", "driver": "d"}
     split = jdbc.read_options({**config, "split": ("date", "2020-01-01", "2025-01-01", 64)})
     assert split["partitionColumn"] == "date" and split["numPartitions"] == "64"
     written = jdbc.write_options({**config, "batchsize": 5})
-    assert written["numPartitions"] == "100" and written["batchsize"] == "5"
-    with pytest.raises(ValueError):
-        jdbc.read_options({"url": "jdbc:x"})
+    assert written["numPartitions"] == "100" and written["batchsize"] == "5" and "truncate" not in written
+    assert jdbc.write_options({**config, "truncate": True})["truncate"] == "true"
+    for wrong in ({"url": "jdbc:x", "single_reader": True}, config, {**config, "single_reader": True, "split": ("d", 0, 1, 2)}):
+        with pytest.raises(ValueError):
+            jdbc.read_options(wrong)
