@@ -56,7 +56,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("OFF")
     sf = sys.argv[1]
     con = connect(sf)
-    for name in sys.argv[2:] or list(queries()):
+    for name in sys.argv[2:] or list(oracle_sql()):
         try:
             problem, rows, ours, theirs = compare(spark, con, sf, name)
             print(f"{'ok  ' if problem is None else 'FAIL'} {name} rows={rows} spark={ours:.1f}s sql={theirs:.1f}s {problem or ''}", flush=True)

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry
+from __spark_entry__ import entry, queries
 from compare import compare, connect
 from navspan.plans.oracles import ORACLES
 from navspan.plans.queries import QUERIES
@@ -53,3 +53,9 @@ def test_scan_reads_only_what_it_needs(spark, sf_dir):
     plan = _plan(metrics(nav_nation(spark, sf_dir), "annualized_return"))
     assert "struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp" in plan
     assert "IsNotNull(o_custkey)" in plan
+
+
+def test_wide_rows_of_asof_metrics_are_exchanged_once(spark, sf_dir):
+    """Above the windows there is no exchange: the rows asked for leave from where they were computed."""
+    plan = _plan(queries()["volatility_asof"](spark, sf_dir))
+    assert "Exchange" not in plan[: plan.index("Window")]
