@@ -7,8 +7,9 @@ tile, sizes and the bits in which two signatures differ bound the overlap from a
 
 Each document is first held against one other, of the smallest doc_ids of its tiles the one that it shares most tiles
 with. Documents that this has tied into one component need no comparison with each other, so the groups of copies,
-however large, cost as many comparisons as they have members. Tiles with the same documents are one from then on. They
-are cut into blocks in order of size, and pairs of blocks within the size band are compared in separate tasks.
+however large, cost about as many comparisons as they have members. Tiles with the same documents are one from then on.
+They are cut into blocks in order of size, and pairs of blocks within the size band are compared in separate tasks:
+first each document with those of the nearest signatures, then all that are still in different components.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ SHINGLE, PERCENT = 5, 75
 #: common numbers, three bits in eight differ or more; of linked ones, numbers for two in seven at most.
 LEAST_BITS, MOST_BITS = 64, 1 << 16
 BLOCK = 256
+NEAREST = 2
 #: A number counts as frequent from so many documents on, when so many of one run of texts have it.
 FREQUENT, FREQUENT_HERE = 16, 3
 #: Frequent numbers that tasks are told of: at most 2 MB. Of more, the most frequent.
@@ -211,8 +213,21 @@ def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int,
     return joined.mapInArrow(run, "a long, b long").distinct()
 
 
-def tile_pairs(spark: SparkSession, shared: DataFrame, profile: DataFrame, root: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of tiles whose documents are not of one component yet, after sizes and signatures."""
+def nearest(p: np.ndarray, distance: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the `most` ones of their p with the least distance."""
+    order = np.lexsort((distance, p))
+    first = np.append(True, p[order][1:] != p[order][:-1]) if len(p) else np.zeros(0, bool)
+    place = np.arange(len(p)) - np.maximum.accumulate(np.where(first, np.arange(len(p)), 0))
+    out = np.zeros(len(p), bool)
+    out[order[place < most]] = True
+    return out
+
+
+def tile_pairs(spark: SparkSession, shared: DataFrame, profile: DataFrame, root: DataFrame, percent: int, most: int = 0) -> DataFrame:
+    """Pairs (a, b) of tiles whose documents are not of one component yet, after sizes and signatures.
+
+    With `most`, of each document in a pair of blocks only those with the `most` nearest signatures.
+    """
     members = shared.join(root.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     # Of tiles with the same documents, one.
     tiles = members.groupBy("number").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
@@ -238,8 +253,13 @@ def tile_pairs(spark: SparkSession, shared: DataFrame, profile: DataFrame, root:
             x, y = np.flatnonzero(block == tile["i"][0].as_py()), np.flatnonzero(block == tile["j"][0].as_py())
             p, q = np.nonzero((root[x][:, None] != root[y]) & may_link(n[x][:, None], n[y], 0, percent) & ((ids[x][:, None] < ids[y]) | (block[x][:, None] != block[y])))
             p, q = x[p], y[q]
-            fit = may_link(n[p], n[q], differing([bits[k] for k in p], [bits[k] for k in q]), percent)
-            p, q = ids[p[fit]], ids[q[fit]]
+            differ = differing([bits[k] for k in p], [bits[k] for k in q])
+            fit = may_link(n[p], n[q], differ, percent)
+            p, q, distance = p[fit], q[fit], (differ / (n[p] + n[q]))[fit]
+            if most:
+                near = nearest(p, distance, most) | nearest(q, distance, most)
+                p, q = p[near], q[near]
+            p, q = ids[p], ids[q]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
 
     return rows.mapInArrow(compare, "a long, b long").distinct()
@@ -277,9 +297,17 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, perc
     links = verified(spark, docs, pairs, size, percent).union(repeats.join(member.select("doc_id", F.col("class_id").alias("b")), "doc_id").select("a", "b"))
     links = written(spark, links, "links")
     root = components(spark, links)
-    more = written(spark, tile_pairs(spark, shared.join(leads.select("number"), "number"), profile, root, percent).join(pairs, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        root = components(spark, links.union(verified(spark, docs, more, size, percent)))
+    tiles = shared.join(leads.select("number"), "number")
+    # First the nearest ones, which tie most of what is linked; then all that are still in different components.
+    for most in (NEAREST, 0):
+        more = tile_pairs(spark, tiles, profile, root, percent, most).join(pairs, ["a", "b"], "left_anti")
+        more = written(spark, more, "more")
+        if more.isEmpty():
+            break
+        found = written(spark, verified(spark, docs, more, size, percent), "links")
+        if not found.isEmpty():
+            links, pairs = links.union(found), pairs.union(more)
+            root = components(spark, links)
     tied = member.groupBy("doc_id").agg(F.min("class_id").alias("class_id")).join(root.withColumnRenamed("node", "class_id"), "class_id", "left")
     tied = tied.select(F.col("doc_id").alias("id"), "class_id", F.coalesce("root", "class_id").alias("component_id"))
     return rows.join(tied, F.col("doc_id") == F.col("id"), "left").select(
