@@ -6,6 +6,9 @@ is a band of one row. Templates are few and known beforehand, and their windows
 passage's windows all inner ones agree wholly with one of the template's. Where a template is no longer than a window, the
 two windows that share three of its four pairs with it have similarity 0.6, and miss it in all bands with chance
 0.4^(2 * BANDS), 1 in 1,500. All of this happens within the row, and nothing is shuffled.
+
+A template of fewer than SHINGLE words is one run of words, and a text holds it where this run stands, at any place. It is
+retrieved by its first pair, or its only word, among all of the text's, so none is missed.
 """
 
 from __future__ import annotations
@@ -96,33 +99,48 @@ def scan(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, percent: int
     """The templates that each row of docs (doc_id, text) holds: doc_id, license, template (its place in the license's
     list), matched and size (shingles found, and those of the template).
 
-    Matches have 100 * matched >= percent * size, over the distinct shingles of five words of template and whole text.
-    Null and empty texts match nothing, nor does a template without words. Rows that repeat are each scanned; an empty
+    Matches have 100 * matched >= percent * size, over the distinct shingles of five words of template and whole text; a
+    template of fewer words is one shingle of all its words, sought among the text's runs of as many words. Null and empty texts match nothing, nor does a template without words. Rows that repeat are each scanned; an empty
     table gives no rows; other columns are ignored. At most MOST_WINDOWS windows of templates, else a ValueError.
     """
     spark = docs.sparkSession
     listed = [(n, name, place, text) for n, (name, place, text) in enumerate((name, i, text) for name, texts in notices.items() for i, text in enumerate(texts))]
     templates = spark.createDataFrame(listed, "number int, license string, template int, notice string").withColumn("words", words_of(F.col("notice"))).where(F.size("words") > 0)
     templates = templates.withColumn("shingles", shingles_of(F.col("words")))
-    windows = [(r["number"], r["minima"]) for r in template_windows(templates).collect()]
-    if len(windows) > MOST_WINDOWS:
-        raise ValueError(f"{len(windows)} windows of templates; at most {MOST_WINDOWS}")
+    long, short = templates.where(F.size("words") >= SHINGLE), templates.where(F.size("words") < SHINGLE)
+    windows = [(r["number"], r["minima"]) for r in template_windows(long).collect()]
+    # Of short templates: the number, the only word or none, the first pair or none.
+    firsts = short.select("number", F.when(F.size("words") == 1, F.col("words")[0]).alias("word"), F.when(F.size("words") > 1, pairs_of(F.col("words"))[0]).alias("pair")).collect()
+    words, pairs = ({x["number"]: x[kind] for x in firsts if x[kind] is not None} for kind in ("word", "pair"))
+    if len(windows) + len(firsts) > MOST_WINDOWS:
+        raise ValueError(f"{len(windows) + len(firsts)} windows of templates; at most {MOST_WINDOWS}")
 
     def constants(j: int, number: int | None = None) -> Column:
         values = sorted({minima[j] for n, minima in windows if number in (None, n)})
         return F.array(*[F.lit(x) for x in values]).cast("array<bigint>")
 
+    def among(values: Column, wanted: dict[int, object], kind: str) -> Column:
+        """Those of wanted that are among the values."""
+        constants = F.array(*[F.lit(x) for x in sorted(set(wanted.values()))]).cast(f"array<{kind}>")
+        return F.array_intersect(values, constants) if wanted else constants
+
     def hits(v: Column) -> Column:
-        found = let(lambda w: F.array(*[F.array_intersect(w["minima"][j], constants(j)) for j in range(BANDS)]), minima=window_minima(pairs_of(v["words"])))
-        return F.struct(v["words"].alias("words"), found.alias("hits"))
+        def of(w: Column) -> Column:
+            found = let(lambda x: F.array(*[F.array_intersect(x["minima"][j], constants(j)) for j in range(BANDS)]), minima=window_minima(w["pairs"]))
+            return F.struct(v["words"].alias("words"), found.alias("hits"), among(w["pairs"], pairs, "bigint").alias("pairs"), among(v["words"], words, "string").alias("single"))
+
+        return let(of, pairs=pairs_of(v["words"]))
 
     # Rows without hits end here. An explode, as the planner would move a filter, and all of the work with it, down.
-    hit = F.filter(F.array(let(hits, words=words_of(F.col("text")))), lambda h: F.exists(h["hits"], lambda x: F.size(x) > 0))
-    rows = docs.select("doc_id", F.explode(hit).alias("hit")).select("doc_id", "hit.words", "hit.hits")
+    hit = F.filter(F.array(let(hits, words=words_of(F.col("text")))), lambda h: F.exists(h["hits"], lambda x: F.size(x) > 0) | (F.size(h["pairs"]) > 0) | (F.size(h["single"]) > 0))
+    rows = docs.select("doc_id", F.explode(hit).alias("hit")).select("doc_id", "hit.*")
     numbers = sorted({n for n, _ in windows})
     retrieved = [F.when(reduce(Column.__or__, [F.arrays_overlap(F.col("hits")[j], constants(j, n)) for j in range(BANDS)]), F.lit(n)) for n in numbers]
-    rows = rows.select("doc_id", shingles_of(F.col("words")).alias("own"), F.explode(F.array_compact(F.array(F.lit(None).cast("int"), *retrieved))).alias("number"))
+    retrieved += [F.when(F.array_contains(column, F.lit(x)), F.lit(n)) for column, wanted in (("pairs", pairs), ("single", words)) for n, x in wanted.items()]
+    rows = rows.select("doc_id", "words", shingles_of(F.col("words")).alias("own"), F.explode(F.array_compact(F.array(F.lit(None).cast("int"), *retrieved))).alias("number"))
     # Broadcast: the templates are the few constants above.
-    rows = rows.join(F.broadcast(templates.select("number", "license", "template", "shingles")), "number")
-    rows = rows.select("doc_id", "license", "template", F.size(F.array_intersect("own", "shingles")).alias("matched"), F.size("shingles").alias("size"))
+    rows = rows.join(F.broadcast(templates.select("number", "license", "template", "shingles", (F.size("words") < SHINGLE).alias("short"))), "number")
+    run = F.concat(F.lit(" "), F.col("shingles")[0], F.lit(" "))
+    matched = F.when(F.col("short"), F.contains(F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")), run).cast("int")).otherwise(F.size(F.array_intersect("own", "shingles")))
+    rows = rows.select("doc_id", "license", "template", matched.alias("matched"), F.size("shingles").alias("size"))
     return rows.where(F.col("matched") * 100 >= F.col("size") * percent)

@@ -351,6 +351,16 @@ def test_licenses(spark, docs, rows):
     assert Counter(tuple(r) for r in found) == want and len(want) >= 6
 
 
+def test_short_templates_stand_anywhere(spark):
+    """Templates of one to four words, within and at the ends of long texts, at even and odd places."""
+    notices = {"reserved": ["All rights reserved.", "Copyright. All rights reserved."], "short": ["Unlicense", "Public domain"], "MIT": licenses.NOTICES["MIT"]}
+    much = "some words of a long text " * 80
+    texts = [much + "All rights reserved.", much + "and all rights, reserved", "(c) copyright; ALL RIGHTS RESERVED! " + much, much + "public\ndomain " + much, much + "unlicense", "all rights are reserved", "overall rights reserved public domains unlicensed", much + "Released under the MIT License. All rights reserved.", "unlicense"]
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), notices).collect()
+    ones = [(0, "reserved", 0), (1, "reserved", 0), (2, "reserved", 0), (2, "reserved", 1), (3, "short", 1), (4, "short", 0), (7, "MIT", 0), (7, "reserved", 0), (8, "short", 0)]
+    assert sorted(tuple(r) for r in found) == sorted((*x, 1, 1) for x in ones)
+
+
 # ---- personal data
 
 PATTERNS = {
