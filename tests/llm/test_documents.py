@@ -361,6 +361,19 @@ def test_short_templates_stand_anywhere(spark):
     assert sorted(tuple(r) for r in found) == sorted((*x, 1, 1) for x in ones)
 
 
+def test_bands_seldom_miss_alike():
+    """Templates of four pairs at odd places, of random hashes: no more than 1 in 20,000 shares no band with its windows."""
+    assert licenses.BANDS >= 5 and len({m >> 61 for m in licenses.MASKS}) == licenses.BANDS
+    n = 400_000
+    pairs = np.random.default_rng(1).integers(-(2**63), 2**63, (n, 6), np.int64)
+    missed = np.ones(n, bool)
+    for mask in licenses.MASKS:
+        h = pairs ^ np.int64(mask)
+        own, before, after = h[:, 1:5].min(axis=1), h[:, :4].min(axis=1), h[:, 2:].min(axis=1)
+        missed &= (own != before) & (own != after)
+    assert missed.sum() <= n / 20_000
+
+
 # ---- personal data
 
 PATTERNS = {
