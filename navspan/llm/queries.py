@@ -46,13 +46,9 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    dropped = lines.dropped_lines(spark, docs).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list("line_no")).alias("dropped"))
-    dropped = dropped.withColumnsRenamed({"doc_id": "d", "text_key": "k"})
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.coalesce(F.size(F.split("text", F.lit("\n"))), F.lit(0)).alias("n_lines"))
-    rows = rows.join(dropped, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
+    found = lines.deduplicated(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     numbers = F.array_join(F.transform("dropped", lambda i: i.cast("string")), ",")
-    return rows.select("doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).alias("n_dropped"), F.coalesce(numbers, F.lit("")).alias("dropped"))
+    return found.select("doc_id", "text", "n_lines", F.size("dropped").alias("n_dropped"), numbers.alias("dropped"))
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -325,6 +325,16 @@ def test_lines(spark, docs, rows):
     assert sum(map(len, want.values())) > 20
 
 
+def test_line_query_returns_texts(spark, sf_dir):
+    """The query's text is the document's without the lines that it lists."""
+    texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    found = QUERIES["op7_line_dedup"](spark, sf_dir).collect()
+    for r in found:
+        gone = [int(i) for i in r["dropped"].split(",") if i]
+        assert r["text"] == kept(texts[r["doc_id"]], gone) and r["n_dropped"] == len(gone)
+    assert len(found) == len(texts) and any(r["n_dropped"] for r in found)
+
+
 def kept(text, gone):
     return text if not gone else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
 
