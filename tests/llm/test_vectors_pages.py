@@ -139,6 +139,29 @@ def test_pages(spark):
     assert pages.extract(spark, table.where("page_id < 0")).count() == 0
 
 
+def test_repeats_are_counted_over_the_whole_host(spark):
+    """A passage on 3 of 400 pages of a host goes, one on 2 stays, whatever the pages a task holds; so does one on many hosts."""
+    draw = random.Random(6)
+    say = lambda n: " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(n))
+    thrice, twice, hosts, there = say(12), say(12), say(12), say(12)
+    rows, want = [], {}
+    for i in range(400):
+        own = say(20)
+        extra = thrice if i in (5, 140, 390) else twice if i in (6, 200) else hosts if i == 7 else there if i in (9, 250) else ""
+        rows.append((i, f"https://big.example/{i}", f"<body><p>{extra}</p><p>{own}</p></body>"))
+        want[i] = own if extra in ("", thrice, there) else f"{extra}\n{own}"
+    for i in range(3):
+        own = say(20)
+        rows.append((500 + i, f"https://small{i}.example/", f"<p>{hosts}</p><p>{own}</p>"))
+        want[500 + i] = f"{hosts}\n{own}"
+    # An article counts as a page that the passage is on, and keeps it; an equal page counts once.
+    rows += [(600, "https://big.example/a", f"<article><p>{there}</p></article>"), (601, "https://big.example/b", rows[6][2])]
+    want |= {600: there, 601: want[6]}
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    for run in (16, 1000):
+        assert {r["page_id"]: r["text"] for r in pages.extract(spark, table, run=run).collect()} == want
+
+
 @pytest.mark.parametrize("name, key, table", [("op5_embedding_near_dedup", "vec_id", "embeddings"), ("op8_html_extraction", "page_id", "pages")])
 def test_queries_run_on_whole_tables(spark, sf_dir, name, key, table):
     df = QUERIES[name](spark, sf_dir)
