@@ -162,6 +162,19 @@ def test_repeats_are_counted_over_the_whole_host(spark):
         assert {r["page_id"]: r["text"] for r in pages.extract(spark, table, run=run).collect()} == want
 
 
+def test_site_without_articles(spark):
+    """More pages a host than a task holds: notices and menus go, as they repeat, and each page's own words stay."""
+    draw = random.Random(8)
+    say = lambda n: " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(n))
+    menus, notice, own = [say(15), say(15)], say(25), [[say(15), say(30)] for _ in range(2 * (pages.RUN + 50))]
+    rows = []
+    for i, (a, b) in enumerate(own):
+        extra = f"<p>{notice}</p>" if i % 100 < 2 else ""
+        rows.append((i, f"http://host{i % 2}.example/{i}", f"<div>{menus[i % 2]}</div><h1>{a}</h1>{extra}<p>{b}</p>"))
+    found = pages.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {i: f"{a}\n{b}" for i, (a, b) in enumerate(own)}
+
+
 @pytest.mark.parametrize("name, key, table", [("op5_embedding_near_dedup", "vec_id", "embeddings"), ("op8_html_extraction", "page_id", "pages")])
 def test_queries_run_on_whole_tables(spark, sf_dir, name, key, table):
     df = QUERIES[name](spark, sf_dir)
