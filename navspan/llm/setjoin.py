@@ -177,7 +177,7 @@ def bounded(pairs: DataFrame, profile: DataFrame, percent: int) -> DataFrame:
             yield batch.filter(pa.array(may_link(batch["n_a"].to_numpy(), batch["n_b"].to_numpy(), differ, percent))).select(["a", "b"])
 
     near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return pairs.where(near).mapInArrow(run, "a long, b long")
+    return pairs.where(near).mapInArrow(run, "a long, b long").distinct()
 
 
 def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -232,18 +232,18 @@ def tile_pairs(spark: SparkSession, shared: DataFrame, profile: DataFrame, root:
     # Of tiles with the same documents, one.
     tiles = members.groupBy("number").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
     tiles = tiles.where("low < high").groupBy("who", "size").agg(F.min("number").alias("number")).select("number")
-    members = members.join(tiles, "number").join(profile.select("id", "n"), "id")
-    order = Window.partitionBy("number").orderBy("n", "id")
+    members = members.join(tiles, "number").join(profile.select("id", "n", "key"), "id")
+    order = Window.partitionBy("number").orderBy("n", "id", "key")
     members = members.withColumn("block", ((F.row_number().over(order) - 1) / BLOCK).cast("int"))
     members = written(spark, members, "members")
     blocks = members.groupBy("number", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     left, right = blocks.alias("l"), blocks.alias("r")
     near = (F.col("l.number") == F.col("r.number")) & (F.col("l.block") <= F.col("r.block")) & (F.col("l.high") * 100 >= F.col("r.low") * percent)
     tiles = left.join(right, near).select(F.col("l.number").alias("number"), F.col("l.block").alias("i"), F.col("r.block").alias("j"))
-    columns = ["number", "i", "j", "block", "id", "n", "root"]
+    columns = ["number", "i", "j", "block", "id", "n", "key", "root"]
     first = members.join(tiles, (members["number"] == tiles["number"]) & (members["block"] == tiles["i"])).drop(tiles["number"])
     second = members.join(tiles.where("i < j"), (members["number"] == tiles["number"]) & (members["block"] == tiles["j"])).drop(tiles["number"])
-    rows = first.select(*columns).unionByName(second.select(*columns)).join(profile, ["id", "n"])
+    rows = first.select(*columns).unionByName(second.select(*columns)).join(profile, ["id", "n", "key"])
     rows = rows.repartition("number", "i", "j").sortWithinPartitions("number", "i", "j", "block")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +281,12 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, perc
     classes = usable.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("class_id"))
     member = written(spark, usable.join(classes, ["h1", "h2", "n"]).select("doc_id", "class_id", "n").distinct(), "classes")
     profile = usable.select("doc_id", "n", "bits").join(member.where("doc_id = class_id").select("doc_id", "n"), ["doc_id", "n"], "left_semi")
-    profile = profile.dropDuplicates(["doc_id", "n"]).withColumnRenamed("doc_id", "id")
+    profile = profile.withColumnRenamed("doc_id", "id")
+    # Several texts of one doc_id can be of one size; their signatures are told apart by a key, which is 0 elsewhere.
+    several = profile.groupBy("id", "n").agg(F.min(F.xxhash64("bits")).alias("low"), F.max(F.xxhash64("bits")).alias("high")).where("low < high")
+    several = written(spark, several.select("id", "n", F.lit(True).alias("several")), "several")
+    profile = profile.distinct().join(several, ["id", "n"], "left")
+    profile = profile.select("id", "n", "bits", F.when(F.col("several"), F.xxhash64("bits")).otherwise(F.lit(0)).alias("key"))
 
     numbers = heads(docs, size, percent, frequent_numbers(found)).repartition("number")
     tile = Window.partitionBy("number")

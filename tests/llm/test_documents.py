@@ -280,6 +280,17 @@ def test_jaccard_chains(spark):
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in found.collect()) == brute_components(rows, 5, 75)
 
 
+def test_jaccard_texts_of_one_doc_id(spark):
+    """Several different texts of one size under one doc_id, each with a near copy under another."""
+    rows = []
+    for i in range(12):
+        for k in range(3):
+            text = [f"w{i}x{k}x{j}" for j in range(60)]
+            rows += [(i, " ".join(text), "en", "s", 0), (100 + 3 * i + k, " ".join(text[:-1] + ["changed"]), "en", "s", 0)]
+    found = setjoin.jaccard_join(spark, spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in found) == brute_components(rows, 5, 75)
+
+
 @given(st.lists(st.tuples(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=300), st.integers(0, 40)), min_size=1, max_size=5))
 @settings(max_examples=50, deadline=None)
 def test_signatures_bound_the_overlap(sets):
