@@ -14,6 +14,30 @@ def _shingles(key: str, source: str) -> str:
             FROM ({source})) WHERE len(w) > 0)"""
 
 
+_LEAK_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+def _lloyd(k: int, rounds: int) -> str:
+    """Every round as two tables: the nearest centroid of each vector, and the centroids after it."""
+    parts = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x AS DOUBLE)) AS HUGEINT)) AS x
+        FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        e AS MATERIALIZED (SELECT id, j, x[j] AS x FROM v, unnest(range(1, 65)) AS t(j)),
+        f AS (SELECT id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM v QUALIFY c < {k}),
+        c0 AS MATERIALIZED (SELECT c, j, x AS m FROM f JOIN e USING (id))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT id, arg_min(c, (d, c)) AS c, min(d) AS d
+            FROM (SELECT id, c, sum((x - m) * (x - m)) AS d FROM e JOIN c{r} USING (j) GROUP BY id, c) GROUP BY id)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT c{r}.c, c{r}.j, coalesce((s - ((s % n) + n) % n) // n, m) AS m FROM c{r}
+                LEFT JOIN (SELECT c, j, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM e JOIN a{r} USING (id) GROUP BY c, j) q ON q.c = c{r}.c AND q.j = c{r}.j)""")
+    return f"""WITH {", ".join(parts)},
+        h AS (SELECT c, sha256(string_agg(cast(m AS VARCHAR), ',' ORDER BY j)) AS h FROM c{rounds} GROUP BY c)
+        SELECT vec_id, cast(c AS INTEGER) AS cluster, cast(d AS BIGINT) AS distance, cast(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+               cast(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+        FROM a{rounds} JOIN v USING (id) JOIN h USING (c)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": f"""
         WITH t AS ({_shingles("license, template", f"SELECT * FROM (VALUES {_TEMPLATES}) AS v(license, template, text)")}),
@@ -30,4 +54,43 @@ ORACLES: dict[str, str] = {
                           count(*) OVER (PARTITION BY plain) AS group_size FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256 FROM n
     """,
+    "op11_decontamination": f"""
+        WITH b AS (SELECT cast(item_id AS VARCHAR) AS item_id, {_LEAK_WORDS} AS w FROM benchmark),
+             k AS (SELECT *, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+             i AS (SELECT DISTINCT item_id, n, array_to_string(w[j:j + n - 1], ' ') AS s
+                   FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS j FROM k)),
+             d AS (SELECT row_number() OVER () AS id, doc_id, {_LEAK_WORDS} AS w FROM documents),
+             o AS (SELECT id, n, j, array_to_string(w[j:j + n - 1], ' ') AS s
+                   FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS j FROM d, (SELECT DISTINCT n FROM i))),
+             h AS (SELECT id, n, j, item_id FROM o JOIN i USING (s, n)),
+             c AS (SELECT id, count(*) AS n_hit FROM (SELECT DISTINCT id, unnest(range(j, j + n)) AS at FROM h) GROUP BY id),
+             t AS (SELECT id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+                   FROM (SELECT DISTINCT id, item_id FROM h) GROUP BY id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN c USING (id) LEFT JOIN t USING (id)
+    """,
+    "op12_centroid_clustering": _lloyd(8, 10),
+    "op13_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+             w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+             g AS (SELECT lang, w[j:j + size - 1] AS words
+                   FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS j FROM w, unnest(range(1, 6)) AS s(size))),
+             n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+             f AS MATERIALIZED (SELECT lang, words, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+             x AS (SELECT lang, words[j:j + size - 1] AS words, max(f) AS more
+                   FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS j FROM f, unnest(range(2, 5)) AS s(size) WHERE size < len(words))
+                   GROUP BY ALL),
+             c AS (SELECT f.* FROM f LEFT JOIN x USING (lang, words) WHERE len(words) > 1 AND (more IS NULL OR 100 * more < 100 * f)),
+             k AS (SELECT lang, words, f AS a, unnest(range(1, len(words))) AS k FROM c),
+             s AS (SELECT k.lang, k.words, a, l.f AS l, r.f AS r, n, k, (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score
+                   FROM k JOIN n ON k.lang = n.lang JOIN f l ON l.lang = k.lang AND l.words = k.words[:k]
+                   JOIN f r ON r.lang = k.lang AND r.words = k.words[k + 1:]),
+             b AS (SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score FROM s
+                   QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+               cast(n AS BIGINT) AS n, cast(score AS BIGINT) AS score
+        FROM b QUALIFY rank <= 2000
+    """,
 }

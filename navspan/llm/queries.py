@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspan.llm import licenses, lines, mixing, naming, packing, pages, personal, setjoin, toxicity, vectors
+from navspan.llm import collocations, leaks, licenses, lines, lloyd, mixing, naming, packing, pages, personal, setjoin, toxicity, vectors
+from navspan.llm.shared import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +72,28 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(personal.joined(F.col("base")), 256).alias("base_sha256"), personal.joined(F.col("found")).alias("spans"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = lloyd.clusters(spark, table(spark, sf_dir, "embeddings"))
+    found = written(spark, found, "assigned")
+    # One row a centroid.
+    own = {r[0]: int(r[1]) for r in found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)"))).collect()}
+    names = [(i, own.get(i, 0), sum(own.values()), hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(centroids.tolist())]
+    told = spark.createDataFrame(names, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    # Broadcast: one row a centroid.
+    return found.join(F.broadcast(told), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,5 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_personal_data": op10_personal_data,
+    "op11_decontamination": op11_decontamination,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
