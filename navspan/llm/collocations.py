@@ -41,6 +41,18 @@ def in_map(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of equal keys: the place of one of them; the group's number at each place; how many there are."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.append(True, keys[1:] != keys[:-1])
+    del keys
+    starts = np.flatnonzero(new)
+    inverse = np.empty(len(order), np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    return order[starts], inverse, np.diff(starts, append=len(order))
+
+
 class Shard:
     """The words of a run of texts: hash, language, bytes, and how many of the words before stand in the same piece."""
 
@@ -95,34 +107,34 @@ class Shard:
         if not n:
             return
         local = self.local_support(support)
-        at, keys = np.arange(n), np.unique(self.hashes, return_inverse=True)[1] * len(self.langs) + self.code
+        at, keys = np.arange(n, dtype=np.int32), (self.hashes * ROLL + self.seeds[self.code]).view(np.int64)
         # Whole numbers for the phrases kept that start at each word, -1 for others; those of single words.
-        names = single = np.zeros(n, np.int32)
+        names = single = None
         width = 0
         for length in range(1, longest + 1):
             if length > 1:
                 # Both parts kept, and no piece ends within.
-                at = at[at + length <= n]
-                at = at[(names[at + 1] >= 0) & (self.before[at + length - 1] >= length - 1)]
-                keys = names[at].astype(np.int64) * width + single[at + length - 1]
+                at = np.flatnonzero((names[: n - length + 1] >= 0) & (names[1 : n - length + 2] >= 0) & (self.before[length - 1 :] >= length - 1)).astype(np.int32)
+                keys = names[at] * np.int64(width) + single[at + (length - 1)]
             if not len(at):
                 return
-            _, first, inverse, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+            first, inverse, counts = grouped(keys)
+            del keys
             first = at[first]
             keep = in_map(told, self.slots(first, length)) if told is not None and length <= told_to else counts >= local[self.code[first]]
             yield length, first[keep], counts[keep]
             number = np.where(keep, np.cumsum(keep) - 1, -1).astype(np.int32)
             names = np.full(n, -1, np.int32)
             names[at] = number[inverse]
+            del inverse
             if length == 1:
                 single, width = names, int(keep.sum()) + 1
-            at = np.flatnonzero(names >= 0)
 
-    def rows(self, length: int, first: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        words = np.stack([self.hashes[first + k] for k in range(length)], axis=1) if len(first) else np.zeros((0, length), np.uint64)
-        keys = pa.array([x.tobytes() for x in words], pa.binary())
+    def rows(self, length: int, first: np.ndarray, counts: np.ndarray, spelled: bool) -> pa.RecordBatch:
+        words = np.stack([self.hashes[first + k] for k in range(length)], axis=1)
+        keys = pa.Array.from_buffers(pa.binary(8 * length), len(first), [None, pa.py_buffer(words)]).cast(pa.binary())
         texts = pa.nulls(len(first), pa.string())
-        if length == 1:
+        if length == 1 and spelled:
             raw = [self.data[a:b].tobytes().lower().decode() for a, b in zip(self.starts[first].tolist(), self.ends[first].tolist(), strict=True)]
             texts = pa.array(raw, pa.string())
         langs = pa.array(self.langs, pa.string()).take(pa.array(self.code[first]))
@@ -132,7 +144,7 @@ class Shard:
 def mined(docs: DataFrame, lengths: tuple[int, int], support: int, told: np.ndarray | None = None, told_to: int = 0, run_bytes: int = RUN_BYTES) -> DataFrame:
     """(lang, words, slot, count, text) of each shard's phrases of these lengths, and its number of words (words null).
 
-    docs: lang, text and total, the bytes of all texts of the language. words: the words' hashes; text: of single words.
+    docs: lang, text and total, the bytes of all texts of the language. words: the words' hashes; text: of single words of the map.
     """
     shared = docs.sparkSession.sparkContext.broadcast(told)
 
@@ -143,7 +155,7 @@ def mined(docs: DataFrame, lengths: tuple[int, int], support: int, told: np.ndar
         for length, first, counts in found.mined(lengths[1], support, shared.value, told_to):
             if length >= lengths[0]:
                 for i in range(0, len(first), 1 << 15):
-                    yield found.rows(length, first[i : i + (1 << 15)], counts[i : i + (1 << 15)])
+                    yield found.rows(length, first[i : i + (1 << 15)], counts[i : i + (1 << 15)], told_to > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
