@@ -13,6 +13,7 @@ pairs leave. A phrase is known by its words' 64-bit hashes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from navspan.llm.shared import slices, text_bytes, written
-from navspan.llm.words import FOLDED, ROLL, U, bounds_in, hashes_between, mixed, steps, word_bounds
+from navspan.llm.words import FOLDED, ROLL, STEP, U, bounds_in, hashes_between, mixed, steps, word_bounds
 
 SUPPORT, LONGEST, TOP, PERCENT, SCALE = 100, 5, 2000, 100, 1000
 RUN_BYTES = 32 << 20
@@ -34,6 +35,7 @@ ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 IS_WORD = ~ENDS
 IS_WORD[[0x20, 0x09]] = False
 VALUES = np.where(IS_WORD, FOLDED, U(0))
+WORD = re.compile(rb"[^\x20\x09-\x0D.,;:!?]+")
 FIELDS = pa.schema([("lang", pa.string()), ("words", pa.binary()), ("slot", pa.int64()), ("count", pa.int64()), ("text", pa.string())])
 
 
@@ -44,8 +46,10 @@ def in_map(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of equal keys: the place of one of them; the group's number at each place; how many there are."""
     order = np.argsort(keys)
-    keys = keys[order]
-    new = np.append(True, keys[1:] != keys[:-1])
+    new = np.ones(len(order), bool)
+    for i in range(1, len(order), STEP):
+        some = keys[order[i - 1 : i + STEP]]
+        new[i : i + STEP] = some[1:] != some[:-1]
     del keys
     starts = np.flatnonzero(new)
     inverse = np.empty(len(order), np.int32)
@@ -57,7 +61,9 @@ class Shard:
     """The words of a run of texts: hash, language, bytes, and how many of the words before stand in the same piece."""
 
     def __init__(self, parts: list[pa.RecordBatch]):
+        """parts are emptied: the bytes are held once."""
         batch = pa.Table.from_batches(parts).combine_chunks()
+        parts.clear()
         langs = batch["lang"].combine_chunks().dictionary_encode()
         self.langs = langs.dictionary.to_pylist()
         code = langs.indices.to_numpy()
@@ -66,7 +72,8 @@ class Shard:
         self.totals = [0] * len(self.langs)
         for c, total in zip(code.tolist(), batch["total"].to_pylist(), strict=True):
             self.totals[c] = total
-        found: list[tuple[np.ndarray, ...]] = []
+        found: list[list[np.ndarray]] = [[], [], [], []]
+        code = code.astype(np.int16 if len(self.langs) < 1 << 15 else np.int32)
         for at, end in steps(self.data, ~ENDS):
             own = self.data[at:end]
             starts, ends = word_bounds(own, bounds_in(bounds, at, end), IS_WORD)
@@ -76,11 +83,15 @@ class Shard:
             new = np.append(True, mark[1:] != mark[:-1])[: len(starts)]
             text = np.searchsorted(bounds, starts + at, "right") - 1
             new |= np.append(True, text[1:] != text[:-1])[: len(starts)]
-            found.append(((starts + at).astype(np.int32), (ends + at).astype(np.int32), hashes_between(own, starts, ends, VALUES), code[text], new))
-        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, t) for t in (np.int32, np.int32, np.uint64, np.int32, bool)]
-        self.starts, self.ends, self.hashes, self.code, new = columns
-        place = np.arange(len(new), dtype=np.int32)
-        self.before = place - np.maximum.accumulate(np.where(new, place, 0)) if len(new) else place
+            place = np.arange(len(starts), dtype=np.int32)
+            before = np.minimum(place - np.maximum.accumulate(np.where(new, place, 0)), 127) if len(starts) else place
+            for held, x in zip(found, ((starts + at).astype(np.int32), hashes_between(own, starts, ends, VALUES), code[text], before.astype(np.int8)), strict=True):
+                held.append(x)
+        columns = []
+        for held in found:
+            columns.append(np.concatenate(held) if held else np.zeros(0, np.int32))
+            held.clear()
+        self.starts, self.hashes, self.code, self.before = columns
         self.seeds = np.array([self.lang_seed(x) for x in self.langs], np.uint64)
 
     @staticmethod
@@ -107,7 +118,6 @@ class Shard:
         if not n:
             return
         local = self.local_support(support)
-        at, keys = np.arange(n, dtype=np.int32), (self.hashes * ROLL + self.seeds[self.code]).view(np.int64)
         # Whole numbers for the phrases kept that start at each word, -1 for others; those of single words.
         names = single = None
         width = 0
@@ -115,12 +125,13 @@ class Shard:
             if length > 1:
                 # Both parts kept, and no piece ends within.
                 at = np.flatnonzero((names[: n - length + 1] >= 0) & (names[1 : n - length + 2] >= 0) & (self.before[length - 1 :] >= length - 1)).astype(np.int32)
-                keys = names[at] * np.int64(width) + single[at + (length - 1)]
-            if not len(at):
-                return
-            first, inverse, counts = grouped(keys)
-            del keys
-            first = at[first]
+                if not len(at):
+                    return
+                first, inverse, counts = grouped(names[at] * np.int64(width) + single[at + (length - 1)])
+                first = at[first]
+            else:
+                at = slice(None)
+                first, inverse, counts = grouped((self.hashes * ROLL + self.seeds[self.code]).view(np.int64))
             keep = in_map(told, self.slots(first, length)) if told is not None and length <= told_to else counts >= local[self.code[first]]
             yield length, first[keep], counts[keep]
             number = np.where(keep, np.cumsum(keep) - 1, -1).astype(np.int32)
@@ -135,8 +146,9 @@ class Shard:
         keys = pa.Array.from_buffers(pa.binary(8 * length), len(first), [None, pa.py_buffer(words)]).cast(pa.binary())
         texts = pa.nulls(len(first), pa.string())
         if length == 1 and spelled:
-            raw = [self.data[a:b].tobytes().lower().decode() for a, b in zip(self.starts[first].tolist(), self.ends[first].tolist(), strict=True)]
-            texts = pa.array(raw, pa.string())
+            ends = np.append(self.starts, len(self.data))[first + 1]
+            raw = [WORD.match(self.data[a:b].tobytes())[0] for a, b in zip(self.starts[first].tolist(), ends.tolist(), strict=True)]
+            texts = pa.array([x.lower().decode() for x in raw], pa.string())
         langs = pa.array(self.langs, pa.string()).take(pa.array(self.code[first]))
         return pa.RecordBatch.from_arrays([langs, keys, pa.array(self.slots(first, length)), pa.array(counts.astype(np.int64)), texts], schema=FIELDS)
 
@@ -194,13 +206,13 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, support: int = SUPPOR
     totals = written(spark, docs.groupBy(F.col("lang").alias("of")).agg(F.sum(F.octet_length("text")).alias("total")), "totals")
     docs = docs.join(few(totals), F.col("lang") == F.col("of")).select("lang", "text", "total")
 
-    def counted(lengths: tuple[int, int], told: np.ndarray | None, told_to: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    def counted(lengths: tuple[int, int], told: np.ndarray | None, told_to: int) -> tuple[DataFrame, DataFrame]:
         rows = written(spark, mined(docs, lengths, support, told, told_to, run_bytes), "local")
         candidates = phrase_map(rows.where("words is not null"))
         known = candidates if told is None else candidates | told
         sums = mined(docs, lengths, support, known, lengths[1], run_bytes).where("words is not null")
-        sums = sums.groupBy("lang", "words").agg(F.first("slot").alias("slot"), F.sum("count").alias("count"), F.min("text").alias("text"))
-        return rows, written(spark, sums.where(F.col("count") >= support), "frequent")
+        sums = sums.groupBy("lang", "words", "slot", "text").agg(F.sum("count").alias("count"))
+        return rows, written(spark, sums.where(F.col("count") >= support).select("lang", "words", "slot", "count", "text"), "frequent")
 
     rows, short = counted((1, min(2, longest)), None, 0)
     n = written(spark, rows.where("words is null").groupBy("lang").agg(F.sum("count").alias("n")), "sizes")
