@@ -1,7 +1,7 @@
 """Phrase collocations by SON partitioning: every shard is mined whole at a proportionally lower support, the phrases
 that are frequent in some shard are united, and all of these are counted exactly.
 
-A shard is a run of RUN_BYTES of texts in a task. Its share of a language's bytes is its share of the support: a phrase
+A shard is a run of about RUN_BYTES of texts in a task. Its share of a language's bytes is its share of the support: a phrase
 with the whole support has at least that share in one shard. Within a shard phrases grow word by word, and only from
 phrases that were kept, as no phrase is more frequent than its parts.
 
@@ -25,7 +25,7 @@ from navspan.llm.shared import slices, text_bytes, written
 from navspan.llm.words import FOLDED, ROLL, STEP, U, bounds_in, hashes_between, mixed, steps, word_bounds
 
 SUPPORT, LONGEST, TOP, PERCENT, SCALE = 100, 5, 2000, 100, 1000
-RUN_BYTES = 32 << 20
+RUN_BYTES = 16 << 20
 #: Languages of which tasks are told, at most.
 FEW = 10_000
 #: Bits of the map of phrases: 4 MB, whatever their number.
@@ -170,15 +170,22 @@ def mined(docs: DataFrame, lengths: tuple[int, int], support: int, told: np.ndar
                     yield found.rows(length, first[i : i + (1 << 15)], counts[i : i + (1 << 15)], told_to > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last shard has between a half and three halves of the bytes, as a small one would find too much frequent.
         held: list[pa.RecordBatch] = []
-        total = 0
+        first = total = 0
         for batch in batches:
             for part in slices(batch, "text"):
                 held.append(part)
                 total += part["text"].nbytes
-                if total > run_bytes:
+                if total <= run_bytes:
+                    first = len(held)
+                if 2 * total > 3 * run_bytes:
+                    first = max(1, first)
+                    rest = held[first:]
+                    del held[first:]
                     yield from shard(held)
-                    held, total = [], 0
+                    held, first = rest, len(rest)
+                    total = sum(p["text"].nbytes for p in held)
         if held:
             yield from shard(held)
 
