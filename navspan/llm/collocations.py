@@ -3,7 +3,9 @@ that are frequent in some shard are united, and all of these are counted exactly
 
 A shard is a run of about RUN_BYTES of texts in a task. Its share of a language's bytes is its share of the support: a phrase
 with the whole support has at least that share in one shard. Within a shard phrases grow word by word, and only from
-phrases that were kept, as no phrase is more frequent than its parts.
+phrases that were kept, as no phrase is more frequent than its parts. The shards where a phrase is not frequent each have
+less than their share of it, so those whose sum can't reach the support are no candidates either; where the shares are
+below one occurrence, this leaves the frequent phrases alone.
 
 Words and pairs come first, longer phrases after them: these are made of frequent pairs only, which tasks are told by a
 bit map of fixed size. Where the map says yes by mistake, or is full, more is counted and nothing changes. So where
@@ -25,7 +27,9 @@ from navspan.llm.shared import slices, text_bytes, written
 from navspan.llm.words import FOLDED, ROLL, STEP, U, bounds_in, hashes_between, mixed, steps, word_bounds
 
 SUPPORT, LONGEST, TOP, PERCENT, SCALE = 100, 5, 2000, 100, 1000
-RUN_BYTES = 16 << 20
+RUN_BYTES = 24 << 20
+#: Phrases of a length are grouped in so many turns, which bounds what a shard holds at a time.
+TURNS = 4
 #: Languages of which tasks are told, at most.
 FEW = 10_000
 #: Bits of the map of phrases: 4 MB, whatever their number.
@@ -36,7 +40,23 @@ IS_WORD = ~ENDS
 IS_WORD[[0x20, 0x09]] = False
 VALUES = np.where(IS_WORD, FOLDED, U(0))
 WORD = re.compile(rb"[^\x20\x09-\x0D.,;:!?]+")
-FIELDS = pa.schema([("lang", pa.string()), ("words", pa.binary()), ("slot", pa.int64()), ("count", pa.int64()), ("text", pa.string())])
+PHRASES = pa.schema([("lang", pa.string()), ("words", pa.binary()), ("count", pa.int64()), ("text", pa.string())])
+LOCAL = pa.schema([("lang", pa.string()), ("key", pa.int64()), ("over", pa.int64()), ("n", pa.int64()), ("hidden", pa.int64())])
+
+
+def lang_seed(lang: str) -> int:
+    seed = 0
+    for b in lang.encode():
+        seed = (seed * 1099511628211 + b + 1) % (1 << 64)
+    return seed
+
+
+def phrase_key(seed: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """64-bit hash of phrases of a language, by their words' hashes. Its low bits are the place in the bit map."""
+    out = seed
+    for x in words:
+        out = out * ROLL + x
+    return mixed(out + U(len(words)))
 
 
 def in_map(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -92,21 +112,14 @@ class Shard:
             columns.append(np.concatenate(held) if held else np.zeros(0, np.int32))
             held.clear()
         self.starts, self.hashes, self.code, self.before = columns
-        self.seeds = np.array([self.lang_seed(x) for x in self.langs], np.uint64)
+        self.seeds = np.array([lang_seed(x) for x in self.langs], np.uint64)
 
-    @staticmethod
-    def lang_seed(lang: str) -> int:
-        seed = 0
-        for b in lang.encode():
-            seed = (seed * 1099511628211 + b + 1) % (1 << 64)
-        return seed
+    def keys(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Key of the phrase of so many words that starts at each of these words."""
+        return phrase_key(self.seeds[self.code[at]], [self.hashes[at + k] for k in range(length)]).view(np.int64)
 
     def slots(self, at: np.ndarray, length: int) -> np.ndarray:
-        """Place in the bit map of the phrase of so many words that starts at each of these words."""
-        out = self.seeds[self.code[at]]
-        for k in range(length):
-            out = out * ROLL + self.hashes[at + k]
-        return (mixed(out + U(length)) & U(MAP_BITS - 1)).astype(np.int64)
+        return self.keys(at, length) & (MAP_BITS - 1)
 
     def local_support(self, support: int) -> np.ndarray:
         return np.array([max(1, -(-support * int(b) // max(1, t))) for b, t in zip(self.bytes, self.totals, strict=True)])
@@ -119,82 +132,126 @@ class Shard:
             return
         local = self.local_support(support)
         # Whole numbers for the phrases kept that start at each word, -1 for others; those of single words.
-        names = single = None
+        names = single = (self.hashes & U(TURNS - 1)).astype(np.int32)
         width = 0
         for length in range(1, longest + 1):
-            if length > 1:
-                # Both parts kept, and no piece ends within.
-                at = np.flatnonzero((names[: n - length + 1] >= 0) & (names[1 : n - length + 2] >= 0) & (self.before[length - 1 :] >= length - 1)).astype(np.int32)
+            m = n - length + 1
+            if m <= 0:
+                return
+            longer, kept = np.full(n, -1, np.int32), 0
+            for turn in range(TURNS):
+                fits = names[:m] % TURNS == turn
+                if length > 1:
+                    # Both parts kept, and no piece ends within.
+                    fits &= (names[:m] >= 0) & (names[1 : m + 1] >= 0) & (self.before[length - 1 :] >= length - 1)
+                at = np.flatnonzero(fits).astype(np.int32)
+                del fits
                 if not len(at):
-                    return
-                first, inverse, counts = grouped(names[at] * np.int64(width) + single[at + (length - 1)])
+                    continue
+                if length > 1:
+                    first, inverse, counts = grouped(names[at] * np.int64(width) + single[at + (length - 1)])
+                else:
+                    first, inverse, counts = grouped((self.hashes[at] * ROLL + self.seeds[self.code[at]]).view(np.int64))
                 first = at[first]
-            else:
-                at = slice(None)
-                first, inverse, counts = grouped((self.hashes * ROLL + self.seeds[self.code]).view(np.int64))
-            keep = in_map(told, self.slots(first, length)) if told is not None and length <= told_to else counts >= local[self.code[first]]
-            yield length, first[keep], counts[keep]
-            number = np.where(keep, np.cumsum(keep) - 1, -1).astype(np.int32)
-            names = np.full(n, -1, np.int32)
-            names[at] = number[inverse]
-            del inverse
+                keep = in_map(told, self.slots(first, length)) if told is not None and length <= told_to else counts >= local[self.code[first]]
+                yield length, first[keep], counts[keep]
+                longer[at] = np.where(keep, kept + np.cumsum(keep) - 1, -1).astype(np.int32)[inverse]
+                kept += int(keep.sum())
+            names = longer
             if length == 1:
-                single, width = names, int(keep.sum()) + 1
+                single, width = names, kept + 1
 
-    def rows(self, length: int, first: np.ndarray, counts: np.ndarray, spelled: bool) -> pa.RecordBatch:
+    def rows(self, length: int, first: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        """lang, words, count and, of single words, text."""
         words = np.stack([self.hashes[first + k] for k in range(length)], axis=1)
         keys = pa.Array.from_buffers(pa.binary(8 * length), len(first), [None, pa.py_buffer(words)]).cast(pa.binary())
         texts = pa.nulls(len(first), pa.string())
-        if length == 1 and spelled:
+        if length == 1:
             ends = np.append(self.starts, len(self.data))[first + 1]
             raw = [WORD.match(self.data[a:b].tobytes())[0] for a, b in zip(self.starts[first].tolist(), ends.tolist(), strict=True)]
             texts = pa.array([x.lower().decode() for x in raw], pa.string())
         langs = pa.array(self.langs, pa.string()).take(pa.array(self.code[first]))
-        return pa.RecordBatch.from_arrays([langs, keys, pa.array(self.slots(first, length)), pa.array(counts.astype(np.int64)), texts], schema=FIELDS)
+        return pa.RecordBatch.from_arrays([langs, keys, pa.array(counts.astype(np.int64)), texts], schema=PHRASES)
+
+
+def shards(batches: Iterator[pa.RecordBatch], run_bytes: int) -> Iterator[Shard]:
+    """The last shard has between a half and three halves of the bytes, as a small one would find too much frequent."""
+    held: list[pa.RecordBatch] = []
+    first = total = 0
+    for batch in batches:
+        for part in slices(batch, "text"):
+            held.append(part)
+            total += part["text"].nbytes
+            if total <= run_bytes:
+                first = len(held)
+            if 2 * total > 3 * run_bytes:
+                first = max(1, first)
+                rest = held[first:]
+                del held[first:]
+                yield Shard(held)
+                held, first = rest, len(rest)
+                total = sum(p["text"].nbytes for p in held)
+    if held:
+        yield Shard(held)
+
+
+def local_phrases(docs: DataFrame, lengths: tuple[int, int], support: int, told: np.ndarray | None, told_to: int, run_bytes: int) -> DataFrame:
+    """Of each shard's locally frequent phrases of these lengths (lang, key, over): a 64-bit hash, and how much their count
+    is over what the shard can hide of a phrase that it does not show. And of each language of a shard (lang, n, hidden):
+    its words, and how much of a phrase it can hide.
+
+    docs: lang, text and total, the bytes of all texts of the language.
+    """
+    # Broadcast: the bit map, of fixed size.
+    shared = docs.sparkSession.sparkContext.broadcast(told)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches, run_bytes):
+            hidden = shard.local_support(support) - 1
+            langs = pa.array(shard.langs, pa.string())
+            none = pa.nulls(len(hidden), pa.int64())
+            yield pa.RecordBatch.from_arrays([langs, none, none, pa.array(np.bincount(shard.code, minlength=len(hidden))), pa.array(hidden)], schema=LOCAL)
+            for length, first, counts in shard.mined(lengths[1], support, shared.value, told_to):
+                if length >= lengths[0] and len(first):
+                    none = pa.nulls(len(first), pa.int64())
+                    code = shard.code[first]
+                    yield pa.RecordBatch.from_arrays([langs.take(pa.array(code)), pa.array(shard.keys(first, length)), pa.array(counts - hidden[code]), none, none], schema=LOCAL)
 
+    return docs.select("lang", "text", "total").mapInArrow(run, "lang string, key long, over long, n long, hidden long")
 
-def mined(docs: DataFrame, lengths: tuple[int, int], support: int, told: np.ndarray | None = None, told_to: int = 0, run_bytes: int = RUN_BYTES) -> DataFrame:
-    """(lang, words, slot, count, text) of each shard's phrases of these lengths, and its number of words (words null).
 
-    docs: lang, text and total, the bytes of all texts of the language. words: the words' hashes; text: of single words of the map.
+def counted_phrases(docs: DataFrame, lengths: tuple[int, int], support: int, told: np.ndarray, run_bytes: int) -> DataFrame:
+    """(lang, words, count, text) of each shard's phrases of these lengths that the map has, with all their occurrences.
+
+    words: the words' hashes; text: of single words.
     """
+    # Broadcast: the bit map, of fixed size.
     shared = docs.sparkSession.sparkContext.broadcast(told)
 
-    def shard(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Shard(parts)
-        n = np.bincount(found.code, minlength=len(found.langs))
-        yield pa.RecordBatch.from_arrays([pa.array(found.langs, pa.string()), pa.nulls(len(n), pa.binary()), pa.nulls(len(n), pa.int64()), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.string())], schema=FIELDS)
-        for length, first, counts in found.mined(lengths[1], support, shared.value, told_to):
-            if length >= lengths[0]:
-                for i in range(0, len(first), 1 << 15):
-                    yield found.rows(length, first[i : i + (1 << 15)], counts[i : i + (1 << 15)], told_to > 0)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches, run_bytes):
+            for length, first, counts in shard.mined(lengths[1], support, shared.value, lengths[1]):
+                if length >= lengths[0]:
+                    for i in range(0, len(first), 1 << 15):
+                        yield shard.rows(length, first[i : i + (1 << 15)], counts[i : i + (1 << 15)])
+
+    return docs.select("lang", "text", "total").mapInArrow(run, "lang string, words binary, count long, text string")
+
 
+def key_of(phrases: DataFrame) -> DataFrame:
+    """The keys of phrases (lang, words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The last shard has between a half and three halves of the bytes, as a small one would find too much frequent.
-        held: list[pa.RecordBatch] = []
-        first = total = 0
         for batch in batches:
-            for part in slices(batch, "text"):
-                held.append(part)
-                total += part["text"].nbytes
-                if total <= run_bytes:
-                    first = len(held)
-                if 2 * total > 3 * run_bytes:
-                    first = max(1, first)
-                    rest = held[first:]
-                    del held[first:]
-                    yield from shard(held)
-                    held, first = rest, len(rest)
-                    total = sum(p["text"].nbytes for p in held)
-        if held:
-            yield from shard(held)
-
-    return docs.select("lang", "text", "total").mapInArrow(run, "lang string, words binary, slot long, count long, text string")
-
-
-def phrase_map(phrases: DataFrame) -> np.ndarray:
-    """A bit map in which the slot of each phrase is set: MAP_BITS bits, whatever the number of phrases."""
-    parts = phrases.select(F.expr("cast(slot div 64 as int)").alias("at"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit"))
+            keys = [phrase_key(np.uint64(lang_seed(lang)), list(np.frombuffer(words, np.uint64)[:, None])) for lang, words in zip(batch["lang"].to_pylist(), batch["words"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64))], ["key"])
+
+    return phrases.select("lang", "words").mapInArrow(run, "key long")
+
+
+def phrase_map(keys: DataFrame) -> np.ndarray:
+    """A bit map in which the slot of each key is set: MAP_BITS bits, whatever the number of phrases."""
+    slot = F.col("key").bitwiseAND(F.lit(MAP_BITS - 1))
+    parts = keys.select(slot.alias("slot")).selectExpr("cast(slot div 64 as int) as at", "shiftleft(1L, cast(slot % 64 as int)) as bit")
     parts = parts.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(MAP_BITS // 64, np.int64)
     out[parts["at"].to_numpy()] = parts["bits"].to_numpy()
@@ -207,25 +264,28 @@ def few(langs: DataFrame) -> DataFrame:
 
 
 def frequent_phrases(spark: SparkSession, docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, run_bytes: int = RUN_BYTES) -> tuple[DataFrame, DataFrame]:
-    """Phrases (lang, words, slot, count, text) of up to `longest` words that are there `support` times or more, with
+    """Phrases (lang, words, count, text) of up to `longest` words that are there `support` times or more, with
     exact counts; and the number of all words (lang, n)."""
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     totals = written(spark, docs.groupBy(F.col("lang").alias("of")).agg(F.sum(F.octet_length("text")).alias("total")), "totals")
     docs = docs.join(few(totals), F.col("lang") == F.col("of")).select("lang", "text", "total")
 
     def counted(lengths: tuple[int, int], told: np.ndarray | None, told_to: int) -> tuple[DataFrame, DataFrame]:
-        rows = written(spark, mined(docs, lengths, support, told, told_to, run_bytes), "local")
-        candidates = phrase_map(rows.where("words is not null"))
+        rows = written(spark, local_phrases(docs, lengths, support, told, told_to, run_bytes), "local")
+        langs = written(spark, rows.where("key is null").groupBy(F.col("lang").alias("of")).agg(F.sum("n").alias("n"), F.sum("hidden").alias("hidden_everywhere")), "langs")
+        # What all shards could hide, with what the ones that show the phrase have over it.
+        bound = rows.where("key is not null").groupBy("key", "lang").agg(F.sum("over").alias("over"))
+        bound = bound.join(few(langs), F.col("lang") == F.col("of")).where(F.col("over") + F.col("hidden_everywhere") >= support)
+        candidates = phrase_map(bound)
         known = candidates if told is None else candidates | told
-        sums = mined(docs, lengths, support, known, lengths[1], run_bytes).where("words is not null")
-        sums = sums.groupBy("lang", "words", "slot", "text").agg(F.sum("count").alias("count"))
-        return rows, written(spark, sums.where(F.col("count") >= support).select("lang", "words", "slot", "count", "text"), "frequent")
+        sums = counted_phrases(docs, lengths, support, known, run_bytes).groupBy("lang", "words", "text").agg(F.sum("count").alias("count"))
+        return langs, written(spark, sums.where(F.col("count") >= support).select("lang", "words", "count", "text"), "frequent")
 
-    rows, short = counted((1, min(2, longest)), None, 0)
-    n = written(spark, rows.where("words is null").groupBy("lang").agg(F.sum("count").alias("n")), "sizes")
+    langs, short = counted((1, min(2, longest)), None, 0)
+    n = langs.select(F.col("of").alias("lang"), "n")
     if longest <= 2:
         return short, n
-    _, long = counted((3, longest), phrase_map(short), 2)
+    _, long = counted((3, longest), phrase_map(key_of(short)), 2)
     return short.unionByName(long), n
 
 

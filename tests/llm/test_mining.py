@@ -187,7 +187,7 @@ def test_collocations(spark, support, longest, top, run_bytes):
 
 def test_full_map_of_phrases(spark, monkeypatch):
     """Where every slot of the map is taken, more is counted and nothing changes."""
-    monkeypatch.setattr(collocations, "phrase_map", lambda phrases: collocations.np.full(collocations.MAP_BITS // 8, 255, "uint8"))
+    monkeypatch.setattr(collocations, "phrase_map", lambda keys: collocations.np.full(collocations.MAP_BITS // 8, 255, "uint8"))
     rows = collocation_rows()
     found = collocations.collocations(spark, spark.createDataFrame(rows, DOCS).repartition(5), 40, run_bytes=2000)
     assert sorted(tuple(r) for r in found.collect()) == brute_collocations(rows, 40, 5, 2000)
