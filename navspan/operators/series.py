@@ -85,9 +85,9 @@ def step_return():
     return {"_x": f"try_divide({pct_change(VALUE, '_prev_val')}, {day_gap(DATE, '_prev_date')})"}
 
 
-def unless(wrong, keep="true"):
+def unless(wrong, keep="true", problem="two rows on one date"):
     """A filter condition that raises where ``wrong`` holds: no column that a query leaves out takes it away."""
-    message = f"concat('two rows on one date for product ', {PRODUCT})"
+    message = f"concat('{problem} for product ', coalesce({PRODUCT}, 'null'))"
     return f"if({wrong}, boolean(raise_error({message})), {keep})"
 
 
@@ -98,5 +98,5 @@ def place(window):
 
 
 def unique_dates(df):
-    """df, which has the columns of ``place``, or an error if a product has two rows on a date."""
-    return df.filter(unless("_place <> _rank")).drop("_place", "_rank")
+    """df, which has the columns of ``place``, or an error if a product has two rows on a date, or one without."""
+    return df.filter(unless(f"_place <> _rank OR {DATE} IS NULL", problem="two rows on one date, or one without,")).drop("_place", "_rank")

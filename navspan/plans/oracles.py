@@ -232,6 +232,21 @@ SELECT prod_reg_code, {_text('end_date')} AS end_date, {_text('date')} AS date,
 FROM o GROUP BY prod_reg_code, end_date, date"""
 
 
+def metrics_asof(nav, keys):
+    """Of every row its metrics, then for the 17th of every month those of the last row up to then."""
+    table = (f"SELECT * FROM ({returns(nav, keys)}) JOIN ({drawdown(nav, keys)}) USING (prod_reg_code, date) "
+             f"JOIN ({calmar(nav, keys)}) USING (prod_reg_code, date)")
+    picks = []
+    for name in ("Returns", "Drawdown", "Calmer"):
+        for key in keys:
+            same = "true" if isinstance(key, int) else f"date_trunc('{key}', t.day) = date_trunc('{key}', a.end_date)"
+            picks.append(f'CASE WHEN {same} THEN "{name}_{key}D" END AS "{name}_{key}D"')
+    return f"""WITH a AS (SELECT DISTINCT prod_reg_code, cast(date_trunc('month', date) + INTERVAL 16 DAY AS DATE) AS end_date FROM ({nav})),
+t AS MATERIALIZED (SELECT *, cast(date AS DATE) AS day FROM ({table}))
+SELECT a.prod_reg_code, {_text('a.end_date')} AS end_date, t.date, {', '.join(picks)}
+FROM a ASOF LEFT JOIN t ON a.prod_reg_code = t.prod_reg_code AND a.end_date >= t.day"""
+
+
 def _declines(nav, keys, min_points=None):
     """``d``: per frame its deepest drop ``m`` (0 = none), gated by the product's age."""
     return f"""WITH {_rows(nav)}, {_frames(keys)},
@@ -416,6 +431,7 @@ ORACLES = {
 cast(date - pd AS INTEGER) AS days, {_round('(net_val - pv) / nullif(pv, 0)', 6)} AS change, {_round('x', 6)} AS step
 FROM r""",
     "volatility_asof": volatility_asof(NATION),
+    "metrics_asof": metrics_asof(NATION, (30, 182, 0) + _PERIODS),
     "sharpe": sharpe(SEGMENT, _VOLATILITY + _PERIODS),
     "max_drawdown_windows": max_drawdown(SEGMENT, WINDOWS),
     "max_drawdown_periods": max_drawdown(NATION, (0,) + _PERIODS + ("current",)),

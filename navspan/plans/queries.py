@@ -10,7 +10,7 @@ from navspan.functions.dates import day_gap, format_date, period_anchor
 from navspan.functions.fixed import DATE, PRODUCT, VALUE
 from navspan.functions.numeric import round_even
 from navspan.operators import asof, tables
-from navspan.plans.lookups import metric_at, volatility_at
+from navspan.plans.lookups import metric_at, metrics_at, volatility_at
 from navspan.plans.registry import (
     BUNDLE, METRICS, all_indicators, all_metrics, metric_columns, metrics, sql_metric, step_returns,
 )
@@ -93,6 +93,13 @@ def _volatility_asof(spark, sf_dir):
     return _shown(volatility_at(nav, _monthly_anchors(nav, "end_date")), rounded=True)
 
 
+def _metrics_asof(spark, sf_dir):
+    """Return, drawdown and Calmar ratio on the 17th of every month, on or off the calendar."""
+    nav = nav_nation(spark, sf_dir)
+    names = ["annualized_return", "drawdown", "annualized_calmer_ratio"]
+    return _shown(metrics_at(nav, _monthly_anchors(nav, "end_date"), names, (30, 182, 0), EVERY_PERIOD), rounded=True)
+
+
 def _asof_start(spark, sf_dir):
     nav = nav_nation(spark, sf_dir)
     return _shown(asof.asof_rows(nav, _monthly_anchors(nav, "anchor")))
@@ -287,6 +294,7 @@ QUERIES = {
     "part_calmar": _metric(nav_parts, "annualized_calmer_ratio", SHORT_WINDOWS, EVERY_PERIOD, rounded=True),
     "part_bundle": _metric(nav_parts, BUNDLE),
     "all_indicators": _all_indicators,
+    "metrics_asof": _metrics_asof,
     "asof_start": _asof_start,
     "forward_start": _forward_start,
     "period_anchors": _period_anchors,
