@@ -344,6 +344,24 @@ def _point(table):
 QUALIFY row_number() OVER (PARTITION BY prod_reg_code ORDER BY date DESC) = 1"""
 
 
+def drawdown_ranges(nav):
+    """Every pair of rows of a range, the lower one later: the deepest fall, its first trough, and the first of the
+    highest rows before it."""
+    return f"""WITH nav AS ({nav}),
+m AS (SELECT DISTINCT prod_reg_code, cast(date_trunc('month', date) + INTERVAL 9 DAY AS DATE) AS start FROM nav),
+q AS MATERIALIZED (SELECT prod_reg_code, start, start + n AS "end" FROM m, (VALUES (0), (30), (95), (400), (999)) AS t(n)),
+e AS (SELECT q.*, b.date, b.net_val AS v, max(b.net_val) OVER (PARTITION BY q.prod_reg_code, q.start, q."end" ORDER BY b.date) AS peak
+  FROM q JOIN nav b ON q.prod_reg_code = b.prod_reg_code AND b.date BETWEEN q.start AND q."end"),
+d AS (SELECT prod_reg_code, start, "end", count(*) AS n, min(date) AS first, max(date) AS last, min((v - peak) / peak) AS m,
+  arg_min(date, ((v - peak) / peak, date)) AS trough, arg_min(peak, ((v - peak) / peak, date)) AS top FROM e GROUP BY ALL),
+o AS (SELECT d.*, CASE WHEN m < 0 THEN (SELECT min(e.date) FROM e WHERE e.prod_reg_code = d.prod_reg_code AND e.start = d.start
+  AND e."end" = d."end" AND e.v = d.top AND e.date <= d.trough) ELSE first END AS s, CASE WHEN m < 0 THEN trough ELSE last END AS t FROM d)
+SELECT q.prod_reg_code, {_text('q.start')} AS start, {_text('q."end"')} AS "end", {_round('m')} AS value, {_text('s')} AS s,
+{_text('t')} AS t, cast(t - s AS INTEGER) AS drd, coalesce(n, 0) AS rows
+FROM q LEFT JOIN o ON q.prod_reg_code = o.prod_reg_code AND q.start = o.start AND o."end" = q."end"
+"""
+
+
 def _outer_join():
     some = f"SELECT * FROM ({SEGMENT}) WHERE prod_reg_code = 'BUILDING' UNION ALL {EVENTS}"
     return f"""SELECT * FROM ({returns(SEGMENT, (30,))}) FULL JOIN ({counts(some, (30,))})
@@ -448,6 +466,10 @@ FROM r""",
     "point_period": f"""SELECT prod_reg_code, date, CASE WHEN date >= '1996-04-01' THEN "Returns_quarterD" END AS "Returns_quarterD"
 FROM ({_point(strict(NATION, ("quarter",)))})""",
     "point_drawdown": _point(drawdown(SEGMENT, (91,))),
+    "stored_volatility": _point(volatility(NATION, (30,))),
+    "stored_calmar": _point(calmar(NATION, (182,))),
+    "stored_drawdown": _point(drawdown(SEGMENT, (91,))),
+    "drawdown_ranges": drawdown_ranges(NATION),
     "custom_metric": _ratio(),
     "custom_group": _average(),
     "constant_column": f"SELECT prod_reg_code, {_text('date')} AS date, net_val, 'CNY' AS currency, cast(NULL AS VARCHAR) AS note FROM ({SEGMENT})",

@@ -14,8 +14,10 @@ from navspan.plans.lookups import metric_at, metrics_at, volatility_at
 from navspan.plans.registry import (
     BUNDLE, METRICS, all_indicators, all_metrics, metric_columns, metrics, sql_metric, step_returns,
 )
+from navspan.plans.stored import drawdown_between, stored_metric_at, write_summaries
 from navspan.sources import nav as navs
 from navspan.sources import packed
+from navspan.sources.files import shared_path
 from navspan.sources.derived import nav_events, nav_nation, nav_parts, nav_segment, nav_suppliers
 
 CUSTOM_WINDOWS = (3, 21, 60)
@@ -208,6 +210,27 @@ def _point(source, name, key, rounded=False):
     return query
 
 
+def _stored(source, name, window):
+    """``_point`` from summaries that are written first."""
+    def query(spark, sf_dir):
+        path = shared_path(spark, "summaries")
+        write_summaries(source(spark, sf_dir), path)
+        return _shown(stored_metric_at(spark, path, POINT_DATE, name, window), rounded=True)
+
+    return query
+
+
+def _drawdown_ranges(spark, sf_dir):
+    """From the 10th of every month with a row, ranges of 1 to 1,000 days."""
+    nav = nav_nation(spark, sf_dir)
+    path = shared_path(spark, "summaries")
+    write_summaries(nav, path)
+    months = nav.selectExpr(PRODUCT, f"date_add(trunc({DATE}, 'MM'), 9) AS start").distinct()
+    requests = months.selectExpr(PRODUCT, "start", "explode(array(0, 30, 95, 400, 999)) AS length")
+    requests = requests.selectExpr(PRODUCT, "start", "date_add(start, length) AS end")
+    return _shown(drawdown_between(spark, path, requests))
+
+
 def _custom_metric(spark, sf_dir):
     """A metric of the user's own, as SQL over frame parts: value over the best value of the frame."""
     ratio = sql_metric("Ratio", lambda key: f"{VALUE} / greatest({VALUE}, _high_{key})", lambda key: [("high", key)], (30, 0), ())
@@ -275,6 +298,10 @@ QUERIES = {
     "point_metric": _point(nav_nation, "annualized_volatility", 30),
     "point_period": _point(nav_nation, "strict_return", "quarter", rounded=True),
     "point_drawdown": _point(nav_segment, "drawdown", 91),
+    "stored_volatility": _stored(nav_nation, "annualized_volatility", 30),
+    "stored_calmar": _stored(nav_nation, "annualized_calmer_ratio", 182),
+    "stored_drawdown": _stored(nav_segment, "drawdown", 91),
+    "drawdown_ranges": _drawdown_ranges,
     "custom_metric": _custom_metric,
     "custom_group": _custom_group,
     "constant_column": _constant_column,

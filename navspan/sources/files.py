@@ -1,5 +1,8 @@
 """File and table sinks."""
 
+import tempfile
+import uuid
+
 from navspan.functions.fixed import DATE, PRODUCT
 
 
@@ -11,3 +14,16 @@ def write_bucketed(nav, table, buckets, mode="overwrite"):
     """NAV table bucketed by product and sorted: later metric runs read it without a shuffle."""
     by_product = nav.repartition(buckets, PRODUCT)
     by_product.write.bucketBy(buckets, PRODUCT).sortBy(PRODUCT, DATE).mode(mode).saveAsTable(table)
+
+
+def shared_path(spark, name):
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); where that is unset, one of
+    this machine's, but only if the session runs on it alone."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="navspan-"))
+        folder = context.getCheckpointDir()
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
