@@ -9,6 +9,7 @@ A metric asks for parts by name:
 ``("high", K)``       highest value of the frame without the current row
 ``("decline", K)``    deepest decline with days
 ``("depth", K)``      deepest decline, value only
+``(Monoid, N)``       a user's own summary of a look-back (``operators.sliding``)
 
 Order matters for width: sliding frames come first, on rows that carry little else.
 """
@@ -43,10 +44,12 @@ def prepare(nav, parts, outputs, partitions="session", kept=()):
         df = add(df, series.neighbours())
     else:
         df = series.unique_dates(add(df, {**series.neighbours(), **series.place(over())}))
-    if _keys(parts, "moments") or _keys(parts, "inner"):
+    own = {m.name: m for m, _ in parts if isinstance(m, sliding.Monoid)}
+    if own or _keys(parts, "moments") or _keys(parts, "inner"):
         df = add(df, series.step_return())
-    df = sliding.add_sliding(df, _windows(parts, "moments"), _windows(parts, "high"))
-    df = _emit(df, outputs, lambda key, kinds: _slides(key) and kinds <= {"moments", "high"})
+    df = sliding.add_sliding(
+        df, _windows(parts, "moments"), _windows(parts, "high"), [(m, _windows(parts, m)) for m in own.values()])
+    df = _emit(df, outputs, lambda key, kinds: _slides(key) and kinds <= {"moments", "high", *own.values()})
     for group in declines.groups(fall_windows):
         df = declines.add_deepest(df, group, style)
         df = _emit(df, outputs, lambda key, kinds: key in group)
@@ -83,15 +86,17 @@ def _windows(parts, kind):
 
 
 def _keys(parts, kind):
-    return [k for kind_, k in parts if kind_ == kind]
+    return [k for kind_, k in parts if kind_ is kind or kind_ == kind]
 
 
 def _expand(parts):
     parts = set(parts)
     for kind, key in list(parts):
+        if isinstance(kind, sliding.Monoid) and not _slides(key):
+            raise ValueError(f"{kind.name} is a metric of look-backs; it has none for {key!r}")
         if kind in ("high", "decline", "depth", "moments", "inner") and key in PERIODS:
             parts.add(("base", key))
-    return sorted(parts, key=lambda p: (p[0], _order(p[1])))
+    return sorted(parts, key=lambda p: (getattr(p[0], "name", p[0]), _order(p[1])))
 
 
 def _moments(name, x, part):

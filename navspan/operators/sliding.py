@@ -7,6 +7,9 @@ carries one level and one summary per frame at a time. Every ``lag`` runs on the
 nothing is shuffled or sorted again.
 """
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from navspan.functions.fixed import VALUE
 from navspan.operators.series import add, over
 
@@ -104,10 +107,67 @@ class _Highest:
         return {f"_high_{n}": f"_high_{n}_v" for n in self.top}
 
 
+@dataclass(frozen=True, eq=False)
+class Monoid:
+    """A user's aggregate over sliding frames, as SQL.
+
+    ``lift`` {field: SQL over a row} is a row's summary, with the row's own columns, ``_x`` (its step return), ``_prev_val``
+    and ``_prev_date``; ``empty`` {field: SQL} that of no rows. ``combine(a, b)`` gives {field: SQL} of two neighbouring runs
+    of rows, a before b, whose fields are the columns ``{a}_field`` and ``{b}_field``; it must be associative, and may
+    depend on the order. A frame of N is the current row and the N before it, with ``steps`` the last N rows, which hold
+    the frame's N step returns.
+    """
+
+    name: str
+    lift: dict[str, str]
+    empty: dict[str, str]
+    combine: Callable[[str, str], dict[str, str]]
+    steps: bool = False
+
+    def frame(self, window):
+        """Prefix of the columns that hold the summary of a look-back."""
+        return f"_frame_{self.name}_{window}"
+
+
+class _Own:
+    """The summaries of a monoid: pieces are two at a time, the older one first."""
+
+    radix = 2
+
+    def __init__(self, monoid, windows):
+        self.monoid, self.fields, self.missing = monoid, tuple(monoid.lift), monoid.empty
+        self.name = f"_own_{monoid.name}"
+        self.digits = {n: _digits(n if monoid.steps else n + 1, 2) for n in windows}
+        self.levels = max((len(d) for d in self.digits.values()), default=0)
+
+    def leaf(self):
+        return {f"{self.name}_{field}": sql for field, sql in self.monoid.lift.items()}
+
+    def merges(self, k):
+        size, found = 2 ** k, {}
+        for n, digits in self.digits.items():
+            if k < len(digits) and digits[k]:
+                held = sum(d * 2 ** j for j, d in enumerate(digits[:k]))
+                found[self.monoid.frame(n)] = ([self.monoid.frame(n)] if held else []) + [held]
+        if k + 1 < self.levels:
+            found[self.name] = [0, size]
+        return found
+
+    def steps(self, target, pieces):
+        if len(pieces) == 1:
+            return {}, {f"{target}_{f}": f"{pieces[0]}_{f}" for f in self.fields}
+        newer, older = pieces
+        return {}, {f"{target}_{f}": sql for f, sql in self.monoid.combine(older, newer).items()}
+
+    def results(self):
+        return {f"{self.monoid.frame(n)}_{f}": f"{self.monoid.frame(n)}_{f}" for n in self.digits for f in self.fields}
+
+
 def _advance(df, kept, levels, k):
     """One level of all summaries: one window of lags, then the merges."""
     lags, first, second = {}, {}, {}
     for name, summary in levels.items():
+        missing = summary.missing if isinstance(summary.missing, dict) else dict.fromkeys(summary.fields, summary.missing)
         for target, pieces in summary.merges(k).items():
             columns = []
             for piece in pieces:
@@ -116,7 +176,7 @@ def _advance(df, kept, levels, k):
                     column = name if piece == 0 else f"{name}_lag{piece}"
                     if piece:
                         for f in summary.fields:
-                            lags[f"{column}_{f}"] = f"lag({name}_{f}, {piece}, {summary.missing}) {over()}"
+                            lags[f"{column}_{f}"] = f"lag({name}_{f}, {piece}, {missing[f]}) {over()}"
                 columns.append(column)
             early, late = summary.steps(target, columns)
             first.update(early)
@@ -129,13 +189,17 @@ def _advance(df, kept, levels, k):
     )
 
 
-def add_sliding(df, moment_windows, high_windows):
-    """Append ``_mean_N`` and ``_std_N`` of the last N step returns, ``_high_N`` of the N rows before."""
+def add_sliding(df, moment_windows, high_windows, own=()):
+    """Append ``_mean_N`` and ``_std_N`` of the last N step returns, ``_high_N`` of the N rows before, and the frames of
+    each (monoid, windows) of ``own``."""
     levels = {}
     if moment_windows:
         levels["_mo"] = _Moments(moment_windows)
     if high_windows:
         levels["_hi"] = _Highest(high_windows)
+    for monoid, windows in own:
+        summary = _Own(monoid, windows)
+        levels[summary.name] = summary
     if not levels:
         return df
     kept = df.columns

@@ -11,7 +11,32 @@ from navspan.sources.nav import one_row_per_day
 
 
 def join_metrics(*tables):
-    """Full outer join of metric tables that were computed apart. Both sides are unique on the keys."""
+    """Full outer join of metric tables that were computed apart, each unique on (product, date), which no column but
+    these two may share: rows of any of them come out once, with nulls for what the others lack.
+
+    The tables are stacked and then merged by key, so that any number of them meet in one step. Those hashed by product
+    into equally many partitions, as ``metrics`` leaves them, meet without an exchange.
+    """
+    if len(tables) == 1:
+        return tables[0]
+    values = [c for t in tables for c in t.columns if c not in (PRODUCT, DATE)]
+    if len(set(values)) < len(values):
+        raise ValueError(f"metric tables share columns: {sorted(c for c in set(values) if values.count(c) > 1)}")
+    types = {f.name: f.dataType for t in tables for f in t.schema}
+
+    def padded(table):
+        own = set(table.columns)
+        return table.select(PRODUCT, DATE, *[F.col(c) if c in own else F.lit(None).cast(types[c]).alias(c) for c in values])
+
+    stacked = reduce(lambda a, b: a.union(b), [padded(t) for t in tables])
+    return stacked.groupBy(PRODUCT, DATE).agg(*[F.first(c, ignorenulls=True).alias(c) for c in values])
+
+
+def join_stored(*tables):
+    """``join_metrics`` of tables that ``sources.files.write_bucketed`` stored with equally many buckets. In a session with
+    the defaults of ``navspan.session`` two of them are joined bucket by bucket, without an exchange; each further one
+    takes an exchange of what is joined so far. (A union of stored tables would seem to need none either, but Spark
+    4.1.2 then mixes up buckets where it reads them by column.)"""
     return reduce(lambda a, b: a.join(b, [PRODUCT, DATE], "full_outer"), tables)
 
 

@@ -344,6 +344,11 @@ def _point(table):
 QUALIFY row_number() OVER (PARTITION BY prod_reg_code ORDER BY date DESC) = 1"""
 
 
+def _stored_outer_join():
+    some = f"SELECT * FROM ({SEGMENT}) WHERE prod_reg_code = 'BUILDING' UNION ALL {EVENTS}"
+    return f"SELECT * FROM ({_outer_join()}) FULL JOIN ({drawdown(some, (30,))}) USING (prod_reg_code, date)"
+
+
 def drawdown_ranges(nav):
     """Every pair of rows of a range, the lower one later: the deepest fall, its first trough, and the first of the
     highest rows before it."""
@@ -383,6 +388,22 @@ def _ratio():
     return f"WITH nav AS ({NATION}) SELECT prod_reg_code, {_text('date')} AS date, {', '.join(picks)} FROM nav"
 
 
+def downside(nav, keys):
+    return f"""WITH {_rows(nav)}, {_frames(keys)},
+o AS (SELECT f.prod_reg_code, f.date, f.k, sqrt(avg(CASE WHEN b.x < 0 THEN b.x * b.x WHEN b.x >= 0 THEN 0 END)) AS y
+  FROM f LEFT JOIN r b ON f.prod_reg_code = b.prod_reg_code AND b.i > f.lo AND b.i <= f.i GROUP BY ALL) """ + _wide(
+        "Downside", keys, _round("y", 6))
+
+
+def longest_rise(nav, keys):
+    """Rows in a row that rise, up to each row; of a frame the most, cut at its first row that has a row before it."""
+    return f"""SELECT * FROM (WITH {_rows(nav)}, {_frames(keys)},
+g AS (SELECT *, i - max(CASE WHEN coalesce(net_val > pv, false) THEN -1 ELSE i END) OVER (PARTITION BY prod_reg_code ORDER BY i) AS run FROM r),
+o AS (SELECT f.prod_reg_code, f.date, f.k, cast(max(least(b.run, b.i - greatest(f.i - cast(f.k AS INTEGER), -1))) AS INTEGER) AS y
+  FROM f JOIN g b ON f.prod_reg_code = b.prod_reg_code AND b.i > f.i - cast(f.k AS INTEGER) AND b.i <= f.i GROUP BY ALL)
+{_wide("Rise", keys)}) JOIN ({returns(nav, keys)}) USING (prod_reg_code, date)"""
+
+
 def _average():
     """The weights of an exponential average: what is left out beyond 150 rows is below 1e-22 of it."""
     weight = "power(7e-1, a.i - b.i) * (CASE WHEN b.i > 0 THEN 3e-1 ELSE 1e0 END)"
@@ -461,6 +482,7 @@ FROM r""",
     "metrics_bundle": bundle(SEGMENT),
     "product_metrics": product_metrics(SEGMENT),
     "metrics_outer_join": _outer_join(),
+    "stored_outer_join": _stored_outer_join(),
     "union_products": counts(f"{SEGMENT} UNION ALL {NATION} UNION ALL {EVENTS}", _EVERY),
     "point_metric": _point(volatility(NATION, (30,))),
     "point_period": f"""SELECT prod_reg_code, date, CASE WHEN date >= '1996-04-01' THEN "Returns_quarterD" END AS "Returns_quarterD"
@@ -471,6 +493,8 @@ FROM ({_point(strict(NATION, ("quarter",)))})""",
     "stored_drawdown": _point(drawdown(SEGMENT, (91,))),
     "drawdown_ranges": drawdown_ranges(NATION),
     "custom_metric": _ratio(),
+    "downside_deviation": downside(NATION, (30, 91, 182)),
+    "longest_rise": longest_rise(SEGMENT, (7, 30, 365)),
     "custom_group": _average(),
     "constant_column": f"SELECT prod_reg_code, {_text('date')} AS date, net_val, 'CNY' AS currency, cast(NULL AS VARCHAR) AS note FROM ({SEGMENT})",
     "returns_both": _both(),

@@ -4,21 +4,24 @@ Dates come out as text and -0.0 as 0.0; metrics that are not rounded by definiti
 decimals here, and only here, so that results can be compared by value.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from navspan.functions.dates import day_gap, format_date, period_anchor
 from navspan.functions.fixed import DATE, PRODUCT, VALUE
 from navspan.functions.numeric import round_even
 from navspan.operators import asof, tables
+from navspan.operators.sliding import Monoid
 from navspan.plans.lookups import metric_at, metrics_at, volatility_at
 from navspan.plans.registry import (
-    BUNDLE, METRICS, all_indicators, all_metrics, metric_columns, metrics, sql_metric, step_returns,
+    BUNDLE, METRICS, all_indicators, all_metrics, frame_metric, metric_columns, metrics, sql_metric, step_returns,
 )
 from navspan.plans.stored import drawdown_between, stored_metric_at, write_summaries
 from navspan.sources import nav as navs
 from navspan.sources import packed
-from navspan.sources.files import shared_path
-from navspan.sources.derived import nav_events, nav_nation, nav_parts, nav_segment, nav_suppliers
+from navspan.sources.files import shared_path, write_bucketed
+from navspan.sources.derived import nations_with_orders, nav_events, nav_nation, nav_parts, nav_segment, nav_suppliers
 
 CUSTOM_WINDOWS = (3, 21, 60)
 POINT_DATE = "19960628"
@@ -131,6 +134,21 @@ def _metrics_outer_join(spark, sf_dir):
     return _shown(tables.join_metrics(returns, counts))
 
 
+def _stored_outer_join(spark, sf_dir):
+    """As ``_metrics_outer_join``, of two tables that are stored by product first."""
+    orders, events = nav_segment(spark, sf_dir), nav_events(spark, sf_dir)
+    some = tables.union_products([navs.filter_product(orders, "BUILDING"), events], None)
+    made = {
+        "returns": metrics(orders, "annualized_return", (30,), ()),
+        "others": metrics(some, ["valuation_count", "drawdown"], (30,), ()),
+    }
+    names = []
+    for name, table in made.items():
+        names.append(f"{name}_{uuid.uuid4().hex}")
+        write_bucketed(table, names[-1], 8, path=shared_path(spark, name))
+    return _shown(tables.join_stored(*[spark.table(name) for name in names]))
+
+
 def _union_products(spark, sf_dir):
     parts = [nav_segment(spark, sf_dir), nav_nation(spark, sf_dir), nav_events(spark, sf_dir)]
     return _shown(metrics(tables.union_products(parts, None), "valuation_count"))
@@ -191,7 +209,7 @@ def _nav_range(spark, sf_dir):
 
 
 def _nav_products(spark, sf_dir):
-    return navs.products(nav_nation(spark, sf_dir))
+    return navs.products(nations_with_orders(spark, sf_dir))
 
 
 def _period_anchors(spark, sf_dir):
@@ -237,6 +255,33 @@ def _custom_metric(spark, sf_dir):
     return _shown(metrics(nav_nation(spark, sf_dir), "ratio", own={"ratio": ratio}), rounded=True)
 
 
+def _sum_fields(*fields):
+    return lambda a, b: {f: f"{a}_{f} + {b}_{f}" for f in fields}
+
+
+def _downside_deviation(spark, sf_dir):
+    """Root of the mean square of the step returns below zero, over look-backs."""
+    falls = Monoid(
+        "falls", {"n": "if(_x IS NULL, 0D, 1D)", "square": "pow(least(coalesce(_x, 0D), 0D), 2D)"}, {"n": "0D", "square": "0D"},
+        _sum_fields("n", "square"), steps=True)
+    own = frame_metric("Downside", falls, lambda frame, window: f"if({frame}_n > 0D, sqrt({frame}_square / {frame}_n), NULL)", (30, 91, 182))
+    return _shown(metrics(nav_nation(spark, sf_dir), "downside", own={"downside": own}), rounded=True)
+
+
+def _longest_rise(spark, sf_dir):
+    """The most rows in a row that each stand above the row before, within look-backs: order matters when merging."""
+    def combine(a, b):
+        return {
+            "n": f"{a}_n + {b}_n", "best": f"greatest({a}_best, {b}_best, {a}_tail + {b}_head)",
+            "head": f"if({a}_head = {a}_n, {a}_n + {b}_head, {a}_head)", "tail": f"if({b}_tail = {b}_n, {b}_n + {a}_tail, {b}_tail)",
+        }
+
+    up = f"int(coalesce({VALUE} > _prev_val, false))"
+    rises = Monoid("rises", {"n": "1", "best": up, "head": up, "tail": up}, dict.fromkeys(("n", "best", "head", "tail"), "0"), combine, steps=True)
+    own = frame_metric("Rise", rises, lambda frame, window: f"{frame}_best", (7, 30, 365))
+    return _shown(metrics(nav_segment(spark, sf_dir), ["rise", "annualized_return"], (7, 30, 365), (), own={"rise": own}))
+
+
 def _custom_group(spark, sf_dir):
     """What windows cannot say, as each value hangs on the one before: an exponential average, in pandas."""
     def compute(pdf):
@@ -294,6 +339,7 @@ QUERIES = {
     "metrics_bundle": _metrics_bundle,
     "product_metrics": _product_metrics,
     "metrics_outer_join": _metrics_outer_join,
+    "stored_outer_join": _stored_outer_join,
     "union_products": _union_products,
     "point_metric": _point(nav_nation, "annualized_volatility", 30),
     "point_period": _point(nav_nation, "strict_return", "quarter", rounded=True),
@@ -303,6 +349,8 @@ QUERIES = {
     "stored_drawdown": _stored(nav_segment, "drawdown", 91),
     "drawdown_ranges": _drawdown_ranges,
     "custom_metric": _custom_metric,
+    "downside_deviation": _downside_deviation,
+    "longest_rise": _longest_rise,
     "custom_group": _custom_group,
     "constant_column": _constant_column,
     "returns_both": _returns_both,

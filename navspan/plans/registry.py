@@ -100,6 +100,13 @@ def sql_metric(prefix, column, parts=returns.frame_parts, windows=WINDOWS, perio
     return Metric(prefix, parts, lambda key, options: column(key), windows, periods, current)
 
 
+def frame_metric(prefix, monoid, finish, windows=tuple(w for w in WINDOWS if w)):
+    """A user's own aggregate over look-backs for ``metrics(..., own={name: ...})``: ``monoid`` (``operators.sliding.Monoid``)
+    summarises a frame in O(log length) a row, and ``finish(frame, window)`` is the result as SQL over the columns
+    ``{frame}_field`` and the row's own."""
+    return Metric(prefix, lambda key: [(monoid, key)], lambda key, options: finish(monoid.frame(key), key), windows, (), False)
+
+
 def metric_catalog():
     """Names of the metrics."""
     return sorted(METRICS)

@@ -7,6 +7,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Tables that are hashed by product are joined on (product, date) where they are.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.debug.maxToStringFields": "1000",
     # The JVM leaves larger methods uncompiled; beyond it Spark splits wide projections into small ones.

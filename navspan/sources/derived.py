@@ -44,6 +44,15 @@ def nav_nation(spark, sf_dir):
     return _orders_by(spark, sf_dir, named, "n_name")
 
 
+def nations_with_orders(spark, sf_dir):
+    """The products of ``nav_nation`` without its values."""
+    orders = _read(spark, sf_dir, "orders", "o_custkey")
+    customers = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    keys = customers.select("c_nationkey").distinct()
+    nations = _read(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    return nations.join(keys, F.col("n_nationkey") == F.col("c_nationkey"), "left_semi").select(F.col("n_name").alias(PRODUCT))
+
+
 def nav_suppliers(spark, sf_dir):
     """Thousands of products and more: each supplier's average price per shipping day."""
     return daily_average(_read(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate", "l_extendedprice"),

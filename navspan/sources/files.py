@@ -10,10 +10,11 @@ def write_files(df, path, format="parquet", mode="overwrite"):
     df.write.format(format).mode(mode).save(path)
 
 
-def write_bucketed(nav, table, buckets, mode="overwrite"):
-    """NAV table bucketed by product and sorted: later metric runs read it without a shuffle."""
+def write_bucketed(nav, table, buckets, mode="overwrite", path=None):
+    """NAV or metric table bucketed by product and sorted: later runs read it without a shuffle. At ``path``, if given."""
     by_product = nav.repartition(buckets, PRODUCT)
-    by_product.write.bucketBy(buckets, PRODUCT).sortBy(PRODUCT, DATE).mode(mode).saveAsTable(table)
+    writer = by_product.write.bucketBy(buckets, PRODUCT).sortBy(PRODUCT, DATE).mode(mode)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def shared_path(spark, name):

@@ -4,11 +4,13 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from navspan.operators import summaries
+from navspan.operators.tables import join_metrics, join_stored
 from navspan.plans.lookups import metric_at
 from navspan.plans.stored import drawdown_between, stored_metric_at, write_summaries
+from navspan.plans.registry import metrics
+from navspan.sources.files import write_bucketed
 from test_metrics import SERIES
 
 NAV = "prod_reg_code string, date date, net_val double"
@@ -98,3 +100,21 @@ def test_duplicates_and_no_rows(spark, tmp_path):
     assert stored_metric_at(spark, path, "20240101", "annualized_return", 7).count() == 0
     requests = spark.createDataFrame([("A", date(2024, 1, 2), date(2024, 1, 3))], "prod_reg_code string, start date, end date")
     assert [tuple(r)[3:] for r in drawdown_between(spark, path, requests).collect()] == [(None, None, None, None, 0)]
+
+
+def test_stored_tables_join_where_they_are(spark, stored):
+    """Two tables bucketed by product: no exchange at all; two computed in one session: none at the join."""
+    nav, _ = stored
+    names = []
+    for name in ("annualized_return", "valuation_count", "drawdown"):
+        names.append(f"apart_{name}")
+        write_bucketed(metrics(nav, name, (7,), ()), names[-1], 4)
+    tables = [spark.table(n) for n in names]
+    two = join_stored(*tables[:2])
+    assert "Exchange" not in two._jdf.queryExecution().executedPlan().toString()
+    joined = join_stored(*tables)
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 2
+    assert joined.count() == nav.count() and joined.where("Count_7D IS NULL").count() == 0
+    assert set(joined.collect()) == set(join_metrics(*tables).select(*joined.columns).collect())
+    computed = join_metrics(metrics(nav, "annualized_return", (7,), ()), metrics(nav, "valuation_count", (7,), ()))
+    assert computed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
