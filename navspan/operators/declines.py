@@ -96,9 +96,15 @@ def day_column():
     return {_DAY: f"double(unix_date({DATE}))"}
 
 
-def peak_column(key, part, style):
-    """Window column: running peak of a frame that starts with the partition."""
-    return {f"_peak_{key}": style.highest("0D", VALUE, over(part, SO_FAR))}
+def _seed(field, length, style):
+    """An array of the seed, without the days where none are carried."""
+    return f"_seed.{field}" if style.detail else f"slice(_seed.{field}, 1, {length})"
+
+
+def peak_column(key, part, style, seeded=False):
+    """Window column: running peak of a frame that starts with the partition, or that goes on from a seed."""
+    highest = style.highest("0D", VALUE, over(part, SO_FAR))
+    return {f"_peak_{key}": f"greatest({highest}, {_seed('peak', 2, style)})" if seeded else highest}
 
 
 def _heads(n, style):
@@ -156,9 +162,9 @@ def _pick(key, style):
     return columns
 
 
-def add_deepest(df, keys, style):
+def add_deepest(df, keys, style, seeded=False, keep=()):
     """Append ``_dd_K_m``, and days ``_dd_K_t`` and ``_dd_K_s``: the deepest decline of a group of keys,
-    and the start rows of its look-backs."""
+    and the start rows of its look-backs; ``keep`` names columns of the way there that stay."""
     w = over(frame=SO_FAR)
     kept = df.columns
     heads, tops, falls, deepest, parts, out = {}, {}, {}, {}, {}, {}
@@ -169,6 +175,8 @@ def add_deepest(df, keys, style):
         border = f"_block_{key}" if sliding else "0D" if key == 0 else f"_border_{key}"
         falls.update(style.fall(f"_fall_{key}", VALUE, peak, _DAY, peak_day))
         deepest[f"_deep_{key}"] = style.deepest(border, f"_fall_{key}", peak, w)
+        if seeded and key == 0:
+            deepest["_deep_0"] = f"greatest({deepest['_deep_0']}, {_seed('deep', 2, style)})"
         parts.update(style.unpack(f"_head_{key}", f"_deep_{key}"))
         if sliding:
             heads.update(_heads(key, style))
@@ -177,5 +185,6 @@ def add_deepest(df, keys, style):
         else:
             out.update({f"_dd_{key}_{f}": f"_head_{key}_{f}" for f in style.fields})
     df = add(add(add(add(add(df, heads), tops), falls), deepest), parts)
+    kept = [*kept, *keep]
     kept += [c for c in heads if c.startswith("_start_")]
     return df.selectExpr(*kept, *[f"{sql} AS {name}" for name, sql in out.items()])

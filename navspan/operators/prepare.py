@@ -21,18 +21,18 @@ from navspan.operators import declines, series, sliding
 from navspan.operators.series import BEFORE, SO_FAR, add, over
 
 
-def prepare(nav, parts, outputs, partitions="session", kept=()):
+def prepare(nav, parts, outputs, partitions="session", kept=(), seeded=False):
     """NAV rows with the output columns, a list of (name, key, parts, SQL expression), and those ``kept``.
 
     An output is computed as soon as its parts are there, so that rows stay narrow and the generated
-    code of one step stays small.
+    code of one step stays small. ``seeded`` rows have a column ``_seed``, from which what is known since inception goes on.
     """
     parts = _expand(parts)
     fall_keys = sorted({*_keys(parts, "decline"), *_keys(parts, "depth")}, key=_order)
     fall_windows = [k for k in fall_keys if is_window(k) and k > 0]
     style = declines.Style(detail=bool(_keys(parts, "decline")))
 
-    df = series.by_product(nav.select(PRODUCT, DATE, VALUE, *kept), partitions)
+    df = series.by_product(nav.select(PRODUCT, DATE, VALUE, *kept, *(["_seed"] if seeded else [])), partitions)
     if fall_keys:
         df = add(df, declines.day_column())
     if fall_windows:
@@ -41,9 +41,9 @@ def prepare(nav, parts, outputs, partitions="session", kept=()):
     df = declines.add_tails(df, fall_windows, style)
     df = series.calendar_columns(df)
     if fall_windows:
-        df = add(df, series.neighbours())
+        df = add(df, series.neighbours(seeded))
     else:
-        df = series.unique_dates(add(df, {**series.neighbours(), **series.place(over())}))
+        df = series.unique_dates(add(df, {**series.neighbours(seeded), **series.place(over())}))
     own = {m.name: m for m, _ in parts if isinstance(m, sliding.Monoid)}
     if own or _keys(parts, "moments") or _keys(parts, "inner"):
         df = add(df, series.step_return())
@@ -53,13 +53,15 @@ def prepare(nav, parts, outputs, partitions="session", kept=()):
     for group in declines.groups(fall_windows):
         df = declines.add_deepest(df, group, style)
         df = _emit(df, outputs, lambda key, kinds: key in group)
-    df = add(df, _product_columns(parts, fall_keys, style))
+    df = add(df, _product_columns(parts, fall_keys, style, seeded))
+    if seeded and ("moments", 0) in parts:
+        df = add(df, since_inception())
     df = _emit(df, outputs, lambda key, kinds: is_window(key) and not kinds & {"decline", "depth"})
     for period in reversed(PERIODS):
         df = add(df, _period_columns(parts, period, fall_keys, style))
         df = _emit(df, outputs, lambda key, kinds: key == period and not kinds & {"decline", "depth"})
     for group in declines.groups([k for k in fall_keys if not _slides(k)]):
-        df = declines.add_deepest(df, group, style)
+        df = declines.add_deepest(df, group, style, seeded)
         df = _emit(df, outputs, lambda key, kinds: key in group)
     return _emit(df, outputs, lambda key, kinds: True)
 
@@ -104,17 +106,38 @@ def _moments(name, x, part):
     return {f"_mean{name}": f"avg({x}) {window}", f"_std{name}": f"stddev_samp({x}) {window}"}
 
 
-def _product_columns(parts, fall_keys, style):
+def running_moments():
+    """Number, mean and squared deviations of the step returns so far, without those of the seed."""
+    w = over(frame=SO_FAR)
+    return {"_run_n": f"double(count(_x) {w})", "_run_mean": f"coalesce(avg(_x) {w}, 0D)", "_run_m2": f"coalesce(var_pop(_x) {w} * count(_x) {w}, 0D)"}
+
+
+def merged_moments():
+    """The same with those of the seed: (n, mean, squared deviations)."""
+    n = "(_run_n + coalesce(_seed.n, 0D))"
+    delta = "(_run_mean - coalesce(_seed.mean, 0D))"
+    mean = f"if({n} > 0D, (_run_n * _run_mean + coalesce(_seed.n * _seed.mean, 0D)) / {n}, 0D)"
+    return n, mean, f"(_run_m2 + coalesce(_seed.m2, 0D) + if({n} > 0D, {delta} * {delta} * _run_n * coalesce(_seed.n, 0D) / {n}, 0D))"
+
+
+def since_inception():
+    n, mean, m2 = merged_moments()
+    return {"_mean_0": f"if({n} > 0D, {mean}, NULL)", "_std_0": f"if({n} > 1D, sqrt({m2} / ({n} - 1D)), NULL)"}
+
+
+def _product_columns(parts, fall_keys, style, seeded=False):
     columns = {}
     for n in _windows(parts, "start"):
         if n not in fall_keys:
             columns.update(series.row_offset_start(n))
     if ("high", 0) in parts:
         columns["_high_0"] = f"max({VALUE}) {over(frame=BEFORE)}"
+        if seeded:
+            columns["_high_0"] = f"greatest({columns['_high_0']}, _seed.high)"
     if ("moments", 0) in parts:
-        columns.update(_moments("_0", "_x", "product"))
+        columns.update(running_moments() if seeded else _moments("_0", "_x", "product"))
     if 0 in fall_keys:
-        columns.update(declines.peak_column(0, "product", style))
+        columns.update(declines.peak_column(0, "product", style, seeded))
     return columns
 
 

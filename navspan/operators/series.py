@@ -59,9 +59,18 @@ def calendar_columns(df):
     )
 
 
-def neighbours():
-    """Position in the series, the row before, the first row and the lowest value so far."""
+def neighbours(seeded=False):
+    """Position in the series, the row before, the first row and the lowest value so far; ``seeded`` rows go on from what
+    their column ``_seed`` says of the rows before them (``plans.refresh``)."""
     w, so_far = over(), over(frame=SO_FAR)
+    if seeded:
+        return {
+            **neighbours(),
+            "_i": f"row_number() {w} - 1 + coalesce(_seed.rows, 0)",
+            "_first_date": f"coalesce(_seed.first_date, first({DATE}) {so_far})",
+            "_first_val": f"coalesce(_seed.first_val, first({VALUE}) {so_far})",
+            "_lowest": f"least(min({VALUE}) {so_far}, _seed.lowest)",
+        }
     return {
         "_i": f"row_number() {w} - 1",
         "_prev_date": f"lag({DATE}) {w}",

@@ -338,6 +338,12 @@ def indicators(nav):
 JOIN ({max_drawdown(nav, every)}) USING (prod_reg_code, date) JOIN ({calmar(nav, every)}) USING (prod_reg_code, date)"""
 
 
+def refreshed(nav, keys):
+    """The metrics of the whole series at once."""
+    parts = [returns(nav, keys), counts(nav, keys), volatility(nav, keys), max_drawdown(nav, keys), calmar(nav, keys), drawdown(nav, keys)]
+    return f"SELECT * FROM ({parts[0]}) " + " ".join(f"JOIN ({p}) USING (prod_reg_code, date)" for p in parts[1:])
+
+
 def _point(table):
     """Of each product the last row up to the date."""
     return f"""SELECT * FROM ({table}) WHERE date <= '{POINT_DATE}'
@@ -493,6 +499,7 @@ FROM ({_point(strict(NATION, ("quarter",)))})""",
     "stored_drawdown": _point(drawdown(SEGMENT, (91,))),
     "drawdown_ranges": drawdown_ranges(NATION),
     "custom_metric": _ratio(),
+    "refreshed": refreshed(NATION, (30, 365, 0) + _PERIODS),
     "downside_deviation": downside(NATION, (30, 91, 182)),
     "longest_rise": longest_rise(SEGMENT, (7, 30, 365)),
     "custom_group": _average(),

@@ -17,10 +17,11 @@ from navspan.plans.lookups import metric_at, metrics_at, volatility_at
 from navspan.plans.registry import (
     BUNDLE, METRICS, all_indicators, all_metrics, frame_metric, metric_columns, metrics, sql_metric, step_returns,
 )
+from navspan.plans.refresh import next_state, refreshed, state_of
 from navspan.plans.stored import drawdown_between, stored_metric_at, write_summaries
 from navspan.sources import nav as navs
 from navspan.sources import packed
-from navspan.sources.files import shared_path, write_bucketed
+from navspan.sources.files import shared_path, write_bucketed, write_files
 from navspan.sources.derived import nations_with_orders, nav_events, nav_nation, nav_parts, nav_segment, nav_suppliers
 
 CUSTOM_WINDOWS = (3, 21, 60)
@@ -259,6 +260,30 @@ def _sum_fields(*fields):
     return lambda a, b: {f: f"{a}_{f} + {b}_{f}" for f in fields}
 
 
+REFRESHED = ["annualized_return", "valuation_count", "annualized_volatility", "max_drawdown", "annualized_calmer_ratio", "drawdown"]
+
+
+def _refreshed(spark, sf_dir):
+    """History first, then two batches of new days, each computed from the stored state before it."""
+    nav = nav_nation(spark, sf_dir)
+    keys = ((30, 365, 0), EVERY_PERIOD)
+    day = F.col(DATE)
+    batches = [nav.where(day <= "1995-12-31"), nav.where((day > "1995-12-31") & (day <= "1997-03-14")), nav.where(day > "1997-03-14")]
+    results = [metrics(batches[0], REFRESHED, *keys)]
+    state = state_of(batches[0], 365)
+    for i, new in enumerate(batches[1:]):
+        path = shared_path(spark, "state")
+        write_files(state, path)
+        state = spark.read.parquet(path)
+        results.append(refreshed(state, new, REFRESHED, *keys))
+        state = next_state(state, new, 365) if not i else None
+    table = tables.union_products(results, None)
+    names = metric_columns("max_drawdown", *keys)
+    ratios = metric_columns("annualized_calmer_ratio", *keys)
+    shown = {c: f"{c}.value" if c in names else round_even(c, 6) if c in ratios else c for c in table.columns}
+    return _shown(table.selectExpr(*[f"{sql} AS {c}" for c, sql in shown.items()]))
+
+
 def _downside_deviation(spark, sf_dir):
     """Root of the mean square of the step returns below zero, over look-backs."""
     falls = Monoid(
@@ -349,6 +374,7 @@ QUERIES = {
     "stored_drawdown": _stored(nav_segment, "drawdown", 91),
     "drawdown_ranges": _drawdown_ranges,
     "custom_metric": _custom_metric,
+    "refreshed": _refreshed,
     "downside_deviation": _downside_deviation,
     "longest_rise": _longest_rise,
     "custom_group": _custom_group,

@@ -133,7 +133,7 @@ def metric_columns(name, windows=None, periods=None):
 
 
 def metrics(
-    nav, names, windows=None, periods=None, partitions="session", prefixes=None, own=None, kept=(), **options
+    nav, names, windows=None, periods=None, partitions="session", prefixes=None, own=None, kept=(), seeded=False, **options
 ):
     """One row per product and date with the columns of all ``names``.
 
@@ -142,7 +142,7 @@ def metrics(
     ``ladder`` (coded, documented), ``min_points`` for unlisted windows, ``daily`` periods a year,
     ``as_text`` for maximum drawdowns as text. ``prefixes`` {name: prefix} renames a metric's columns, so that
     both variants of one go into one run; ``own`` {name: metric} adds metrics (``sql_metric``); columns ``kept``
-    pass through. One exchange and one sort, whatever the number of columns; with ``partitions=None`` and a
+    pass through; ``seeded`` is for ``plans.refresh``. One exchange and one sort, whatever the number of columns; with ``partitions=None`` and a
     table bucketed by product no exchange.
     """
     options = Options(**options)
@@ -162,7 +162,7 @@ def metrics(
     columns = [output[0] for output in outputs]
     if len(set(columns)) < len(columns):
         raise ValueError(f"metrics {names} share column names; give them prefixes")
-    df = prepare(nav, [part for output in outputs for part in output[2]], outputs, partitions, kept)
+    df = prepare(nav, [part for output in outputs for part in output[2]], outputs, partitions, kept, seeded)
     if options.as_text and "max_drawdown" in known:
         text = {column_name(prefix["max_drawdown"], k) for k in metric_keys("max_drawdown", windows, periods)}
         columns = [f"{drawdown_text(c)} AS {c}" if c in text else c for c in columns]
