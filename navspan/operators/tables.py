@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from navspan.functions.dates import format_date
-from navspan.functions.fixed import DATE, PRODUCT, REPORT_RETURNS
+from navspan.functions.fixed import DATE, PRODUCT, REPORT_RETURNS, VALUE
 from navspan.functions.keys import column_name
 from navspan.sources.nav import one_row_per_day
 
@@ -75,13 +75,21 @@ def report(returns):
     return returns.selectExpr(PRODUCT, f"{format_date(DATE)} AS net_val_date", *columns)
 
 
-def per_product(nav, compute, schema):
-    """A user's own metric: ``compute`` maps one product's pandas frame, sorted by date, to a frame.
+def in_order(nav, step, start, schema):
+    """A user's own metric that hangs on the one before: rows (product, date, and the columns of ``schema``).
 
-    The way out for what SQL over frames cannot say (``plans.registry.sql_metric``). A second row on a date
-    is an error, found before rows meet in Python, so a group holds one row per day at most.
+    ``step(state, date, value)`` gives the next state and a tuple of the columns; a product's first row gets ``start`` as
+    its state. The way out for what SQL over frames cannot say (``plans.registry.sql_metric``, ``frame_metric``): a Python
+    table function over each product's rows in date order, which holds one state and one row at a time. A second row on
+    a date is an error.
     """
-    def sorted_compute(pdf):
-        return compute(pdf.sort_values(DATE, ignore_index=True))
+    @F.udtf(returnType=f"{PRODUCT} string, {DATE} date, {schema}")
+    class Steps:
+        def __init__(self):
+            self.state = start
 
-    return one_row_per_day(nav).groupBy(PRODUCT).applyInPandas(sorted_compute, schema)
+        def eval(self, row):
+            self.state, values = step(self.state, row[DATE], row[VALUE])
+            yield (row[PRODUCT], row[DATE], *values)
+
+    return Steps(one_row_per_day(nav).asTable().partitionBy(PRODUCT).orderBy(DATE))

@@ -418,6 +418,17 @@ def _average():
 FROM r a JOIN r b ON a.prod_reg_code = b.prod_reg_code AND b.i BETWEEN a.i - 150 AND a.i GROUP BY a.prod_reg_code, a.date"""
 
 
+def trailing_stop(nav):
+    """Row after row of all products at once: whether it is held, and the best or worst value since that began."""
+    edge = "CASE WHEN s.held THEN greatest(s.edge, p.net_val) ELSE least(s.edge, p.net_val) END"
+    turned = f"(CASE WHEN s.held THEN 3 * p.net_val <= 2 * {edge} ELSE 3 * p.net_val >= 4 * {edge} END)"
+    return f"""WITH RECURSIVE {_rows(nav)},
+s AS (SELECT prod_reg_code, i, date, true AS held, net_val AS edge FROM p WHERE i = 0
+  UNION ALL SELECT p.prod_reg_code, p.i, p.date, s.held <> {turned}, CASE WHEN {turned} THEN p.net_val ELSE {edge} END
+  FROM s JOIN p ON p.prod_reg_code = s.prod_reg_code AND p.i = s.i + 1)
+SELECT prod_reg_code, {_text('date')} AS date, held, edge FROM s"""
+
+
 def _report():
     names = {7: "d7", 14: "d14", 30: "m1", 91: "m3", 182: "m6", 365: "y1"}
     picks = ", ".join(f'cast("Returns_{w}D" AS FLOAT) AS {n}_returns' for w, n in names.items())
@@ -503,6 +514,7 @@ FROM ({_point(strict(NATION, ("quarter",)))})""",
     "downside_deviation": downside(NATION, (30, 91, 182)),
     "longest_rise": longest_rise(SEGMENT, (7, 30, 365)),
     "custom_group": _average(),
+    "custom_state": trailing_stop(NATION),
     "constant_column": f"SELECT prod_reg_code, {_text('date')} AS date, net_val, 'CNY' AS currency, cast(NULL AS VARCHAR) AS note FROM ({SEGMENT})",
     "returns_both": _both(),
     "strict_return_custom": strict(NATION, CUSTOM_WINDOWS, min_points=2),

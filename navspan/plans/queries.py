@@ -308,12 +308,24 @@ def _longest_rise(spark, sf_dir):
 
 
 def _custom_group(spark, sf_dir):
-    """What windows cannot say, as each value hangs on the one before: an exponential average, in pandas."""
-    def compute(pdf):
-        return pdf.assign(average=pdf[VALUE].ewm(alpha=0.3, adjust=False).mean())[[PRODUCT, DATE, "average"]]
+    """What windows cannot say, as each value hangs on the one before: an exponential average."""
+    def step(average, date, value):
+        average = value if average is None else 0.3 * value + 0.7 * average
+        return average, (average,)
 
-    schema = f"{PRODUCT} string, {DATE} date, average double"
-    return _shown(tables.per_product(nav_segment(spark, sf_dir), compute, schema), rounded=True)
+    return _shown(tables.in_order(nav_segment(spark, sf_dir), step, None, "average double"), rounded=True)
+
+
+def _custom_state(spark, sf_dir):
+    """Held until a third below the best value since it was bought; bought again at a third above the worst since then."""
+    def step(state, date, value):
+        held, edge = state or (True, value)
+        edge = max(edge, value) if held else min(edge, value)
+        turned = 3 * value <= 2 * edge if held else 3 * value >= 4 * edge
+        held, edge = (not held, value) if turned else (held, edge)
+        return (held, edge), (held, edge)
+
+    return _shown(tables.in_order(nav_nation(spark, sf_dir), step, None, "held boolean, edge double"))
 
 
 def _all_indicators(spark, sf_dir):
@@ -378,6 +390,7 @@ QUERIES = {
     "downside_deviation": _downside_deviation,
     "longest_rise": _longest_rise,
     "custom_group": _custom_group,
+    "custom_state": _custom_state,
     "constant_column": _constant_column,
     "returns_both": _returns_both,
     "strict_return_custom": _metric(nav_nation, "strict_return", CUSTOM_WINDOWS, (), rounded=True, min_points=2),

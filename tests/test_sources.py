@@ -36,7 +36,6 @@ def test_duplicates(spark):
     checked = nav.one_row_per_day(raw)
     counted, returned = metrics(raw, "valuation_count", [7], []), metrics(raw, "annualized_return", [7], [])
     declines = metrics(raw, ["max_drawdown", "valuation_count"], [7], [])
-    average = lambda pdf: pdf.head(1)[["prod_reg_code"]]
     for wrong in (
         checked, checked.select("date"), checked.groupBy().count(), metrics(checked, "valuation_count", [7], []),
         counted, counted.select("Count_7D"), counted.groupBy().count(),
@@ -44,7 +43,7 @@ def test_duplicates(spark):
         declines, declines.select("Count_7D"), declines.groupBy().count(),
         step_returns(raw).select("step"), step_returns(raw).groupBy().count(),
         asof.asof_rows(raw, anchors), asof.forward_rows(raw, anchors).groupBy().count(),
-        tables.per_product(raw, average, "prod_reg_code string"), packed.pack(raw),
+        tables.in_order(raw, lambda state, day, value: (state, (value,)), None, "same double"), packed.pack(raw),
     ):
         with pytest.raises(Exception, match="two rows on one date"):
             wrong.collect()
@@ -172,3 +171,45 @@ def test_large_joins_shuffle_and_agree(spark, sf_dir):
         assert _rows(found) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_failed_write_leaves_the_table_and_can_be_repeated(spark, tmp_path):
+    """Whole months are replaced, others stay; a run that fails half-way changes nothing."""
+    path = str(tmp_path / "metrics")
+    days = spark.range(120).selectExpr("'A' AS prod_reg_code", "date_add(date'2024-01-01', int(id)) AS date", "1D AS net_val")
+    files.write_dates(days, path)
+    later = days.where("date >= date'2024-02-01' AND date < date'2024-04-01'").withColumn("net_val", F.lit(2.0)).repartition(4)
+    broken = later.withColumn("net_val", F.when(F.col("date") == "2024-03-20", F.raise_error(F.lit("stopped")).cast("double")).otherwise(F.col("net_val")))
+    before = _rows(spark.read.parquet(path))
+    with pytest.raises(Exception, match="stopped"):
+        files.write_dates(broken, path)
+    assert _rows(spark.read.parquet(path)) == before
+    for _ in range(2):
+        files.write_dates(later, path)
+        found = spark.read.parquet(path)
+        assert found.count() == 120 and found.where("net_val = 2").count() == 60 and found.select("date").distinct().count() == 120
+    with pytest.raises(ValueError):
+        files.write_dates(later, path, by="week")
+
+
+def test_even_ranges_of_a_skewed_column(spark):
+    """Nine rows in ten lie in one month of ten years, and a third of these on one day."""
+    from navspan.sources import jdbc
+
+    rows = spark.range(20_000).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN date_add(date'2015-01-01', int(id % 3650)) WHEN id % 3 = 0 THEN date'2020-05-17' "
+        "ELSE date_add(date'2020-05-01', int(id % 30)) END AS date", "if(id % 50 = 0, NULL, id * id) AS n")
+    rows = rows.withColumn("date", F.when(F.col("n").isNotNull(), F.col("date")))
+    for column in ("date", "n"):
+        ranges = jdbc.even_ranges(rows, column, 8)
+        counts = [rows.where(condition).count() for condition in ranges]
+        assert sum(counts) == 20_000 and 5 <= len(ranges) <= 8
+        whole = rows.where("date = date'2020-05-17'").count() if column == "date" else 0
+        assert max(counts) <= 1.3 * 20_000 / 8 + whole
+    assert jdbc.even_ranges(rows.limit(0), "date", 8) == ["1 = 1"] == jdbc.even_ranges(rows, "n", 1)
+    with pytest.raises(ValueError):
+        jdbc.even_ranges(rows.selectExpr("string(n) AS t"), "t", 2)
+    config = {"url": "jdbc:x", "table": "t"}
+    assert jdbc.read_options({**config, "ranges": ranges}) == {"url": "jdbc:x", "dbtable": "t"}
+    with pytest.raises(ValueError):
+        jdbc.read_options({**config, "ranges": ranges, "single_reader": True})
