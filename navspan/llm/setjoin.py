@@ -9,7 +9,9 @@ Each document is first held against one other, of the smallest doc_ids of its ti
 with. Documents that this has tied into one component need no comparison with each other, so the groups of copies,
 however large, cost about as many comparisons as they have members. Tiles with the same documents are one from then on.
 They are cut into blocks in order of size, and pairs of blocks within the size band are compared in separate tasks:
-first each document with those of the nearest signatures, then all that are still in different components.
+first each document with those of the nearest signatures, then all that are still in different components. A pair is
+compared in the first of its tiles alone. What signatures leave is verified block pair by block pair, each document's
+set being there once, and gives a spanning forest: rows grow with the documents in a tile, not with their pairs.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ SHINGLE, PERCENT = 5, 75
 #: Bits of a signature: a power of two, from three quarters of the set's size on, within these bounds. Of sets without
 #: common numbers, three bits in eight differ or more; of linked ones, numbers for two in seven at most.
 LEAST_BITS, MOST_BITS = 64, 1 << 16
-BLOCK = 256
+#: A block has so many documents at most, and so many numbers but for its first document's.
+BLOCK, BLOCK_NUMBERS = 256, 1 << 20
 NEAREST = 2
 #: A number counts as frequent from so many documents on, when so many of one run of texts have it.
 FREQUENT, FREQUENT_HERE = 16, 3
@@ -180,9 +183,8 @@ def bounded(pairs: DataFrame, profile: DataFrame, percent: int) -> DataFrame:
     return pairs.where(near).mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs whose sets' exact intersection is large enough."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def sets_of(spark: SparkSession, docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(id, numbers): the sorted sets of the documents of these ids, and by mistake of few others."""
     wanted = spark.sparkContext.broadcast(candidate_map(ids))
     fields = pa.schema([("id", pa.int64()), ("numbers", pa.large_binary())])
 
@@ -195,17 +197,25 @@ def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int,
 
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS)).alias("slot")
     sets = docs.where("doc_id is not null").select("doc_id", "text", slot).mapInArrow(sets, "id long, numbers binary")
-    sets = written(spark, sets, "sets")
+    return written(spark, sets, "sets")
+
+
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether the exact intersection of two sorted sets is large enough."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(x):
+        return False
+    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those pairs whose sets' exact intersection is large enough."""
+    sets = sets_of(spark, docs, pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch["x"], batch["y"], strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(y, x), max(0, len(y) - 1))
-                common = int((y[at] == x).sum()) if len(y) else 0
-                keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
+            keep = [linked(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)), percent) for x, y in zip(batch["x"], batch["y"], strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("numbers").alias("x")), "a")
@@ -223,19 +233,42 @@ def nearest(p: np.ndarray, distance: np.ndarray, most: int) -> np.ndarray:
     return out
 
 
-def tile_pairs(spark: SparkSession, shared: DataFrame, profile: DataFrame, root: DataFrame, percent: int, most: int = 0) -> DataFrame:
-    """Pairs (a, b) of tiles whose documents are not of one component yet, after sizes and signatures.
-
-    With `most`, of each document in a pair of blocks only those with the `most` nearest signatures.
-    """
+def open_tiles(shared: DataFrame, profile: DataFrame, root: DataFrame) -> DataFrame:
+    """Members (number, id, n, key, root) of the tiles whose documents are not of one component yet; of tiles with the same
+    documents, one."""
     members = shared.join(root.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    # Of tiles with the same documents, one.
     tiles = members.groupBy("number").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
     tiles = tiles.where("low < high").groupBy("who", "size").agg(F.min("number").alias("number")).select("number")
-    members = members.join(tiles, "number").join(profile.select("id", "n", "key"), "id")
+    return members.join(tiles, "number").join(profile.select("id", "n", "key"), "id").select("number", "id", "n", "key", "root")
+
+
+def met_before(numbers: list[np.ndarray], number: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the pairs of documents x and y share a tile with a smaller number, where they are compared."""
+    earlier = [v[v < number] for v in numbers]
+    out = np.zeros((len(x), len(y)), bool)
+    values, column = np.unique(np.concatenate([np.zeros(0, np.int64), *earlier]), return_inverse=True)
+    row = np.repeat(np.arange(len(numbers)), [len(v) for v in earlier])
+    for at in range(0, len(values), 1 << 13):
+        here = (column >= at) & (column < at + (1 << 13))
+        has = np.zeros((len(numbers), min(1 << 13, len(values) - at)), np.float32)
+        has[row[here], column[here] - at] = 1
+        out |= has[x] @ has[y].T > 0
+    return out
+
+
+def candidates(spark: SparkSession, members: DataFrame, profile: DataFrame, percent: int, most: int = 0) -> DataFrame:
+    """Who is to be held against whom: (number, i, j, id, root, partners), a row for each document that has a partner, or
+    is one, in a pair of blocks of a tile.
+
+    Partners are of another component, and sizes and signatures don't rule them out. A pair is in the tile with the
+    smallest number of those that it shares, and in no other. With `most`, of each document in a pair of blocks only
+    the partners with the `most` nearest signatures.
+    """
     order = Window.partitionBy("number").orderBy("n", "id", "key")
-    members = members.withColumn("block", ((F.row_number().over(order) - 1) / BLOCK).cast("int"))
-    members = written(spark, members, "members")
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    block = F.floor((F.row_number().over(order) - 1) / BLOCK) + F.floor(before / BLOCK_NUMBERS)
+    numbers = members.groupBy("id").agg(F.sort_array(F.collect_set("number")).alias("numbers"))
+    members = written(spark, members.withColumn("block", block.cast("int")), "members")
     blocks = members.groupBy("number", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     left, right = blocks.alias("l"), blocks.alias("r")
     near = (F.col("l.number") == F.col("r.number")) & (F.col("l.block") <= F.col("r.block")) & (F.col("l.high") * 100 >= F.col("r.low") * percent)
@@ -243,26 +276,76 @@ def tile_pairs(spark: SparkSession, shared: DataFrame, profile: DataFrame, root:
     columns = ["number", "i", "j", "block", "id", "n", "key", "root"]
     first = members.join(tiles, (members["number"] == tiles["number"]) & (members["block"] == tiles["i"])).drop(tiles["number"])
     second = members.join(tiles.where("i < j"), (members["number"] == tiles["number"]) & (members["block"] == tiles["j"])).drop(tiles["number"])
-    rows = first.select(*columns).unionByName(second.select(*columns)).join(profile, ["id", "n", "key"])
+    rows = first.select(*columns).unionByName(second.select(*columns)).join(profile, ["id", "n", "key"]).join(numbers, "id")
     rows = rows.repartition("number", "i", "j").sortWithinPartitions("number", "i", "j", "block")
+    fields = pa.schema([("number", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("id", pa.int64()), ("root", pa.int64()), ("partners", pa.list_(pa.int64()))])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in runs(batches, ["number", "i", "j"]):
             block, ids, n, root = (tile[c].to_numpy() for c in ("block", "id", "n", "root"))
-            bits = tile["bits"].to_pylist()
-            x, y = np.flatnonzero(block == tile["i"][0].as_py()), np.flatnonzero(block == tile["j"][0].as_py())
-            p, q = np.nonzero((root[x][:, None] != root[y]) & may_link(n[x][:, None], n[y], 0, percent) & ((ids[x][:, None] < ids[y]) | (block[x][:, None] != block[y])))
+            number, i, j = (tile[c][0].as_py() for c in ("number", "i", "j"))
+            x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            fit = (root[x][:, None] != root[y]) & may_link(n[x][:, None], n[y], 0, percent) & ((ids[x][:, None] < ids[y]) | (block[x][:, None] != block[y]))
+            if fit.any():
+                flat = tile["numbers"].combine_chunks()
+                fit &= ~met_before(np.split(flat.flatten().to_numpy(), np.cumsum(flat.value_lengths().to_numpy())[:-1]), number, x, y)
+            p, q = np.nonzero(fit)
+            if not len(p):
+                continue
             p, q = x[p], y[q]
+            bits = tile["bits"].to_pylist()
             differ = differing([bits[k] for k in p], [bits[k] for k in q])
             fit = may_link(n[p], n[q], differ, percent)
             p, q, distance = p[fit], q[fit], (differ / (n[p] + n[q]))[fit]
             if most:
                 near = nearest(p, distance, most) | nearest(q, distance, most)
-                p, q = p[near], q[near]
-            p, q = ids[p], ids[q]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
-
-    return rows.mapInArrow(compare, "a long, b long").distinct()
+                p, q, distance = p[near], q[near], distance[near]
+            if not len(p):
+                continue
+            order = np.lexsort((distance, p))
+            p, q = p[order], q[order]
+            who = np.union1d(p, q)
+            bounds = np.append(np.searchsorted(p, who), len(p))
+            partners = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids[q], pa.int64()))
+            same = [pa.array(np.full(len(who), v), t) for v, t in ((number, pa.int64()), (i, pa.int32()), (j, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(ids[who]), pa.array(root[who]), partners], schema=fields)
+
+    return rows.mapInArrow(compare, "number long, i int, j int, id long, root long, partners array<long>")
+
+
+def forest(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among candidates, by the exact intersection of their sets: in each pair of blocks no more than it takes
+    to tie what is linked, so at most one for each document."""
+    together = rows.join(sets, "id").repartition("number", "i", "j").sortWithinPartitions("number", "i", "j", "id")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in runs(batches, ["number", "i", "j"]):
+            sets: dict[int, list[np.ndarray]] = {}
+            partners: dict[int, dict[int, None]] = {}
+            top: dict[int, int] = {}
+            roots: dict[int, int] = {}
+            for k, (doc, root, others) in enumerate(zip(tile["id"].to_pylist(), tile["root"].to_pylist(), tile["partners"].to_pylist(), strict=True)):
+                sets.setdefault(doc, []).append(np.frombuffer(tile["numbers"][k].as_buffer(), np.uint64))
+                partners.setdefault(doc, {}).update(dict.fromkeys(others))
+                roots[doc] = root
+                top[root] = root
+
+            def find(r: int) -> int:
+                while top[r] != r:
+                    top[r] = r = top[top[r]]
+                return r
+
+            found = []
+            for a, others in partners.items():
+                for b in others:
+                    r, q = find(roots[a]), find(roots[b])
+                    if r != q and any(linked(x, y, percent) for x in sets[a] for y in sets[b]):
+                        top[max(r, q)] = min(r, q)
+                        found.append((min(a, b), max(a, b)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
+
+    return together.mapInArrow(verify, "a long, b long").distinct()
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -303,15 +386,18 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, perc
     links = written(spark, links, "links")
     root = components(spark, links)
     tiles = shared.join(leads.select("number"), "number")
+    sets = None
     # First the nearest ones, which tie most of what is linked; then all that are still in different components.
     for most in (NEAREST, 0):
-        more = tile_pairs(spark, tiles, profile, root, percent, most).join(pairs, ["a", "b"], "left_anti")
-        more = written(spark, more, "more")
-        if more.isEmpty():
+        members = written(spark, open_tiles(tiles, profile, root), "tiles")
+        rows_to_check = written(spark, candidates(spark, members, profile, percent, most), "candidates")
+        if rows_to_check.isEmpty():
             break
-        found = written(spark, verified(spark, docs, more, size, percent), "links")
+        # Documents of open tiles: there are no others in the next round.
+        sets = sets if sets is not None else sets_of(spark, docs, members.select("id").distinct(), size)
+        found = written(spark, forest(rows_to_check, sets, percent), "links")
         if not found.isEmpty():
-            links, pairs = links.union(found), pairs.union(more)
+            links = links.union(found)
             root = components(spark, links)
     tied = member.groupBy("doc_id").agg(F.min("class_id").alias("class_id")).join(root.withColumnRenamed("node", "class_id"), "class_id", "left")
     tied = tied.select(F.col("doc_id").alias("id"), "class_id", F.coalesce("root", "class_id").alias("component_id"))
