@@ -8,72 +8,22 @@ tests hold every stage against plain code.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from navspan.llm import mixing, naming, packing, setjoin, toxicity
+from navspan.llm import stages
 from navspan.llm.shared import written
 
 ORACLE_SQL = None
 
-
-def same_row(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """docs next to rows, by the latter's d (doc_id) and k (hash of the text)."""
-    key = F.xxhash64("text") == F.col("k")
-    return docs.join(rows, key & F.col("doc_id").eqNullSafe(F.col("d")))
-
-
-def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, trained on their labels, does not reject."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.toxicity(spark, docs, labels).where("predicted = 0").select(*docs.columns)
-
-
-def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, but for white space, the one that block naming keeps."""
-    kept = naming.duplicates(spark, docs).where("kept").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "rows")
-    kept = written(spark, kept, "kept")
-    rows = same_row(docs, kept.drop("rows")).select(*docs.columns)
-    # Rows that repeat a whole document come once.
-    return rows if kept.where("rows > 1").isEmpty() else rows.dropDuplicates(["doc_id", "text"])
-
-
-def distinct_sets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest doc_id."""
-    found = written(spark, setjoin.jaccard_join(spark, docs), "components")
-    first = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("d")).agg(F.count("*").alias("rows"))
-    # A doc_id that several rows have: one of them, the first by its text.
-    several = written(spark, first.where("rows > 1").select("d"), "several")
-    if several.isEmpty():
-        single = docs.join(first.select("d"), F.col("doc_id") == F.col("d"), "left_semi")
-        return single.union(docs.where("doc_id is null"))
-    texts = docs.join(several, F.col("doc_id") == F.col("d"), "left_semi")
-    texts = texts.groupBy(F.col("doc_id").alias("e")).agg(F.min(F.xxhash64("text")).alias("k"))
-    rows = docs.join(first.select("d"), F.col("doc_id") == F.col("d"), "left_semi").join(texts, F.col("doc_id") == F.col("e"), "left")
-    rows = rows.where("k is null or k = xxhash64(text)").select(*docs.columns)
-    return rows.union(docs.where("doc_id is null"))
-
-
-def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    copies = mixing.mix(spark, docs).where("copies > 0").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), F.col("source").alias("_from"), "copies")
-    rows = same_row(docs, copies).where(F.col("source").eqNullSafe(F.col("_from")))
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
-
-
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in training sequences."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
-
-
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", not_toxic),
-    ("exact dedup", distinct_texts),
-    ("n-gram Jaccard join", distinct_sets),
-    ("mixing sources to target weights", mixed_sources),
-    ("packing", packed),
+    ("toxicity", stages.not_toxic),
+    ("exact dedup", stages.distinct_texts),
+    ("n-gram Jaccard join", stages.distinct_sets),
+    ("mixing sources to target weights", stages.mixed_sources),
+    ("packing", partial(stages.packed, tokenizer=public_tokenizers.path("word_bpe_49k.json"))),
 ]
 
 

@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset, as in tests, one of our own."""
+    """The folder of spark.checkpoint.dir. Where that is unset, one of our own, but only if driver and executors are one
+    process, as in tests: on a cluster other machines would not see it."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
         folder = context.getCheckpointDir()
     return folder
