@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from navspan.llm.native import let
 
-WINDOW, STRIDE, BANDS, SHINGLE, PERCENT = 4, 2, 5, 5, 75
+STRIDE, BANDS, SHINGLE, PERCENT = 2, 5, 5, 75
+WINDOW = 2 * STRIDE
 #: Windows of all templates, at most: they are constants of the plan.
 MOST_WINDOWS = 5_000
 #: The first three bits of each mask are its own, as the minima under masks that begin alike are often the same pair's.
@@ -41,7 +42,7 @@ NOTICES = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "All-Rights-Reserved": ["Copyright. All rights reserved."],
+    "All-Rights-Reserved": ["All rights reserved."],
 }
 
 
@@ -76,10 +77,12 @@ def pairs_of(words: Column) -> Column:
 
 
 def window_minima(pairs: Column) -> Column:
-    """For each mask, the MinHash of every window of WINDOW pairs, one from each STRIDE-th pair on."""
+    """For each mask, the MinHash of every window of WINDOW pairs, one from each STRIDE-th pair on. A window is two strides:
+    the minimum of each is taken once, for both windows that it is in."""
     def of(v: Column) -> Column:
         def band(mask: int) -> Column:
-            return F.transform(v["starts"], lambda i: F.least(*[F.get(v["pairs"], i + k).bitwiseXOR(F.lit(mask)) for k in range(WINDOW)]))
+            strides = F.transform(v["starts"], lambda i: F.least(*[F.get(v["pairs"], i + k).bitwiseXOR(F.lit(mask)) for k in range(STRIDE)]))
+            return let(lambda s: F.zip_with(s["own"], F.slice(s["own"], F.lit(2), F.size(s["own"])), lambda x, y: F.least(x, y)), own=strides)
 
         return F.array(*[band(m) for m in MASKS])
 

@@ -179,3 +179,74 @@ def test_site_without_articles(spark):
 def test_queries_run_on_whole_tables(spark, sf_dir, name, key, table):
     df = QUERIES[name](spark, sf_dir)
     assert df.select(key).distinct().count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").select(key).distinct().count() == df.count()
+
+
+def read_text(page):
+    blocks = pages.Reader().read(page)
+    return pages.main_text(blocks, [0.0] * len(blocks))
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<article class="post comments-open"><p>The second story.</p></article>', "The second story."),
+    ('<article class="hentry comments-open has-sidebar">a</article>', "a"),
+    ('<div class="no-sidebar layout"><article>a</article></div>', "a"),
+    ('<article class="job-search">The whole story</article><p>other words</p>', "The whole story"),
+    ('<article><p>a</p><section class="market-share">b</section></article>', "a\nb"),
+    ('<article><p>a</p><div class="share-buttons">b</div><div class="newsletter-signup">c</div></article>', "a"),
+    ('<article><script src=/js/>var a=1</script><style/>p{}</style><p>t</p></article>', "t"),
+    ('<article>a<svg/>b</article>', "ab"),
+    ('<main><div class="cards"><article><p>card</p></article></div><p>body of the main story</p></main>', "card\nbody of the main story"),
+    ('<main><p>by line</p><article><p>the long story of this page</p></article></main>', "the long story of this page"),
+    ('<div class="comments"><article class="comment">c</article></div><article>m</article>', "m"),
+    ('<article>m<div class="comments"><article>c</article></div></article>', "m"),
+    ('<aside><article>z</article></aside><article>k</article>', "k"),
+    ("", ""),
+])
+def test_what_marks_an_article(page, text):
+    assert read_text(page) == text
+
+
+def test_broken_markup_takes_time_in_proportion():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        read_text("<div>" * n + "</section>" * n + "<aside><p>" + "<div>" * n + "</p>" * n + "</aside>")
+        return time.process_time() - start
+
+    assert seconds(40_000) < 40 * max(seconds(4_000), 0.01)
+
+
+def brute_shares(streams, length, on_pages):
+    """Share of each block's tokens within runs that stand on so many distinct pages, by comparing all of them."""
+    whole = [[int(t) for b in page for t in b] for page in streams]
+    seen = {}
+    for page in whole:
+        for i in range(len(page) - length + 1):
+            seen.setdefault(tuple(page[i : i + length]), set()).add(tuple(page))
+    out = []
+    for page, blocks in zip(whole, streams, strict=True):
+        hit = [False] * len(page)
+        for i in range(len(page) - length + 1):
+            if len(seen[tuple(page[i : i + length])]) >= on_pages:
+                hit[i : i + length] = [True] * length
+        at, shares = 0, []
+        for b in blocks:
+            shares.append(sum(hit[at : at + len(b)]) / max(1, len(b)))
+            at += len(b)
+        out.append(shares)
+    return out
+
+
+def test_repeats_and_cover_against_all_runs():
+    draw = np.random.default_rng(3)
+    notice = [draw.integers(0, 50, 20) for _ in range(4)]
+    streams = []
+    for i in range(40):
+        page = [draw.integers(0, 50, int(draw.integers(0, 40))) for _ in range(int(draw.integers(1, 5)))]
+        page += [notice[k] for k in range(4) if draw.random() < 0.2 * (k + 1)]
+        streams.append(page if i % 9 else streams[0] if streams else page)
+    streams = [[b.astype(np.int64) for b in page] for page in streams]
+    for length, on_pages in ((8, 3), (4, 2), (1, 3)):
+        got, want = pages.covered(streams, length, on_pages), brute_shares(streams, length, on_pages)
+        assert all(x == pytest.approx(y) for x, y in zip(got, want, strict=True))
