@@ -358,15 +358,16 @@ def test_licenses(spark, docs, rows):
     more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(texts)] + [(1001, texts[1])], "doc_id long, text string")
     found = licenses.scan(docs.select("doc_id", "text").union(more)).collect()
 
-    def shingles_(t):
+    def shingles_(t, width=5):
         w = re.findall("[a-z0-9]+", (t or "").translate(LOW))
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+        width = min(width, len(w))
+        return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if w else set()
 
     templates = [(name, i, shingles_(t)) for name, notices in licenses.NOTICES.items() for i, t in enumerate(notices)]
     want = Counter()
     for doc_id, text in [(d, t) for d, t, *_ in rows] + [(r["doc_id"], r["text"]) for r in more.collect()]:
-        own = shingles_(text)
         for name, i, x in templates:
+            own = shingles_(text, len(next(iter(x))))
             if 100 * len(own & x) >= 75 * len(x):
                 want[doc_id, name, i, len(own & x), len(x)] += 1
     assert Counter(tuple(r) for r in found) == want and len(want) >= 6
