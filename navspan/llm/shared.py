@@ -57,6 +57,8 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         total += n
     if first < len(sizes):
         yield batch.slice(first)
+    # What earlier steps held goes back, as workers live on from stage to stage.
+    pa.default_memory_pool().release_unused()
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
