@@ -19,7 +19,7 @@ from navspan.sources.derived import nav_parts, nav_suppliers
 HEADLINE = [
     "returns_windows", "returns_periods", "returns_strict", "valuation_count", "volatility_windows",
     "volatility_periods", "volatility_list", "sharpe", "max_drawdown_windows", "max_drawdown_periods",
-    "calmar", "drawdown_windows", "drawdown_periods", "metrics_bundle", "volatility_asof", "point_metric",
+    "calmar", "drawdown_windows", "drawdown_periods", "metrics_bundle", "volatility_asof", "metrics_asof", "point_metric",
     "asof_start", "packed_parse", "nav_last_per_day", "supplier_returns", "supplier_volatility",
     "part_max_drawdown", "part_calmar", "part_bundle", "all_indicators",
 ]
