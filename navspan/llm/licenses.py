@@ -58,13 +58,23 @@ def words_of(text: Column) -> Column:
     return let(inner, words=F.split(F.translate(F.coalesce(text, F.lit("")), upper, upper.lower()), "[^a-z0-9]+"))
 
 
-def shingles_of(words: Column) -> Column:
-    """Distinct runs of SHINGLE words; a shorter text is one run, an empty one has none."""
+def all_shingles(words: Column) -> Column:
+    """Runs of SHINGLE words, one from each word on that has as many behind it; a shorter text is one run, an empty one
+    has none."""
     def runs(v: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(v["words"]) - SHINGLE + 1))
         return F.transform(starts, lambda i: F.array_join(F.slice(v["words"], i, F.lit(SHINGLE)), " "))
 
-    return let(lambda v: F.when(F.size(v["words"]) > 0, F.array_distinct(runs(v))).otherwise(F.array().cast("array<string>")), words=words)
+    return let(lambda v: F.when(F.size(v["words"]) > 0, runs(v)).otherwise(F.array().cast("array<string>")), words=words)
+
+
+def shingles_from(words: Column, pairs: Column, first: list[int]) -> Column:
+    """Runs of SHINGLE words whose first pair is one of `first`; a shorter text has none."""
+    def runs(v: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(v["words"]) - SHINGLE), lambda i: F.get(v["pairs"], i).isin(first))
+        return F.transform(starts, lambda i: F.array_join(F.slice(v["words"], i + 1, F.lit(SHINGLE)), " "))
+
+    return let(lambda v: F.when(F.size(v["words"]) >= SHINGLE, runs(v)).otherwise(F.array().cast("array<string>")), words=words, pairs=pairs)
 
 
 def pairs_of(words: Column) -> Column:
@@ -109,12 +119,14 @@ def scan(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, percent: int
     spark = docs.sparkSession
     listed = [(n, name, place, text) for n, (name, place, text) in enumerate((name, i, text) for name, texts in notices.items() for i, text in enumerate(texts))]
     templates = spark.createDataFrame(listed, "number int, license string, template int, notice string").withColumn("words", words_of(F.col("notice"))).where(F.size("words") > 0)
-    templates = templates.withColumn("shingles", shingles_of(F.col("words")))
+    templates = templates.withColumn("shingles", F.array_distinct(all_shingles(F.col("words"))))
     long, short = templates.where(F.size("words") >= SHINGLE), templates.where(F.size("words") < SHINGLE)
     windows = [(r["number"], r["minima"]) for r in template_windows(long).collect()]
     # Of short templates: the number, the only word or none, the first pair or none.
-    firsts = short.select("number", F.when(F.size("words") == 1, F.col("words")[0]).alias("word"), F.when(F.size("words") > 1, pairs_of(F.col("words"))[0]).alias("pair")).collect()
+    firsts = short.select("number", F.col("shingles")[0].alias("run"), F.when(F.size("words") == 1, F.col("words")[0]).alias("word"), F.when(F.size("words") > 1, pairs_of(F.col("words"))[0]).alias("pair")).collect()
     words, pairs = ({x["number"]: x[kind] for x in firsts if x[kind] is not None} for kind in ("word", "pair"))
+    runs = {x["number"]: x["run"] for x in firsts}
+    verified = long.select(pairs_of(F.col("words")).alias("pairs"), all_shingles(F.col("words")).alias("shingles")).collect()
     if len(windows) + len(firsts) > MOST_WINDOWS:
         raise ValueError(f"{len(windows) + len(firsts)} windows of templates; at most {MOST_WINDOWS}")
 
@@ -130,20 +142,24 @@ def scan(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, percent: int
     def hits(v: Column) -> Column:
         def of(w: Column) -> Column:
             found = let(lambda x: F.array(*[F.array_intersect(x["minima"][j], constants(j)) for j in range(BANDS)]), minima=window_minima(w["pairs"]))
-            return F.struct(v["words"].alias("words"), found.alias("hits"), among(w["pairs"], pairs, "bigint").alias("pairs"), among(v["words"], words, "string").alias("single"))
+            return F.struct(v["words"].alias("words"), w["pairs"].alias("pairs"), found.alias("hits"), among(w["pairs"], pairs, "bigint").alias("short"), among(v["words"], words, "string").alias("single"))
 
         return let(of, pairs=pairs_of(v["words"]))
 
     # Rows without hits end here. An explode, as the planner would move a filter, and all of the work with it, down.
-    hit = F.filter(F.array(let(hits, words=words_of(F.col("text")))), lambda h: F.exists(h["hits"], lambda x: F.size(x) > 0) | (F.size(h["pairs"]) > 0) | (F.size(h["single"]) > 0))
+    hit = F.filter(F.array(let(hits, words=words_of(F.col("text")))), lambda h: F.exists(h["hits"], lambda x: F.size(x) > 0) | (F.size(h["short"]) > 0) | (F.size(h["single"]) > 0))
     rows = docs.select("doc_id", F.explode(hit).alias("hit")).select("doc_id", "hit.*")
     numbers = sorted({n for n, _ in windows})
     retrieved = [F.when(reduce(Column.__or__, [F.arrays_overlap(F.col("hits")[j], constants(j, n)) for j in range(BANDS)]), F.lit(n)) for n in numbers]
-    retrieved += [F.when(F.array_contains(column, F.lit(x)), F.lit(n)) for column, wanted in (("pairs", pairs), ("single", words)) for n, x in wanted.items()]
-    rows = rows.select("doc_id", "words", shingles_of(F.col("words")).alias("own"), F.explode(F.array_compact(F.array(F.lit(None).cast("int"), *retrieved))).alias("number"))
+    spaced = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
+    for column, wanted in (("short", pairs), ("single", words)):
+        retrieved += [F.when(F.array_contains(column, F.lit(x)) & F.contains(spaced, F.lit(f" {runs[n]} ")), F.lit(n)) for n, x in wanted.items()]
+    # Verified against all templates at once: of a text only the distinct shingles that some template has go on.
+    known = F.array(*[F.lit(x) for x in sorted({x for r in verified for x in r["shingles"]})]).cast("array<string>")
+    found = F.array_intersect(shingles_from(F.col("words"), F.col("pairs"), sorted({r["pairs"][i] for r in verified for i in range(len(r["shingles"]))})), known)
+    rows = rows.select("doc_id", found.alias("found"), F.explode(F.array_compact(F.array(F.lit(None).cast("int"), *retrieved))).alias("number"))
     # Broadcast: the templates are the few constants above.
     rows = rows.join(F.broadcast(templates.select("number", "license", "template", "shingles", (F.size("words") < SHINGLE).alias("short"))), "number")
-    run = F.concat(F.lit(" "), F.col("shingles")[0], F.lit(" "))
-    matched = F.when(F.col("short"), F.contains(F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")), run).cast("int")).otherwise(F.size(F.array_intersect("own", "shingles")))
+    matched = F.when(F.col("short"), F.lit(1)).otherwise(F.size(F.array_intersect("found", "shingles")))
     rows = rows.select("doc_id", "license", "template", matched.alias("matched"), F.size("shingles").alias("size"))
     return rows.where(F.col("matched") * 100 >= F.col("size") * percent)
