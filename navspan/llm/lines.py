@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from navspan.llm.native import let
 from navspan.llm.shared import written
 
-#: Lines shorter than this are compared as wholes only.
-LEAST = 20
 #: Lines to look up whose places are sent to all tasks, at most (some 50 bytes each); beyond that, texts are shuffled.
 BROADCAST = 1_000_000
 SPACES = " \t\r\v\f"
@@ -50,8 +48,9 @@ def part_keys(line: Column, parts: int) -> Column:
         out = []
         for j in range(parts):
             before, after = F.floor(size * j / parts).cast("int"), (size - F.floor(size * (j + 1) / parts)).cast("int")
-            key = F.xxhash64(F.left(line, before), F.right(line, after), size * parts + j)
-            out.append(F.struct(key.alias("key"), F.substr(line, before + 1, F.length(line) - before - after).alias("rest")))
+            kept = [F.left(line, before), F.right(line, after), size * parts + j]
+            # Two hashes, 128 bits: what stands beside the part is not compared again.
+            out.append(F.struct(F.struct(F.xxhash64(*kept).alias("a"), F.xxhash64(F.lit(1), *kept).alias("b")).alias("key"), F.substr(line, before + 1, F.length(line) - before - after).alias("rest")))
         return out
 
     return F.array(*keys(F.length(line)), *keys(F.length(line) + 1))
@@ -74,14 +73,14 @@ def neighbours(rest: Column) -> Column:
     return F.concat(F.array(F.struct(F.lit("w").alias("kind"), F.xxhash64(rest).alias("variant"))), one, F.array_distinct(any_))
 
 
-def dropped_lines(spark: SparkSession, docs: DataFrame, least: int = LEAST) -> DataFrame:
+def dropped_lines(spark: SparkSession, docs: DataFrame, least: int = 1) -> DataFrame:
     """The lines (doc_id, text_key, line_no from 0) of docs (doc_id, text) that an earlier line makes superfluous.
 
     Lines end at line feeds, and spaces around them don't count. Blank lines always stay. Another line stays unless an
-    equal one, or, from `least` characters on, one within one edit (a character put in, left out or changed), stands
-    earlier: by doc_id (null first), then text_key (a hash of the text), then its place. Whether that one stays itself
-    does not matter. Rows that repeat both doc_id and text are the same lines. Null counts as empty; an empty table
-    gives no rows; other columns are ignored.
+    equal one, or one within one edit (a character put in, left out or changed), stands earlier; with `least`, lines of
+    fewer characters are compared as wholes only. Earlier is by doc_id (null first), then text_key (a hash of the text),
+    then its place. Whether that one stays itself does not matter. Rows that repeat both doc_id and text are the same
+    lines. Null counts as empty; an empty table gives no rows; other columns are ignored.
     """
     lines = lines_of(docs)
     halves = F.when(F.length("line") >= least, half_keys(F.col("line")))
@@ -112,7 +111,7 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, least: int = LEAST) -> D
     return occurrences.select(*AT, *same).join(changed, same).where("stays is null or stays <> struct(doc_id, text_key, line_no)").select(*AT).distinct()
 
 
-def deduplicated(spark: SparkSession, docs: DataFrame, least: int = LEAST) -> DataFrame:
+def deduplicated(spark: SparkSession, docs: DataFrame, least: int = 1) -> DataFrame:
     """docs with the text without its dropped lines, and n_lines and dropped (their numbers, from 0); see dropped_lines.
 
     A null text stays null. All other columns of docs stay; columns named n_lines and dropped are replaced.

@@ -311,13 +311,14 @@ def one_edit(a, b):
     return len(b) - len(a) <= 1 and (a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :])
 
 
-@given(st.text(alphabet="abc", min_size=20, max_size=40), st.integers(0, 40), st.sampled_from("x ab"), st.sampled_from("cid"))
-@settings(max_examples=25, deadline=None)
-def test_one_edit_is_found(spark, line, at, char, kind):
+@given(st.text(alphabet="abc", min_size=1, max_size=40), st.integers(0, 40), st.sampled_from("x ab"), st.sampled_from("cid"), st.sampled_from([1, 20]))
+@settings(max_examples=40, deadline=None)
+def test_one_edit_is_found(spark, line, at, char, kind, least):
     other = line[:at] + {"c": char + line[at + 1 :], "i": char + line[at:], "d": line[at + 1 :]}[kind]
     docs = spark.createDataFrame([(1, line), (2, other)], "doc_id long, text string").coalesce(1)
-    found = lines.dropped_lines(spark, docs).count()
-    assert found == int(other.strip() == line or min(len(other.strip()), len(line)) >= 20 and one_edit(line, other.strip()))
+    found = lines.dropped_lines(spark, docs, least).count()
+    other = other.strip()
+    assert found == int(bool(other) and (other == line or min(len(other), len(line)) >= least and one_edit(line, other)))
 
 
 def test_lines(spark, docs, rows):
@@ -326,7 +327,7 @@ def test_lines(spark, docs, rows):
     first, want = {}, defaultdict(list)
     for at, k, i, line, doc_id, text in places:
         if line:
-            near = [p for x, p in first.items() if x == line or min(len(x), len(line)) >= 20 and one_edit(x, line)]
+            near = [p for x, p in first.items() if x == line or one_edit(x, line)]
             if near and min(near) < (at, k, i):
                 want[doc_id, text].append(i)
             first.setdefault(line, (at, k, i))
