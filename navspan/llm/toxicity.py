@@ -29,6 +29,8 @@ THRESHOLD = 0.3
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), 39, *range(128, 256)]] = True
 VALUES = np.where(LETTERS, FOLDED, U(0))
+#: Bytes of text that a step of scoring holds, unless one text is longer.
+STEP_BYTES = 1 << 20
 ENDS = np.zeros(256, bool)
 ENDS[[0x0A, 0x21, 0x2E, 0x3F]] = True
 
@@ -110,7 +112,8 @@ def learned(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, rounds: int
 def trained(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Broadcast:
     """The model, from those labelled rows of docs whose crc32(doc_id as text) mod 4 is not 2; at most sum(sample).
 
-    Of several labels of a doc_id the highest counts. Texts that repeat count as often as they stand there.
+    Of several labels of a doc_id the highest counts; of several texts of one, the one with the smallest hash is learned
+    from, so a doc_id that stands for many rows adds one text to the sample.
     """
     known = labels.where("toxic is not null and doc_id is not null and crc32(cast(doc_id as string)) % 4 <> 2")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -122,6 +125,7 @@ def trained(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: tup
         taken = part if taken is None else taken.union(part)
     # Broadcast: at most sum(sample) rows of three numbers.
     texts = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id")
+    texts = texts.groupBy("doc_id", "toxic", "weight").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
@@ -143,7 +147,7 @@ def scored(model: Broadcast, threshold: float = THRESHOLD) -> Column:
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             scores, found = [], []
-            for part in slices(pa.RecordBatch.from_arrays([batch], ["text"]), "text"):
+            for part in slices(pa.RecordBatch.from_arrays([batch], ["text"]), "text", STEP_BYTES):
                 data, bounds = text_bytes(part["text"])
                 total, bad = np.zeros(len(part)), [[] for _ in range(len(part))]
                 for first, last, text, sentence, slot in sentences(data, bounds):

@@ -1,6 +1,7 @@
 """Operators on documents against plain code, on small tables with every odd case."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -490,6 +491,72 @@ def test_toxicity(spark):
     assert sum(bool(found[i]["sentences"]) for i in range(0, 1200, 7)) > 140
 
 
+def plain_features(sentence):
+    """Words, stems and pairs, as strings."""
+    w = re.findall(r"[0-9a-z']+", sentence.lower())
+    return {*w, *(f"{a} {b}" for a, b in zip(w, w[1:], strict=False)), *(f"{x[:n]}|{n}" for x in w for n in toxicity.STEMS if len(x) > n)}
+
+
+def plain_model(texts, toxic, weight):
+    """Noisy-or over sentences by plain loops: weights by feature, the bias, and each text's sentences' features."""
+    bags = [[plain_features(s) for s in re.split(r"[.!?\n]", t) if re.search(r"[0-9A-Za-z']", s)] for t in texts]
+    share = sum(toxic) / len(toxic)
+    seen, bad = Counter(), Counter()
+    for bag, label in zip(bags, toxic, strict=True):
+        for f in set().union(*bag):
+            seen[f] += 1
+            bad[f] += label
+    told = sorted(f for f in seen if abs(bad[f] - share * seen[f]) > toxicity.LEAST * math.sqrt(share * (1 - share) * seen[f]))
+    weight = [x / sum(weight) for x in weight]
+    share = sum(x for x, label in zip(weight, toxic, strict=True) if label)
+    values = {**dict.fromkeys(told, 0.0), None: math.log(share * len(toxic) / sum(map(len, bags)))}
+    moment, spread = dict.fromkeys(values, 0.0), dict.fromkeys(values, 0.0)
+    for k in range(1, toxicity.ROUNDS + 1):
+        grad = {f: toxicity.DECAY * x / len(toxic) if f is not None else 0.0 for f, x in values.items()}
+        for bag, label, x in zip(bags, toxic, weight, strict=True):
+            chances = [1 / (1 + math.exp(-values[None] - sum(values.get(f, 0) for f in s))) for s in bag]
+            none = math.prod(1 - c for c in chances)
+            for s, c in zip(bag, chances, strict=True):
+                # Of -log(1 - none) or -log(none), by the sentence's sum of weights.
+                slope = x * c * (-none / (1 - none) if label else 1)
+                for f in [None, *s]:
+                    if f in grad:
+                        grad[f] += slope
+        for f, g in grad.items():
+            moment[f] = 0.9 * moment[f] + 0.1 * g
+            spread[f] = 0.99 * spread[f] + 0.01 * g * g
+            values[f] -= toxicity.RATE * moment[f] / (1 - 0.9**k) / (math.sqrt(spread[f] / (1 - 0.99**k)) + 1e-7)
+    return values, bags
+
+
+def test_noisy_or_against_plain_loops(spark):
+    """Training and scores, held against loops over strings: every text's score and every sentence at the threshold."""
+    rows, _ = toxic_corpus(200)
+    texts, toxic = [t.replace("ö", "oe") for _, t, *_ in rows], [i % 7 == 0 for i in range(len(rows))]
+    weight = [1.0 + i % 3 for i in range(len(rows))]
+    values, bags = plain_model(texts, toxic, weight)
+    model = toxicity.learned(pa.array(texts), np.array(toxic), np.array(weight))
+    assert (model[:-1] != 0).sum() == len(values) - 1 >= 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = docs.select("doc_id", toxicity.scored(spark.sparkContext.broadcast(model)).alias("s")).select("doc_id", "s.*").collect()
+    for r in found:
+        chances = [1 / (1 + math.exp(-values[None] - sum(values.get(f, 0) for f in s))) for s in bags[r["doc_id"]]]
+        assert r["score"] == pytest.approx(1 - math.prod(1 - c for c in chances), abs=1e-6)
+        assert [s["score"] for s in r["sentences"]] == pytest.approx([c for c in chances if c >= toxicity.THRESHOLD], abs=1e-6)
+    assert sum(bool(r["sentences"]) for r in found) >= 20
+
+
+def test_one_text_of_a_doc_id_is_learned(spark):
+    """A doc_id with many texts adds one of them to the sample, whatever their order."""
+    taken = []
+    rows = [(8, f"zorg text {i}.") for i in range(300)] + [(i, "abc.") for i in range(20) if i != 8]
+    labels = spark.createDataFrame([(i, 1, int(i == 8)) for i in range(20)], "doc_id long, quality int, toxic int")
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string")
+        taken.append(toxicity.trained(spark, docs, labels).value.tobytes())
+    assert taken[0] == taken[1]
+
+
 def test_held_out_labels_are_not_learned(spark):
     """Labels of held-out rows only: nothing to learn from."""
     rows = [(i, "zorg all day.", "en", "s", 0) for i in range(50)]
