@@ -25,6 +25,8 @@ from navspan.llm.words import FOLDED, IS_WORD, SPACES, bounds_in, hashes_between
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 16 * 2048
 BUFFER_TOKENS = 1 << 20
+#: Bytes of text that a step of tokenizing holds, unless one text is longer.
+STEP_BYTES = 1 << 20
 #: Pieces of text whose ids a Python worker remembers (some 30 bytes each); beyond that it starts anew.
 MEMORY = 2_000_000
 #: Kinds of bytes: white space, Latin letters, points and commas, others. Letters with accents are two bytes, the
@@ -267,7 +269,7 @@ def pack(
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", STEP_BYTES):
                 ids, bounds = words.texts(*text_bytes(part["text"]))
                 for doc_id, a, b in zip(part["doc_id"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
                     held[key] = doc_id, np.append(ids[a:b], np.int32(end_id))
