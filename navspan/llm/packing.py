@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from navspan.llm.shared import slices, text_bytes
+from navspan.llm.shared import frugal, slices, text_bytes
 from navspan.llm.words import FOLDED, IS_WORD, SPACES, bounds_in, hashes_between, mixed, sorted_distinct, steps, word_bounds
 
 TIERS = (256, 512, 1024, 2048)
@@ -280,7 +280,7 @@ def pack(
                     yield flush(False)
         yield flush(True)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(frugal(run), schema)
 
 
 _LOADED: dict[str, WordIds] = {}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from navspan.llm.components import components
-from navspan.llm.shared import runs, slices, text_bytes, written
+from navspan.llm.shared import frugal, runs, slices, text_bytes, written
 from navspan.llm.words import U, mixed, shingles, sorted_distinct, words
 
 SHINGLE, PERCENT = 5, 75
@@ -119,7 +119,7 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
                     seen.clear()
         yield often(held)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, bits binary, number long, count long")
+    return docs.select("doc_id", "text").mapInArrow(frugal(run), "doc_id long, n long, h1 long, h2 long, bits binary, number long, count long")
 
 
 def frequent_numbers(rows: DataFrame) -> np.ndarray:
@@ -146,7 +146,7 @@ def heads(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) -> Dat
                 for at in range(0, len(numbers), 1 << 18):
                     yield pa.RecordBatch.from_arrays([pa.array(numbers[at : at + (1 << 18)]), ids[at : at + (1 << 18)]], schema=fields)
 
-    return docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(run, "number long, doc_id long")
+    return docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(frugal(run), "number long, doc_id long")
 
 
 def candidate_map(ids: DataFrame) -> np.ndarray:
@@ -177,7 +177,7 @@ def bounded(pairs: DataFrame, profile: DataFrame, percent: int) -> DataFrame:
             yield batch.filter(pa.array(may_link(batch["n_a"].to_numpy(), batch["n_b"].to_numpy(), differ, percent))).select(["a", "b"])
 
     near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return pairs.where(near).mapInArrow(run, "a long, b long").distinct()
+    return pairs.where(near).mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -194,7 +194,7 @@ def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int,
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(found, pa.large_binary())], schema=fields).cast(pa.schema([("id", pa.int64()), ("numbers", pa.binary())]))
 
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS)).alias("slot")
-    sets = docs.where("doc_id is not null").select("doc_id", "text", slot).mapInArrow(sets, "id long, numbers binary")
+    sets = docs.where("doc_id is not null").select("doc_id", "text", slot).mapInArrow(frugal(sets), "id long, numbers binary")
     sets = written(spark, sets, "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int,
 
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("numbers").alias("x")), "a")
     joined = joined.join(sets.select(F.col("id").alias("b"), F.col("numbers").alias("y")), "b")
-    return joined.mapInArrow(run, "a long, b long").distinct()
+    return joined.mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def nearest(p: np.ndarray, distance: np.ndarray, most: int) -> np.ndarray:
@@ -262,7 +262,7 @@ def tile_pairs(spark: SparkSession, shared: DataFrame, profile: DataFrame, root:
             p, q = ids[p], ids[q]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
 
-    return rows.mapInArrow(compare, "a long, b long").distinct()
+    return rows.mapInArrow(frugal(compare), "a long, b long").distinct()
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspan.llm.shared import slices, text_bytes
+from navspan.llm.shared import frugal, slices, text_bytes
 from navspan.llm.words import BASE, FOLDED, ROLL, U, bounds_in, hashes_between, mixed, powers, sorted_distinct, steps, word_bounds
 
 SLOTS = 1 << 18
@@ -162,7 +162,7 @@ def scored(model: Broadcast, threshold: float = THRESHOLD) -> Column:
                 found += bad
             yield pa.StructArray.from_arrays([pa.array(np.concatenate(scores) if scores else []), pa.array(found, pa.list_(one))], ["score", "sentences"])
 
-    return F.arrow_udf(score, "score double, sentences array<struct<start:long,end:long,score:double>>")("text")
+    return F.arrow_udf(frugal(score), "score double, sentences array<struct<start:long,end:long,score:double>>")("text")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: tuple[int, int] = SAMPLE) -> DataFrame:
