@@ -3,13 +3,16 @@
 A page is read into blocks of text, each with what its markup says: inside the article, boilerplate, or neither. What
 the markup leaves open is boilerplate where long runs of tokens cover it that repeat across distinct pages of the host,
 and main text where it is unique. Inside an article the markup decides alone: its text stays, repeated or not, but for
-menus, forms, adverts, comments and the like. Where it decides on all pages, nothing is shuffled.
-
-All pages of hosts with an open page are dealt by host and sorted, and read as runs of at most RUN pages of one host, so
-a task holds one run at a time; a host with more than a thousandth of all pages is dealt over several partitions. The
-token streams of a run, joined, are sorted into a suffix array by their first tokens; neighbours that agree are one run
-of tokens, which goes on with a few of the pages that it is on. On how many pages of the host it is, is an aggregate by
-host and run of tokens, which any number of tasks share. Open pages are then joined with the repeated ones by their hash.
+menus, forms, adverts, comments and the like. Every page goes this way: repeats have a say on each block outside an
+article, also on those of a main part around one.
+
+All pages are dealt by host and sorted, and read as runs of at most RUN pages of one host, so a task holds one run at a
+time; a host with more than a thousandth of all pages is dealt over several partitions. The token streams of a run,
+joined, are sorted into a suffix array by their first tokens; neighbours that agree are one run of tokens, which goes on
+with a few of the pages that it is on. On how many pages of the host it is, is an aggregate by host and run of tokens,
+which any number of tasks share. Only runs that touch an open block of some page go on; tasks are told of these by a bit
+map of fixed size, and where it says yes by mistake, more is counted and nothing changes. The open blocks' runs are then
+joined with the repeated ones by their hash.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspan.llm.shared import slices, written
+from navspan.llm.collocations import MAP_BITS, in_map, phrase_map
+from navspan.llm.shared import frugal, slices, written
 from navspan.llm.words import U, mixed, words
 
 #: Pages of a run; tokens that a repeated run has at least; pages that it is on; share of a block that it covers.
@@ -236,19 +240,28 @@ def run_hashes(tokens: np.ndarray, places: np.ndarray, length: int = TOKENS) ->
 
 def main_text(blocks: list[Block], repeated: list[float]) -> str:
     """The blocks of the article, else of another main part, else those that are neither marked nor repeated. Where most of
-    a main part's text is around its articles, they are parts of it."""
-    kept = [(b, share) for b, share in zip(blocks, repeated, strict=True) if not b.dropped]
-    best = max((b.inside for b, _ in kept), default=0)
-    if best < 2:
-        kept = [(b, share) for b, share in kept if share < COVERED]
-    sizes = [sum(len(b.text) for b, _ in kept if b.inside == k) for k in range(3)]
+    a main part's text is around its articles, they are parts of it; what repeats around them is not."""
+    best = max((b.inside for b in blocks if not b.dropped), default=0)
+    kept = [b for b, share in zip(blocks, repeated, strict=True) if not b.dropped and not (is_open(b) and share >= COVERED)]
+    sizes = [sum(len(b.text) for b in kept if b.inside == k) for k in range(3)]
     least = 1 if best == 2 and sizes[1] > sizes[2] else best
-    return "\n".join(b.text for b, _ in kept if b.inside >= least)
+    return "\n".join(b.text for b in kept if b.inside >= least)
+
+
+def is_open(block: Block) -> bool:
+    """Whether repeats have a say on a block."""
+    return not block.dropped and block.inside < 2
 
 
-def is_open(blocks: list[Block]) -> bool:
-    """Whether repeats have a say in a page's main text."""
-    return max((b.inside for b in blocks if not b.dropped), default=2) < 2
+def open_places(blocks: list[Block], streams: list[np.ndarray], length: int = TOKENS) -> np.ndarray:
+    """Where the runs of `length` tokens start that touch an open block."""
+    ends = np.cumsum([0, *map(len, streams)])
+    reach = np.zeros(int(ends[-1]) + 1, np.int64)
+    for block, a, b in zip(blocks, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        if is_open(block) and b > a:
+            reach[max(0, a - length + 1)] += 1
+            reach[b] -= 1
+    return np.flatnonzero(np.cumsum(reach)[: max(0, int(ends[-1]) - length + 1)] > 0)
 
 
 def token_numbers(text: str, seen: dict[str, int]) -> np.ndarray:
@@ -262,28 +275,36 @@ def token_hashes(blocks: list[Block]) -> list[np.ndarray]:
     return [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def decided(pages: DataFrame) -> DataFrame:
-    """pages with a number of their own and a host: text, or null where repeats have a say."""
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("html", pa.string()), ("text", pa.string())])
+def open_runs(rows: DataFrame) -> DataFrame:
+    """(first, second, host, hash, place) of the runs of TOKENS tokens that touch an open block of the pages (first, second,
+    host, html); the first two numbers stand for a page's host and html."""
+    schema = pa.schema([("first", pa.int64()), ("second", pa.int64()), ("host", pa.string()), ("hash", pa.int64()), ("place", pa.int32())])
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                htmls, texts = [], []
-                for page in part["html"].to_pylist():
+                for first, second, host, page in zip(*[part[c].to_pylist() for c in ("first", "second", "host", "html")], strict=True):
                     blocks = Reader().read(page or "")
-                    left = is_open(blocks)
-                    htmls.append(page if left else None)
-                    texts.append(None if left else main_text(blocks, [0.0] * len(blocks)))
-                yield pa.RecordBatch.from_arrays([part["page_id"], part["url"], part["host"], pa.array(htmls, pa.string()), pa.array(texts, pa.string())], schema=schema)
-
-    host = F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")).alias("host")
-    found = pages.select("page_id", "url", host, "html").mapInArrow(read, "page_id long, url string, host string, html string, text string")
-    return found.select(F.monotonically_increasing_id().alias("row"), "*")
-
-
-def repeated_runs(rows: DataFrame, run: int) -> DataFrame:
-    """(host, hash) of the runs of TOKENS tokens that stand on PAGES distinct pages of a host. rows: host, html, draw."""
+                    if not any(map(is_open, blocks)):
+                        continue
+                    streams = token_hashes(blocks)
+                    places = open_places(blocks, streams)
+                    if not len(places):
+                        continue
+                    hashes = run_hashes(np.concatenate(streams), places)
+                    for i in range(0, len(places), STEP):
+                        n = len(places[i : i + STEP])
+                        columns = [pa.array([x] * n, t) for x, t in ((first, pa.int64()), (second, pa.int64()), (host, pa.string()))]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array(hashes[i : i + STEP]), pa.array(places[i : i + STEP], pa.int32())], schema=schema)
+
+    return rows.select("first", "second", "host", "html").mapInArrow(frugal(run), "first long, second long, host string, hash long, place int")
+
+
+def repeated_runs(rows: DataFrame, run: int, wanted: np.ndarray) -> DataFrame:
+    """(host, hash) of the runs of TOKENS tokens that stand on PAGES distinct pages of a host, of those in the bit map
+    `wanted`. rows: host, html, draw."""
+    # Broadcast: the bit map, of fixed size.
+    told = rows.sparkSession.sparkContext.broadcast(wanted)
     counts = rows.groupBy("host").count()
     total = counts.agg(F.sum("count")).first()[0] or 0
     # Broadcast: no more than HOT_HOSTS hosts can have more than this share of all pages.
@@ -308,6 +329,8 @@ def repeated_runs(rows: DataFrame, run: int) -> DataFrame:
         ranks, own = ranks[keep], own[keep]
         distinct, at = np.unique(rank, return_index=True)
         hashes = run_hashes(np.concatenate([b for page in streams for b in page]), order[at])[np.searchsorted(distinct, ranks)]
+        asked = in_map(told.value, hashes & (MAP_BITS - 1))
+        hashes, own = hashes[asked], own[asked]
         for i in range(0, len(hashes), STEP):
             part = hashes[i : i + STEP]
             yield pa.RecordBatch.from_arrays([pa.array([host] * len(part), pa.string()), pa.array(part), pa.array(own[i : i + STEP])], schema=schema)
@@ -326,51 +349,41 @@ def repeated_runs(rows: DataFrame, run: int) -> DataFrame:
         if held:
             yield from counted(held, now[0], whole)
 
-    found = rows.select("host", "part", "parts", "html").mapInArrow(read, "host string, hash long, page long")
+    found = rows.select("host", "part", "parts", "html").mapInArrow(frugal(read), "host string, hash long, page long")
     return found.distinct().groupBy("host", "hash").count().where(F.col("count") >= PAGES).select("host", "hash")
 
 
-def settled(spark: SparkSession, rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(row, settled) of the open pages (row, host, html): their main text, given the repeated runs of tokens."""
-    def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, host, page in zip(*[batch[c].to_pylist() for c in ("row", "host", "html")], strict=True):
-                tokens = np.concatenate(token_hashes(Reader().read(page or "")))
-                places = np.arange(max(0, len(tokens) - TOKENS + 1))
-                hashes = run_hashes(tokens, places)
-                for i in range(0, len(places), STEP):
-                    part = places[i : i + STEP]
-                    yield pa.RecordBatch.from_arrays([pa.array([row] * len(part), pa.int64()), pa.array([host] * len(part), pa.string()), pa.array(hashes[i : i + STEP]), pa.array(part, pa.int32())], ["row", "host", "hash", "place"])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, page, places in zip(batch["row"].to_pylist(), batch["html"].to_pylist(), batch["places"], strict=True):
-                blocks = Reader().read(page or "")
-                at = np.asarray(places.values, np.int64) if places.is_valid else np.zeros(0, np.int64)
-                text = main_text(blocks, shares_of([token_hashes(blocks)], at)[0])
-                yield pa.RecordBatch.from_arrays([pa.array([row], pa.int64()), pa.array([text], pa.string())], ["row", "settled"])
-
-    found = rows.select("row", "host", "html").mapInArrow(runs_of, "row long, host string, hash long, place int")
-    found = found.join(repeated, ["host", "hash"]).groupBy("row").agg(F.collect_list("place").alias("places"))
-    return rows.select("row", "html").join(found, "row", "left").mapInArrow(cut, "row long, settled string")
-
-
 def extract(spark: SparkSession, pages: DataFrame, run: int = RUN) -> DataFrame:
     """Of (page_id, url, html): page_id, url, text (main text, blocks joined by a line feed) and n_chars.
 
     One row per row of pages; repeated rows, ties and extra columns change nothing. A null or empty html has no text;
     a null url counts as a host of its own; an empty table gives no rows. Character references are decoded, white space
     inside a block is one space, and nothing is cut. Repeats are counted over all pages of a host; `run`, the pages that
-    a task holds at a time, has no part in what is found. Runs of tokens are told apart by 64-bit hashes.
+    a task holds at a time, has no part in what is found. Runs of tokens are told apart by 64-bit hashes, pages by 128 bits.
     """
-    first = written(spark, decided(pages), "pages")
-    open_pages = first.where("text is null")
-    if open_pages.isEmpty():
-        return first.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
     host = F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
-    rows = pages.select(host.alias("host"), "html", F.xxhash64("page_id", "url").alias("draw"))
-    rows = rows.join(open_pages.select("host").distinct(), "host", "left_semi")
-    repeated = written(spark, repeated_runs(rows, run), "repeated")
-    texts = written(spark, settled(spark, open_pages, repeated), "settled")
-    found = first.drop("html").join(texts, "row", "left").withColumn("text", F.coalesce("text", "settled"))
+    page = F.coalesce("html", F.lit(""))
+    rows = pages.select("page_id", "url", "html", host.alias("host"), F.xxhash64("page_id", "url").alias("draw"))
+    rows = rows.select("*", F.xxhash64("host", page).alias("first"), F.xxhash64(page, "host", F.lit(1)).alias("second"))
+    asked = written(spark, open_runs(rows), "open")
+    wanted = phrase_map(asked.select(F.col("hash").alias("key")))
+    repeated = written(spark, repeated_runs(rows.select("host", "html", "draw"), run, wanted), "repeated")
+    # A page's places are no more than its tokens, however many copies it has.
+    places = asked.join(repeated, ["host", "hash"]).groupBy("first", "second").agg(F.collect_set("place").alias("places"))
+    places = written(spark, places, "places")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "html"):
+                texts = []
+                for html_, at in zip(part["html"].to_pylist(), part["places"], strict=True):
+                    blocks = Reader().read(html_ or "")
+                    shares = [0.0] * len(blocks)
+                    if at.is_valid:
+                        shares = shares_of([token_hashes(blocks)], np.asarray(at.values, np.int64))[0]
+                    texts.append(main_text(blocks, shares))
+                yield pa.RecordBatch.from_arrays([part["page_id"], part["url"], pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    found = rows.select("page_id", "url", "html", "first", "second").join(places, ["first", "second"], "left")
+    found = found.select("page_id", "url", "html", "places").mapInArrow(frugal(cut), "page_id long, url string, text string")
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

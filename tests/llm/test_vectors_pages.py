@@ -250,3 +250,27 @@ def test_repeats_and_cover_against_all_runs():
     for length, on_pages in ((8, 3), (4, 2), (1, 3)):
         got, want = pages.covered(streams, length, on_pages), brute_shares(streams, length, on_pages)
         assert all(x == pytest.approx(y) for x, y in zip(got, want, strict=True))
+
+
+def test_repeats_decide_beside_articles(spark):
+    """On pages with an article, what repeats in the main part around it goes, and what is unique there stays."""
+    draw = random.Random(9)
+    say = lambda n: " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(n))
+    teaser, rows, want = say(30), [], {}
+    for i in range(40):
+        story, lead, twice = say(12), say(20), say(10)
+        around = f"<p>{teaser}</p>" if i < 3 else f"<p>{lead}</p>"
+        rows.append((i, f"http://a.example/{i}", f"<main>{around}<article><p>{story}</p><p>{twice}</p></article></main>"))
+        want[i] = f"{story}\n{twice}" if i < 3 or len(lead) <= len(story) + len(twice) else f"{lead}\n{story}\n{twice}"
+    for i in range(2):
+        rows.append((100 + i, f"http://b{i}.example/", f"<main><p>{teaser}</p><article><p>a story</p></article></main>"))
+        want[100 + i] = f"{teaser}\na story"
+    found = pages.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), run=8).collect()
+    assert {r["page_id"]: r["text"] for r in found} == want
+
+
+def test_open_places():
+    blocks = [pages.Block("a", 2, False), pages.Block("b", 0, False), pages.Block("c", 0, True)]
+    streams = [np.arange(20), np.arange(2), np.arange(20)]
+    assert pages.open_places(blocks, streams).tolist() == list(range(13, 22))
+    assert len(pages.open_places(blocks[:1], streams[:1])) == 0
