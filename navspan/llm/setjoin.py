@@ -8,8 +8,9 @@ tile, sizes and the bits in which two signatures differ bound the overlap from a
 Each document is first held against one other, of the smallest doc_ids of its tiles the one that it shares most tiles
 with. Documents that this has tied into one component need no comparison with each other, so the groups of copies,
 however large, cost about as many comparisons as they have members. Tiles with the same documents are one from then on.
-They are cut into blocks in order of size, and pairs of blocks within the size band are compared in separate tasks:
-first each document with those of the nearest signatures, then all that are still in different components.
+They are cut into blocks in order of size, and pairs of blocks within the size band are compared in separate tasks, each
+pair of documents in the first tile that both have. The members that have a candidate left there get their sets, and the
+same pair of blocks then intersects them and returns links that tie what they tie, never more than it has members.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ SHINGLE, PERCENT = 5, 75
 #: Bits of a signature: a power of two, from three quarters of the set's size on, within these bounds. Of sets without
 #: common numbers, three bits in eight differ or more; of linked ones, numbers for two in seven at most.
 LEAST_BITS, MOST_BITS = 64, 1 << 16
-BLOCK = 256
-NEAREST = 2
+#: A block has at most so many documents, and, unless one alone has more, about so many numbers.
+BLOCK, BLOCK_NUMBERS = 256, 1 << 20
+#: Of a document's tiles, the first ones that it carries: a pair that shares one of them is compared in the first of these only.
+FIRST_TILES = 16
 #: A number counts as frequent from so many documents on, when so many of one run of texts have it.
 FREQUENT, FREQUENT_HERE = 16, 3
 #: Frequent numbers that tasks are told of: at most 2 MB. Of more, the most frequent.
@@ -180,32 +183,46 @@ def bounded(pairs: DataFrame, profile: DataFrame, percent: int) -> DataFrame:
     return pairs.where(near).mapInArrow(frugal(run), "a long, b long").distinct()
 
 
-def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs whose sets' exact intersection is large enough."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def sets_of(spark: SparkSession, docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """The sets (id, m, numbers) of the documents with these ids, and of few others; m is the set's size."""
     wanted = spark.sparkContext.broadcast(candidate_map(ids))
-    fields = pa.schema([("id", pa.int64()), ("numbers", pa.large_binary())])
+    fields = pa.schema([("id", pa.int64()), ("m", pa.int64()), ("numbers", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(wanted.value[batch["slot"].to_numpy()]))
             for part in slices(batch, "text"):
-                found = [x.tobytes() for x in text_sets(part, size)]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(found, pa.large_binary())], schema=fields).cast(pa.schema([("id", pa.int64()), ("numbers", pa.binary())]))
+                found = [(len(x), x.tobytes()) for x in text_sets(part, size)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([m for m, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())], schema=fields)
 
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS)).alias("slot")
-    sets = docs.where("doc_id is not null").select("doc_id", "text", slot).mapInArrow(frugal(sets), "id long, numbers binary")
-    sets = written(spark, sets, "sets")
+    sets = docs.where("doc_id is not null").select("doc_id", "text", slot).mapInArrow(frugal(sets), "id long, m long, numbers binary")
+    return written(spark, sets, "sets")
+
+
+def linked(x: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether the exact intersection of a sorted set with each of the others is large enough."""
+    if not len(x) or not others:
+        return np.zeros(len(others), bool)
+    sizes = np.array([len(y) for y in others], np.int64)
+    every = np.concatenate(others)
+    hits = np.append(0, np.cumsum(x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every))
+    ends = np.cumsum(sizes)
+    common = hits[ends] - hits[ends - sizes]
+    return (common > 0) & (100 * common >= percent * (len(x) + sizes - common))
+
+
+def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those pairs whose sets' exact intersection is large enough."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = sets_of(spark, docs, ids, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch["x"], batch["y"], strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(y, x), max(0, len(y) - 1))
-                common = int((y[at] == x).sum()) if len(y) else 0
-                keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
+                x, y = sorted((np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)), key=len, reverse=True)
+                keep.append(bool(linked(x, [y], percent)[0]))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("numbers").alias("x")), "a")
@@ -213,56 +230,89 @@ def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int,
     return joined.mapInArrow(frugal(run), "a long, b long").distinct()
 
 
-def nearest(p: np.ndarray, distance: np.ndarray, most: int) -> np.ndarray:
-    """Which pairs are among the `most` ones of their p with the least distance."""
-    order = np.lexsort((distance, p))
-    first = np.append(True, p[order][1:] != p[order][:-1]) if len(p) else np.zeros(0, bool)
-    place = np.arange(len(p)) - np.maximum.accumulate(np.where(first, np.arange(len(p)), 0))
-    out = np.zeros(len(p), bool)
-    out[order[place < most]] = True
-    return out
+def apart(p: np.ndarray, q: np.ndarray, number: int, first: list[list[int]]) -> np.ndarray:
+    """Which pairs share no earlier tile than this one among the first ones that each carries."""
+    before = [{t for t in tiles if t < number} for tiles in first]
+    return np.array([before[i].isdisjoint(before[j]) for i, j in zip(p.tolist(), q.tolist(), strict=True)], bool)
 
 
-def tile_pairs(spark: SparkSession, shared: DataFrame, profile: DataFrame, root: DataFrame, percent: int, most: int = 0) -> DataFrame:
-    """Pairs (a, b) of tiles whose documents are not of one component yet, after sizes and signatures.
+def candidates(tile: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows of a pair of blocks that are to be compared here and that sizes and signatures do not rule out."""
+    block, ids, n, root = (tile[c].to_numpy() for c in ("block", "id", "n", "root"))
+    x, y = np.flatnonzero(block == tile["i"][0].as_py()), np.flatnonzero(block == tile["j"][0].as_py())
+    p, q = np.nonzero((root[x][:, None] != root[y]) & may_link(n[x][:, None], n[y], 0, percent) & ((ids[x][:, None] < ids[y]) | (block[x][:, None] != block[y])))
+    p, q = x[p], y[q]
+    bits = tile["bits"].to_pylist()
+    fit = may_link(n[p], n[q], differing([bits[k] for k in p], [bits[k] for k in q]), percent)
+    p, q = p[fit], q[fit]
+    fit = apart(p, q, tile["number"][0].as_py(), tile["first"].to_pylist())
+    return p[fit], q[fit]
 
-    With `most`, of each document in a pair of blocks only those with the `most` nearest signatures.
-    """
+
+def tied(p: np.ndarray, q: np.ndarray, root: list[int], sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """Of pairs of rows those that are linked, without the ones whose components are already tied here. p is sorted."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in above:
+            above[x] = x = above.get(above[x], above[x])
+        return x
+
+    cuts = np.flatnonzero(np.diff(p)) + 1
+    for i, others in zip(p[np.append(0, cuts)].tolist() if len(p) else [], np.split(q, cuts), strict=len(p) > 0):
+        own = top(root[i])
+        others = [j for j in others.tolist() if top(root[j]) != own]
+        for j in (j for j, found in zip(others, linked(sets[i], [sets[j] for j in others], percent), strict=True) if found):
+            if (a := top(root[i])) != (b := top(root[j])):
+                above[max(a, b)] = min(a, b)
+                yield i, j
+
+
+def tile_links(spark: SparkSession, docs: DataFrame, shared: DataFrame, profile: DataFrame, root: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) that tie all that is linked within tiles and not of one component yet; a pair of blocks gives fewer
+    than it has members."""
     members = shared.join(root.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     # Of tiles with the same documents, one.
     tiles = members.groupBy("number").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who"), F.count("*").alias("size"))
     tiles = tiles.where("low < high").groupBy("who", "size").agg(F.min("number").alias("number")).select("number")
-    members = members.join(tiles, "number").join(profile.select("id", "n", "key"), "id")
+    members = members.join(tiles, "number")
+    members = members.withColumn("first", F.slice(F.sort_array(F.collect_list("number").over(Window.partitionBy("id"))), 1, FIRST_TILES))
+    members = members.join(profile.select("id", "n", "key"), "id")
     order = Window.partitionBy("number").orderBy("n", "id", "key")
-    members = members.withColumn("block", ((F.row_number().over(order) - 1) / BLOCK).cast("int"))
+    place, numbers = F.row_number().over(order) - 1, F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    members = members.withColumn("block", F.floor(place / BLOCK + F.coalesce(numbers, F.lit(0)) / BLOCK_NUMBERS).cast("int"))
     members = written(spark, members, "members")
     blocks = members.groupBy("number", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     left, right = blocks.alias("l"), blocks.alias("r")
     near = (F.col("l.number") == F.col("r.number")) & (F.col("l.block") <= F.col("r.block")) & (F.col("l.high") * 100 >= F.col("r.low") * percent)
     tiles = left.join(right, near).select(F.col("l.number").alias("number"), F.col("l.block").alias("i"), F.col("r.block").alias("j"))
-    columns = ["number", "i", "j", "block", "id", "n", "key", "root"]
     first = members.join(tiles, (members["number"] == tiles["number"]) & (members["block"] == tiles["i"])).drop(tiles["number"])
     second = members.join(tiles.where("i < j"), (members["number"] == tiles["number"]) & (members["block"] == tiles["j"])).drop(tiles["number"])
-    rows = first.select(*columns).unionByName(second.select(*columns)).join(profile, ["id", "n", "key"])
+    columns = ["number", "i", "j", "block", "id", "n", "root", "first", "bits"]
+    rows = first.unionByName(second).join(profile, ["id", "n", "key"]).select(*columns)
     rows = rows.repartition("number", "i", "j").sortWithinPartitions("number", "i", "j", "block")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in runs(batches, ["number", "i", "j"]):
-            block, ids, n, root = (tile[c].to_numpy() for c in ("block", "id", "n", "root"))
-            bits = tile["bits"].to_pylist()
-            x, y = np.flatnonzero(block == tile["i"][0].as_py()), np.flatnonzero(block == tile["j"][0].as_py())
-            p, q = np.nonzero((root[x][:, None] != root[y]) & may_link(n[x][:, None], n[y], 0, percent) & ((ids[x][:, None] < ids[y]) | (block[x][:, None] != block[y])))
-            p, q = x[p], y[q]
-            differ = differing([bits[k] for k in p], [bits[k] for k in q])
-            fit = may_link(n[p], n[q], differ, percent)
-            p, q, distance = p[fit], q[fit], (differ / (n[p] + n[q]))[fit]
-            if most:
-                near = nearest(p, distance, most) | nearest(q, distance, most)
-                p, q = p[near], q[near]
-            p, q = ids[p], ids[q]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
-
-    return rows.mapInArrow(frugal(compare), "a long, b long").distinct()
+            left = np.unique(np.concatenate(candidates(tile, percent)))
+            if len(left):
+                yield from tile.take(pa.array(left)).combine_chunks().to_batches()
+
+    left = written(spark, rows.mapInArrow(frugal(compare), rows.schema), "left")
+    sets = sets_of(spark, docs, left.select("id").distinct(), size)
+    # Texts of one size of a doc_id meet each other's rows too, which finds no link that is none.
+    full = left.join(sets.withColumnsRenamed({"id": "of"}), (F.col("id") == F.col("of")) & (F.col("n") == F.col("m"))).select(*columns, "numbers")
+    full = full.repartition("number", "i", "j").sortWithinPartitions("number", "i", "j", "block")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in runs(batches, ["number", "i", "j"]):
+            p, q = candidates(tile, percent)
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in tile["numbers"]]
+            ids = tile["id"].to_pylist()
+            found = [(ids[i], ids[j]) for i, j in tied(p, q, tile["root"].to_pylist(), sets, percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([f(x) for x in found], pa.int64()) for f in (min, max)], ["a", "b"])
+
+    return full.mapInArrow(frugal(verify), "a long, b long")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -287,6 +337,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, perc
     several = written(spark, several.select("id", "n", F.lit(True).alias("several")), "several")
     profile = profile.distinct().join(several, ["id", "n"], "left")
     profile = profile.select("id", "n", "bits", F.when(F.col("several"), F.xxhash64("bits")).otherwise(F.lit(0)).alias("key"))
+    profile = written(spark, profile, "profile")
 
     numbers = heads(docs, size, percent, frequent_numbers(found)).repartition("number")
     tile = Window.partitionBy("number")
@@ -302,19 +353,12 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, perc
     links = verified(spark, docs, pairs, size, percent).union(repeats.join(member.select("doc_id", F.col("class_id").alias("b")), "doc_id").select("a", "b"))
     links = written(spark, links, "links")
     root = components(spark, links)
-    tiles = shared.join(leads.select("number"), "number")
-    # First the nearest ones, which tie most of what is linked; then all that are still in different components.
-    for most in (NEAREST, 0):
-        more = tile_pairs(spark, tiles, profile, root, percent, most).join(pairs, ["a", "b"], "left_anti")
-        more = written(spark, more, "more")
-        if more.isEmpty():
-            break
-        found = written(spark, verified(spark, docs, more, size, percent), "links")
-        if not found.isEmpty():
-            links, pairs = links.union(found), pairs.union(more)
-            root = components(spark, links)
-    tied = member.groupBy("doc_id").agg(F.min("class_id").alias("class_id")).join(root.withColumnRenamed("node", "class_id"), "class_id", "left")
-    tied = tied.select(F.col("doc_id").alias("id"), "class_id", F.coalesce("root", "class_id").alias("component_id"))
-    return rows.join(tied, F.col("doc_id") == F.col("id"), "left").select(
+    more = tile_links(spark, docs, shared.join(leads.select("number"), "number"), profile, root, size, percent)
+    more = written(spark, more, "more")
+    if not more.isEmpty():
+        root = components(spark, links.union(more))
+    ties = member.groupBy("doc_id").agg(F.min("class_id").alias("class_id")).join(root.withColumnRenamed("node", "class_id"), "class_id", "left")
+    ties = ties.select(F.col("doc_id").alias("id"), "class_id", F.coalesce("root", "class_id").alias("component_id"))
+    return rows.join(ties, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class_id")).alias("class_id"),
         F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -18,7 +19,7 @@ from tokenizers import Tokenizer
 
 from navspan.llm import licenses, lines, mixing, naming, packing, personal, setjoin, toxicity
 from navspan.llm.queries import QUERIES
-from navspan.llm.shared import runs, slices, text_bytes
+from navspan.llm.shared import runs, slices, text_bytes, written
 from navspan.llm.words import shingles, sorted_distinct, words
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -292,6 +293,31 @@ def test_jaccard_texts_of_one_doc_id(spark):
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in found) == brute_components(rows, 5, 75)
 
 
+def test_jaccard_rows_grow_with_members(spark, monkeypatch):
+    """Near copies of a text that is not there itself: whatever pairs there are, no step hands on more rows than it has members."""
+    base, sizes = [f"w{j}" for j in range(60)], {}
+    rows = [(i, " ".join(f"x{i}" if j in (i % 60, (7 * i + 30) % 60) else w for j, w in enumerate(base)), "en", "s", 0) for i in range(1, 60)]
+
+    def counted(session, df, name):
+        out = written(session, df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(setjoin, "written", counted)
+    monkeypatch.setattr(setjoin, "BLOCK", 16)
+    found = setjoin.jaccard_join(spark, spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in found) == brute_components(rows, 5, 75)
+    assert max(sizes["more"]) < len(rows) and sizes["left"][0] <= sizes["members"][0]
+
+
+def test_ties_are_a_forest():
+    """Of the pairs of one component, as many as tie it; a pair is compared in the first tile that both rows carry."""
+    sets = [np.arange(k, k + 40, dtype=np.uint64) for k in (0, 1, 2, 3, 100)]
+    p, q = (np.array(x) for x in zip(*combinations(range(5), 2), strict=True))
+    assert list(setjoin.tied(p, q, [9, 9, 5, 3, 1], sets, 75)) == [(0, 2), (0, 3)]
+    assert setjoin.apart(np.array([0, 0, 1]), np.array([1, 2, 2]), 7, [[3, 7], [3, 7, 8], [5, 7]]).tolist() == [False, True, True]
+
+
 @given(st.lists(st.tuples(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=300), st.integers(0, 40)), min_size=1, max_size=5))
 @settings(max_examples=50, deadline=None)
 def test_signatures_bound_the_overlap(sets):
