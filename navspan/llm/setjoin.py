@@ -277,28 +277,34 @@ def tile_links(spark: SparkSession, docs: DataFrame, shared: DataFrame, profile:
     tiles = tiles.where("low < high").groupBy("who", "size").agg(F.min("number").alias("number")).select("number")
     members = members.join(tiles, "number")
     members = members.withColumn("first", F.slice(F.sort_array(F.collect_list("number").over(Window.partitionBy("id"))), 1, FIRST_TILES))
-    members = members.join(profile.select("id", "n", "key"), "id")
+    members = members.join(profile, "id")
     order = Window.partitionBy("number").orderBy("n", "id", "key")
     place, numbers = F.row_number().over(order) - 1, F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
     members = members.withColumn("block", F.floor(place / BLOCK + F.coalesce(numbers, F.lit(0)) / BLOCK_NUMBERS).cast("int"))
-    members = written(spark, members, "members")
-    blocks = members.groupBy("number", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    left, right = blocks.alias("l"), blocks.alias("r")
-    near = (F.col("l.number") == F.col("r.number")) & (F.col("l.block") <= F.col("r.block")) & (F.col("l.high") * 100 >= F.col("r.low") * percent)
-    tiles = left.join(right, near).select(F.col("l.number").alias("number"), F.col("l.block").alias("i"), F.col("r.block").alias("j"))
-    first = members.join(tiles, (members["number"] == tiles["number"]) & (members["block"] == tiles["i"])).drop(tiles["number"])
-    second = members.join(tiles.where("i < j"), (members["number"] == tiles["number"]) & (members["block"] == tiles["j"])).drop(tiles["number"])
-    columns = ["number", "i", "j", "block", "id", "n", "root", "first", "bits"]
-    rows = first.unionByName(second).join(profile, ["id", "n", "key"]).select(*columns)
-    rows = rows.repartition("number", "i", "j").sortWithinPartitions("number", "i", "j", "block")
+    members = members.withColumn("last", F.max("block").over(Window.partitionBy("number")))
+    columns = ["number", "i", "j", "block", "id", "n", "key", "root", "first", "bits", "last"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Members with a candidate; those of tiles of several blocks all pass."""
         for tile in runs(batches, ["number", "i", "j"]):
-            left = np.unique(np.concatenate(candidates(tile, percent)))
+            left = np.arange(len(tile)) if tile["last"][0].as_py() else np.unique(np.concatenate(candidates(tile, percent)))
             if len(left):
                 yield from tile.take(pa.array(left)).combine_chunks().to_batches()
 
-    left = written(spark, rows.mapInArrow(frugal(compare), rows.schema), "left")
+    # Tiles of one block are compared where they were ordered, without another exchange.
+    members = members.withColumns({"i": F.col("block"), "j": F.col("block")}).select(*columns).sortWithinPartitions("number", "block")
+    members = written(spark, members.mapInArrow(frugal(compare), members.schema), "members")
+    large = members.where("last > 0").drop("i", "j").withColumn("last", F.lit(0))
+    blocks = large.groupBy("number", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    left, right = blocks.alias("l"), blocks.alias("r")
+    near = (F.col("l.number") == F.col("r.number")) & (F.col("l.block") <= F.col("r.block")) & (F.col("l.high") * 100 >= F.col("r.low") * percent)
+    tiles = left.join(right, near).select(F.col("l.number").alias("number"), F.col("l.block").alias("i"), F.col("r.block").alias("j"))
+    first = large.join(tiles, (large["number"] == tiles["number"]) & (large["block"] == tiles["i"])).drop(tiles["number"])
+    second = large.join(tiles.where("i < j"), (large["number"] == tiles["number"]) & (large["block"] == tiles["j"])).drop(tiles["number"])
+    rows = first.select(*columns).unionByName(second.select(*columns))
+    rows = rows.repartition("number", "i", "j").sortWithinPartitions("number", "i", "j", "block")
+    rows = rows.mapInArrow(frugal(compare), rows.schema)
+    left = written(spark, members.where("last = 0").unionByName(rows), "left")
     sets = sets_of(spark, docs, left.select("id").distinct(), size)
     # Texts of one size of a doc_id meet each other's rows too, which finds no link that is none.
     full = left.join(sets.withColumnsRenamed({"id": "of"}), (F.col("id") == F.col("of")) & (F.col("n") == F.col("m"))).select(*columns, "numbers")
