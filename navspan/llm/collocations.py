@@ -11,6 +11,9 @@ Words and pairs come first, longer phrases after them: these are made of frequen
 bit map of fixed size. Where the map says yes by mistake, or is full, more is counted and nothing changes. So where
 shards are so many that a support of less than one remains to each, what they hand on is still bounded by what frequent
 pairs leave. A phrase is known by its words' 64-bit hashes.
+
+A shard hands on its phrases as sets, one for each language and block of the key space; the sets of a block meet in a task,
+which sums them. So rows grow with shards; the phrases in them are bounded by what a shard has.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from navspan.llm.shared import slices, text_bytes, written
+from navspan.llm.shared import runs, slices, text_bytes, written
 from navspan.llm.words import FOLDED, ROLL, STEP, U, bounds_in, hashes_between, mixed, steps, word_bounds
 
 SUPPORT, LONGEST, TOP, PERCENT, SCALE = 100, 5, 2000, 100, 1000
@@ -32,6 +35,10 @@ RUN_BYTES = 24 << 20
 TURNS = 4
 #: Languages of which tasks are told, at most.
 FEW = 10_000
+#: Parts of the key space in which the shards' phrases meet; a task holds one at a time.
+BLOCKS = 1024
+#: Phrases that a shard gathers before it hands them on.
+GATHERED = 1 << 22
 #: Bits of the map of phrases: 4 MB, whatever their number.
 MAP_BITS = 1 << 25
 ENDS = np.zeros(256, bool)
@@ -41,7 +48,8 @@ IS_WORD[[0x20, 0x09]] = False
 VALUES = np.where(IS_WORD, FOLDED, U(0))
 WORD = re.compile(rb"[^\x20\x09-\x0D.,;:!?]+")
 PHRASES = pa.schema([("lang", pa.string()), ("words", pa.binary()), ("count", pa.int64()), ("text", pa.string())])
-LOCAL = pa.schema([("lang", pa.string()), ("key", pa.int64()), ("over", pa.int64()), ("n", pa.int64()), ("hidden", pa.int64())])
+LOCAL = pa.schema([("lang", pa.string()), ("block", pa.int32()), ("keys", pa.binary()), ("overs", pa.binary()), ("n", pa.int64()), ("hidden", pa.int64())])
+COUNTED = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("block", pa.int32()), ("words", pa.binary()), ("counts", pa.binary()), ("texts", pa.string())])
 
 
 def lang_seed(lang: str) -> int:
@@ -77,6 +85,26 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order[starts], inverse, np.diff(starts, append=len(order))
 
 
+def sets(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which members of a group, told by numbers, stand together; and the bounds of the groups in it."""
+    order = np.argsort(groups, kind="stable")
+    groups = groups[order]
+    return order, np.append(np.flatnonzero(np.append(True, groups[1:] != groups[:-1])), len(groups))
+
+
+def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Runs of numbers, or of rows of numbers, as a binary column."""
+    values = np.ascontiguousarray(values)
+    width = values.nbytes // len(values)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * width).astype(np.int32)), pa.py_buffer(values)])
+
+
+def unpacked(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a binary column, one run after the other, and how many each run has."""
+    runs_of = column.to_pylist()
+    return np.frombuffer(b"".join(runs_of), kind), np.array([len(x) for x in runs_of], np.int64) // np.dtype(kind).itemsize
+
+
 class Shard:
     """The words of a run of texts: hash, language, bytes, and how many of the words before stand in the same piece."""
 
@@ -161,17 +189,35 @@ class Shard:
             if length == 1:
                 single, width = names, kept + 1
 
-    def rows(self, length: int, first: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        """lang, words, count and, of single words, text."""
+    def shown(self, found: list[tuple[int, np.ndarray, np.ndarray]], hidden: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Phrases (length, first words, counts) as sets of keys, with how much each count is over what can be hidden."""
+        code = np.concatenate([self.code[first] for _, first, _ in found])
+        keys = np.concatenate([self.keys(first, length) for length, first, _ in found])
+        over = (np.concatenate([counts for _, _, counts in found]) - hidden[code]).astype(np.int32)
+        found.clear()
+        order, bounds = sets(code * np.int64(BLOCKS) + (keys & (BLOCKS - 1)))
+        first = order[bounds[:-1]]
+        none = pa.nulls(len(first), pa.int64())
+        langs = pa.array(self.langs, pa.string()).take(pa.array(code[first]))
+        blocks = pa.array((keys[first] & (BLOCKS - 1)).astype(np.int32))
+        yield from slices(pa.RecordBatch.from_arrays([langs, blocks, packed(keys[order], bounds), packed(over[order], bounds), none, none], schema=LOCAL), "keys")
+
+    def counted(self, length: int, first: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Phrases as sets of their words' hashes, with counts and, of single words, texts."""
+        block = self.keys(first, length) & (BLOCKS - 1)
+        order, bounds = sets(self.code[first] * np.int64(BLOCKS) + block)
+        first, block, counts = first[order], block[order], counts[order].astype(np.int32)
         words = np.stack([self.hashes[first + k] for k in range(length)], axis=1)
-        keys = pa.Array.from_buffers(pa.binary(8 * length), len(first), [None, pa.py_buffer(words)]).cast(pa.binary())
-        texts = pa.nulls(len(first), pa.string())
+        at = bounds[:-1]
+        texts = pa.nulls(len(at), pa.string())
         if length == 1:
             ends = np.append(self.starts, len(self.data))[first + 1]
-            raw = [WORD.match(self.data[a:b].tobytes())[0] for a, b in zip(self.starts[first].tolist(), ends.tolist(), strict=True)]
-            texts = pa.array([x.lower().decode() for x in raw], pa.string())
-        langs = pa.array(self.langs, pa.string()).take(pa.array(self.code[first]))
-        return pa.RecordBatch.from_arrays([langs, keys, pa.array(counts.astype(np.int64)), texts], schema=PHRASES)
+            raw = [WORD.match(self.data[a:b].tobytes())[0].lower().decode() for a, b in zip(self.starts[first].tolist(), ends.tolist(), strict=True)]
+            # No word has a blank.
+            texts = pa.array([" ".join(raw[a:b]) for a, b in zip(at.tolist(), bounds[1:].tolist(), strict=True)], pa.string())
+        langs = pa.array(self.langs, pa.string()).take(pa.array(self.code[first[at]]))
+        sizes = pa.array(np.full(len(at), length, np.int32))
+        yield from slices(pa.RecordBatch.from_arrays([langs, sizes, pa.array(block[at].astype(np.int32)), packed(words, bounds), packed(counts, bounds), texts], schema=COUNTED), "words")
 
 
 def shards(batches: Iterator[pa.RecordBatch], run_bytes: int) -> Iterator[Shard]:
@@ -196,9 +242,9 @@ def shards(batches: Iterator[pa.RecordBatch], run_bytes: int) -> Iterator[Shard]
 
 
 def local_phrases(docs: DataFrame, lengths: tuple[int, int], support: int, told: np.ndarray | None, told_to: int, run_bytes: int) -> DataFrame:
-    """Of each shard's locally frequent phrases of these lengths (lang, key, over): a 64-bit hash, and how much their count
-    is over what the shard can hide of a phrase that it does not show. And of each language of a shard (lang, n, hidden):
-    its words, and how much of a phrase it can hide.
+    """Sets of each shard's locally frequent phrases of these lengths (lang, block, keys, overs): 64-bit hashes, and how much
+    their counts are over what the shard can hide of a phrase that it does not show. And of each language of a shard
+    (lang, n, hidden): its words, and how much of a phrase it can hide.
 
     docs: lang, text and total, the bytes of all texts of the language.
     """
@@ -208,34 +254,91 @@ def local_phrases(docs: DataFrame, lengths: tuple[int, int], support: int, told:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, run_bytes):
             hidden = shard.local_support(support) - 1
-            langs = pa.array(shard.langs, pa.string())
-            none = pa.nulls(len(hidden), pa.int64())
-            yield pa.RecordBatch.from_arrays([langs, none, none, pa.array(np.bincount(shard.code, minlength=len(hidden))), pa.array(hidden)], schema=LOCAL)
+            none = pa.nulls(len(hidden), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(shard.langs, pa.string()), none.cast(pa.int32()), none, none, pa.array(np.bincount(shard.code, minlength=len(hidden))), pa.array(hidden)], schema=LOCAL)
+            held: list[tuple[int, np.ndarray, np.ndarray]] = []
             for length, first, counts in shard.mined(lengths[1], support, shared.value, told_to):
                 if length >= lengths[0] and len(first):
-                    none = pa.nulls(len(first), pa.int64())
-                    code = shard.code[first]
-                    yield pa.RecordBatch.from_arrays([langs.take(pa.array(code)), pa.array(shard.keys(first, length)), pa.array(counts - hidden[code]), none, none], schema=LOCAL)
+                    held.append((length, first, counts))
+                    if sum(len(f) for _, f, _ in held) >= GATHERED:
+                        yield from shard.shown(held, hidden)
+            if held:
+                yield from shard.shown(held, hidden)
 
-    return docs.select("lang", "text", "total").mapInArrow(run, "lang string, key long, over long, n long, hidden long")
+    return docs.select("lang", "text", "total").mapInArrow(run, "lang string, block int, keys binary, overs binary, n long, hidden long")
+
+
+def possible(shown: DataFrame, support: int) -> DataFrame:
+    """The keys of phrases that may have the support, by all shards' sets (block, keys, overs, hidden_everywhere): what all
+    shards could hide, with what the ones that show the phrase have over it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, ["block"]):
+            keys, lengths = unpacked(table["keys"], np.int64)
+            over, _ = unpacked(table["overs"], np.int32)
+            order, bounds = sets(keys)
+            most = np.maximum.reduceat(np.repeat(table["hidden_everywhere"].to_numpy(), lengths)[order], bounds[:-1])
+            fits = np.add.reduceat(over[order].astype(np.int64), bounds[:-1]) + most >= support
+            yield pa.RecordBatch.from_arrays([pa.array(keys[order[bounds[:-1]]][fits])], ["key"])
+
+    shown = shown.select("block", "keys", "overs", "hidden_everywhere").repartition("block").sortWithinPartitions("block")
+    return shown.mapInArrow(run, "key long")
 
 
 def counted_phrases(docs: DataFrame, lengths: tuple[int, int], support: int, told: np.ndarray, run_bytes: int) -> DataFrame:
-    """(lang, words, count, text) of each shard's phrases of these lengths that the map has, with all their occurrences.
+    """Sets (lang, size, block, words, counts, texts) of each shard's phrases of these lengths that the map has, with all
+    their occurrences.
 
-    words: the words' hashes; text: of single words.
+    words: the words' hashes; texts: of single words, parted by blanks.
     """
     # Broadcast: the bit map, of fixed size.
     shared = docs.sparkSession.sparkContext.broadcast(told)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, run_bytes):
+            # The turns of a length are gathered, for few and full sets.
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+            size = 0
             for length, first, counts in shard.mined(lengths[1], support, shared.value, lengths[1]):
-                if length >= lengths[0]:
-                    for i in range(0, len(first), 1 << 15):
-                        yield shard.rows(length, first[i : i + (1 << 15)], counts[i : i + (1 << 15)])
+                if held and (length != size or sum(len(f) for f, _ in held) >= GATHERED):
+                    yield from shard.counted(size, *map(np.concatenate, zip(*held, strict=True)))
+                    held.clear()
+                size = length
+                if length >= lengths[0] and len(first):
+                    held.append((first, counts))
+            if held:
+                yield from shard.counted(size, *map(np.concatenate, zip(*held, strict=True)))
 
-    return docs.select("lang", "text", "total").mapInArrow(run, "lang string, words binary, count long, text string")
+    return docs.select("lang", "text", "total").mapInArrow(run, "lang string, size int, block int, words binary, counts binary, texts string")
+
+
+def summed(counted: DataFrame, support: int) -> DataFrame:
+    """Phrases (lang, words, count, text) that all shards' sets of counts together give the support."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, ["block", "size"]):
+            size = table["size"][0].as_py()
+            langs = table["lang"].combine_chunks().dictionary_encode()
+            words, lengths = unpacked(table["words"], np.uint64)
+            counts, _ = unpacked(table["counts"], np.int32)
+            words = words.reshape(-1, size)
+            code = np.repeat(langs.indices.to_numpy(), lengths // size)
+            order = np.lexsort([*words.T, code])
+            sorted_words, sorted_code = words[order], code[order]
+            new = np.append(True, (sorted_words[1:] != sorted_words[:-1]).any(axis=1) | (sorted_code[1:] != sorted_code[:-1]))
+            starts = np.flatnonzero(new)
+            sums = np.add.reduceat(counts[order].astype(np.int64), starts)
+            fits = sums >= support
+            starts = starts[fits]
+            if not len(starts):
+                continue
+            first = order[starts]
+            texts = pa.nulls(len(first), pa.string())
+            if size == 1:
+                spelled = [x for y in table["texts"].to_pylist() for x in y.split(" ")]
+                texts = pa.array([spelled[i] for i in first.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(code[first])), packed(words[first], np.arange(len(first) + 1)), pa.array(sums[fits]), texts], schema=PHRASES)
+
+    counted = counted.repartition("block").sortWithinPartitions("block", "size")
+    return counted.mapInArrow(run, "lang string, words binary, count long, text string")
 
 
 def key_of(phrases: DataFrame) -> DataFrame:
@@ -272,14 +375,11 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, support: int = SUPPOR
 
     def counted(lengths: tuple[int, int], told: np.ndarray | None, told_to: int) -> tuple[DataFrame, DataFrame]:
         rows = written(spark, local_phrases(docs, lengths, support, told, told_to, run_bytes), "local")
-        langs = written(spark, rows.where("key is null").groupBy(F.col("lang").alias("of")).agg(F.sum("n").alias("n"), F.sum("hidden").alias("hidden_everywhere")), "langs")
-        # What all shards could hide, with what the ones that show the phrase have over it.
-        bound = rows.where("key is not null").groupBy("key", "lang").agg(F.sum("over").alias("over"))
-        bound = bound.join(few(langs), F.col("lang") == F.col("of")).where(F.col("over") + F.col("hidden_everywhere") >= support)
-        candidates = phrase_map(bound)
+        langs = written(spark, rows.where("block is null").groupBy(F.col("lang").alias("of")).agg(F.sum("n").alias("n"), F.sum("hidden").alias("hidden_everywhere")), "langs")
+        shown = rows.where("block is not null").join(few(langs.select("of", "hidden_everywhere")), F.col("lang") == F.col("of"))
+        candidates = phrase_map(possible(shown, support))
         known = candidates if told is None else candidates | told
-        sums = counted_phrases(docs, lengths, support, known, run_bytes).groupBy("lang", "words", "text").agg(F.sum("count").alias("count"))
-        return langs, written(spark, sums.where(F.col("count") >= support).select("lang", "words", "count", "text"), "frequent")
+        return langs, written(spark, summed(counted_phrases(docs, lengths, support, known, run_bytes), support), "frequent")
 
     langs, short = counted((1, min(2, longest)), None, 0)
     n = langs.select(F.col("of").alias("lang"), "n")

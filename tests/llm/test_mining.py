@@ -193,6 +193,22 @@ def test_full_map_of_phrases(spark, monkeypatch):
     assert sorted(tuple(r) for r in found.collect()) == brute_collocations(rows, 40, 5, 2000)
 
 
+def test_shards_hand_on_sets(spark):
+    """A shard makes a row for each language and block at most, however many phrases it has, and loses none of them."""
+    texts = [" ".join(f"w{i}" for i in range(k, k + 6000)) for k in (0, 3000)]
+    docs = spark.createDataFrame([("en", t, sum(map(len, texts))) for t in texts], "lang string, text string, total long").coalesce(1)
+    rows = collocations.local_phrases(docs, (1, 2), 1, None, 0, 1 << 25)
+    blocks = rows.where("block is not null").collect()
+    assert len(blocks) <= collocations.BLOCKS
+    keys = collocations.np.concatenate([collocations.np.frombuffer(r.keys, "int64") for r in blocks])
+    assert len(keys) == len(set(keys.tolist())) == 9000 + 8999
+    counted = collocations.counted_phrases(docs, (1, 2), 2, collocations.np.full(collocations.MAP_BITS // 8, 255, "uint8"), 1 << 25)
+    assert counted.count() <= 2 * collocations.BLOCKS
+    found = collocations.summed(counted, 2).collect()
+    assert sorted(r.text for r in found if r.text) == sorted(f"w{i}" for i in range(3000, 6000))
+    assert len(found) == 3000 + 2999 and {r["count"] for r in found} == {2}
+
+
 def test_no_documents(spark):
     assert collocations.collocations(spark, spark.createDataFrame([], DOCS)).count() == 0
 
